@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lectern.llm import packing, secrets, token_files
+from lectern.llm import line_dedup, mixing, packing, secrets, token_files, toxicity
 from lectern.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +17,15 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(table(spark, sf_dir, "documents"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return line_dedup.line_dedup(docs).drop("source")
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), size=1024, end_id=0)
 
@@ -25,9 +34,14 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_files(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=2)
 
 
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
+    return mixing.mix(docs).select("doc_id", "topic", "n_tokens", "probability", "sampled")
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_secret_scan, op7_packing, op8_token_files)}
+    return {f.__name__: f for f in (op1_secret_scan, op4_toxicity, op5_line_dedup, op7_packing, op8_token_files, op9_mixing)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op5_line_dedup": line_dedup.oracle(), "op9_mixing": mixing.oracle()}
