@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lectern.llm import line_dedup, mixing, packing, secrets, token_files, toxicity
+from lectern.llm import jaccard, line_dedup, mixing, packing, secrets, token_files, toxicity
 from lectern.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +17,10 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(table(spark, sf_dir, "documents"))
 
 
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents"), words=3, threshold=(9, 10))
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -40,7 +44,7 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_secret_scan, op4_toxicity, op5_line_dedup, op7_packing, op8_token_files, op9_mixing)}
+    return {f.__name__: f for f in (op1_secret_scan, op3_jaccard_join, op4_toxicity, op5_line_dedup, op7_packing, op8_token_files, op9_mixing)}
 
 
 def oracle_sql() -> dict[str, str]:
