@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lectern.llm import jaccard, line_dedup, mixing, packing, secrets, token_files, toxicity
+from lectern.llm import jaccard, line_dedup, mixing, neighbours, packing, secrets, token_files, topk, toxicity
 from lectern.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +17,11 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(table(spark, sf_dir, "documents"))
 
 
+def op2_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return neighbours.nearest(vectors, vectors.filter("vec_id % 50 = 0"), k=5)
+
+
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(table(spark, sf_dir, "documents"), words=3, threshold=(9, 10))
 
@@ -43,8 +48,13 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs).select("doc_id", "topic", "n_tokens", "probability", "sampled")
 
 
+def op10_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return topk.search(docs, docs.filter("doc_id % 50 = 0"), k=10)
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_secret_scan, op3_jaccard_join, op4_toxicity, op5_line_dedup, op7_packing, op8_token_files, op9_mixing)}
+    return {f.__name__: f for f in (op1_secret_scan, op2_neighbours, op3_jaccard_join, op4_toxicity, op5_line_dedup, op7_packing, op8_token_files, op9_mixing, op10_topk_search)}
 
 
 def oracle_sql() -> dict[str, str]:
