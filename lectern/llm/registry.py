@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lectern.llm import jaccard, line_dedup, mixing, neighbours, packing, secrets, token_files, topk, toxicity
+from lectern.llm import edit_counts, jaccard, line_dedup, mixing, neighbours, packing, secrets, token_files, topk, toxicity
 from lectern.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,6 +35,12 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_dedup(docs).drop("source")
 
 
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    edits = edit_counts.revision(docs["doc_id"], docs["text"])
+    return edit_counts.count_edits(docs, edits, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), size=1024, end_id=0)
 
@@ -54,7 +60,7 @@ def op10_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_secret_scan, op2_neighbours, op3_jaccard_join, op4_toxicity, op5_line_dedup, op7_packing, op8_token_files, op9_mixing, op10_topk_search)}
+    return {f.__name__: f for f in (op1_secret_scan, op2_neighbours, op3_jaccard_join, op4_toxicity, op5_line_dedup, op6_token_counts, op7_packing, op8_token_files, op9_mixing, op10_topk_search)}
 
 
 def oracle_sql() -> dict[str, str]:
