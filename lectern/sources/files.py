@@ -102,7 +102,7 @@ def write_spec(books: DataFrame, path: str, title: str, version: str, lang: str)
     testament = F.col("testament").alias("testament_zh" if tag == "zh" else "testament")
     book = F.struct(F.col("book_sort").alias("number"), testament, F.col("name").alias(f"name_{tag}"), "total_chapters", "total_verses", "verses_per_chapter")
     # a specification is one small document by nature: 66 books
-    one = books.agg(F.array_sort(F.collect_list(F.struct("book_sort", book.alias("item")))).alias("items"))
+    one = books.agg(F.array_sort(F.collect_list(F.struct("book_sort", book.alias("item"))), lambda a, b: a["book_sort"] - b["book_sort"]).alias("items"))  # maps have no order
     total = lambda c: F.aggregate(F.col("items"), F.lit(0), lambda a, x: a + x["item"][c]).alias(c)
     document = F.struct(F.lit(title).alias("title"), F.lit(version).alias("version"), F.struct(F.size("items").alias("total_books"), total("total_chapters"), total("total_verses")).alias("summary"), F.transform("items", lambda x: x["item"]).alias("books"))
     one.select(F.to_json(document, {"pretty": "true"}).alias("value")).write.mode("overwrite").text(path)
