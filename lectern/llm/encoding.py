@@ -17,6 +17,15 @@ from tokenizers import Tokenizer
 
 #: A space with white space on both sides (or the end after it) may fall inside one pre-token.
 _UNSAFE = re.compile(r"\s (?:\s|\Z)")
+#: A comma or full stop after another mark may belong to one run of marks.
+_GLUED = re.compile(r"[^\s\w][.,]|_[.,]")
+#: Beyond these letters, lower-casing need not commute with the tokenizer's normalization.
+_FAR = re.compile("[^\x00-\u012f\u0131-\u017f]")
+_WORD = re.compile(r"([^\W\d_]+)([^\w\s]*)")
+#: How byte-level vocabularies write bytes: visible Latin-1 characters stand for themselves, the
+#: others, in order, for the characters from 256 on.
+_SHOWN = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_VISIBLE = {b: 256 + i for i, b in enumerate(x for x in range(256) if x not in _SHOWN)}
 _LOADED: dict[tuple[str, bool], "CachedEncoder"] = {}
 
 
@@ -27,11 +36,12 @@ class CachedEncoder:
     white space is dropped. ``limit`` bounds the cache; pieces beyond it are merged per call.
     """
 
-    def __init__(self, path: str, spaced: bool, limit: int = 400_000):
+    def __init__(self, path: str, spaced: bool, limit: int = 500_000):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # such strings in a text are ordinary text
         self.spaced, self.limit = spaced, limit
         self.cache: dict = {}
+        self._break = self._whole([("\n",)])[0]
 
     @classmethod
     def loaded(cls, path: str, spaced: bool) -> "CachedEncoder":
@@ -45,22 +55,59 @@ class CachedEncoder:
         if not text:
             return []
         if not self.spaced:
-            return text.replace("\n", " ").split(" ")
+            text = text.replace("\n", " ")
+            if not _FAR.search(text):
+                text = text.lower()
+            if not _GLUED.search(text):  # then a mark before a space is a pre-token of its own
+                text = text.replace(", ", " , ").replace(". ", " . ")
+            return text.split(" ")
         if _UNSAFE.search(text):
             return [(text,)]
         pieces: list = text.split(" ")
         pieces[0] = (pieces[0],)  # no space stands before it
         return pieces
 
-    def _ids(self, pieces: list) -> list[bytes]:
+    def _plain(self, word: str, lead: str) -> bytes | None:
+        """Ids of letters with a run of marks after them or none: pre-tokens that need no splitting."""
+        found = _WORD.fullmatch(word)
+        if not found or not found[1].isalpha() or not (self.spaced or (not _FAR.search(word) and word == word.lower())):
+            return None
+        merged, mark = self.tokenizer.model.tokenize, found[2]
+        ids = [t.id for t in merged((lead + found[1]).encode().decode("latin-1").translate(_VISIBLE))]
+        if mark:
+            ids += [t.id for t in merged(mark.encode().decode("latin-1").translate(_VISIBLE))]
+        return array("I", ids).tobytes()
+
+    def _simple(self, piece) -> bytes | None:
+        if isinstance(piece, tuple):
+            return None
+        parts = []
+        for i, line in enumerate(piece.split("\n")):  # a lone line break is a pre-token
+            ids = self._plain(line, "" if i or not self.spaced else " ")
+            if ids is None:
+                return None
+            parts.append(ids)
+        return self._break.join(parts)
+
+    def _whole(self, pieces: list) -> list[bytes]:
         texts = [x[0] if isinstance(x, tuple) else f" {x}" if self.spaced else x for x in pieces]
         return [array("I", x.ids).tobytes() for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _learn(self, pieces: list) -> None:
+        rest = []
+        for piece in pieces:
+            ids = self._simple(piece)
+            if ids is None:
+                rest.append(piece)
+            else:
+                self.cache[piece] = ids
+        self.cache.update(zip(rest, self._whole(rest), strict=True))
+
     def encode(self, texts: list[str | None]) -> list[bytes]:
         split = [self._pieces(t) for t in texts]
         new = list(set().union(*split) - self.cache.keys()) if split else []
         if new:
-            self.cache.update(zip(new, self._ids(new), strict=True))
+            self._learn(new)
         find = self.cache.__getitem__
         out = [b"".join(map(find, pieces)) for pieces in split]
         for piece in new if len(self.cache) > self.limit else []:

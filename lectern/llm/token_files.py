@@ -39,12 +39,21 @@ STREAMS = "shard int, stream int, n_docs int, n_ids long, base long, data binary
 DIGEST = "doc_id long, shard int, local_start long, n_tokens long, ids_crc32 long"
 
 
+def _ranks(values: np.ndarray) -> np.ndarray:
+    out = np.ones(len(values), np.uint8)
+    for bits in WIDTHS[1:]:
+        out += (values >> bits) > 0
+    return out
+
+
+_SMALL = _ranks(np.arange(1 << 16, dtype=np.uint64))
+
+
 def _widths(values: np.ndarray) -> np.ndarray:
-    """Bits that each value needs, at least one."""
-    out = np.ones(len(values), np.int64)
-    for bits in (1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60):
-        out += (values >> np.uint64(bits)) > 0
-    return out  # 1 + how many of the widths are too small: the rank of the first that fits
+    """The first selector whose width suffices for each value; 15: none does."""
+    if len(values) and values.max() < len(_SMALL):
+        return _SMALL[values.astype(np.int32)]
+    return _ranks(values)
 
 
 def encode_words(values: np.ndarray, block: int) -> tuple[np.ndarray, np.ndarray]:
@@ -52,23 +61,25 @@ def encode_words(values: np.ndarray, block: int) -> tuple[np.ndarray, np.ndarray
     n = len(values)
     rank = _widths(values)  # 1..14 by selector, 15: escape
     best = np.zeros(n, np.int64)
-    room = block - np.arange(n) % block
-    todo = np.arange(n)
     for selector in range(1, 15):  # most values in a word first
         count = int(COUNTS[selector])
-        if n < count or not len(todo):
+        narrow = rank <= selector
+        fits = np.flatnonzero(narrow & (best == 0))
+        fits = fits[(fits + count <= n) & (block - fits % block >= count)]
+        if not len(fits):
             continue
-        wide = np.concatenate(([0], np.cumsum(rank > selector)))
-        fits = todo[(todo + count <= n) & (room[todo] >= count)]
-        fits = fits[wide[fits + count] == wide[fits]]
-        best[fits] = selector
-        todo = todo[best[todo] == 0]
-    follow = (np.arange(n) + np.where(best > 0, COUNTS[best], 1)).tolist()
-    at, starts = 0, []
-    while at < n:
-        starts.append(at)
-        at = follow[at]
-    first = np.array(starts, np.int64)
+        wide = np.zeros(n + 1, np.int32)
+        np.cumsum(~narrow, out=wide[1:])
+        best[fits[wide[fits + count] == wide[fits]]] = selector
+    step = np.where(best > 0, COUNTS[best], 1)
+    at = np.arange(0, n, block)  # all blocks are followed at once
+    end, taken = np.minimum(at + block, n), np.zeros(n, bool)
+    while len(at):
+        taken[at] = True
+        at = at + step[at]
+        inside = at < end
+        at, end = at[inside], end[inside]
+    first = np.flatnonzero(taken)
     selector = best[first]
     escaped = selector == ESCAPE
     place = np.arange(len(first)) + np.cumsum(escaped) - escaped
@@ -105,7 +116,7 @@ def decode_words(words: np.ndarray) -> np.ndarray:
     return values
 
 
-def write_stream(doc_ids: list[int | None], parts: list[bytes], block: int = 4096) -> bytes:
+def write_stream(doc_ids: list[int | None], parts: list[bytes], block: int = 1024) -> bytes:
     """``parts``: each document's ids as little-endian unsigned 32-bit bytes."""
     values = np.frombuffer(b"".join(parts), "<u4").astype(np.uint64)
     words, offsets = encode_words(values, block)
