@@ -103,6 +103,7 @@ def decode_words(words: np.ndarray) -> np.ndarray:
     for i in np.flatnonzero(selector == ESCAPE):  # a raw word may look like an escape itself
         if not raw[i] and i + 1 < len(words):
             raw[i + 1] = True
+    selector[raw] = ESCAPE  # its low bits select nothing
     count = np.where(raw, 0, COUNTS[selector])
     source = np.repeat(np.arange(len(words)), count)
     ends = np.cumsum(count)
