@@ -1,13 +1,10 @@
 """Operator 3: exact n-gram Jaccard self-join in size-banded tiles with bitmap signatures.
 
-Which documents meet. Sizes are cut into bands such that linked documents lie in one band or in
-neighbouring ones. Two sets with Jaccard similarity t or more differ in at most
-k(n) = (1 - t) / t * n shingles, n being either one's size. Each band spreads a set's shingles over
-somewhat more than k hashed cells; a differing shingle spoils one cell, so linked sets agree in
-a whole cell among the first k(n) + 1 that are not empty. The hash of (band, cell, content) is a
-key; documents with equal keys form blocks. (A set that leaves too few cells filled also gets the
-keys of an ordinary prefix filter.) Keys of whole cells, unlike single shingles, are not shared by
-documents that merely have a frequent line or passage in common.
+Which documents meet. Sets with similarity t or more share one of the first n - ceil(t * n) + 1
+elements of either, in any order that all sets are sorted by. The order puts rare shingles first, so
+that frequent lines and passages bring nobody together. Frequencies come from a table of
+``COUNTERS`` hashed counters, filled from all documents; its size is fixed, and where it errs only
+more documents meet. The chosen shingles are the keys; documents with equal keys form blocks.
 
 How they are compared. Blocks that share documents are united; each union is cut into tiles of two
 size bands at a time and, where large, into hashed parts, so that no task holds more than two
@@ -19,12 +16,14 @@ Texts with equal sets are one class. A task announces a class once, however many
 and a class's copies take its component, so the largest group of copies costs no more than any other.
 
 Defined results: a null or empty text, or one of white space, has size 0 and is linked with
-nothing; a null id takes part in nothing and has no component; rows of one id count as one document
-and share a component; an empty table gives no rows; other columns are ignored.
+nothing; a null id takes part in nothing and has no component; repeated rows share a component, and
+rows of one id with different texts join theirs where they have links; an empty table gives no rows;
+other columns are ignored.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from fractions import Fraction
 from functools import cache
@@ -42,6 +41,8 @@ from lectern.llm.shingles import U, mix, shingle_sets
 PART_SHINGLES, PART_DOCS = 150_000, 128
 #: Slots of the table that tells which texts may be needed again; bounds what is broadcast.
 SLOTS = 1 << 20
+#: Counters of shingle frequencies; a power of two.
+COUNTERS = 1 << 22
 #: Keys that a task gathers before it passes them on.
 FLUSH_KEYS = 2_000_000
 _SLICE = 4 << 20
@@ -64,53 +65,57 @@ class Bands:
     def of(self, n: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.edges, n, "right") - 1
 
-    def differ(self, n: np.ndarray) -> np.ndarray:
-        """The most shingles in which a set of size ``n`` differs from a linked one."""
-        return (self.t.denominator - self.t.numerator) * n // self.t.numerator
-
-    def cells(self, band: np.ndarray) -> np.ndarray:
-        return (self.differ(self.edges[band + 1] - 1) + 1) * 13 // 10 + 3
-
 
 @cache
 def bands(numerator: int, denominator: int) -> Bands:
     return Bands(Fraction(numerator, denominator))
 
 
-def keys(hashes: np.ndarray, starts: np.ndarray, of: Bands) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of all sets, with the number of the set of each."""
-    sizes = np.diff(starts)
-    live = np.flatnonzero(sizes)
-    if not len(live):
-        return np.zeros(0, U), np.zeros(0, np.int64)
-    n = sizes[live]
-    band, most = of.of(n), of.differ(n)
-    owner = np.repeat(np.arange(len(live)), n)
-    spread, content = mix(hashes ^ U(0x5851F42D4C957F2D)), mix(hashes + U(0x14057B7EF767814F))
-    low, high = (content & U(0xFFFFFFFF)).astype(np.float64), (content >> U(32)).astype(np.float64)
-    found, number = [], []
-    for tile in (band, band + 1):
-        cells = of.cells(tile)
-        base = np.cumsum(cells) - cells
-        total = int(cells.sum())
-        cell = base[owner] + ((spread >> U(32)) * cells[owner].astype(U) >> U(32)).astype(np.int64)
-        filled = np.bincount(cell, minlength=total) > 0
-        sums = mix(np.bincount(cell, low, total).astype(U)) + np.bincount(cell, high, total).astype(U)
-        at = np.flatnonzero(filled)
-        whose = np.repeat(np.arange(len(live)), cells)[at]
-        per = np.bincount(whose, minlength=len(live))
-        rank = np.arange(len(at)) - (np.cumsum(per) - per)[whose]
-        chosen = rank <= most[whose]
-        at, whose = at[chosen], whose[chosen]
-        place = (at - base[whose]).astype(U) * U(0x9E3779B97F4A7C15) + tile[whose].astype(U)
-        found.append(mix(sums[at] ^ mix(place)))
-        number.append(live[whose])
-        for i in np.flatnonzero(per <= most):  # too few cells filled: an ordinary prefix as well
-            own = hashes[starts[live[i]] : starts[live[i] + 1]]
-            need = -(-of.t.numerator * len(own) // of.t.denominator)
-            prefix = own[: len(own) - need + 1]
-            found.append(mix(prefix ^ U(0xD1B54A32D192ED03)))
-            number.append(np.full(len(prefix), live[i]))
+def _counter(hashes: np.ndarray) -> np.ndarray:
+    return (hashes >> U(64 - COUNTERS.bit_length() + 1)).astype(np.int64)
+
+
+def frequencies(docs: DataFrame, words: int) -> np.ndarray:
+    """How often shingles of each counter occur; ``COUNTERS`` numbers, whatever the input."""
+    block = COUNTERS >> 8
+    packed = lambda x: zlib.compress(x.astype(np.uint32).tobytes(), 1)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(COUNTERS, np.int64)
+        for batch in batches:
+            for _, data, offsets in _chunks(batch):
+                hashes, _ = shingle_sets(data, offsets, words)
+                total += np.bincount(_counter(hashes), minlength=COUNTERS)
+        for i in range(256):
+            part = total[i * block : (i + 1) * block]
+            if part.any():
+                yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([packed(part)], pa.binary())], names=["block", "counts"])
+
+    def add(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for table in tables:
+            for i, raw in zip(table.column(0).to_pylist(), table.column(1).to_pylist(), strict=True):
+                sums[i] = sums.get(i, 0) + np.frombuffer(zlib.decompress(raw), np.uint32).astype(np.int64)
+        for i, total in sums.items():
+            yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([packed(np.minimum(total, (1 << 32) - 1))], pa.binary())], names=["block", "counts"])
+
+    schema = "block int, counts binary"
+    out = np.zeros(COUNTERS, np.uint32)
+    for row in docs.mapInArrow(count, schema).repartition("block").mapInArrow(add, schema).collect():
+        out[row["block"] * block : (row["block"] + 1) * block] = np.frombuffer(zlib.decompress(row["counts"]), np.uint32)
+    return out
+
+
+def keys(hashes: np.ndarray, starts: np.ndarray, t: Fraction, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The rarest shingles of each set, as many as its prefix has, with the number of its set."""
+    order = np.minimum(counts[_counter(hashes)], (1 << 24) - 1).astype(U) << U(40) | hashes & U((1 << 40) - 1)
+    found, number = [np.zeros(0, U)], [np.zeros(0, np.int64)]
+    for i, (a, b) in enumerate(zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True)):
+        if n := b - a:
+            size = n + (-t.numerator * n // t.denominator) + 1
+            own = hashes[a:b]
+            found.append(own[np.argpartition(order[a:b], size - 1)[:size]] if size < n else own)
+            number.append(np.full(len(found[-1]), i))
     return np.concatenate(found), np.concatenate(number)
 
 
@@ -144,6 +149,7 @@ def set_table(docs: DataFrame, words: int) -> DataFrame:
 
 def key_table(docs: DataFrame, words: int, of: tuple[int, int], buckets: int) -> DataFrame:
     """Packed (key, document) pairs by bucket of the key; of equal sets a task announces the first."""
+    counts = docs.sparkSession.sparkContext.broadcast(frequencies(docs, words))  # of fixed size
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         announced: dict[tuple[int, int, int], None] = {}
@@ -179,7 +185,7 @@ def key_table(docs: DataFrame, words: int, of: tuple[int, int], buckets: int) ->
                             announced[name] = None
                 sizes = np.where(keep, np.diff(starts), 0)
                 hashes = hashes[np.repeat(keep, np.diff(starts))]
-                key, number = keys(hashes, np.concatenate(([0], np.cumsum(sizes))), bands(*of))
+                key, number = keys(hashes, np.concatenate(([0], np.cumsum(sizes))), Fraction(*of), counts.value)
                 held.append((key, ids.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)[number]))
                 count += len(key)
                 if count >= FLUSH_KEYS:
@@ -368,9 +374,10 @@ def may_be_in(df: DataFrame, ids: DataFrame, how: str = "left_semi") -> DataFram
     At most ``SLOTS`` numbers are broadcast, whatever the size of ``ids``; it spares the shuffle that
     follows most of the texts that it has no use for.
     """
-    slot = lambda: F.pmod(F.xxhash64("doc_id"), F.lit(SLOTS)).cast("int")
-    used = ids.select(slot().alias("slot_")).distinct()
-    return df.withColumn("slot_", slot()).join(F.broadcast(used), "slot_", how).drop("slot_")
+    slot = F.pmod(F.xxhash64("doc_id"), F.lit(SLOTS)).cast("int")
+    used = ids.select(slot.alias("slot")).distinct()
+    held = df.select(F.struct("*").alias("row"), slot.alias("slot")).join(F.broadcast(used), "slot", how)
+    return held.select(*(F.col("row").getField(c).alias(c) for c in df.columns))
 
 
 def jaccard_components(docs: DataFrame, words: int = 5, threshold: tuple[int, int] = (4, 5), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -389,8 +396,10 @@ def jaccard_components(docs: DataFrame, words: int = 5, threshold: tuple[int, in
     laid = _laid_out(texts, words).repartition("tile").sortWithinPartitions("tile")
     linked = stored(components(verified(laid, threshold)), "linked")
     known = sets.filter("doc_id IS NOT NULL AND n > 0").join(linked, sets["doc_id"] == linked["node"], "left")
-    classes = known.groupBy("n", "s1", "s2").agg(F.min(F.coalesce("component", "doc_id")).alias("component_id"))
-    classes = stored(classes, "classes")
+    # the least id of a component may be that of a copy which its task did not announce
+    classes = stored(known.groupBy("n", "s1", "s2").agg(F.min("component").alias("label"), F.min("doc_id").alias("least")), "classes")
+    least = stored(classes.filter("label IS NOT NULL").groupBy("label").agg(F.min("least").alias("component_id")), "least")
+    classes = classes.join(least, "label", "left").select("n", "s1", "s2", F.coalesce("component_id", "least").alias("component_id"))
     own = sets.join(classes, ["n", "s1", "s2"], "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     return own.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
