@@ -1,10 +1,15 @@
 """Operator 3: exact n-gram Jaccard self-join in size-banded tiles with bitmap signatures.
 
-Which documents meet. Sets with similarity t or more share one of the first n - ceil(t * n) + 1
-elements of either, in any order that all sets are sorted by. The order puts rare shingles first, so
-that frequent lines and passages bring nobody together. Frequencies come from a table of
-``COUNTERS`` hashed counters, filled from all documents; its size is fixed, and where it errs only
-more documents meet. The chosen shingles are the keys; documents with equal keys form blocks.
+Which documents meet. Sizes are cut into bands such that linked documents lie in one band or in
+neighbouring ones. Two sets with Jaccard similarity t or more differ in at most
+k(n) = (1 - t) / t * n shingles, n being either one's size. Each band spreads a set's shingles over
+somewhat more than k hashed cells; a differing shingle spoils one cell, so linked sets agree in a
+whole cell among the first k(n) + 1 that are not empty, in any order that depends on the cells'
+contents alone. Cells with most infrequent shingles come first, so a line or passage that two
+documents have in common does not make them meet. Frequencies come from a table of ``COUNTERS``
+hashed counters, filled from all documents; its size is fixed, and it decides the order only. The
+hash of (band, cell, content) is a key; documents with equal keys form blocks. (A set that leaves
+too few cells filled also gets the keys of an ordinary prefix filter.)
 
 How they are compared. Blocks that share documents are united; each union is cut into tiles of two
 size bands at a time and, where large, into hashed parts, so that no task holds more than two
@@ -65,6 +70,13 @@ class Bands:
     def of(self, n: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.edges, n, "right") - 1
 
+    def differ(self, n: np.ndarray) -> np.ndarray:
+        """The most shingles in which a set of size ``n`` differs from a linked one."""
+        return (self.t.denominator - self.t.numerator) * n // self.t.numerator
+
+    def cells(self, band: np.ndarray) -> np.ndarray:
+        return (self.differ(self.edges[band + 1] - 1) + 1) * 28 // 25 + 1
+
 
 @cache
 def bands(numerator: int, denominator: int) -> Bands:
@@ -106,16 +118,43 @@ def frequencies(docs: DataFrame, words: int) -> np.ndarray:
     return out
 
 
-def keys(hashes: np.ndarray, starts: np.ndarray, t: Fraction, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The rarest shingles of each set, as many as its prefix has, with the number of its set."""
-    order = np.minimum(counts[_counter(hashes)], (1 << 24) - 1).astype(U) << U(40) | hashes & U((1 << 40) - 1)
-    found, number = [np.zeros(0, U)], [np.zeros(0, np.int64)]
-    for i, (a, b) in enumerate(zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True)):
-        if n := b - a:
-            size = n + (-t.numerator * n // t.denominator) + 1
-            own = hashes[a:b]
-            found.append(own[np.argpartition(order[a:b], size - 1)[:size]] if size < n else own)
-            number.append(np.full(len(found[-1]), i))
+def keys(hashes: np.ndarray, starts: np.ndarray, of: Bands, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of all sets, with the number of the set of each."""
+    sizes = np.diff(starts)
+    live = np.flatnonzero(sizes)
+    if not len(live):
+        return np.zeros(0, U), np.zeros(0, np.int64)
+    n = sizes[live]
+    band, most = of.of(n), of.differ(n)
+    owner = np.repeat(np.arange(len(live)), n)
+    spread, content = mix(hashes ^ U(0x5851F42D4C957F2D)), mix(hashes + U(0x14057B7EF767814F))
+    low, high = (content & U(0xFFFFFFFF)).astype(np.float64), (content >> U(32)).astype(np.float64)
+    rare = (counts[_counter(hashes)] <= 4 * int(np.median(counts)) + 16).astype(np.float64)
+    found, number = [], []
+    for tile in (band, band + 1):
+        cells = of.cells(tile)
+        base = np.cumsum(cells) - cells
+        total = int(cells.sum())
+        cell = base[owner] + ((spread >> U(32)) * cells[owner].astype(U) >> U(32)).astype(np.int64)
+        # cells are ordered by how many rare shingles they hold, then by how many in all
+        score = np.bincount(cell, rare, total).astype(np.int64) << 20 | np.minimum(np.bincount(cell, minlength=total), (1 << 20) - 1)
+        sums = mix(np.bincount(cell, low, total).astype(U)) + np.bincount(cell, high, total).astype(U)
+        at = np.flatnonzero(score)
+        whose = np.repeat(np.arange(len(live)), cells)[at]
+        per = np.bincount(whose, minlength=len(live))
+        order = np.lexsort((at, -score[at], whose))
+        rank = np.arange(len(at)) - (np.cumsum(per) - per)[whose]  # of order[i] within its set
+        chosen = order[rank <= most[whose]]
+        at, whose = at[chosen], whose[chosen]
+        place = (at - base[whose]).astype(U) * U(0x9E3779B97F4A7C15) + tile[whose].astype(U)
+        found.append(mix(sums[at] ^ mix(place)))
+        number.append(live[whose])
+        for i in np.flatnonzero(per <= most):  # too few cells filled: an ordinary prefix as well
+            own = hashes[starts[live[i]] : starts[live[i] + 1]]
+            need = -(-of.t.numerator * len(own) // of.t.denominator)
+            prefix = own[: len(own) - need + 1]
+            found.append(mix(prefix ^ U(0xD1B54A32D192ED03)))
+            number.append(np.full(len(prefix), live[i]))
     return np.concatenate(found), np.concatenate(number)
 
 
@@ -185,7 +224,7 @@ def key_table(docs: DataFrame, words: int, of: tuple[int, int], buckets: int) ->
                             announced[name] = None
                 sizes = np.where(keep, np.diff(starts), 0)
                 hashes = hashes[np.repeat(keep, np.diff(starts))]
-                key, number = keys(hashes, np.concatenate(([0], np.cumsum(sizes))), Fraction(*of), counts.value)
+                key, number = keys(hashes, np.concatenate(([0], np.cumsum(sizes))), bands(*of), counts.value)
                 held.append((key, ids.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)[number]))
                 count += len(key)
                 if count >= FLUSH_KEYS:
