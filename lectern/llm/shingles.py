@@ -28,6 +28,8 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U(31))
 
 
+#: Bytes that are hashed at once; a longer word stands alone.
+_STRETCH = 1 << 21
 _LETTERS = mix(np.arange(1, 257, dtype=U) * U(_BASE))
 
 
@@ -50,11 +52,16 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     starts = np.flatnonzero(~space & (gap[:-1] | edge[:-1]))
     after = np.concatenate((space, [True]))
     ends = np.flatnonzero(~space & (after[1:] | edge[1:])) + 1
-    size = 1 << max(16, int(n).bit_length())
-    sums = np.empty(n + 1, U)
-    sums[0] = 0
-    np.cumsum(_LETTERS[_LOWER[data]] * _powers(_BASE, size)[:n], out=sums[1:])
-    hashes = mix((sums[ends] - sums[starts]) * _powers(_INVERSE, size)[starts] + (ends - starts).astype(U))
+    hashes, i = np.empty(len(starts), U), 0
+    while i < len(starts):  # a stretch of words at a time, so that the tables of powers stay small
+        j = max(i + 1, int(np.searchsorted(ends, starts[i] + _STRETCH, "right")))
+        a, b = starts[i:j] - starts[i], ends[i:j] - starts[i]
+        part = data[starts[i] : ends[j - 1]]
+        size = 1 << max(16, (len(part) - 1).bit_length())
+        sums = np.zeros(len(part) + 1, U)
+        np.cumsum(_LETTERS[_LOWER[part]] * _powers(_BASE, size)[: len(part)], out=sums[1:])
+        hashes[i:j] = mix((sums[b] - sums[a]) * _powers(_INVERSE, size)[a] + (b - a).astype(U))
+        i = j
     return hashes, np.searchsorted(starts, offsets).astype(np.int64)
 
 
