@@ -171,6 +171,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, settings: Settin
         found = part if found is None else found.unionByName(part)
     if found is None:
         return empty
+    found = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))  # rows of one id in several shards
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
