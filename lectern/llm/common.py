@@ -40,7 +40,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def slices(texts: list[str | None], limit: int = 4 << 20) -> Iterator[tuple[int, int]]:
+def slices(texts: list[str | None], limit: int = 1 << 20) -> Iterator[tuple[int, int]]:
     """Ranges of ``texts`` of about ``limit`` characters each; a longer text stands alone."""
     start = size = 0
     for i, text in enumerate(texts):

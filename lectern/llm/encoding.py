@@ -44,11 +44,11 @@ class CachedEncoder:
         self._break = self._whole([("\n",)])[0]
 
     @classmethod
-    def loaded(cls, path: str, spaced: bool) -> "CachedEncoder":
+    def loaded(cls, path: str, spaced: bool, limit: int = 500_000) -> "CachedEncoder":
         """One encoder per worker process, kept over tasks."""
         key = (path, spaced)
         if key not in _LOADED:
-            _LOADED[key] = cls(path, spaced)
+            _LOADED[key] = cls(path, spaced, limit)
         return _LOADED[key]
 
     def _pieces(self, text: str) -> list:

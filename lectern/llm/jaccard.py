@@ -47,10 +47,10 @@ PART_SHINGLES, PART_DOCS = 150_000, 128
 #: Slots of the table that tells which texts may be needed again; bounds what is broadcast.
 SLOTS = 1 << 20
 #: Counters of shingle frequencies; a power of two.
-COUNTERS = 1 << 22
+COUNTERS = 1 << 21
 #: Keys that a task gathers before it passes them on.
-FLUSH_KEYS = 2_000_000
-_SLICE = 4 << 20
+FLUSH_KEYS = 1_000_000
+_SLICE = 2 << 20
 
 _KEYS = "bucket int, docs binary, which binary, low binary, high binary"
 _SETS = "doc_id long, n long, s1 long, s2 long"
@@ -397,7 +397,7 @@ def _laid_out(docs: DataFrame, words: int) -> DataFrame:
                     for tile in tiles[at + i] if raw else []:
                         out.append((tile, parts[at + i], doc, raw))
                         held += len(raw)
-                    if held >= 4 * _SLICE:
+                    if held >= 8 * _SLICE:
                         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), (pa.int64(), pa.int64(), pa.int64(), pa.binary()))], names=names)
                         out, held = [], 0
                 at += len(ids)

@@ -83,7 +83,7 @@ def pack(docs: DataFrame, tokenizer: str, size: int = 1024, end_id: int = 0, spa
     end = end_id.to_bytes(4, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = CachedEncoder.loaded(tokenizer, spaced)
+        encoder = CachedEncoder.loaded(tokenizer, spaced, 250_000)
         base = TaskContext.get().partitionId() << 40
         rest: list[tuple] = []
 
