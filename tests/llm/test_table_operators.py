@@ -170,7 +170,9 @@ def test_every_code_within_the_radius_is_met():
 # ------------------------------------------------------------------ top-k
 
 
-def test_topk_equals_brute_force(spark, monkeypatch):
+@pytest.mark.parametrize("few", [0, 30, 10_000])
+def test_topk_equals_brute_force(spark, monkeypatch, few):
+    monkeypatch.setattr(topk, "FEW", few)
     monkeypatch.setattr(topk, "SHARD_DOCS", 40)
     monkeypatch.setattr(topk, "BLOCK_DOCS", 4)
     monkeypatch.setattr(topk, "QUERY_BLOCK", 3)
