@@ -199,6 +199,35 @@ def test_topk_equals_brute_force(spark, monkeypatch, few):
     assert topk.search(documents(spark, []), documents(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize("few,step", [(0, 1), (topk.FEW, 8)])
+def test_topk_scores_all_words_of_a_query(spark, monkeypatch, few, step):
+    monkeypatch.setattr(topk, "FEW", few)
+    monkeypatch.setattr(topk, "STEP", step)
+    monkeypatch.setattr(topk, "SHARD_DOCS", 90)
+    monkeypatch.setattr(topk, "BLOCK_DOCS", 4)
+    monkeypatch.setattr(topk, "QUERY_TERMS", 300)
+    rng = random.Random(3)
+    weights = [1 / (i + 1) for i in range(2000)]
+    rows = [(i, " ".join(f"t{x}" for x in rng.choices(range(2000), weights, k=rng.choice([5, 60, 300]))), "en", "s") for i in range(300)]
+    df = documents(spark, rows)
+    got = defaultdict(list)
+    for r in topk.search(df, df.filter("doc_id % 50 = 0")).collect():  # as registered
+        got[r["query_id"]].append((r["rank"], r["doc_id"], r["score"]))
+    tf = {i: Counter(t.split()) for i, t, *_ in rows}
+    length = {i: sum(c.values()) for i, c in tf.items()}
+    n, mean = len(tf), sum(length.values()) / len(tf)
+    df_ = Counter(w for c in tf.values() for w in c)
+    assert max(len(tf[q]) for q in range(0, 300, 50)) > 100
+    for q in range(0, 300, 50):
+        scores = {}
+        for i, c in tf.items():
+            s = sum(math.log(1 + (n - df_[w] + 0.5) / (df_[w] + 0.5)) * c[w] * 2.2 / (c[w] + 1.2 * (0.25 + 0.75 * length[i] / mean)) for w in tf[q] if w in c)
+            if s and i != q:
+                scores[i] = round(s, 6)
+        want = sorted(scores.items(), key=lambda x: (-x[1], x[0]))[:10]
+        assert [(i, pytest.approx(s, abs=2e-6)) for _, i, s in sorted(got[q])] == want
+
+
 # ------------------------------------------------------------------ toxicity
 
 
