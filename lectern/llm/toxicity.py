@@ -7,7 +7,8 @@ a bounded sample of labelled documents. Labels mark documents, not places: the f
 every window its document's label; later passes keep, in toxic documents, the windows that the
 model finds toxic, and the best one of each document. A document's score is that of its
 highest window, mapped to a probability by a logistic fit on the same sample; every window of the
-whole text takes part. An unseen misspelling shares n-grams with the words that were seen.
+whole text takes part, and of a run without white space every n-gram, because longer runs are cut
+into overlapping parts that count as words. An unseen misspelling shares n-grams with the words that were seen.
 
 The model is linear in the n-gram vectors, so what a worker needs is one number per bucket.
 
@@ -29,6 +30,8 @@ from pyspark.sql import functions as F
 
 SCHEMA = "doc_id long, held_out boolean, score double, predicted int"
 THRESHOLD = 0.7
+#: A run of characters longer than this is several words, of which neighbours share OVERLAP characters.
+LONGEST, OVERLAP = 64, 4
 _STRIP = ".,;:!?\"'()[]{}*#%$&|-_<>/\\"
 
 
@@ -52,7 +55,7 @@ class Settings:
 
 def ngrams(word: str) -> list[bytes]:
     """The marked word and its character n-grams of 3 to 5, each as UTF-16."""
-    marked = f"<{word.strip(_STRIP)[:64]}>".encode("utf-16-le", "surrogatepass")
+    marked = f"<{word[1:-1] if word[0] == ' ' else word.strip(_STRIP)}>".encode("utf-16-le", "surrogatepass")
     return [marked, *[marked[i : i + n] for n in (6, 8, 10) for i in range(0, len(marked) - n + 1, 2)]]
 
 
@@ -94,7 +97,19 @@ class Windows:
 def words(text: str | None) -> list[str]:
     """Lower-case words; a word that is repeated at once counts once, else it alone fills windows."""
     found = text.lower().split() if text else []
-    return [w for w, before in zip(found, [None, *found]) if w != before]
+    found = [w for w, before in zip(found, [None, *found]) if w != before]
+    if found and max(map(len, found)) > LONGEST:
+        found = [part for w in found for part in parts(w)]
+        found = [w for w, before in zip(found, [None, *found]) if w != before]
+    return found
+
+
+def parts(word: str) -> list[str]:
+    """The word, or a longer run's consecutive parts, which share OVERLAP characters so that every
+    n-gram lies in one. Parts stand between spaces, which no word has: they are not stripped again."""
+    if len(word) <= LONGEST or len(core := word.strip(_STRIP)) <= LONGEST:
+        return [word]
+    return [f" {core[i : i + LONGEST]} " for i in range(0, len(core) - OVERLAP, LONGEST - OVERLAP)]
 
 
 @dataclass

@@ -259,6 +259,26 @@ def test_toxicity(spark):
     assert toxicity.toxicity(documents(spark, []), known, small).count() == 0
 
 
+def test_toxicity_reads_runs_without_spaces():
+    rng = random.Random(8)
+    for alphabet in ("abc-_.<", "毒物言葉文字、。"):
+        run = "x" + "".join(rng.choices(alphabet, k=1000)) + "x"
+        want = {run[i : i + n].encode("utf-16-le") for n in (3, 4, 5) for i in range(len(run) - n + 1)}
+        got = [g for w in toxicity.words(run) for g in toxicity.ngrams(w)]
+        assert want <= set(got) and len(got) < 4 * len(run) and max(map(len, got)) <= 2 * 66
+    for size in (63, 64, 65, 68, 124, 125, 128, 129):
+        run = "".join(rng.choices("abcdefgh", k=size))
+        assert run.encode("utf-16-le")[-10:] in {g for w in toxicity.words(run) for g in toxicity.ngrams(w)}
+    assert toxicity.words("-" * 100 + " a a") == ["-" * 100, "a"] and toxicity.ngrams("-" * 100)[0] == "<>".encode("utf-16-le")
+    clean, toxic = ["banane", "coripo", "delust", "fimerl", "golomy"], ["idiot", "moron", "worthless", "pathetic"]
+    labels = [i % 3 == 0 for i in range(300)]
+    texts = ["-".join(rng.choices(clean, k=20) + bad * rng.choices(toxic, k=20)) for bad in labels]
+    scorer = toxicity.Scorer(toxicity.train(texts, [int(x) for x in labels], toxicity.Settings(buckets=1 << 14)))
+    start = "-".join(clean * 3)
+    assert len(start) > 64
+    assert scorer.score(f"{start}-{'-'.join(toxic * 20)}") >= toxicity.THRESHOLD > scorer.score(f"{start}-{'-'.join(clean * 20)}")
+
+
 # ------------------------------------------------------------------ line dedup and mixing
 
 
