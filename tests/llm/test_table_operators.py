@@ -228,6 +228,13 @@ def test_topk_scores_all_words_of_a_query(spark, monkeypatch, few, step):
         assert [(i, pytest.approx(s, abs=2e-6)) for _, i, s in sorted(got[q])] == want
 
 
+def test_topk_of_an_id_repeated_often(spark):
+    rows = [(0, "apple pear", "en", "s")] + [(1, "apple pear", "en", "s")] * 60 + [(i, "apple plum fig", "en", "s") for i in range(2, 14)] + [(20, "melon", "en", "s")] * 200
+    df = documents(spark, rows).coalesce(1)
+    got = sorted((r["rank"], r["doc_id"]) for r in topk.search(df, df.filter("doc_id = 0")).collect())
+    assert got == [(i, i) for i in range(1, 11)]
+
+
 # ------------------------------------------------------------------ toxicity
 
 
