@@ -34,3 +34,14 @@ def test_entry_point(spark):
     assert e.entry(spark).count() == 2
     assert set(Q.queries()) <= set(e.queries())
     assert set(e.oracle_sql()) <= set(e.queries())
+
+
+def test_parse_chapter_leaves_the_bound_to_the_parser(spark, tmp_path, monkeypatch):
+    turns = [(1, 0, "a"), (1, 299, "bb"), (1, 300, "ccc"), (2, 999, "e")]
+    spark.createDataFrame(turns, "conv_id long, turn int, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    parse, pages = Q.extract.chapters, []
+    monkeypatch.setattr(Q.extract, "chapters", lambda df: pages.append(df) or parse(df))
+    got = Q.parse_chapter(spark, str(tmp_path)).collect()
+    html = {r["page_id"]: r["html"] for r in pages[0].collect()}
+    assert "GEN.2.301" in html[1] and "GEN.3.1000" in html[2]
+    assert {(r["page_id"], r["verse_sort"]) for r in got} == {(1, 1), (1, 300)}
