@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -40,19 +39,6 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def slices(texts: list[str | None], limit: int = 1 << 20) -> Iterator[tuple[int, int]]:
-    """Ranges of ``texts`` of about ``limit`` characters each; a longer text stands alone."""
-    start = size = 0
-    for i, text in enumerate(texts):
-        n = len(text) if text else 0
-        if i > start and size + n > limit:
-            yield start, i
-            start, size = i, 0
-        size += n
-    if start < len(texts):
-        yield start, len(texts)
-
-
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of a string column laid end to end, and each row's offset (nulls: empty)."""
     column = column.fill_null("")

@@ -9,7 +9,8 @@ is unchanged, because the splitting pattern looks only ahead.
 Edits replace the code points ``start`` (inclusive) to ``stop`` (exclusive) by a text; positions are
 those of the text as the earlier edits left it, and are clamped to it.
 
-Defined results: a null text counts as empty; no edits leave the counts alone; rows are treated one
+Defined results: a null text counts as empty; the text of a special token counts as ordinary text, so
+that an edit cannot make one; no edits leave the counts alone; rows are treated one
 by one, so repeated rows give repeated results; an empty table gives no rows; other columns are
 ignored.
 """

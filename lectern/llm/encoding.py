@@ -1,117 +1,195 @@
-"""Exact tokenizer ids through a cache of the pieces between single spaces.
+"""Exact tokenizer ids of many texts at once, through their distinct pieces.
 
-Invented and rare words make byte-pair merging the dominant cost, so each distinct piece is
-merged once per worker. A piece boundary is only placed where the tokenizer's own
-pre-tokenization must break as well; texts without that property are encoded whole.
+Arrow cuts a run of texts into pieces and encodes them as a dictionary; each distinct piece gets its
+ids from a cache or from the tokenizer, and one take over the pieces lays all ids end to end. A cut
+is only made where the tokenizer's own splitting must break as well; texts for which that is not
+certain, and those that hold the text of a special token, go to the tokenizer whole.
+
+Ids are those of ``Tokenizer.encode(text, add_special_tokens=False)`` for the file as it is, so the
+text of a special token in a document is that token.
 """
 
 from __future__ import annotations
 
 import os
 import re
-from array import array
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
-#: A space with white space on both sides (or the end after it) may fall inside one pre-token.
-_UNSAFE = re.compile(r"\s (?:\s|\Z)")
-#: A comma or full stop after another mark may belong to one run of marks.
-_GLUED = re.compile(r"[^\s\w][.,]|_[.,]")
+#: Stands between pieces; a text that holds it is encoded whole.
+_CUT = "\x01"
+_SPACE = r"[\s\v\x{85}\p{Z}\x{1c}-\x{1f}]"
+#: Of three white-space characters, or of two at the end, several may be one pre-token.
+_RUN = f"{_SPACE}{{3}}|{_SPACE}{{2}}$"
+#: A comma or full stop that does not follow a letter or digit may belong to a run of marks.
+_GLUED = r"[^\pL\pN][.,]"
 #: Beyond these letters, lower-casing need not commute with the tokenizer's normalization.
-_FAR = re.compile("[^\x00-\u012f\u0131-\u017f]")
-_WORD = re.compile(r"([^\W\d_]+)([^\w\s]*)")
+_FAR = r"[^\x00-\x{12f}\x{131}-\x{17f}]"
+#: Pieces that can be encoded side by side: a word with the space before it; letters without case rules.
+_WITH_SPACE = r"^ [^\s\v\x{85}\p{Z}\x{1c}-\x{1f}]+$"
+_LETTERS = r"^[A-Za-z\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{12f}\x{131}-\x{17f}]+$"
 #: How byte-level vocabularies write bytes: visible Latin-1 characters stand for themselves, the
 #: others, in order, for the characters from 256 on.
 _SHOWN = {*range(33, 127), *range(161, 173), *range(174, 256)}
 _VISIBLE = {b: 256 + i for i, b in enumerate(x for x in range(256) if x not in _SHOWN)}
+#: Pieces that go to the tokenizer in one call, and about what one takes in the cache beside its text.
+_TOGETHER, _ENTRY = 1000, 240
 _LOADED: dict[tuple[str, bool], "CachedEncoder"] = {}
 
 
+def chunks(texts: pa.Array, size: int = 8 << 20):
+    """Ranges of ``texts`` of about ``size`` bytes each; a longer text stands alone."""
+    sizes = pc.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+    ends = np.cumsum(sizes)
+    start = 0
+    while start < len(texts):
+        before = ends[start] - sizes[start]
+        end = max(start + 1, int(np.searchsorted(ends, before + size, "right")))
+        yield start, end
+        start = end
+
+
 class CachedEncoder:
-    """Ids of whole texts as little-endian unsigned 32-bit bytes.
+    """Ids of whole texts.
 
-    ``spaced``: the vocabulary keeps a leading space with the word (byte-level BPE); otherwise
-    white space is dropped. ``limit`` bounds the cache; pieces beyond it are merged per call.
+    ``spaced``: the vocabulary keeps a leading space with the word (byte-level BPE); otherwise white
+    space is dropped. ``cache_bytes`` bounds what is remembered between calls: two generations of
+    pieces, of which the older one goes when the younger is full.
     """
 
-    def __init__(self, path: str, spaced: bool, limit: int = 500_000):
+    def __init__(self, path: str, spaced: bool, cache_bytes: int = 24 << 20):
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # such strings in a text are ordinary text
-        self.spaced, self.limit = spaced, limit
-        self.cache: dict = {}
-        self._break = self._whole([("\n",)])[0]
+        self.spaced, self.room = spaced, cache_bytes // 2
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.held = 0
+        special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.divider = special[0] if special else None
+        self.divider_id = self.tokenizer.token_to_id(special[0]) if special else -1
+        odd = [f"(?i:{re.escape(s)})" for s in special] + ([_CUT, _RUN] if spaced else [])
+        self.odd = "|".join(odd) or "$^"
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.sizes = np.zeros(max(vocabulary.values(), default=0) + 1, np.int64)
+        for token, i in vocabulary.items():
+            self.sizes[i] = len(token) if spaced else token.endswith("</w>")
 
     @classmethod
-    def loaded(cls, path: str, spaced: bool, limit: int = 500_000) -> "CachedEncoder":
-        """One encoder per worker process, kept over tasks."""
+    def loaded(cls, path: str, spaced: bool) -> "CachedEncoder":
+        """One encoder per worker process, kept over tasks; another one's cache goes."""
         key = (path, spaced)
         if key not in _LOADED:
-            _LOADED[key] = cls(path, spaced, limit)
+            _LOADED.clear()
+            _LOADED[key] = cls(path, spaced)
         return _LOADED[key]
 
-    def _pieces(self, text: str) -> list:
-        if not text:
-            return []
-        if not self.spaced:
-            text = text.replace("\n", " ")
-            if not _FAR.search(text):
-                text = text.lower()
-                if not _GLUED.search(text):  # then a mark before a space is a pre-token of its own
-                    text = text.replace(", ", " , ").replace(". ", " . ")
-            return text.split(" ")
-        if _UNSAFE.search(text):
-            return [(text,)]
-        pieces: list = text.split(" ")
-        pieces[0] = (pieces[0],)  # no space stands before it
-        return pieces
-
-    def _plain(self, word: str, lead: str) -> bytes | None:
-        """Ids of letters with a run of marks after them or none: pre-tokens that need no splitting."""
-        found = _WORD.fullmatch(word)
-        if not found or not found[1].isalpha() or not (self.spaced or (not _FAR.search(word) and word == word.lower())):
-            return None
-        merged, mark = self.tokenizer.model.tokenize, found[2]
-        ids = [t.id for t in merged((lead + found[1]).encode().decode("latin-1").translate(_VISIBLE))]
-        if mark:
-            ids += [t.id for t in merged(mark.encode().decode("latin-1").translate(_VISIBLE))]
-        return array("I", ids).tobytes()
-
-    def _simple(self, piece) -> bytes | None:
-        if isinstance(piece, tuple):
-            return None
-        parts = []
-        for i, line in enumerate(piece.split("\n")):  # a lone line break is a pre-token
-            ids = self._plain(line, "" if i or not self.spaced else " ")
-            if ids is None:
-                return None
-            parts.append(ids)
-        return self._break.join(parts)
-
-    def _whole(self, pieces: list) -> list[bytes]:
-        texts = [x[0] if isinstance(x, tuple) else f" {x}" if self.spaced else x for x in pieces]
-        return [array("I", x.ids).tobytes() for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _learn(self, pieces: list) -> None:
-        rest = []
-        for piece in pieces:
-            ids = self._simple(piece)
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids (u32) end to end, and where each text's begin (one more for the end); null: none."""
+        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        whole = pc.match_substring_regex(texts, self.odd)
+        pieces = self._cut(pc.if_else(whole, "", texts))
+        coded = pieces.values.slice(pieces.offsets[0].as_py(), pieces.offsets[-1].as_py() - pieces.offsets[0].as_py()).dictionary_encode()
+        taken = pa.array(self._ids_of(coded.dictionary), pa.large_binary()).take(coded.indices)
+        ends = np.frombuffer(taken.buffers()[1], np.int64, len(taken) + 1, 8 * taken.offset) // 4
+        data = taken.buffers()[2]
+        ids = np.frombuffer(data, np.uint32)[: ends[-1]] if data and ends[-1] else np.zeros(0, np.uint32)
+        places = pieces.offsets.to_numpy(zero_copy_only=False)
+        offsets = ends[places - places[0]]
+        odd = np.flatnonzero(whole.to_numpy(zero_copy_only=False))
+        if not len(odd):
+            return ids, offsets
+        found = self._whole([texts[i].as_py() for i in odd.tolist()])
+        parts, at = [], 0
+        added = np.zeros(len(offsets), np.int64)
+        for i, own in zip(odd.tolist(), found, strict=True):  # such a text has no ids yet
+            parts += [ids[at : offsets[i]], own]
+            at = offsets[i]
+            added[i + 1] = len(own)
+        return np.concatenate([*parts, ids[at:]]), offsets + np.cumsum(added)
+
+    def _cut(self, texts: pa.Array) -> pa.Array:
+        glued = pc.match_substring_regex(texts, _GLUED)
+        if self.spaced:
+            out = pc.replace_substring(texts, " ", f"{_CUT} ")
+            out = pc.replace_substring(out, "\n", f"{_CUT}\n{_CUT}")
+            between = _CUT
+        else:
+            out = pc.if_else(pc.match_substring_regex(texts, _FAR), texts, pc.ascii_lower(texts))
+            out = pc.replace_substring(out, "\n", " ")
+            between = " "
+        if not pc.all(glued).as_py():
+            marked = pc.replace_substring(pc.replace_substring(out, ",", f"{between},"), ".", f"{between}.")
+            out = pc.if_else(glued, out, marked)
+        return pc.split_pattern(out, between).cast(pa.large_list(pa.large_string()))
+
+    def _ids_of(self, dictionary: pa.Array) -> list[bytes]:
+        names = dictionary.to_pylist()
+        found = [*map(self.young.get, names)]
+        missing = []
+        for i, ids in enumerate(found):
             if ids is None:
-                rest.append(piece)
-            else:
-                self.cache[piece] = ids
-        self.cache.update(zip(rest, self._whole(rest), strict=True))
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        split = [self._pieces(t) for t in texts]
-        new = list(set().union(*split) - self.cache.keys()) if split else []
-        if new:
-            self._learn(new)
-        find = self.cache.__getitem__
-        out = [b"".join(map(find, pieces)) for pieces in split]
-        for piece in new if len(self.cache) > self.limit else []:
-            if len(self.cache) <= self.limit and not (isinstance(piece, tuple) and len(piece[0]) > 64):
-                break
-            del self.cache[piece]
-        return out
+                ids = self.old.get(names[i])
+                if ids is None:
+                    missing.append(i)
+                else:
+                    found[i] = ids
+                    self._keep(names[i], ids)
+        if missing:
+            at = np.array(missing)
+            new = dictionary.take(pa.array(at))
+            alike = pc.match_substring_regex(new, _WITH_SPACE if self.spaced else _LETTERS).to_numpy(zero_copy_only=False)
+            for chosen, merged in ((at[alike], self._side_by_side), (at[~alike], self._divided)):
+                for a in range(0, len(chosen), _TOGETHER):
+                    part = chosen[a : a + _TOGETHER].tolist()
+                    for i, ids in zip(part, merged([names[i] for i in part]), strict=True):
+                        found[i] = ids
+                        self._keep(names[i], ids)
+        return found
+
+    def _keep(self, piece: str, ids: bytes) -> None:
+        if len(piece) > 64:
+            return
+        self.young[piece] = ids
+        self.held += len(piece) + len(ids) + _ENTRY
+        if self.held > self.room:
+            self.old, self.young, self.held = self.young, {}, 0
+
+    def _whole(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(x.ids, np.uint32) for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _side_by_side(self, pieces: list[str]) -> list[bytes]:
+        """Pieces of which none can run into the next, encoded as one text."""
+        ids = self._whole([("" if self.spaced else " ").join(pieces)])[0]
+        if self.spaced:  # byte-level tokens are as long as what they stand for
+            want = np.cumsum([len(p.encode()) for p in pieces])
+            ends = np.cumsum(self.sizes[ids])
+            after = np.searchsorted(ends, want) + 1
+            exact = len(ends) and after[-1] == len(ids) and (ends[after - 1] == want).all()
+        else:  # letters are one word each, and its last token says so
+            after = np.flatnonzero(self.sizes[ids]) + 1
+            exact = len(after) == len(pieces)
+        return self._sliced(ids, after, after) if exact else self._divided(pieces)
+
+    def _divided(self, pieces: list[str]) -> list[bytes]:
+        """Any pieces, encoded as one text with a special token after each."""
+        if self.divider is None:
+            return [x.tobytes() for x in self._whole(pieces)]
+        ids = self._whole(["".join(f"{p}{self.divider}" for p in pieces)])[0]
+        ends = np.flatnonzero(ids == self.divider_id)
+        if len(ends) != len(pieces):
+            return [x.tobytes() for x in self._whole(pieces)]
+        return self._sliced(ids, ends, ends + 1)
+
+    @staticmethod
+    def _sliced(ids: np.ndarray, ends: np.ndarray, following: np.ndarray) -> list[bytes]:
+        raw = ids.tobytes()
+        return [raw[a:b] for a, b in zip([0, *(4 * following[:-1]).tolist()], (4 * ends).tolist(), strict=True)]
+
+
+def with_end(ids: np.ndarray, offsets: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+    """The same with ``end_id`` after each text."""
+    return np.insert(ids, offsets[1:], np.uint32(end_id)), offsets + np.arange(len(offsets))

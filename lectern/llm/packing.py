@@ -1,12 +1,14 @@
 """Operator 7: best-fit-decreasing packing of token ids into fixed windows.
 
-Each document becomes its ids plus an end id. Overlong documents are first cut into full windows;
-what is left over is placed, longest first, into the open window with the least room that still
-suffices, found by a segment tree indexed by remaining capacity. Every partition packs its own
-documents, so nothing is shuffled and a lost task is repeated from its input alone.
-
-Defined results: a null or empty text is its end id alone; equal lengths are placed in input order;
-repeated rows are packed once each; an empty table gives no rows; further columns are ignored.
+Each document becomes its ids plus an end id. Overlong documents are first cut into full windows,
+which are closed where they arise. What is left over, a row of numbers for each document, is
+dealt into groups of about ``GROUP`` pieces, whatever the input's partitions, and each group is packed
+by itself: longest first, into the open window with the least room that still suffices, found by a
+segment tree indexed by remaining capacity. Texts are not shuffled.
+
+Defined results: a null or empty text is its end id alone; the text of a special token is that token,
+as the tokenizer has it; pieces of one length are placed in order of their ids; repeated rows are packed
+once each; an empty table gives no rows; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -14,17 +16,18 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from lectern.llm.common import slices
-from lectern.llm.encoding import CachedEncoder
+from lectern.llm.common import stored
+from lectern.llm.encoding import CachedEncoder, chunks, with_end
 
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 _ARROW = pa.schema([(x.split()[0], pa.int64()) for x in SCHEMA.split(", ")])
-#: Open pieces that one task holds before it packs them; bounds its memory.
-FLUSH = 200_000
+#: Pieces that are packed together; bounds a task's memory.
+GROUP = 200_000
 
 
 class RoomTree:
@@ -78,40 +81,67 @@ def best_fit_decreasing(lengths: list[int], size: int) -> list[tuple[int, int]]:
     return placed
 
 
-def pack(docs: DataFrame, tokenizer: str, size: int = 1024, end_id: int = 0, spaced: bool = True, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per piece: see ``SCHEMA``. ``tokenizer`` is the path of a ``tokenizers`` file."""
-    end = end_id.to_bytes(4, "little")
+def pieces(docs: DataFrame, tokenizer: str, size: int, end_id: int, spaced: bool) -> DataFrame:
+    """All pieces of (doc_id, text): full windows with their place, the others without one."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = CachedEncoder.loaded(tokenizer, spaced)
+        window = TaskContext.get().partitionId() << 33  # even numbers; those of packed windows are odd
+        for batch in batches:
+            for a, b in chunks(batch.column(1)):
+                ids, offsets = with_end(*encoder.encode(batch.column(1).slice(a, b - a)), end_id)
+                total = np.diff(offsets)
+                count = -(-total // size)
+                doc = np.repeat(np.arange(b - a), count)
+                start = size * (np.arange(len(doc)) - np.repeat(np.cumsum(count) - count, count))
+                length = np.minimum(size, total[doc] - start)
+                first = offsets[doc] + start
+                raw = memoryview(ids).cast("B")
+                sums = [zlib.crc32(raw[x:y]) for x, y in zip((4 * first).tolist(), (4 * (first + length)).tolist(), strict=True)]
+                full = length == size
+                sequence = window + 2 * (np.cumsum(full) - full)
+                window += 2 * int(full.sum())
+                placed = [pa.array(sequence, mask=~full), pa.array(np.zeros(len(doc), np.int64), mask=~full)]
+                numbers = [start, length, np.array(sums, np.int64), total[doc]]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a).take(pa.array(doc)), *map(pa.array, numbers), *placed], schema=_ARROW)
+
+    return docs.mapInArrow(run, SCHEMA)
+
+
+def packed(rest: DataFrame, size: int) -> DataFrame:
+    """Places for pieces without one; each partition packs its own, ``GROUP`` at a time."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = CachedEncoder.loaded(tokenizer, spaced, 250_000)
-        base = TaskContext.get().partitionId() << 40
-        rest: list[tuple] = []
-
-        def flush(done: list[tuple]) -> pa.RecordBatch:
-            nonlocal base
-            placed = best_fit_decreasing([x[2] for x in rest], size)
-            done += [(*x, base + w, o) for x, (w, o) in zip(rest, placed, strict=True)]
-            base += max((w for w, _ in placed), default=-1) + 1
-            rest.clear()
-            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*done, strict=True)] if done else [pa.array([], pa.int64())] * 7, schema=_ARROW)
+        window, held, waiting = (TaskContext.get().partitionId() << 32), 0, []
+
+        def flush() -> pa.RecordBatch:
+            nonlocal window
+            whole = pa.Table.from_batches(waiting).combine_chunks()
+            lengths = whole.column("length").to_pylist()
+            placed = np.array(best_fit_decreasing(lengths, size), np.int64).reshape(-1, 2)
+            out = [*(whole.column(n).chunk(0) for n in _ARROW.names[:5]), pa.array(2 * (window + placed[:, 0]) + 1), pa.array(placed[:, 1])]
+            window += int(placed[:, 0].max()) + 1
+            waiting.clear()
+            return pa.RecordBatch.from_arrays(out, schema=_ARROW)
 
         for batch in batches:
-            keys, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for a, b in slices(texts):
-                done: list[tuple] = []
-                for key, ids in zip(keys[a:b], encoder.encode(texts[a:b]), strict=True):
-                    ids += end
-                    n, at = len(ids) // 4, 0
-                    while n - at >= size:
-                        done.append((key, at, size, zlib.crc32(ids[4 * at : 4 * (at + size)]), n, base, 0))
-                        base, at = base + 1, at + size
-                    if at < n:
-                        rest.append((key, at, n - at, zlib.crc32(ids[4 * at :]), n))
-                if len(rest) >= FLUSH:
-                    yield flush(done)
-                elif done:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*done, strict=True)], schema=_ARROW)
-        if rest:
-            yield flush([])
-
-    return docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text")).mapInArrow(run, SCHEMA)
+            if batch.num_rows:
+                waiting.append(batch)
+                held += batch.num_rows
+            if held >= GROUP:
+                yield flush()
+                held = 0
+        if held:
+            yield flush()
+
+    return rest.mapInArrow(run, SCHEMA)
+
+
+def pack(docs: DataFrame, tokenizer: str, size: int = 1024, end_id: int = 0, spaced: bool = True, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per piece: see ``SCHEMA``. ``tokenizer`` is the path of a ``tokenizers`` file."""
+    rows = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
+    every = stored(pieces(rows, tokenizer, size, end_id, spaced), "pieces")
+    rest = every.filter("sequence_id IS NULL")
+    groups = max(1, -(-rest.count() // GROUP))
+    dealt = rest.repartition(groups).sortWithinPartitions("length", "doc_id", "start", "ids_crc32")
+    return every.filter("sequence_id IS NOT NULL").unionByName(packed(dealt, size))

@@ -9,8 +9,9 @@ Block offsets let any block be decoded alone, all of its words at once.
 Streams are rows of Parquet files in the shared folder, one stream per group of documents in
 ascending order, so Spark's commit protocol covers lost executors and repeated tasks.
 
-Defined results: null or empty text is its end id alone; null document ids come first; repeated
-ids follow each other, ordered by text; an empty table gives no rows; other columns are ignored.
+Defined results: null or empty text is its end id alone; the text of a special token is that token, as
+the tokenizer has it; null document ids come first; repeated ids follow each other, in the order of a
+hash of their texts; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -25,8 +26,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lectern.llm.common import shared_path, slices
-from lectern.llm.encoding import CachedEncoder
+from lectern.llm.common import shared_path
+from lectern.llm.encoding import CachedEncoder, chunks, with_end
 
 MAGIC = b"S8B1"
 _HEAD = struct.Struct("<4sIQII")
@@ -56,21 +57,32 @@ def _widths(values: np.ndarray) -> np.ndarray:
     return _ranks(values)
 
 
+def _widest(rank: np.ndarray, count: int, known: dict[int, np.ndarray]) -> np.ndarray:
+    """The largest rank among each value and the ``count`` - 1 after it; shorter by ``count`` - 1.
+
+    ``known`` holds those of powers of two.
+    """
+    power = 1
+    while 2 * power <= count:
+        if 2 * power not in known:
+            known[2 * power] = np.maximum(known[power][:-power], known[power][power:])
+        power *= 2
+    own = known[power]
+    return own if power == count else np.maximum(own[: len(rank) - count + 1], own[count - power : count - power + len(rank) - count + 1])
+
+
 def encode_words(values: np.ndarray, block: int) -> tuple[np.ndarray, np.ndarray]:
     """The words of ``values`` (u64) and the first word of each block of ``block`` values."""
     n = len(values)
     rank = _widths(values)  # 1..14 by selector, 15: escape
-    best = np.zeros(n, np.int64)
-    for selector in range(1, 15):  # most values in a word first
+    best = np.zeros(n, np.uint8)
+    left = np.minimum(block - np.arange(n, dtype=np.int32) % block, 255).astype(np.uint8)
+    known = {1: rank}
+    for selector in range(14, 0, -1):  # most values in a word last: it wins
         count = int(COUNTS[selector])
-        narrow = rank <= selector
-        fits = np.flatnonzero(narrow & (best == 0))
-        fits = fits[(fits + count <= n) & (block - fits % block >= count)]
-        if not len(fits):
-            continue
-        wide = np.zeros(n + 1, np.int32)
-        np.cumsum(~narrow, out=wide[1:])
-        best[fits[wide[fits + count] == wide[fits]]] = selector
+        if count <= n:
+            fits = (_widest(rank, count, known) <= selector) & (left[: n - count + 1] >= count)
+            np.copyto(best[: n - count + 1], np.uint8(selector), where=fits)
     step = np.where(best > 0, COUNTS[best], 1)
     at = np.arange(0, n, block)  # all blocks are followed at once
     end, taken = np.minimum(at + block, n), np.zeros(n, bool)
@@ -117,15 +129,13 @@ def decode_words(words: np.ndarray) -> np.ndarray:
     return values
 
 
-def write_stream(doc_ids: list[int | None], parts: list[bytes], block: int = 1024) -> bytes:
-    """``parts``: each document's ids as little-endian unsigned 32-bit bytes."""
-    values = np.frombuffer(b"".join(parts), "<u4").astype(np.uint64)
-    words, offsets = encode_words(values, block)
-    head = _HEAD.pack(MAGIC, len(parts), len(values), len(offsets) - 1, block)
-    keys = np.array([x or 0 for x in doc_ids], "<i8")
-    nulls = np.array([x is None for x in doc_ids], np.uint8)
-    sizes = np.array([len(x) // 4 for x in parts], "<u8")
-    return b"".join((head, keys.tobytes(), nulls.tobytes(), sizes.tobytes(), offsets.astype("<u8").tobytes(), words.astype("<u8").tobytes()))
+def write_stream(doc_ids: pa.Array, ids: np.ndarray, sizes: np.ndarray, block: int = 1024) -> bytes:
+    """``ids``: those of all documents end to end; ``sizes``: how many each has."""
+    words, offsets = encode_words(ids.astype(np.uint64), block)
+    head = _HEAD.pack(MAGIC, len(sizes), len(ids), len(offsets) - 1, block)
+    keys = doc_ids.fill_null(0).to_numpy(zero_copy_only=False).astype("<i8")
+    nulls = doc_ids.is_null().to_numpy(zero_copy_only=False).astype(np.uint8)
+    return b"".join((head, keys.tobytes(), nulls.tobytes(), sizes.astype("<u8").tobytes(), offsets.astype("<u8").tobytes(), words.astype("<u8").tobytes()))
 
 
 def _open_stream(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, int, int]:
@@ -141,15 +151,13 @@ def _open_stream(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nd
     return keys, nulls, sizes, offsets, words, ids, block
 
 
-def read_stream(data: bytes) -> tuple[list[int | None], list[bytes]]:
+def read_stream(data: bytes) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     """What ``write_stream`` was given."""
     keys, nulls, sizes, _, words, ids, _ = _open_stream(data)
     flat = decode_words(words)
     if len(flat) != ids:
         raise ValueError("token stream is damaged")
-    flat = flat.astype("<u4").tobytes()
-    ends = (4 * np.cumsum(sizes.astype(np.int64))).tolist()
-    return [None if z else k for k, z in zip(keys.tolist(), nulls.tolist(), strict=True)], [flat[a:b] for a, b in zip([0, *ends], ends)]
+    return pa.array(keys, mask=nulls.astype(bool)), flat.astype("<u4"), sizes.astype(np.int64)
 
 
 def read_block(data: bytes, number: int) -> np.ndarray:
@@ -160,38 +168,27 @@ def read_block(data: bytes, number: int) -> np.ndarray:
 
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, spaced: bool = False, id_col: str = "doc_id", text_col: str = "text") -> None:
     """Encode every document and write the streams to ``path``, in ascending order of ids."""
-    end = end_id.to_bytes(4, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = CachedEncoder.loaded(tokenizer, spaced)
         shard, stream, base = TaskContext.get().partitionId(), 0, 0
-        keys: list = []
-        parts: list[bytes] = []
-        held = 0
-
-        def flush() -> pa.RecordBatch:
-            nonlocal stream, base, held
-            row = [[shard], [stream], [len(keys)], [held], [base], [write_stream(keys, parts)]]
-            kinds = (pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary())
-            stream, base, held = stream + 1, base + held, 0
-            keys.clear()
-            parts.clear()
-            return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(row, kinds, strict=True)], names=[x.split()[0] for x in STREAMS.split(", ")])
-
         for batch in batches:
-            ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for a, b in slices(texts):
-                for key, part in zip(ids[a:b], encoder.encode(texts[a:b]), strict=True):
-                    keys.append(key)
-                    parts.append(part + end)
-                    held += len(parts[-1]) // 4
-                    if held >= STREAM_IDS:
-                        yield flush()
-        if keys:
-            yield flush()
-
-    rows = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
-    rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text").mapInArrow(run, STREAMS).write.parquet(path)
+            for a, b in chunks(batch.column(1)):
+                ids, offsets = with_end(*encoder.encode(batch.column(1).slice(a, b - a)), end_id)
+                at = 0
+                while at < b - a:  # streams of whole documents
+                    to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + STREAM_IDS, "right")) - 1)
+                    own = ids[offsets[at] : offsets[to]]
+                    data = write_stream(batch.column(0).slice(a + at, to - at), own, np.diff(offsets[at : to + 1]))
+                    row = [[shard], [stream], [to - at], [len(own)], [base], [data]]
+                    kinds = (pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary())
+                    yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(row, kinds, strict=True)], names=[x.split()[0] for x in STREAMS.split(", ")])
+                    stream, base, at = stream + 1, base + len(own), to
+
+    rows = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text")).withColumn("h", F.xxhash64("text"))
+    # ranges of (id, hash): rows that repeat one id are cut into ranges as well
+    rows = rows.repartitionByRange("doc_id", "h").sortWithinPartitions("doc_id", "h", "text").select("doc_id", "text")
+    rows.mapInArrow(run, STREAMS).write.parquet(path)
 
 
 def read_digest(spark, path: str) -> DataFrame:
@@ -200,12 +197,11 @@ def read_digest(spark, path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for shard, base, data in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-                keys, parts = read_stream(data)
-                sizes = np.array([len(p) // 4 for p in parts], np.int64)
-                starts = base + np.cumsum(sizes) - sizes
+                keys, ids, sizes = read_stream(data)
+                ends, raw = np.cumsum(sizes), memoryview(ids).cast("B")
+                sums = [zlib.crc32(raw[x:y]) for x, y in zip((4 * (ends - sizes)).tolist(), (4 * ends).tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys, pa.int64()), pa.array([shard] * len(keys), pa.int32()), pa.array(starts), pa.array(sizes), pa.array([zlib.crc32(p) for p in parts], pa.int64())],
-                    names=[x.split()[0] for x in DIGEST.split(", ")],
+                    [keys, pa.array(np.full(len(keys), shard, np.int32)), pa.array(base + ends - sizes), pa.array(sizes), pa.array(np.array(sums, np.int64))], names=[x.split()[0] for x in DIGEST.split(", ")]
                 )
 
     streams = spark.read.parquet(path)

@@ -16,7 +16,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from lectern.llm import edit_counts, packing, secrets, token_files
-from lectern.llm.encoding import CachedEncoder
+from lectern.llm.encoding import CachedEncoder, chunks
 
 BYTE, WORD = P.path("byte_bpe_50k.json"), P.path("word_bpe_49k.json")
 SCHEMA = "doc_id long, text string, lang string, tile long, rows string, score double, term string"
@@ -49,26 +49,43 @@ def none(spark):
 # ------------------------------------------------------------------ encoder
 
 
-def exact(path):
+def exact(path, special=True):
     t = Tokenizer.from_file(path)
-    t.encode_special_tokens = True
+    t.encode_special_tokens = not special
     return lambda text: np.array(t.encode(text or "", add_special_tokens=False).ids, "<u4").tobytes()
 
 
-PIECES = ["a", "Word", "é", "É", "İ", "Σ", "ß", "J̌", "ﬁ", " ", "  ", "\n", "\t", ", ", ". ", ".\n", "!,", "_,", "'s ", "don't ", "12", "½", "-", "　", "\x1c", "\xa0", "语", "$$$ ", "x² ", "<|endoftext|>"]
+PIECES = ["a", "Word", "é", "É", "İ", "Σ", "ß", "J̌", "ﬁ", " ", "  ", "\n", "\n\n", "\t", ", ", ". ", ".\n", "!,", "_,", "x́,", "3.14", "'s ", "don't ", "12", "½", "-", "　", "\x1c", "\x01", "\xa0", "语", "$$$ ", "x² ", "<|endoftext|>", "<|ENDOFTEXT|>", "<|startoftext|> "]
+
+
+def split(ids, offsets):
+    return [ids[a:b].astype("<u4").tobytes() for a, b in zip(offsets[:-1], offsets[1:])]
 
 
 @pytest.mark.parametrize("path,spaced", [(BYTE, True), (WORD, False)])
 def test_cached_ids_are_exact(path, spaced):
-    encoder, want = CachedEncoder(path, spaced, limit=50), exact(path)
+    encoder, want = CachedEncoder(path, spaced, cache_bytes=20_000), exact(path)
 
-    @settings(max_examples=400, deadline=None)
-    @given(st.lists(st.lists(st.sampled_from(PIECES), max_size=30).map("".join), max_size=4))
+    @settings(max_examples=600, deadline=None)
+    @given(st.lists(st.lists(st.sampled_from(PIECES), max_size=30).map("".join), max_size=6))
     def check(texts):
-        assert encoder.encode([*texts, None]) == [*map(want, texts), b""]
+        assert split(*encoder.encode(pa.array([*texts, None], pa.string()).slice(0))) == [*map(want, texts), b""]
+        assert split(*encoder.encode(pa.array(["cut off", *texts], pa.string()).slice(1))) == [*map(want, texts)]
 
     check()
-    assert len(encoder.cache) <= 60
+    assert len(encoder.young) + len(encoder.old) <= 2 * 20_000 // 240
+
+
+@pytest.mark.parametrize("path,spaced", [(BYTE, True), (WORD, False)])
+def test_ids_of_the_documents_are_exact(spark, sf_dir, path, spaced):
+    texts = [r["text"] for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("text").collect()]
+    encoder, want = CachedEncoder(path, spaced), exact(path)
+    assert split(*encoder.encode(pa.array(texts))) == [*map(want, texts)]
+
+
+def test_chunks_cover_all_rows():
+    texts = pa.array(["a" * n if n is not None else None for n in (5, None, 0, 30, 3, 3, 3)])
+    assert [*chunks(texts, 8)] == [(0, 3), (3, 4), (4, 6), (6, 7)] and [*chunks(texts.slice(0, 0))] == []
 
 
 # ------------------------------------------------------------------ secrets
@@ -145,6 +162,14 @@ def test_packing(docs, none):
     assert packing.pack(none, BYTE).count() == 0
 
 
+@pytest.mark.parametrize("partitions", [1, 40])
+def test_little_padding_however_the_input_is_dealt(spark, sf_dir, partitions):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").repartition(partitions)
+    got = packing.pack(docs, BYTE, size=256).select("sequence_id", "length").collect()
+    windows = len({r["sequence_id"] for r in got})
+    assert sum(r["length"] for r in got) >= 0.99 * 256 * windows
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.integers(1, 40), max_size=60))
 def test_best_fit_decreasing_is_the_plain_one(lengths):
@@ -173,9 +198,11 @@ def test_simple8b_round_trip(values, block):
 
 
 def test_stream_round_trip():
-    parts = [np.arange(n, dtype="<u4").tobytes() for n in (0, 1, 5000, 3)]
-    data = token_files.write_stream([5, None, 7, -1], parts, block=512)
-    assert token_files.read_stream(data) == ([5, None, 7, -1], parts)
+    sizes = np.array([0, 1, 5000, 3])
+    keys, ids = pa.array([5, None, 7, -1]), np.concatenate([np.arange(n, dtype=np.uint32) for n in sizes])
+    data = token_files.write_stream(keys, ids, sizes, block=512)
+    back, flat, n = token_files.read_stream(data)
+    assert back.to_pylist() == [5, None, 7, -1] and (flat == ids).all() and (n == sizes).all()
     assert token_files.read_block(data, 1).tolist() == [*range(511, 1023)]
     with pytest.raises(ValueError):
         token_files.read_stream(b"nope" + data[4:])
@@ -196,7 +223,7 @@ def test_token_files(docs, none):
 
 
 def test_edits_equal_counting_again():
-    encoder, want = CachedEncoder(BYTE, True), exact(BYTE)
+    encoder, want = CachedEncoder(BYTE, True), exact(BYTE, special=False)
     counts, pattern, rng = edit_counts.PieceCounts(encoder), regex.compile(P.PATTERN), random.Random(3)
     for _ in range(400):
         text = "".join(rng.choice(PIECES) for _ in range(rng.choice([0, 1, 5, 60, 400])))
@@ -217,7 +244,7 @@ def test_few_pieces_are_encoded_again():
 
 def test_count_edits(spark, docs, none):
     got = edit_counts.count_edits(docs, edit_counts.revision(docs["doc_id"], docs["text"]), BYTE, P.PATTERN).collect()
-    want = exact(BYTE)
+    want = exact(BYTE, special=False)
     before = {k: len(want(t)) // 4 for k, t in TEXTS}
     assert len(got) == len(TEXTS) and all(r["n_tokens"] == before[r["doc_id"]] for r in got)
     edits = spark.createDataFrame([(4, 1, 0, 4, "Many"), (4, 0, 5, 5, "new "), (2, 0, 9, 99, "text"), (77, 0, 0, 0, "x")], "doc_id long, seq int, start int, stop int, text string")
