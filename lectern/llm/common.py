@@ -7,6 +7,7 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -39,6 +40,18 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def chunks(texts: pa.Array, size: int = 8 << 20) -> Iterator[tuple[int, int]]:
+    """Ranges of ``texts`` of about ``size`` bytes each; a longer text stands alone."""
+    sizes = pc.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+    ends = np.cumsum(sizes)
+    start = 0
+    while start < len(texts):
+        before = ends[start] - sizes[start]
+        end = max(start + 1, int(np.searchsorted(ends, before + size, "right")))
+        yield start, end
+        start = end
+
+
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of a string column laid end to end, and each row's offset (nulls: empty)."""
     column = column.fill_null("")

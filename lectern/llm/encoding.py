@@ -42,18 +42,6 @@ _TOGETHER, _ENTRY = 1000, 240
 _LOADED: dict[tuple[str, bool], "CachedEncoder"] = {}
 
 
-def chunks(texts: pa.Array, size: int = 8 << 20):
-    """Ranges of ``texts`` of about ``size`` bytes each; a longer text stands alone."""
-    sizes = pc.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
-    ends = np.cumsum(sizes)
-    start = 0
-    while start < len(texts):
-        before = ends[start] - sizes[start]
-        end = max(start + 1, int(np.searchsorted(ends, before + size, "right")))
-        yield start, end
-        start = end
-
-
 class CachedEncoder:
     """Ids of whole texts.
 

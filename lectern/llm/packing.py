@@ -21,8 +21,8 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from lectern.llm.common import stored
-from lectern.llm.encoding import CachedEncoder, chunks, with_end
+from lectern.llm.common import chunks, stored
+from lectern.llm.encoding import CachedEncoder, with_end
 
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 _ARROW = pa.schema([(x.split()[0], pa.int64()) for x in SCHEMA.split(", ")])

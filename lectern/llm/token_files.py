@@ -26,8 +26,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lectern.llm.common import shared_path
-from lectern.llm.encoding import CachedEncoder, chunks, with_end
+from lectern.llm.common import chunks, shared_path
+from lectern.llm.encoding import CachedEncoder, with_end
 
 MAGIC = b"S8B1"
 _HEAD = struct.Struct("<4sIQII")

@@ -6,38 +6,54 @@ on that average says how likely it is toxic. Vectors and softmax are trained joi
 a bounded sample of labelled documents. Labels mark documents, not places: the first pass gives
 every window its document's label; later passes keep, in toxic documents, the windows that the
 model finds toxic, and the best one of each document. A document's score is that of its
-highest window, mapped to a probability by a logistic fit on the same sample; every window of the
-whole text takes part, and of a run without white space every n-gram, because longer runs are cut
-into overlapping parts that count as words. An unseen misspelling shares n-grams with the words that were seen.
-
-The model is linear in the n-gram vectors, so what a worker needs is one number per bucket.
-
-Defined results: null and empty texts have no window and score 0; repeated rows get equal scores; of several labels of one id the highest counts; without
-any labelled document every score is 0; an empty table gives no rows; other columns are ignored.
+highest window, mapped to a probability by a logistic fit on a part of the sample that was not
+trained on; every window of the whole text takes part, and of a run without white space every n-gram,
+because longer runs are cut into overlapping parts that count as words. An unseen misspelling shares
+n-grams with the words that were seen.
+
+The model is linear in the n-gram vectors, so a worker needs one number per bucket. Texts are scored
+many at a time: a run of texts is cut into its distinct words, whose n-grams are hashed and summed once
+in numpy, and nothing is remembered from one run to the next. Sums are of whole numbers, so a text has
+the same score wherever it stands.
+
+Defined results: null and empty texts have no window and score 0; repeated rows get equal scores; of
+several labels of one id the highest counts; without any labelled document every score is 0; an empty
+table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
 
-import zlib
-from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lectern.llm.common import chunks
+from lectern.llm.shingles import U, mix
+
 SCHEMA = "doc_id long, held_out boolean, score double, predicted int"
 THRESHOLD = 0.7
 #: A run of characters longer than this is several words, of which neighbours share OVERLAP characters.
 LONGEST, OVERLAP = 64, 4
 _STRIP = ".,;:!?\"'()[]{}*#%$&|-_<>/\\"
+_SIZES = (3, 4, 5)
+_BASE = U(0x9E3779B97F4A7C15)
+_POWERS = np.array([pow(int(_BASE), i, 1 << 64) for i in range(LONGEST + 3)], U)
+#: Weights are kept as whole numbers of this fraction.
+_UNIT = float(1 << 32)
 
 
 @dataclass(frozen=True)
 class Settings:
-    """``max_toxic`` and ``max_clean`` labelled documents of ``max_chars`` at most are trained on."""
+    """``max_toxic`` and ``max_clean`` labelled documents of ``max_chars`` at most are trained on.
+
+    An epoch sees all windows of toxic documents, ``clean_windows`` random ones of clean documents, and
+    from the second on the ``hard_windows`` of those that look most toxic.
+    """
 
     max_toxic: int = 1500
     max_clean: int = 3000
@@ -53,10 +69,76 @@ class Settings:
     seed: int = 7
 
 
-def ngrams(word: str) -> list[bytes]:
-    """The marked word and its character n-grams of 3 to 5, each as UTF-16."""
-    marked = f"<{word[1:-1] if word[0] == ' ' else word.strip(_STRIP)}>".encode("utf-16-le", "surrogatepass")
-    return [marked, *[marked[i : i + n] for n in (6, 8, 10) for i in range(0, len(marked) - n + 1, 2)]]
+def _unrepeated(codes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Without words that repeat the one before them in their text: one alone could fill windows."""
+    keep = np.ones(len(codes), bool)
+    keep[1:] = codes[1:] != codes[:-1]
+    keep[first[:-1][first[:-1] < first[1:]]] = True
+    before = np.concatenate(([0], np.cumsum(keep)))
+    return codes[keep], before[first]
+
+
+def words(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Distinct words, lower-cased and without marks around them; each text's words, as numbers of
+    those, end to end; and where each text's begin (one more for the end)."""
+    lists = pc.utf8_split_whitespace(pc.utf8_lower(pc.fill_null(texts.cast(pa.large_string()), "")))
+    flat = lists.flatten().dictionary_encode()
+    codes = flat.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    first = lists.offsets.to_numpy(zero_copy_only=False).astype(np.int64)
+    first = first - first[0]
+    there = pc.not_equal(flat.dictionary, "").to_numpy(zero_copy_only=False)[codes] if len(codes) else np.zeros(0, bool)
+    codes, first = _unrepeated(codes[there], np.concatenate(([0], np.cumsum(there)))[first])
+    cores = pc.utf8_trim(flat.dictionary, _STRIP)
+    long = np.flatnonzero(pc.greater(pc.utf8_length(cores), LONGEST).to_numpy(zero_copy_only=False)) if len(cores) else []
+    names = cores.to_pylist()
+    if len(long):
+        numbers: dict[str, int] = {}
+        table, many = np.arange(len(names)), np.ones(len(names), np.int64)
+        parts = {i: [numbers.setdefault(p, len(names) + len(numbers)) for p in _parts(names[i])] for i in long.tolist()}
+        for i, own in parts.items():
+            many[i] = len(own)
+            names[i] = ""  # no text has it any more
+        begin = np.cumsum(many) - many
+        table = np.repeat(table, many)
+        for i, own in parts.items():
+            table[begin[i] : begin[i] + len(own)] = own
+        size = many[codes]
+        before = np.concatenate(([0], np.cumsum(size)))
+        codes = table[np.repeat(begin[codes] - before[:-1], size) + np.arange(before[-1])]
+        names += numbers
+        codes, first = _unrepeated(codes, before[first])
+    return names, codes, first
+
+
+def _parts(core: str) -> list[str]:
+    """Consecutive parts of a run; neighbours share OVERLAP characters, so every n-gram lies in one."""
+    return [core[i : i + LONGEST] for i in range(0, len(core) - OVERLAP, LONGEST - OVERLAP)]
+
+
+def ngrams(names: list[str], buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of each word and its n-grams end to end, and how many each word has.
+
+    A word is marked at both ends; it and its runs of 3 to 5 characters are hashed.
+    """
+    if not names:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    marked = "".join([f"<{x}>" for x in names])
+    text = np.frombuffer(marked.encode("utf-32-le", "surrogatepass"), np.uint32).astype(U) + U(1)
+    sizes = np.fromiter(map(len, names), np.int64, len(names)) + 2
+    ends = np.cumsum(sizes)
+    place = np.arange(len(text)) - np.repeat(ends - sizes, sizes)
+    left = np.repeat(sizes, sizes) - place
+    shift = U(64 - buckets.bit_length() + 1)
+    found, valid = np.zeros((len(text), len(_SIZES) + 1), np.int64), np.zeros((len(text), len(_SIZES) + 1), bool)
+    whole = np.add.reduceat(text * _POWERS[place], ends - sizes)
+    found[ends - sizes, 0], valid[ends - sizes, 0] = (mix(whole) >> shift).astype(np.int64), True
+    run = text
+    for n in range(2, max(_SIZES) + 1):
+        run = run[:-1] * _BASE + text[n - 1 :] if len(text) >= n else run[:0]
+        if n in _SIZES:
+            found[: len(run), _SIZES.index(n) + 1] = mix(run + U(n)) >> shift
+            valid[: len(run), _SIZES.index(n) + 1] = left[: len(run)] >= n
+    return found[valid], 1 + sum(np.maximum(sizes - n + 1, 0) for n in _SIZES)
 
 
 class Windows:
@@ -64,22 +146,21 @@ class Windows:
 
     def __init__(self, texts: list[str], size: int, buckets: int):
         numbers: dict[str, int] = {}
-        rows: list[np.ndarray] = []
-        owner: list[np.ndarray] = []
-        for i, text in enumerate(texts):
-            found = np.fromiter((numbers.setdefault(w, len(numbers)) for w in words(text)), np.int32)
-            padded = np.full(-(-len(found) // size) * size, -1, np.int32)
-            padded[: len(found)] = found
+        rows, owner = [np.zeros((0, size), np.int32)], [np.zeros(0, np.int32)]
+        column = pa.array(texts, pa.large_string())
+        for a, b in chunks(column):
+            names, codes, first = words(column.slice(a, b - a))
+            codes = np.array([numbers.setdefault(w, len(numbers)) for w in names], np.int32)[codes] if len(codes) else np.zeros(0, np.int32)
+            n = np.diff(first)
+            per = -(-n // size)
+            begin = size * (np.cumsum(per) - per)
+            padded = np.full(size * int(per.sum()), -1, np.int32)
+            padded[np.repeat(begin - first[:-1], n) + np.arange(len(codes))] = codes
             rows.append(padded.reshape(-1, size))
-            owner.append(np.full(len(rows[-1]), i, np.int32))
-        self.rows = np.concatenate(rows) if rows else np.zeros((0, size), np.int32)
-        self.owner = np.concatenate(owner) if owner else np.zeros(0, np.int32)
-        flat, sizes = array("i"), array("i")
-        for word in numbers:
-            grams = ngrams(word)
-            flat.extend([zlib.crc32(g) % buckets for g in grams])
-            sizes.append(len(grams))
-        self.flat, self.sizes = np.frombuffer(flat, np.int32) if flat else np.zeros(0, np.int32), np.array(sizes, np.int64)
+            owner.append(np.repeat(np.arange(a, b, dtype=np.int32), per))
+        self.rows, self.owner = np.concatenate(rows), np.concatenate(owner)
+        self.flat, self.sizes = ngrams(list(numbers), buckets)
+        self.flat = self.flat.astype(np.int32)
         self.starts = np.cumsum(self.sizes) - self.sizes
 
     def grams(self, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -94,27 +175,9 @@ class Windows:
         return flat, np.add.reduceat(sizes, edges)
 
 
-def words(text: str | None) -> list[str]:
-    """Lower-case words; a word that is repeated at once counts once, else it alone fills windows."""
-    found = text.lower().split() if text else []
-    found = [w for w, before in zip(found, [None, *found]) if w != before]
-    if found and max(map(len, found)) > LONGEST:
-        found = [part for w in found for part in parts(w)]
-        found = [w for w, before in zip(found, [None, *found]) if w != before]
-    return found
-
-
-def parts(word: str) -> list[str]:
-    """The word, or a longer run's consecutive parts, which share OVERLAP characters so that every
-    n-gram lies in one. Parts stand between spaces, which no word has: they are not stripped again."""
-    if len(word) <= LONGEST or len(core := word.strip(_STRIP)) <= LONGEST:
-        return [word]
-    return [f" {core[i : i + LONGEST]} " for i in range(0, len(core) - OVERLAP, LONGEST - OVERLAP)]
-
-
 @dataclass
 class Model:
-    """``weights``: a bucket's contribution to the logit of its window's average."""
+    """``weights``: a bucket's contribution to the logit of its window's average, in ``_UNIT``."""
 
     weights: np.ndarray
     bias: float
@@ -122,59 +185,76 @@ class Model:
     shift: float
     window: int
 
-    def window_logits(self, sums: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        """Logits of all windows of a document, from its words' sums of weights and counts."""
-        n = len(sums)
-        w = min(self.window, n)
-        s = np.concatenate(([0.0], np.cumsum(sums)))
-        c = np.concatenate(([0.0], np.cumsum(counts)))
-        return self.bias + (s[w:] - s[:-w]) / np.maximum(c[w:] - c[:-w], 1.0)
-
-    def probability(self, logit: np.ndarray) -> np.ndarray:
-        return 1.0 / (1.0 + np.exp(-np.clip(self.slope * logit + self.shift, -30, 30)))
-
-
-class WordSums(dict):
-    """For each word complex(sum of its n-grams' weights, their number); keeps up to ``limit``."""
-
-    def __init__(self, weights: np.ndarray, limit: int):
-        self.weights, self.buckets, self.limit = weights.tolist(), len(weights), limit
+    def logits(self, texts: pa.Array) -> np.ndarray:
+        """Of each text's highest window; without words, that of certain cleanness."""
+        names, codes, first = words(texts)
+        out = np.full(len(texts), -np.inf)
+        if not len(codes):
+            return out
+        flat, sizes = ngrams(names, len(self.weights))
+        sums = np.add.reduceat(self.weights[flat], np.cumsum(sizes) - sizes)
+        total = np.concatenate(([0], np.cumsum(sums[codes])))
+        count = np.concatenate(([0], np.cumsum(sizes[codes])))
+        n = np.diff(first)
+        start = np.arange(len(codes))
+        end = np.minimum(start + self.window, np.repeat(first[1:], n))
+        logits = self.bias + (total[end] - total[start]) / _UNIT / (count[end] - count[start])
+        whole = end - start == self.window
+        whole[first[:-1][n > 0]] = True  # a text of few words is one window
+        logits[~whole] = -np.inf
+        out[n > 0] = np.maximum.reduceat(logits, first[:-1][n > 0])
+        return out
 
-    def __missing__(self, word: str) -> complex:
-        grams = ngrams(word)
-        weights, buckets = self.weights, self.buckets
-        found = complex(sum([weights[zlib.crc32(g) % buckets] for g in grams]), len(grams))
-        if len(self) < self.limit:
-            self[word] = found
-        return found
+    def scores(self, texts: pa.Array) -> np.ndarray:
+        out = np.zeros(len(texts))
+        for a, b in chunks(texts):
+            logits = self.logits(texts.slice(a, b - a))
+            out[a:b] = np.where(np.isfinite(logits), _sigmoid(self.slope * np.where(np.isfinite(logits), logits, 0.0) + self.shift), 0.0)
+        return out
 
 
-class Scorer:
-    """Scores whole texts."""
+def _sigmoid(x: np.ndarray) -> np.ndarray:
+    return 1.0 / (1.0 + np.exp(-np.clip(x, -30, 30)))
 
-    def __init__(self, model: Model, limit: int = 250_000):
-        self.model = model
-        self.sums = WordSums(model.weights, limit)
 
-    def logit(self, text: str | None) -> float:
-        """Of the highest window; without words, that of certain cleanness."""
-        found = words(text)
-        if not found:
-            return -np.inf
-        parts = np.fromiter(map(self.sums.__getitem__, found), np.complex128, len(found))
-        return float(self.model.window_logits(parts.real, parts.imag).max())
+def train(texts: list[str], toxic: list[int], settings: Settings = Settings()) -> Model:
+    """A model of all texts. Its probabilities are fitted on logits that each half of the texts got from
+    a model of the other half, so no text is judged by what learnt it.
 
-    def score(self, text: str | None) -> float:
-        logit = self.logit(text)
-        return float(self.model.probability(np.array(logit))) if np.isfinite(logit) else 0.0
+    Deterministic for a given order of texts. Where a half lacks a class, the texts judge themselves.
+    """
+    model = embed(texts, toxic, settings)
+    halves = [[*range(i, len(texts), 2)] for i in (0, 1)]
+    if any({toxic[i] for i in half} != {0, 1} for half in halves):
+        halves = [[*range(len(texts))], []]
+    logits = np.full(len(texts), -np.inf)
+    for judged, learnt in (halves, halves[::-1]):
+        judge = embed([texts[i] for i in learnt], [toxic[i] for i in learnt], settings) if learnt else model
+        for i in judged:
+            logits[i : i + 1] = judge.logits(pa.array([texts[i]], pa.large_string()))
+    known = np.isfinite(logits)
+    if known.any():
+        model.slope, model.shift = calibrate(logits[known], np.array(toxic, np.float64)[known])
+    return model
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1.0 / (1.0 + np.exp(-np.clip(x, -30, 30)))
+def gradients(vectors: np.ndarray, matrix: np.ndarray, bias: np.ndarray, flat: np.ndarray, sizes: np.ndarray, labels: np.ndarray):
+    """Of the mean cross-entropy of windows: ((buckets, their vectors' rows), matrix, bias)."""
+    own = vectors.dtype
+    hidden = np.add.reduceat(vectors[flat], np.cumsum(sizes) - sizes, axis=0) / sizes[:, None].astype(own)
+    scores = hidden @ matrix + bias
+    p = np.exp(scores - scores.max(axis=1, keepdims=True))
+    p /= p.sum(axis=1, keepdims=True)
+    p[np.arange(len(labels)), labels] -= 1.0
+    p /= len(labels)
+    g_hidden = (p @ matrix.T) / sizes[:, None].astype(own)
+    by = np.argsort(flat, kind="stable")
+    unique, first = np.unique(flat[by], return_index=True)
+    return (unique, np.add.reduceat(np.repeat(g_hidden, sizes, axis=0)[by], first, axis=0)), hidden.T @ p, p.sum(axis=0)
 
 
-def train(texts: list[str], toxic: list[int], settings: Settings = Settings()) -> Model:
-    """Jointly train embeddings and softmax; deterministic for a given order of texts."""
+def embed(texts: list[str], toxic: list[int], settings: Settings) -> Model:
+    """Jointly trained embeddings and softmax; without calibration every score is nearly 0."""
     s, rng = settings, np.random.default_rng(settings.seed)
     windows = Windows(texts, s.window, s.buckets)
     labels = np.array(toxic, np.float64)
@@ -214,18 +294,8 @@ def train(texts: list[str], toxic: list[int], settings: Settings = Settings()) -
         for a in range(0, len(order), s.batch):
             chosen = order[a : a + s.batch]
             flat, sizes = windows.grams(chosen)
-            starts = np.cumsum(sizes) - sizes
-            hidden = np.add.reduceat(vectors[flat], starts, axis=0) / sizes[:, None].astype(np.float32)
-            scores = hidden @ matrix + bias
-            p = np.exp(scores - scores.max(axis=1, keepdims=True))
-            p /= p.sum(axis=1, keepdims=True)
-            p[np.arange(len(chosen)), marks[chosen].astype(np.int64)] -= 1.0
-            p /= len(chosen) / 32.0
-            g_hidden = (p @ matrix.T) / sizes[:, None].astype(np.float32)
-            g_matrix, g_bias = hidden.T @ p, p.sum(axis=0)
-            by = np.argsort(flat, kind="stable")
-            unique, first = np.unique(flat[by], return_index=True)
-            g_vectors = np.add.reduceat(np.repeat(g_hidden, sizes, axis=0)[by], first, axis=0)
+            (unique, g_vectors), g_matrix, g_bias = (x if isinstance(x, tuple) else 32.0 * x for x in gradients(vectors, matrix, bias, flat, sizes, marks[chosen].astype(np.int64)))
+            g_vectors *= 32.0  # steps are scaled by their history, which begins small
             squares_v[unique] += (g_vectors**2).mean(axis=1)
             vectors[unique] -= s.rate * g_vectors / np.sqrt(squares_v[unique])[:, None]
             squares_m += g_matrix**2
@@ -233,14 +303,7 @@ def train(texts: list[str], toxic: list[int], settings: Settings = Settings()) -
             squares_b += g_bias**2
             bias -= 0.1 * s.rate * g_bias / np.sqrt(squares_b)
     weights, offset = projected()
-    model = Model(weights.astype(np.float32), offset, 1.0, 0.0, s.window)
-    if not len(labels):
-        return Model(model.weights, 0.0, 0.0, -30.0, s.window)
-    scorer = Scorer(model)
-    logits = np.array([scorer.logit(t) for t in texts])
-    worded = np.isfinite(logits)
-    model.slope, model.shift = calibrate(logits[worded], labels[worded]) if worded.any() else (0.0, -30.0)
-    return model
+    return Model(np.rint(weights * _UNIT).astype(np.int64), offset if len(labels) else 0.0, 0.0, -30.0, s.window)
 
 
 def calibrate(logits: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
@@ -285,22 +348,13 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) ->
     return train([t for _, t, _ in sample], [y for _, _, y in sample], settings)
 
 
-_SCORERS: dict[str, Scorer] = {}
-
-
 def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
     """One row per document: ``SCHEMA``."""
-    import uuid
-
-    shared, name = docs.sparkSession.sparkContext.broadcast(model), uuid.uuid4().hex
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # a number per bucket
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if name not in _SCORERS:  # one per worker process, kept over tasks
-            _SCORERS.clear()
-            _SCORERS[name] = Scorer(shared.value)
-        scorer = _SCORERS[name]
         for batch in batches:
-            scores = np.array([scorer.score(t.as_py()) for t in batch.column(1)], np.float64)
+            scores = shared.value.scores(batch.column(1))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(2), pa.array(scores), pa.array((scores >= threshold).astype(np.int32))], names=["doc_id", "held_out", "score", "predicted"]
             )
@@ -319,9 +373,8 @@ def keep_clean(docs: DataFrame, labels: DataFrame, settings: Settings = Settings
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(shared.value)
         for batch in batches:
-            keep = [scorer.score(t.as_py()) < threshold for t in batch.column(names.index("text"))]
-            yield batch.filter(pa.array(keep, pa.bool_()))
+            scores = shared.value.scores(batch.column(names.index("text")))
+            yield batch.filter(pa.array(scores < threshold))
 
     return docs.mapInArrow(run, docs.schema)

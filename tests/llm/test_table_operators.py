@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 from fractions import Fraction
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from lectern.llm import components, jaccard, line_dedup, mixing, neighbours, registry, topk, toxicity
@@ -266,24 +267,119 @@ def test_toxicity(spark):
     assert toxicity.toxicity(documents(spark, []), known, small).count() == 0
 
 
+def plain_words(text):
+    """Words as the operator defines them, one by one."""
+    found = (text or "").lower().split()
+    found = [w for before, w in zip([None, *found], found) if w != before]
+    out = []
+    for w in found:
+        core = w.strip(toxicity._STRIP)
+        out += [(w, core)] if len(core) <= 64 else [(None, core[i : i + 64]) for i in range(0, len(core) - 4, 60)]
+    return [x[1] for before, x in zip([None, *out], out) if x != before]
+
+
+def plain_logit(text, weights, bias, window):
+    found = plain_words(text)
+    if not found:
+        return -math.inf
+    bags = []
+    for w in found:
+        marked = f"<{w}>"
+        bags.append([("word", w)] + [marked[i : i + n] for n in (3, 4, 5) for i in range(len(marked) - n + 1)])
+    size = min(window, len(bags))
+    means = [[g for bag in bags[i : i + size] for g in bag] for i in range(len(bags) - size + 1)]
+    return max(bias + sum(map(weights, m)) / len(m) for m in means)
+
+
+def test_toxicity_forward_pass_is_the_plain_one():
+    rng = random.Random(9)
+    texts = [" ".join(rng.choice(["idiot", "Äpfel,", "x" * rng.choice([63, 64, 65, 130, 300]), "a-b", "--", "日本語", "a", "b", "c", "d"]) for _ in range(rng.choice([1, 3, 6, 7, 40]))) for _ in range(60)] + [None, "", " \n", "a a a"]
+    buckets = 1 << 12
+    weight = np.random.default_rng(1).integers(-(1 << 33), 1 << 33, buckets)
+    model = toxicity.Model(weight, 0.25, 1.0, 0.0, 6)
+
+    def value(gram):  # the whole word comes first among a word's buckets; a run of n is hashed alike in any word
+        return weight[table[gram]] / toxicity._UNIT
+
+    table = {}
+    for text in texts:
+        for w in plain_words(text):
+            flat, sizes = toxicity.ngrams([w], buckets)
+            marked, runs = f"<{w}>", [("word", w)]
+            for i in range(len(marked)):
+                runs += [marked[i : i + n] for n in (3, 4, 5) if i + n <= len(marked)]
+            assert sizes.tolist() == [len(runs)] == [len(flat)]
+            for gram, bucket in zip(runs, flat.tolist(), strict=True):
+                assert table.setdefault(gram, bucket) == bucket
+    got = model.logits(pa.array(texts))
+    for text, x in zip(texts, got, strict=True):
+        want = plain_logit(text, value, 0.25, 6)
+        assert (x == want == -math.inf) or abs(x - want) < 1e-6
+    again = model.logits(pa.array(["pad " * 50, *texts[::-1]]))[1:][::-1]
+    assert (got == again).all()  # a text's score does not depend on where it stands
+
+
+def test_toxicity_training_follows_the_gradient():
+    rng = random.Random(4)
+    texts = [" ".join(rng.choices(["ban", "cor", "del", "fim"], k=6)) if i % 2 else " ".join(rng.choices(["idiot", "moron", "ban"], k=6)) for i in range(40)]
+    marks = [1 - i % 2 for i in range(40)]
+    settings = toxicity.Settings(buckets=1 << 10, dim=3, epochs=1, batch=512, rate=1e-3)
+    windows = toxicity.Windows(texts, 6, settings.buckets)
+    flat, sizes = windows.grams(np.arange(len(windows.rows)))
+    vectors, matrix, bias = (x.astype(np.float64) for x in (np.random.default_rng(0).normal(0, 0.1, (settings.buckets, 3)), np.random.default_rng(1).normal(0, 0.1, (3, 2)), np.zeros(2)))
+    labels = np.array(marks)[windows.owner]
+
+    def loss(v, m, b):
+        hidden = np.add.reduceat(v[flat], np.cumsum(sizes) - sizes, axis=0) / sizes[:, None]
+        scores = hidden @ m + b
+        return -(scores - np.log(np.exp(scores).sum(axis=1, keepdims=True)))[np.arange(len(labels)), labels].mean()
+
+    g_v, g_m, g_b = toxicity.gradients(vectors, matrix, bias, flat, sizes, labels)
+    unique = np.unique(flat)
+    for array, gradient, at in ((matrix, g_m, [(0, 0), (2, 1)]), (bias, g_b, [(0,), (1,)]), (vectors, None, [(int(unique[0]), 1), (int(unique[-1]), 2)])):
+        for place in at:
+            before, h = array[place], 1e-5
+            array[place] = before + h
+            up = loss(vectors, matrix, bias)
+            array[place] = before - h
+            down = loss(vectors, matrix, bias)
+            array[place] = before
+            own = gradient[place] if gradient is not None else g_v[1][np.searchsorted(g_v[0], place[0])][place[1]]
+            assert abs((up - down) / (2 * h) - own) < 1e-6
+
+
 def test_toxicity_reads_runs_without_spaces():
     rng = random.Random(8)
     for alphabet in ("abc-_.<", "毒物言葉文字、。"):
         run = "x" + "".join(rng.choices(alphabet, k=1000)) + "x"
-        want = {run[i : i + n].encode("utf-16-le") for n in (3, 4, 5) for i in range(len(run) - n + 1)}
-        got = [g for w in toxicity.words(run) for g in toxicity.ngrams(w)]
-        assert want <= set(got) and len(got) < 4 * len(run) and max(map(len, got)) <= 2 * 66
-    for size in (63, 64, 65, 68, 124, 125, 128, 129):
-        run = "".join(rng.choices("abcdefgh", k=size))
-        assert run.encode("utf-16-le")[-10:] in {g for w in toxicity.words(run) for g in toxicity.ngrams(w)}
-    assert toxicity.words("-" * 100 + " a a") == ["-" * 100, "a"] and toxicity.ngrams("-" * 100)[0] == "<>".encode("utf-16-le")
+        names, codes, first = toxicity.words(pa.array([run]))
+        parts = [names[c] for c in codes.tolist()]
+        assert first.tolist() == [0, len(parts)] and max(map(len, parts)) == 64
+        want = {run[i : i + 5] for i in range(len(run) - 4)}
+        assert want <= {p[i : i + 5] for p in parts for i in range(len(p) - 4)}
+    names, codes, _ = toxicity.words(pa.array(["-" * 100 + " a a", "A,"]))
+    assert [names[c] for c in codes.tolist()] == ["", "a", "a"]
     clean, toxic = ["banane", "coripo", "delust", "fimerl", "golomy"], ["idiot", "moron", "worthless", "pathetic"]
     labels = [i % 3 == 0 for i in range(300)]
     texts = ["-".join(rng.choices(clean, k=20) + bad * rng.choices(toxic, k=20)) for bad in labels]
-    scorer = toxicity.Scorer(toxicity.train(texts, [int(x) for x in labels], toxicity.Settings(buckets=1 << 14)))
+    model = toxicity.train(texts, [int(x) for x in labels], toxicity.Settings(buckets=1 << 14))
     start = "-".join(clean * 3)
     assert len(start) > 64
-    assert scorer.score(f"{start}-{'-'.join(toxic * 20)}") >= toxicity.THRESHOLD > scorer.score(f"{start}-{'-'.join(clean * 20)}")
+    bad, good = model.scores(pa.array([f"{start}-{'-'.join(toxic * 20)}", f"{start}-{'-'.join(clean * 20)}"]))
+    assert bad >= toxicity.THRESHOLD > good
+
+
+def test_toxicity_of_very_long_and_repeated_texts(spark):
+    rng = random.Random(2)
+    clean = ["banane", "coripo", "delust", "fimerl", "golomy"]
+    texts = [" ".join(rng.choices(clean, k=30) + (i % 3 == 0) * ["you", "worthless", "idiot", "moron"]) for i in range(300)]
+    model = toxicity.train(texts, [int(i % 3 == 0) for i in range(300)], toxicity.Settings(buckets=1 << 14))
+    long = " ".join(rng.choices(clean, k=400_000))
+    rows = [(1, long), (2, long + " you worthless idiot moron"), (3, texts[0]), (3, texts[0]), (4, texts[0]), (5, None), (6, "")]
+    got = toxicity.score(spark.createDataFrame(rows, "doc_id long, text string").repartition(2), model).collect()
+    by = {r["doc_id"]: r["score"] for r in got}
+    assert len(got) == 7 and by[1] < toxicity.THRESHOLD <= by[2] and by[5] == by[6] == 0
+    assert len({r["score"] for r in got if r["doc_id"] in (3, 4)}) == 1
 
 
 # ------------------------------------------------------------------ line dedup and mixing

@@ -16,7 +16,8 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from lectern.llm import edit_counts, packing, secrets, token_files
-from lectern.llm.encoding import CachedEncoder, chunks
+from lectern.llm.common import chunks
+from lectern.llm.encoding import CachedEncoder
 
 BYTE, WORD = P.path("byte_bpe_50k.json"), P.path("word_bpe_49k.json")
 SCHEMA = "doc_id long, text string, lang string, tile long, rows string, score double, term string"
