@@ -171,9 +171,10 @@ def test_every_code_within_the_radius_is_met():
 # ------------------------------------------------------------------ top-k
 
 
-@pytest.mark.parametrize("few", [0, 30, 10_000])
-def test_topk_equals_brute_force(spark, monkeypatch, few):
-    monkeypatch.setattr(topk, "FEW", few)
+@pytest.mark.parametrize("common", [1, 20, 512])
+def test_topk_equals_brute_force(spark, monkeypatch, common):
+    monkeypatch.setattr(topk, "COMMON", common)
+    monkeypatch.setattr(topk, "WIDER", 2)
     monkeypatch.setattr(topk, "SHARD_DOCS", 40)
     monkeypatch.setattr(topk, "BLOCK_DOCS", 4)
     monkeypatch.setattr(topk, "QUERY_BLOCK", 3)
@@ -200,10 +201,10 @@ def test_topk_equals_brute_force(spark, monkeypatch, few):
     assert topk.search(documents(spark, []), documents(spark, [])).count() == 0
 
 
-@pytest.mark.parametrize("few,step", [(0, 1), (topk.FEW, 8)])
-def test_topk_scores_all_words_of_a_query(spark, monkeypatch, few, step):
-    monkeypatch.setattr(topk, "FEW", few)
-    monkeypatch.setattr(topk, "STEP", step)
+@pytest.mark.parametrize("common,batch", [(8, 100), (topk.COMMON, topk.BATCH_POSTINGS)])
+def test_topk_scores_all_words_of_a_query(spark, monkeypatch, common, batch):
+    monkeypatch.setattr(topk, "COMMON", common)
+    monkeypatch.setattr(topk, "BATCH_POSTINGS", batch)
     monkeypatch.setattr(topk, "SHARD_DOCS", 90)
     monkeypatch.setattr(topk, "BLOCK_DOCS", 4)
     monkeypatch.setattr(topk, "QUERY_TERMS", 300)
@@ -236,6 +237,27 @@ def test_topk_of_an_id_repeated_often(spark):
     assert got == [(i, i) for i in range(1, 11)]
 
 
+def test_topk_of_very_long_texts_and_repeated_queries(spark):
+    rng = random.Random(1)
+    long = " ".join(f"w{rng.randrange(50_000)}" for _ in range(200_000))
+    rows = [(0, long, "en", "s"), (1, long + " tail", "en", "s"), (2, "w1 w2", "en", "s"), (50, "w1 alpha", "en", "s"), (50, "w2 beta", "en", "s"), (3, "beta", "en", "s"), (4, "alpha", "en", "s")]
+    df = documents(spark, rows)
+    got = {(r["query_id"], r["rank"]): r["doc_id"] for r in topk.search(df, df.filter("doc_id % 50 = 0")).collect()}
+    assert got[0, 1] == 1 and {got[50, 1], got[50, 2], got[50, 3]} == {2, 3, 4}  # both rows' words ask
+
+
+def test_equal_texts_have_equal_scores_in_all_shards(spark, monkeypatch):
+    monkeypatch.setattr(topk, "SHARD_DOCS", 7)
+    monkeypatch.setattr(topk, "BLOCK_DOCS", 2)
+    monkeypatch.setattr(topk, "COMMON", 5)
+    rng = random.Random(7)
+    text = " ".join(f"t{rng.randrange(40)}" for _ in range(100))
+    rows = [(i, text if i % 3 == 0 else " ".join(f"t{rng.randrange(40)}" for _ in range(100)), "en", "s") for i in range(120)]
+    df = documents(spark, rows)
+    got = sorted((r["rank"], r["doc_id"], r["score"]) for r in topk.search(df, df.filter("doc_id = 0")).collect())
+    assert [i for _, i, _ in got] == [3 * i for i in range(1, 11)] and len({s for *_, s in got}) == 1
+
+
 # ------------------------------------------------------------------ toxicity
 
 
