@@ -26,8 +26,9 @@ _CUT = "\x01"
 _SPACE = r"[\s\v\x{85}\p{Z}\x{1c}-\x{1f}]"
 #: Of three white-space characters, or of two at the end, several may be one pre-token.
 _RUN = f"{_SPACE}{{3}}|{_SPACE}{{2}}$"
-#: A comma or full stop that does not follow a letter or digit may belong to a run of marks.
-_GLUED = r"[^\pL\pN][.,]"
+#: A comma or full stop that does not follow a letter or digit may belong to a run of marks; where letters
+#: are normalized, some become a letter with a mark, so only letters that never do are trusted.
+_GLUED = {True: r"[^\pL\pN][.,]", False: r"[^0-9A-Za-z\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{12f}\x{131}-\x{17f}][.,]"}
 #: Beyond these letters, lower-casing need not commute with the tokenizer's normalization.
 _FAR = r"[^\x00-\x{12f}\x{131}-\x{17f}]"
 #: Pieces that can be encoded side by side: a word with the space before it; letters without case rules.
@@ -37,8 +38,8 @@ _LETTERS = r"^[A-Za-z\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{12f}\x{131}-\x{17f}]+$"
 #: others, in order, for the characters from 256 on.
 _SHOWN = {*range(33, 127), *range(161, 173), *range(174, 256)}
 _VISIBLE = {b: 256 + i for i, b in enumerate(x for x in range(256) if x not in _SHOWN)}
-#: Pieces that go to the tokenizer in one call, and about what one takes in the cache beside its text.
-_TOGETHER, _ENTRY = 1000, 240
+#: Pieces that go to the tokenizer in one call; longest piece that is remembered, and about what one takes.
+_TOGETHER, _LONGEST, _ENTRY = 1000, 64, 260
 _LOADED: dict[tuple[str, bool], "CachedEncoder"] = {}
 
 
@@ -50,12 +51,11 @@ class CachedEncoder:
     pieces, of which the older one goes when the younger is full.
     """
 
-    def __init__(self, path: str, spaced: bool, cache_bytes: int = 24 << 20):
+    def __init__(self, path: str, spaced: bool, cache_bytes: int = 32 << 20):
         self.tokenizer = Tokenizer.from_file(path)
         self.spaced, self.room = spaced, cache_bytes // 2
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
-        self.held = 0
         special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.divider = special[0] if special else None
         self.divider_id = self.tokenizer.token_to_id(special[0]) if special else -1
@@ -100,7 +100,7 @@ class CachedEncoder:
         return np.concatenate([*parts, ids[at:]]), offsets + np.cumsum(added)
 
     def _cut(self, texts: pa.Array) -> pa.Array:
-        glued = pc.match_substring_regex(texts, _GLUED)
+        glued = pc.match_substring_regex(texts, _GLUED[self.spaced])
         if self.spaced:
             out = pc.replace_substring(texts, " ", f"{_CUT} ")
             out = pc.replace_substring(out, "\n", f"{_CUT}\n{_CUT}")
@@ -117,34 +117,34 @@ class CachedEncoder:
     def _ids_of(self, dictionary: pa.Array) -> list[bytes]:
         names = dictionary.to_pylist()
         found = [*map(self.young.get, names)]
-        missing = []
-        for i, ids in enumerate(found):
-            if ids is None:
-                ids = self.old.get(names[i])
-                if ids is None:
-                    missing.append(i)
-                else:
-                    found[i] = ids
-                    self._keep(names[i], ids)
+        missing = [i for i, ids in enumerate(found) if ids is None]
+        if missing and self.old:
+            older = [*map(self.old.get, [names[i] for i in missing])]
+            again = {names[i]: ids for i, ids in zip(missing, older, strict=True) if ids is not None}
+            for i, ids in zip(missing, older, strict=True):
+                found[i] = ids
+            missing = [i for i, ids in zip(missing, older, strict=True) if ids is None]
+            self._keep(again)
         if missing:
             at = np.array(missing)
             new = dictionary.take(pa.array(at))
             alike = pc.match_substring_regex(new, _WITH_SPACE if self.spaced else _LETTERS).to_numpy(zero_copy_only=False)
-            for chosen, merged in ((at[alike], self._side_by_side), (at[~alike], self._divided)):
+            for chosen, merged in ((at[alike].tolist(), self._side_by_side), (at[~alike].tolist(), self._divided)):
                 for a in range(0, len(chosen), _TOGETHER):
-                    part = chosen[a : a + _TOGETHER].tolist()
-                    for i, ids in zip(part, merged([names[i] for i in part]), strict=True):
+                    part = chosen[a : a + _TOGETHER]
+                    pieces = [names[i] for i in part]
+                    merge = merged(pieces)
+                    for i, ids in zip(part, merge, strict=True):
                         found[i] = ids
-                        self._keep(names[i], ids)
+                    self._keep(dict(zip(pieces, merge, strict=True)))
         return found
 
-    def _keep(self, piece: str, ids: bytes) -> None:
-        if len(piece) > 64:
-            return
-        self.young[piece] = ids
-        self.held += len(piece) + len(ids) + _ENTRY
-        if self.held > self.room:
-            self.old, self.young, self.held = self.young, {}, 0
+    def _keep(self, pieces: dict[str, bytes]) -> None:
+        if max(map(len, pieces), default=0) > _LONGEST:
+            pieces = {p: ids for p, ids in pieces.items() if len(p) <= _LONGEST}
+        self.young.update(pieces)
+        if len(self.young) * _ENTRY > self.room:
+            self.old, self.young = self.young, {}
 
     def _whole(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(x.ids, np.uint32) for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]

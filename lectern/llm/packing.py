@@ -26,6 +26,8 @@ from lectern.llm.encoding import CachedEncoder, with_end
 
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 _ARROW = pa.schema([(x.split()[0], pa.int64()) for x in SCHEMA.split(", ")])
+#: Bytes of text that are encoded at once.
+CHUNK = 16 << 20
 #: Pieces that are packed together; bounds a task's memory.
 GROUP = 200_000
 
@@ -88,7 +90,7 @@ def pieces(docs: DataFrame, tokenizer: str, size: int, end_id: int, spaced: bool
         encoder = CachedEncoder.loaded(tokenizer, spaced)
         window = TaskContext.get().partitionId() << 33  # even numbers; those of packed windows are odd
         for batch in batches:
-            for a, b in chunks(batch.column(1)):
+            for a, b in chunks(batch.column(1), CHUNK):
                 ids, offsets = with_end(*encoder.encode(batch.column(1).slice(a, b - a)), end_id)
                 total = np.diff(offsets)
                 count = -(-total // size)

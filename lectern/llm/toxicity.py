@@ -43,6 +43,8 @@ _STRIP = ".,;:!?\"'()[]{}*#%$&|-_<>/\\"
 _SIZES = (3, 4, 5)
 _BASE = U(0x9E3779B97F4A7C15)
 _POWERS = np.array([pow(int(_BASE), i, 1 << 64) for i in range(LONGEST + 3)], U)
+#: Words whose n-grams are hashed at once.
+_TOGETHER = 16_384
 #: Weights are kept as whole numbers of this fraction.
 _UNIT = float(1 << 32)
 
@@ -191,8 +193,10 @@ class Model:
         out = np.full(len(texts), -np.inf)
         if not len(codes):
             return out
-        flat, sizes = ngrams(names, len(self.weights))
-        sums = np.add.reduceat(self.weights[flat], np.cumsum(sizes) - sizes)
+        sums, sizes = np.zeros(len(names), np.int64), np.zeros(len(names), np.int64)
+        for a in range(0, len(names), _TOGETHER):
+            flat, own = ngrams(names[a : a + _TOGETHER], len(self.weights))
+            sums[a : a + _TOGETHER], sizes[a : a + _TOGETHER] = np.add.reduceat(self.weights[flat], np.cumsum(own) - own), own
         total = np.concatenate(([0], np.cumsum(sums[codes])))
         count = np.concatenate(([0], np.cumsum(sizes[codes])))
         n = np.diff(first)
@@ -207,7 +211,7 @@ class Model:
 
     def scores(self, texts: pa.Array) -> np.ndarray:
         out = np.zeros(len(texts))
-        for a, b in chunks(texts):
+        for a, b in chunks(texts, 4 << 20):
             logits = self.logits(texts.slice(a, b - a))
             out[a:b] = np.where(np.isfinite(logits), _sigmoid(self.slope * np.where(np.isfinite(logits), logits, 0.0) + self.shift), 0.0)
         return out

@@ -56,7 +56,7 @@ def exact(path, special=True):
     return lambda text: np.array(t.encode(text or "", add_special_tokens=False).ids, "<u4").tobytes()
 
 
-PIECES = ["a", "Word", "é", "É", "İ", "Σ", "ß", "J̌", "ﬁ", " ", "  ", "\n", "\n\n", "\t", ", ", ". ", ".\n", "!,", "_,", "x́,", "3.14", "'s ", "don't ", "12", "½", "-", "　", "\x1c", "\x01", "\xa0", "语", "$$$ ", "x² ", "<|endoftext|>", "<|ENDOFTEXT|>", "<|startoftext|> "]
+PIECES = ["a", "Word", "İ,", "क़.", "ßσς", "ŉ.", "é", "É", "İ", "Σ", "ß", "J̌", "ﬁ", " ", "  ", "\n", "\n\n", "\t", ", ", ". ", ".\n", "!,", "_,", "x́,", "3.14", "'s ", "don't ", "12", "½", "-", "　", "\x1c", "\x01", "\xa0", "语", "$$$ ", "x² ", "<|endoftext|>", "<|ENDOFTEXT|>", "<|startoftext|> "]
 
 
 def split(ids, offsets):
@@ -67,14 +67,14 @@ def split(ids, offsets):
 def test_cached_ids_are_exact(path, spaced):
     encoder, want = CachedEncoder(path, spaced, cache_bytes=20_000), exact(path)
 
-    @settings(max_examples=600, deadline=None)
+    @settings(max_examples=1500, deadline=None)
     @given(st.lists(st.lists(st.sampled_from(PIECES), max_size=30).map("".join), max_size=6))
     def check(texts):
         assert split(*encoder.encode(pa.array([*texts, None], pa.string()).slice(0))) == [*map(want, texts), b""]
         assert split(*encoder.encode(pa.array(["cut off", *texts], pa.string()).slice(1))) == [*map(want, texts)]
 
     check()
-    assert len(encoder.young) + len(encoder.old) <= 2 * 20_000 // 240
+    assert len(encoder.young) + len(encoder.old) <= 2 * (20_000 // 260 + 1000)
 
 
 @pytest.mark.parametrize("path,spaced", [(BYTE, True), (WORD, False)])
