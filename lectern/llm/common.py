@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+import re
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -18,11 +21,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``.
 
-    Only where the session names none (a test on one machine) a temporary folder is set.
+    Only a session of one process (a test) gets a temporary folder where it names none; a cluster, whose
+    executors would each write to their own disk, must name one.
     """
     key = "spark.checkpoint.dir"
     found = spark.conf.get(key, None) or spark.sparkContext.getConf().get(key)
     if not found:
+        if not re.match(r"local($|\[)", spark.sparkContext.master):
+            raise ValueError(f"{key} must name a folder that driver and executors share")
         found = "file://" + tempfile.mkdtemp(prefix="lectern-")
         spark.conf.set(key, found)
     return found.rstrip("/")
@@ -63,3 +69,45 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     data = column.buffers()[2]
     flat = np.frombuffer(data, np.uint8) if data else np.zeros(0, np.uint8)
     return flat[offsets[0] : offsets[-1]], offsets - offsets[0]
+
+
+#: What a worker process keeps over tasks: one object.
+_KEPT: dict = {}
+
+Run = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+
+
+def kept(key, make: Callable):
+    """What ``make`` gives, kept over the tasks of a worker until another key comes."""
+    if key not in _KEPT:
+        _KEPT.clear()
+        _KEPT[key] = make()
+    return _KEPT[key]
+
+
+def tidy(run: Run, keeps: bool = False) -> Run:
+    """``run`` for a worker that gives its memory back after each task, and before it what it kept for
+    other operators, unless ``run`` keeps something itself."""
+
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not keeps:
+            forget()
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return wrapped
+
+
+def forget() -> None:
+    _KEPT.clear()
+
+
+def give_back() -> None:
+    """Free memory that the allocators hold goes back to the system."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass

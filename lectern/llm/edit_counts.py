@@ -24,6 +24,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lectern.llm.common import tidy
 from lectern.llm.encoding import _VISIBLE, CachedEncoder
 
 SCHEMA = "doc_id long, n_tokens long, n_edits int, n_tokens_after long, n_reencoded long"
@@ -177,7 +178,7 @@ def count_edits(docs: DataFrame, edits: Column, tokenizer: str, pattern: str, id
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=[x.split()[0] for x in SCHEMA.split(", ")])
 
     rows = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"), edits.cast(EDITS).alias("edits"))
-    return rows.mapInArrow(run, SCHEMA)
+    return rows.mapInArrow(tidy(run, keeps=True), SCHEMA)
 
 
 def with_edits(docs: DataFrame, edits: DataFrame, tokenizer: str, pattern: str) -> DataFrame:

@@ -21,6 +21,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
+from lectern.llm.common import kept
+
 #: Stands between pieces; a text that holds it is encoded whole.
 _CUT = "\x01"
 _SPACE = r"[\s\v\x{85}\p{Z}\x{1c}-\x{1f}]"
@@ -40,7 +42,6 @@ _SHOWN = {*range(33, 127), *range(161, 173), *range(174, 256)}
 _VISIBLE = {b: 256 + i for i, b in enumerate(x for x in range(256) if x not in _SHOWN)}
 #: Pieces that go to the tokenizer in one call; longest piece that is remembered, and about what one takes.
 _TOGETHER, _LONGEST, _ENTRY = 1000, 64, 260
-_LOADED: dict[tuple[str, bool], "CachedEncoder"] = {}
 
 
 class CachedEncoder:
@@ -68,12 +69,8 @@ class CachedEncoder:
 
     @classmethod
     def loaded(cls, path: str, spaced: bool) -> "CachedEncoder":
-        """One encoder per worker process, kept over tasks; another one's cache goes."""
-        key = (path, spaced)
-        if key not in _LOADED:
-            _LOADED.clear()
-            _LOADED[key] = cls(path, spaced)
-        return _LOADED[key]
+        """One encoder per worker process, kept over tasks."""
+        return kept((path, spaced), lambda: cls(path, spaced))
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids (u32) end to end, and where each text's begin (one more for the end); null: none."""

@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lectern.llm.common import stored, utf8
+from lectern.llm.common import stored, tidy, utf8
 from lectern.llm.components import components
 from lectern.llm.shingles import U, mix, shingle_sets
 
@@ -113,7 +113,7 @@ def frequencies(docs: DataFrame, words: int) -> np.ndarray:
 
     schema = "block int, counts binary"
     out = np.zeros(COUNTERS, np.uint32)
-    for row in docs.mapInArrow(count, schema).repartition("block").mapInArrow(add, schema).collect():
+    for row in docs.mapInArrow(tidy(count), schema).repartition("block").mapInArrow(tidy(add), schema).collect():
         out[row["block"] * block : (row["block"] + 1) * block] = np.frombuffer(zlib.decompress(row["counts"]), np.uint32)
     return out
 
@@ -183,7 +183,7 @@ def set_table(docs: DataFrame, words: int) -> DataFrame:
                 s1, s2 = _totals(hashes, starts), _totals(mix(hashes + U(1)), starts)
                 yield pa.RecordBatch.from_arrays([ids, pa.array(np.diff(starts)), pa.array(s1.view(np.int64)), pa.array(s2.view(np.int64))], names=["doc_id", "n", "s1", "s2"])
 
-    return docs.mapInArrow(run, _SETS)
+    return docs.mapInArrow(tidy(run), _SETS)
 
 
 def key_table(docs: DataFrame, words: int, of: tuple[int, int], buckets: int) -> DataFrame:
@@ -232,7 +232,7 @@ def key_table(docs: DataFrame, words: int, of: tuple[int, int], buckets: int) ->
         if count:
             yield flush()
 
-    return docs.mapInArrow(run, _KEYS)
+    return docs.mapInArrow(tidy(run), _KEYS)
 
 
 class Forest:
@@ -285,7 +285,7 @@ def block_edges(table: DataFrame) -> DataFrame:
         if len(out):
             yield pa.RecordBatch.from_arrays([pa.array(nodes[out]), pa.array(nodes[roots[out]])], names=["u", "v"])
 
-    return table.mapInArrow(run, "u long, v long")
+    return table.mapInArrow(tidy(run), "u long, v long")
 
 
 def tile_links(rows: list[tuple[int, int, np.ndarray]], t: Fraction) -> list[tuple[int, int]]:
@@ -355,7 +355,7 @@ def verified(parts: DataFrame, of: tuple[int, int]) -> DataFrame:
         if rows:
             yield done()
 
-    return parts.mapInArrow(run, "u long, v long")
+    return parts.mapInArrow(tidy(run), "u long, v long")
 
 
 def _tiles(blocks: DataFrame, of: Bands) -> DataFrame:
@@ -404,7 +404,7 @@ def _laid_out(docs: DataFrame, words: int) -> DataFrame:
                 if out:
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), (pa.int64(), pa.int64(), pa.int64(), pa.binary()))], names=names)
 
-    return docs.mapInArrow(run, _PARTS)
+    return docs.mapInArrow(tidy(run), _PARTS)
 
 
 def may_be_in(df: DataFrame, ids: DataFrame, how: str = "left_semi") -> DataFrame:

@@ -28,6 +28,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lectern.llm.common import tidy
+
 SCHEMA = "query_id long, vec_id long, score double"
 SUBSTRING = 8
 
@@ -203,4 +205,4 @@ def _search(rows: DataFrame, asked: list[tuple[int, list[float]]], codes: Codes,
         if held:
             yield answer(ids, vectors)
 
-    return rows.mapInArrow(run, SCHEMA)
+    return rows.mapInArrow(tidy(run), SCHEMA)

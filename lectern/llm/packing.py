@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from lectern.llm.common import chunks, stored
+from lectern.llm.common import chunks, stored, tidy
 from lectern.llm.encoding import CachedEncoder, with_end
 
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -107,7 +107,7 @@ def pieces(docs: DataFrame, tokenizer: str, size: int, end_id: int, spaced: bool
                 numbers = [start, length, np.array(sums, np.int64), total[doc]]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a).take(pa.array(doc)), *map(pa.array, numbers), *placed], schema=_ARROW)
 
-    return docs.mapInArrow(run, SCHEMA)
+    return docs.mapInArrow(tidy(run, keeps=True), SCHEMA)
 
 
 def packed(rest: DataFrame, size: int) -> DataFrame:
@@ -136,7 +136,7 @@ def packed(rest: DataFrame, size: int) -> DataFrame:
         if held:
             yield flush()
 
-    return rest.mapInArrow(run, SCHEMA)
+    return rest.mapInArrow(tidy(run), SCHEMA)
 
 
 def pack(docs: DataFrame, tokenizer: str, size: int = 1024, end_id: int = 0, spaced: bool = True, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from lectern.llm.common import utf8
+from lectern.llm.common import tidy, utf8
 
 ALL, AND, OR, TRI = "all", "and", "or", "tri"
 #: More alternatives than this for one stretch of an expression are not multiplied out.
@@ -245,4 +245,4 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str = "doc_id
             columns = [batch.column(0), *(pa.array(c) for c in counts), pa.array(base, pa.string()), pa.array(every, pa.string())]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", *(f"n_{name}" for name in names), "base_sha256", "spans"])
 
-    return docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text")).mapInArrow(run, schema)
+    return docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text")).mapInArrow(tidy(run), schema)

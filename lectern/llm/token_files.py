@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lectern.llm.common import chunks, shared_path
+from lectern.llm.common import chunks, shared_path, tidy
 from lectern.llm.encoding import CachedEncoder, with_end
 
 MAGIC = b"S8B1"
@@ -190,7 +190,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, sp
     rows = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text")).withColumn("h", F.xxhash64("text"))
     # ranges of (id, hash): rows that repeat one id are cut into ranges as well
     rows = rows.repartitionByRange("doc_id", "h").sortWithinPartitions("doc_id", "h", "text").select("doc_id", "text")
-    rows.mapInArrow(run, STREAMS).write.parquet(path)
+    rows.mapInArrow(tidy(run, keeps=True), STREAMS).write.parquet(path)
 
 
 def read_digest(spark, path: str) -> DataFrame:
@@ -207,7 +207,7 @@ def read_digest(spark, path: str) -> DataFrame:
                 )
 
     streams = spark.read.parquet(path)
-    docs = streams.select("shard", "base", "data").mapInArrow(run, DIGEST)
+    docs = streams.select("shard", "base", "data").mapInArrow(tidy(run), DIGEST)
     # one row per shard, so at most as many as there were write tasks
     totals = streams.groupBy("shard").agg(F.sum("n_ids").alias("ids"))
     before = totals.select(F.col("shard").alias("of"), (F.sum("ids").over(Window.orderBy("shard")) - F.col("ids")).alias("before"))

@@ -32,7 +32,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lectern.llm.common import chunks
+from lectern.llm.common import chunks, tidy
 from lectern.llm.shingles import U, mix
 
 SCHEMA = "doc_id long, held_out boolean, score double, predicted int"
@@ -364,7 +364,7 @@ def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFr
             )
 
     rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].alias("text"), (fold(docs["doc_id"]) == 1).alias("held_out"))
-    return rows.mapInArrow(run, SCHEMA)
+    return rows.mapInArrow(tidy(run), SCHEMA)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), threshold: float = THRESHOLD) -> DataFrame:
@@ -381,4 +381,4 @@ def keep_clean(docs: DataFrame, labels: DataFrame, settings: Settings = Settings
             scores = shared.value.scores(batch.column(names.index("text")))
             yield batch.filter(pa.array(scores < threshold))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidy(run), docs.schema)
