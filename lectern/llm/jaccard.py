@@ -48,9 +48,10 @@ PART_SHINGLES, PART_DOCS = 150_000, 128
 SLOTS = 1 << 20
 #: Counters of shingle frequencies; a power of two.
 COUNTERS = 1 << 21
-#: Keys that a task gathers before it passes them on.
-FLUSH_KEYS = 1_000_000
-_SLICE = 2 << 20
+#: Sets that a task remembers to have announced (a further copy of another one is announced again), and
+#: keys that it gathers before it passes them on.
+ANNOUNCED, FLUSH_KEYS = 200_000, 500_000
+_SLICE = 1 << 20
 
 _KEYS = "bucket int, docs binary, which binary, low binary, high binary"
 _SETS = "doc_id long, n long, s1 long, s2 long"
@@ -191,7 +192,7 @@ def key_table(docs: DataFrame, words: int, of: tuple[int, int], buckets: int) ->
     counts = docs.sparkSession.sparkContext.broadcast(frequencies(docs, words))  # of fixed size
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        announced: dict[tuple[int, int, int], None] = {}
+        announced: set[int] = set()
         held: list[tuple[np.ndarray, np.ndarray]] = []
         count = 0
 
@@ -215,13 +216,14 @@ def key_table(docs: DataFrame, words: int, of: tuple[int, int], buckets: int) ->
         for batch in batches:
             for ids, data, offsets in _chunks(batch):
                 hashes, starts = shingle_sets(data, offsets, words)
-                names = zip(np.diff(starts).tolist(), _totals(hashes, starts).tolist(), _totals(mix(hashes + U(1)), starts).tolist(), strict=True)
-                keep = np.zeros(len(ids), bool)
-                for i, name in enumerate(names):
-                    if name[0] and ids[i].is_valid and name not in announced:
-                        keep[i] = True
-                        if len(announced) < 1_000_000:
-                            announced[name] = None
+                keep = ids.is_valid().to_numpy(zero_copy_only=False) & (np.diff(starts) > 0)
+                sums = zip(_totals(hashes, starts).tolist(), _totals(mix(hashes + U(1)), starts).tolist(), strict=True)
+                for i, (s1, s2) in enumerate(sums):
+                    if keep[i]:
+                        name = s1 << 64 | s2
+                        keep[i] = name not in announced
+                        if len(announced) < ANNOUNCED:
+                            announced.add(name)
                 sizes = np.where(keep, np.diff(starts), 0)
                 hashes = hashes[np.repeat(keep, np.diff(starts))]
                 key, number = keys(hashes, np.concatenate(([0], np.cumsum(sizes))), bands(*of), counts.value)
