@@ -37,7 +37,7 @@ COUNTS = np.array([1, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1], np.int64)
 WIDTHS = np.array([0, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60], np.uint64)
 STREAM_IDS = 1 << 18
 #: Bytes of text that are encoded at once.
-CHUNK = 16 << 20
+CHUNK = 8 << 20
 STREAMS = "shard int, stream int, n_docs int, n_ids long, base long, data binary"
 DIGEST = "doc_id long, shard int, local_start long, n_tokens long, ids_crc32 long"
 
