@@ -1,6 +1,6 @@
-"""HTML pages to rows: chapter pages with marked verses, ordered lists, and links and headings.
+"""HTML pages to rows: chapter pages with marked verses, and ordered lists.
 
-The parsers are plain functions over one page; the operators run them in ``mapInPandas`` over the
+The parsers are plain functions over one page; the operators run them in ``mapInArrow`` over the
 columns they need, so pages are never collected and the other columns never leave the JVM twice.
 """
 
@@ -11,6 +11,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -158,16 +159,11 @@ def parse_list_items(html: str | None) -> list[tuple[int, str | None, str]]:
     return items
 
 
-def parse_outline(html: str | None) -> list[tuple[int, str, str]]:
-    """(pos, kind, text): headings, list items and paragraphs of a page, as they come."""
-    root = parse(html)
-    root.remove({"script", "style"})
-    kinds = {"h1": "heading", "li": "item", "p": "paragraph"}
-    return [(pos, kinds[e.tag], _collapse(e.text())) for pos, e in enumerate(e for e in root.descendants() if e.tag in kinds)]
-
-
 def decode_big5(raw: Column) -> Column:
-    """Lenient: bytes that are no Big5 become replacement characters."""
+    """Lenient: bytes that are no Big5 become replacement characters.
+
+    No built-in function knows the encoding; text comes in Arrow batches, one value after the other.
+    """
 
     @F.pandas_udf("string")
     def decoded(raw: pd.Series) -> pd.Series:
@@ -176,59 +172,82 @@ def decode_big5(raw: Column) -> Column:
     return decoded(raw)
 
 
-def complete(pages: DataFrame, html: str = "html") -> DataFrame:
-    """Pages below the size at which a download counts as cut off."""
-    return pages.filter(F.octet_length(html) < MAX_PAGE)
+_PAGE_BYTES, _PAGE_ROWS = 4 << 20, 5_000
 
 
-def chapters(pages: DataFrame) -> DataFrame:
-    """Of (page_id, html, usfm, chapter_sort): a row per verse, and one with ``error`` per bad page."""
-    schema = "page_id long, pos int, verse_sort int, sub_title string, content string, note string, cross_ref string, error string"
+def _parsed(pages: DataFrame, columns: list[str], parser, schema: str) -> DataFrame:
+    """Rows of each page and ``error``: one row with it for a page that cannot be parsed, was cut off or
+    holds nothing. Pages are parsed one by one and their rows passed on in runs of bounded size."""
+    schema = f"page_id long, {schema}, error string"
+    width = schema.count(",") - 1
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = _arrow(schema)
+
+        def frame(rows: list[tuple]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), kinds, strict=True)], schema=kinds)
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names = [x.split()[0] for x in schema.split(", ")]
-        for frame in frames:
-            rows: list[tuple] = []
-            for page, html, usfm, chapter in frame.itertuples(index=False, name=None):
+        rows: list[tuple] = []
+        held = 0
+        for batch in batches:
+            for page, html, *rest in zip(*batch.columns, strict=True):
+                raw = html.as_buffer().size if html.is_valid else 0
                 try:
-                    rows += [(page, *v, None) for v in parse_chapter(html, usfm, chapter)]
+                    if raw >= MAX_PAGE:
+                        raise ValueError("page too large, possibly cut off")
+                    found = [(page.as_py(), *row, None) for row in parser(html.as_py(), *(x.as_py() for x in rest))]
+                    if not found:
+                        raise ValueError("no verses found")
                 except ValueError as e:
-                    rows.append((page, None, None, None, None, None, None, str(e)))
-            yield pd.DataFrame(rows, columns=names).astype({"pos": "Int32", "verse_sort": "Int32"})
+                    found = [(page.as_py(), *[None] * width, str(e))]
+                rows += found
+                held += raw
+                if held >= _PAGE_BYTES or len(rows) >= _PAGE_ROWS:
+                    yield frame(rows)
+                    rows, held = [], 0
+        if rows:
+            yield frame(rows)
 
-    return pages.select("page_id", "html", "usfm", "chapter_sort").mapInPandas(run, schema)
+    return pages.select("page_id", *columns).mapInArrow(run, schema)
 
 
-def _exploded(pages: DataFrame, parser, schema: str) -> DataFrame:
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names = [x.split()[0] for x in schema.split(", ")]
-        for frame in frames:
-            yield pd.DataFrame([(page, *row) for page, html in frame.itertuples(index=False, name=None) for row in parser(html)], columns=names)
+def _arrow(schema: str) -> pa.Schema:
+    kinds = {"long": pa.int64(), "int": pa.int32(), "string": pa.string()}
+    return pa.schema([(name, kinds[kind]) for name, kind in (x.split() for x in schema.split(", "))])
 
-    return pages.select("page_id", "html").mapInPandas(run, schema)
+
+def chapters(pages: DataFrame) -> DataFrame:
+    """Of (page_id, html, usfm, chapter_sort): a row per verse, and one with ``error`` per bad page."""
+    return _parsed(pages, ["html", "usfm", "chapter_sort"], parse_chapter, "pos int, verse_sort int, sub_title string, content string, note string, cross_ref string")
 
 
 def list_items(pages: DataFrame) -> DataFrame:
-    return _exploded(pages, parse_list_items, "page_id long, pos int, value_raw string, text string")
+    """Of (page_id, html): a row per item of an ordered list, and one with ``error`` per page without."""
+    return _parsed(pages, ["html"], parse_list_items, "pos int, value_raw string, text string")
 
 
-def outline(pages: DataFrame) -> DataFrame:
-    return _exploded(pages, parse_outline, "page_id long, pos int, kind string, text string")
+def failed_pages(rows: DataFrame) -> DataFrame:
+    return rows.filter("error IS NOT NULL").select("page_id", "error")
 
 
-def numbered(items: DataFrame) -> DataFrame:
-    """List items with their verse number: a positive ``value``, else the position; blank texts go."""
+def _verse_sort() -> Column:
+    """A positive ``value``, else the position."""
     value = T.trim_u(F.col("value_raw"))
     parsed = F.when(value.rlike(r"^[+-]?[0-9]+$"), value.try_cast("int"))
-    number = F.when(parsed > 0, parsed).otherwise(F.col("pos") + 1).cast("int")
-    return items.select("page_id", "pos", number.alias("verse_sort"), T.trim_u(F.col("text")).alias("content"))
+    return F.when(parsed > 0, parsed).otherwise(F.col("pos") + 1).cast("int")
+
+
+def numbered(items: DataFrame) -> DataFrame:
+    """List items with their verse number; blank texts go, but keep their place in the count."""
+    rows = items.filter("error IS NULL").select("page_id", "pos", _verse_sort().alias("verse_sort"), T.trim_u(F.col("text")).alias("content"))
+    return rows.filter("content <> ''")
 
 
 def within_spec(items: DataFrame, bounds: DataFrame) -> DataFrame:
-    """Numbered items no greater than their page's ``max_verses``, with some text."""
-    return items.join(bounds, "page_id").filter((F.col("verse_sort") <= F.col("max_verses")) & (F.col("content") != "")).drop("max_verses")
+    """Numbered items no greater than their page's ``max_verses``."""
+    return items.join(bounds, "page_id").filter(F.col("verse_sort") <= F.col("max_verses")).drop("max_verses")
 
 
 def verse_counts(items: DataFrame) -> DataFrame:
-    """Largest number of each page, or its number of items where no number is positive."""
-    return items.groupBy("page_id").agg(F.coalesce(F.nullif(F.max("verse_sort"), F.lit(0)), F.count("*").cast("int")).alias("verses"))
+    """Largest number of each page's items, blank ones too; ``error`` where a page has none."""
+    return items.select("page_id", F.when(F.col("error").isNull(), _verse_sort()).alias("n"), "error").groupBy("page_id").agg(F.max("n").alias("verses"), F.max("error").alias("error"))

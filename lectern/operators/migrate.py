@@ -23,20 +23,37 @@ def coordinates(lib: Library) -> DataFrame:
     return lib.sections.join(chapters, "chapter_id").join(books, "book_id").select(F.col("id").alias("section_id"), "book_sort", "chapter_sort", F.col("sort").alias("section_sort"))
 
 
-def backup(lib: Library, references: dict[str, DataFrame], before: DataFrame | None = None) -> DataFrame:
-    """Natural keys of all references; orphans have none. Rows of ``before`` win: first snapshot."""
+def every_reference(references: dict[str, DataFrame]) -> DataFrame:
+    """(source_table, source_id, old_section_id) of all tables."""
     every = None
     for name, refs in references.items():
         own = refs.select(F.lit(name).alias("source_table"), F.col("id").alias("source_id"), F.col(SOURCES[name]).alias("old_section_id"))
         every = own if every is None else every.unionByName(own)
-    rows = every.join(coordinates(lib), F.col("old_section_id") == F.col("section_id")).drop("section_id")
+    return every
+
+
+def backup(lib: Library, references: dict[str, DataFrame], before: DataFrame | None = None) -> DataFrame:
+    """Natural keys of all references; orphans have none. Rows of ``before`` win: first snapshot."""
+    rows = every_reference(references).join(coordinates(lib), F.col("old_section_id") == F.col("section_id")).drop("section_id")
     return rows if before is None else before.unionByName(get_or_create(before, rows, ["source_table", "source_id"]))
 
 
+def _new_ids(lib: Library, saved: DataFrame) -> DataFrame:
+    """(source_table, source_id, new_id) of the saved references whose place is known."""
+    own = saved.select("source_table", "source_id", "book_sort", "chapter_sort", "section_sort")
+    return own.join(coordinates(lib), ["book_sort", "chapter_sort", "section_sort"]).select("source_table", "source_id", F.col("section_id").alias("new_id"))
+
+
+def restored(lib: Library, references: dict[str, DataFrame], saved: DataFrame) -> DataFrame:
+    """(source_table, id, ref) of all references in one pass: moved to the new ids, or as they were where
+    their place is gone."""
+    joined = every_reference(references).join(_new_ids(lib, saved), ["source_table", "source_id"], "left")
+    return joined.select("source_table", F.col("source_id").alias("id"), F.coalesce("new_id", "old_section_id").alias("ref"))
+
+
 def restore(lib: Library, refs: DataFrame, name: str, saved: DataFrame) -> DataFrame:
-    """``refs`` with references moved to the new ids; rows whose place is gone keep the old one."""
-    own = saved.filter(F.col("source_table") == name).select("source_id", "book_sort", "chapter_sort", "section_sort")
-    new = own.join(coordinates(lib), ["book_sort", "chapter_sort", "section_sort"]).select("source_id", F.col("section_id").alias("new_id"))
+    """One table's rows with all columns, moved in the same way."""
+    new = _new_ids(lib, saved.filter(F.col("source_table") == name)).select("source_id", "new_id")
     column = SOURCES[name]
     joined = refs.join(new, F.col("id") == F.col("source_id"), "left")
     return joined.select(*(F.coalesce("new_id", column).alias(c) if c == column else F.col(c) for c in refs.columns))
@@ -84,7 +101,7 @@ class Migration:
         return {name: restore(self.library(), refs, name, saved) for name, refs in references.items()}
 
     def verify(self, references: dict[str, DataFrame]) -> dict[str, int]:
-        return {r["source_table"]: r["orphans"] for r in orphan_counts(self.library(), references).collect()}
+        return {r["source_table"]: r["orphans"] for r in orphan_counts(self.library(), references).collect()} if references else {}
 
     def clean_up(self, references: dict[str, DataFrame]) -> bool:
         """Drop the backup, but only if nothing is orphaned."""

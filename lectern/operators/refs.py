@@ -22,7 +22,8 @@ def resolve_refs(verses: DataFrame, scope: list[str] | None = None) -> DataFrame
     index = verses.select(*scope, T.ref_key(F.col("usfm"), F.col("chapter_sort"), F.col("verse_sort")).alias("key"), "pos", "content")
     # only named targets are aggregated and joined
     targets = index.join(wanted, [*scope, "key"], "left_semi").groupBy(*scope, "key").agg(F.max_by("content", "pos").alias("target"))
-    joined = verses.withColumn("key", F.when(pointing, F.col("cross_ref"))).join(targets, [*scope, "key"], "left")
+    # only rows that point are joined; the others, of no key, would all meet in one place
+    joined = verses.filter(pointing).withColumn("key", F.col("cross_ref")).join(targets, [*scope, "key"], "left")
     usable = F.col("target").isNotNull() & (T.trim_u(F.col("target")) != "") & (F.col("target") != T.MERGED)
-    content = F.when(F.col("key").isNull(), F.col("content")).when(usable, F.col("target")).otherwise(T.see(F.col("key")))
-    return joined.withColumn("content", content).select(*verses.columns)
+    filled = joined.withColumn("content", F.when(usable, F.col("target")).otherwise(T.see(F.col("key")))).select(*verses.columns)
+    return verses.filter(~pointing).unionByName(filled)

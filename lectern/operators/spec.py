@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lectern.functions import text as T
-from lectern.functions.catalogue import NEW_FROM
+from lectern.functions.catalogue import NEW_FROM, books
 
 
 def spec_rows(spec: DataFrame) -> DataFrame:
@@ -29,19 +29,26 @@ def assert_same_books(zh: DataFrame, en: DataFrame) -> None:
         raise ValueError(f"different book counts: {a} and {b}")
 
 
+def assert_catalogue(spec: DataFrame) -> None:
+    """A specification must have as many books as the catalogue."""
+    found, want = spec.select(F.sum(F.size("books"))).first()[0] or 0, len(books())
+    if found != want:
+        raise ValueError(f"specification has {found} books, the catalogue {want}; build it again")
+
+
 def verse_bound(rows: DataFrame, number: Column, chapter: Column) -> DataFrame:
     """The expected count of one chapter; raises where it is out of range."""
     found = rows.filter((F.col("number") == number) & (F.col("position") == chapter))
     return found.agg(F.max("verses").alias("verses")).select(F.when(F.col("verses").isNull(), F.raise_error(F.lit("chapter out of range")).cast("int")).otherwise(F.col("verses")).alias("verses"))
 
 
-def global_starts(books: DataFrame) -> DataFrame:
+def global_starts(counted: DataFrame) -> DataFrame:
     """(book_sort, total_chapters, start): the running number of each book's first chapter.
 
     The window has one row per book and no partition; the catalogue is a closed list.
     """
     before = Window.orderBy("book_sort").rowsBetween(Window.unboundedPreceding, -1)
-    return books.select("book_sort", "total_chapters", (1 + F.coalesce(F.sum("total_chapters").over(before), F.lit(0))).cast("long").alias("start"))
+    return counted.select("book_sort", "total_chapters", (1 + F.coalesce(F.sum("total_chapters").over(before), F.lit(0))).cast("long").alias("start"))
 
 
 def starts_at_scale(books: DataFrame, width: int = 4096) -> DataFrame:

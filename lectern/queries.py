@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lectern.functions import text as T
@@ -12,9 +14,11 @@ from lectern.functions.catalogue import books as canon
 from lectern.functions.catalogue import catalogue
 from lectern.functions.ids import make_id
 from lectern.operators import extract, load, merge, migrate, refs, spec
+from lectern.operators.merge import Store
 from lectern.plans import validation as V
 from lectern.plans.models import c_model, c_rows, t_model, table
-from lectern.sources import files
+from lectern.sources import files, rest
+from lectern.streaming.ingest import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -89,12 +93,29 @@ def backup_coordinates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def restore_rekey(spark: SparkSession, sf_dir: str) -> DataFrame:
     references = _references(spark, sf_dir)
     saved = migrate.backup(t_model(spark, sf_dir), references)
-    new = t_model(spark, sf_dir, salt="second-")
-    out = None
-    for name, refs_ in references.items():
-        one = migrate.restore(new, refs_, name, saved).select(F.lit(name).alias("source_table"), "id", F.col(migrate.SOURCES[name]).alias("ref"))
-        out = one if out is None else out.unionByName(one)
-    return out
+    return migrate.restored(t_model(spark, sf_dir, salt="second-"), references, saved)
+
+
+def migration_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A whole migration over a store of the conversations: rows that each step touched or found."""
+    store = Store(spark, f"{_shared(spark)}/migration-{uuid.uuid4().hex}")
+    rows = _records(spark, sf_dir)
+    load.load(store, rows, salt="old-")
+    keys = rows.select("book_sort", "chapter_sort", "verse_sort").distinct()
+    section = make_id("section", F.col("book_sort"), F.col("chapter_sort"), F.col("verse_sort"), salt="old-")
+    refer = lambda column, kind: keys.filter(F.pmod("chapter_sort", F.lit(3)) == kind).select(F.concat_ws("-", "chapter_sort", "verse_sort").alias("id"), F.when(F.col("chapter_sort") % 5 == 0, "gone").otherwise(section).alias(column))
+    references = {name: refer(column, i) for i, (name, column) in enumerate(migrate.SOURCES.items())}
+    steps = migrate.Migration(store)
+    out = [("saved", *x) for x in steps.save(references).items()]
+    steps.truncate()
+    out += [("left", "sections", steps.library().sections.count())]
+    done = load.load(store, rows.filter("chapter_sort % 7 <> 0"), salt="new-")
+    out += [("loaded", name, done[name]["insert"]) for name in load.RULES]
+    moved = steps.restore(references)
+    out += [("orphans", *x) for x in steps.verify(moved).items()]
+    out += [("cleaned", "all", int(steps.clean_up(moved))), ("cleaned", "none", int(steps.clean_up({})))]
+    out += [("backups", "left", int(store.current("orphan_refs_backup") is not None))]
+    return spark.createDataFrame(out, "step string, name string, n long")
 
 
 def get_or_create_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -163,24 +184,61 @@ def group_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spec.testament_summary(books)
 
 
+def _list_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations as pages with an ordered list: items with a number, a bad one or none, and blanks."""
+    turns = table(spark, sf_dir, "conversations")
+    value = F.when(F.col("turn") % 3 == 1, "").when(F.col("turn") % 5 == 4, ' value="x"').otherwise(F.format_string(' value=" %d "', F.col("turn") + 2))
+    text = F.when(F.length("text") % 7 == 0, "&nbsp; ").otherwise(_escaped(F.col("text")))
+    item = F.concat(F.lit("<li"), value, F.lit(">"), text, F.lit('<a href="#">back</a></li>'))
+    one = turns.select("conv_id", F.struct("turn", item.alias("item")).alias("x")).groupBy("conv_id").agg(F.array_sort(F.collect_list("x")).alias("items"))
+    html = F.concat(F.lit("<html><body><script>var li = '<li>';</script><ul><li>menu</li></ul><ol>"), F.array_join(F.transform("items", lambda x: x["item"]), ""), F.lit("</ol></body></html>"))
+    return one.select(F.col("conv_id").alias("page_id"), html.alias("html"))
+
+
+def _escaped(text: Column) -> Column:
+    return F.replace(F.replace(text, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
+
+
 def max_item_per_page(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = extract.complete(table(spark, sf_dir, "pages")).select("page_id", F.replace(F.replace("html", F.lit("<ul>"), F.lit("<ol>")), F.lit("</ul>"), F.lit("</ol>")).alias("html"))
-    return extract.verse_counts(extract.numbered(extract.list_items(pages)))
+    """Of the conversations' pages, and of the web pages as they are, whose lists are not ordered."""
+    web = table(spark, sf_dir, "pages").select((-1 - F.col("page_id")).alias("page_id"), "html")
+    return extract.verse_counts(extract.list_items(_list_pages(spark, sf_dir).unionByName(web)))
 
 
 def parse_list_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return extract.outline(extract.complete(table(spark, sf_dir, "pages")))
+    items = extract.numbered(extract.list_items(_list_pages(spark, sf_dir)))
+    return items.select("page_id", "pos", "verse_sort", F.md5(F.col("content").cast("binary")).alias("digest"))
+
+
+def items_within_spec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _list_pages(spark, sf_dir)
+    bounds = pages.select("page_id", (F.col("page_id") % 4 + 2).cast("int").alias("max_verses"))
+    return extract.within_spec(extract.numbered(extract.list_items(pages)), bounds).select("page_id", "pos", "verse_sort")
 
 
 def parse_chapter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Conversations written as chapter pages, and parsed again."""
+    """Conversations written as chapter pages, and parsed again.
+
+    Every fourth verse has a heading before it and every fifth a note in it; of seven, one also names a
+    later verse, one is omitted in favour of another place, and one has a note instead of a text.
+    """
     turns = table(spark, sf_dir, "conversations")
-    key = F.concat(F.lit("GEN."), F.pmod("conv_id", F.lit(T.MAX_CHAPTER)) + 1)
-    span = F.format_string('<div><span data-usfm="%s.%d" class="x__verse"><span class="x__label">%d</span><span class="x__content">%s</span></span></div>', key, F.col("turn") + 1, F.col("turn") + 1, F.replace(F.replace("text", F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")))
-    blocks = turns.select("conv_id", key.alias("key"), "turn", span.alias("span")).groupBy("conv_id", "key").agg(F.array_sort(F.collect_list(F.struct("turn", "span"))).alias("b"))
-    html = F.concat(F.lit('<div data-usfm="'), F.col("key"), F.lit('">'), F.array_join(F.transform("b", lambda x: x["span"]), ""), F.lit("</div>"))
-    pages = blocks.select(F.col("conv_id").alias("page_id"), html.alias("html"), F.lit("GEN").alias("usfm"), (F.pmod("conv_id", F.lit(T.MAX_CHAPTER)) + 1).cast("int").alias("chapter_sort"))
-    return extract.chapters(pages).select("page_id", "verse_sort", "note", F.length("content").alias("n_chars"), "error")
+    n, kind = F.col("turn") + 1, F.pmod("turn", F.lit(7))
+    chapter = (F.pmod("conv_id", F.lit(T.MAX_CHAPTER)) + 1).cast("int")
+    ref = F.concat(F.lit("GEN."), chapter, F.lit("."), n)
+    refs_ = F.when(kind == 4, F.concat(ref, F.lit("+GEN."), chapter, F.lit("."), n + 100)).otherwise(ref)
+    note = lambda inner: F.concat(F.lit('<span class="x__note"><span class="x__label">#</span><span class="x__body">'), inner, F.lit("</span></span>"))
+    other = note(F.lit('<span class="fr__fr">1</span><span data-usfm="MRK.9.29" class="ref">Mark</span>'))
+    inside = F.when(kind == 5, other).when(kind == 6, note(F.lit('<span class="ft">Some  say</span>'))).otherwise(
+        F.concat(F.lit('<span class="x__content">'), _escaped(F.col("text")), F.lit("</span>"), F.when(F.col("turn") % 5 == 0, note(F.lit("<span>aside</span>"))).otherwise(""))
+    )
+    label = F.when(kind >= 5, F.format_string('<span class="x__label">[%d]</span>', n)).otherwise(F.format_string('<span class="x__label">%d</span>', n))
+    heading = F.when(F.col("turn") % 4 == 0, F.format_string('<div><span class="x__heading"> Part %d</span></div>', "turn")).otherwise("")
+    span = F.concat(heading, F.lit('<div><span data-usfm="'), refs_, F.lit('" class="x__verse">'), label, inside, F.lit("</span></div>"))
+    blocks = turns.select("conv_id", chapter.alias("chapter_sort"), F.struct("turn", span.alias("span")).alias("x")).groupBy("conv_id", "chapter_sort").agg(F.array_sort(F.collect_list("x")).alias("b"))
+    html = F.concat(F.lit('<div data-usfm="GEN.'), F.col("chapter_sort"), F.lit('">'), F.array_join(F.transform("b", lambda x: x["span"]), ""), F.lit("</div>"))
+    pages = blocks.select(F.col("conv_id").alias("page_id"), html.alias("html"), F.lit("GEN").alias("usfm"), "chapter_sort")
+    return extract.chapters(pages).select("page_id", "verse_sort", "sub_title", F.md5(F.col("content").cast("binary")).alias("digest"), "note", "cross_ref", "error")
 
 
 def resolve_refs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -217,10 +275,21 @@ def usfm_split_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").select("o_orderkey", numbers.alias("n")).select("o_orderkey", F.size("n").cast("long").alias("valid"), F.array_min("n").alias("primary_verse"))
 
 
-def nested_document_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _document_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = c_rows(spark, sf_dir).withColumn("language", T.language(F.col("raw_language"))).filter("language IS NOT NULL")
-    verses = rows.select("language", "book_sort", F.format_string("Book %d", "book_sort").alias("book_name"), F.format_string("B%d", "book_sort").alias("usfm"), "chapter_sort", F.col("section_sort").alias("verse_sort"), F.lit("").alias("sub_title"), "content", F.lit("").alias("note"), F.lit("").alias("cross_ref"))
-    return files.document_totals(files.nested(verses))
+    return rows.select("language", "book_sort", F.format_string("Book %d", "book_sort").alias("book_name"), F.format_string("B%d", "book_sort").alias("usfm"), "chapter_sort", F.col("section_sort").alias("verse_sort"), F.lit("").alias("sub_title"), "content", F.lit("").alias("note"), F.lit("").alias("cross_ref"))
+
+
+def nested_document_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return files.document_totals(files.nested(_document_rows(spark, sf_dir), per_book=True))
+
+
+def documents_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A document per book and language, written and read back."""
+    at = f"{_shared(spark)}/documents-{uuid.uuid4().hex}"
+    files.write_documents(files.nested(_document_rows(spark, sf_dir), per_book=True), at)
+    back = files.flatten(files.read_documents(spark, at))
+    return back.select("language", "book_sort", "book_name", "chapter_sort", "verse_sort", F.md5(F.col("content").cast("binary")).alias("digest"))
 
 
 def jsonl_import(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -232,26 +301,33 @@ def jsonl_import(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.good(found).groupBy("lang").agg(F.count("*").alias("records"), F.sum(F.length("content")).cast("long").alias("n_chars"))
 
 
+def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return c_rows(spark, sf_dir).select(F.col("raw_language").alias("lang"), "book_sort", F.format_string("Book %d", "book_sort").alias("book_name"), "chapter_sort", F.col("section_sort").alias("verse_sort"), "content")
+
+
 def load_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What an import of the conversations holds of each table."""
-    rows = c_rows(spark, sf_dir).select(F.col("raw_language").alias("lang"), "book_sort", "chapter_sort", F.col("section_sort").alias("verse_sort"), "content")
+    """What an import of the conversations holds of each of the six tables."""
     out = None
-    for name, df in load.tables(load.prepared(rows)).items():
+    for name, df in load.tables(load.prepared(_records(spark, sf_dir))).items():
         one = df.agg(F.count("*").alias("n"), F.count_distinct("id").alias("ids")).select(F.lit(name).alias("table_name"), "n", "ids")
         out = one if out is None else out.union(one)
     return out
 
 
-def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Conversations written as JSON lines, streamed twice into one store; its final contents."""
-    import tempfile
-    import uuid
+def _shared(spark: SparkSession) -> str:
+    """The folder that driver and executors share; one of its own only for a session of one process."""
+    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not found:
+        if not spark.sparkContext.master.startswith(("local[", "local")) or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        found = "file://" + tempfile.mkdtemp(prefix="lectern-")
+        spark.conf.set("spark.checkpoint.dir", found)
+    return found.rstrip("/")
 
-    from lectern.operators.merge import Store
-    from lectern.streaming.ingest import ingest
 
-    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir") or "file://" + tempfile.mkdtemp(prefix="lectern-")
-    at = f"{shared.rstrip('/')}/ingest-{uuid.uuid4().hex}"
+def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations written as JSON lines, streamed twice into one store; its final contents."""
+    at = f"{_shared(spark)}/ingest-{uuid.uuid4().hex}"
     rows = c_rows(spark, sf_dir).select(F.concat_ws(".", "chapter_sort", "section_sort").alias("passage_id"), F.col("raw_language").alias("lang"), F.lit(1).alias("bible_id"), "book_sort", "chapter_sort", F.col("section_sort").alias("verse_sort"), "content")
     store = Store(spark, f"{at}/store")
     for part in (0, 1):
@@ -261,6 +337,101 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return written.select("section_id", "language", "title", F.md5(F.col("content").cast("binary")).alias("digest"))
 
 
+def completed_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys of finished work read back from JSON lines, some of which are broken or repeated."""
+    at = f"{_shared(spark)}/completed-{uuid.uuid4().hex}"
+    turns = table(spark, sf_dir, "conversations")
+    record = F.to_json(F.struct(F.concat_ws(".", "conv_id", (F.col("turn") / 2).cast("int")).alias("passage_id"), F.col("role").alias("lang"), F.lit(1).alias("bible_id"), F.col("text").alias("content")))
+    turns.select(F.when(F.length("text") % 10 == 0, F.lit('{"passage_id": "broken')).otherwise(record).alias("value")).write.text(at)
+    return files.read_completed(spark, at)
+
+
+def spec_file_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A specification written for the 66 books of the catalogue, read back and checked against it."""
+    at = f"{_shared(spark)}/spec-{uuid.uuid4().hex}"
+    counts = catalogue(spark).select("book_sort", F.explode(F.sequence(F.lit(1), F.col("total_chapters"))).alias("chapter_sort"))
+    made = spec.verses_map(counts.select("book_sort", "chapter_sort", (F.col("chapter_sort") % 30 + F.col("book_sort")).cast("int").alias("verses")))
+    files.write_spec(made.withColumns({"name": F.lit("n"), "testament": F.lit("t")}), at, "T", "V", T.ENGLISH)
+    back = files.read_spec(spark, at)
+    spec.assert_catalogue(back)
+    return spec.spec_rows(back).select("number", "position", "verses")
+
+
+def chosen_work(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spec.work_items(_counted(spark, sf_dir), [2, 3, 3, 8, 10**9])
+
+
+def zipped_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    customer = table(spark, sf_dir, "customer")
+    en = customer.select(F.col("c_custkey").alias("pos"), F.col("c_name").alias("en_title"))
+    zh = customer.select(F.col("c_custkey").alias("pos"), F.concat(F.lit("書 "), "c_name").alias("zh_title"))
+    return spec.zipped(en, zh)
+
+
+def url_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Escapes, templates, comma lists, estimates and bracketed pointers."""
+    o = F.col("o_orderkey")
+    place = F.concat(F.lit("a b/"), o.cast("string"), F.lit("+ü"))
+    listed = F.concat((o % 80).cast("string"), F.lit(", x,"), (o % 7).cast("string"), F.lit(" ,,66"))
+    return table(spark, sf_dir, "orders").select(
+        "o_orderkey",
+        T.query_escape(place).alias("query"),
+        T.path_escape(place).alias("path"),
+        T.page_url("https://example.org/%d.html", o).alias("page"),
+        F.array_join(T.int_list(listed).cast("array<string>"), ",").alias("books"),
+        T.see(T.ref_key(F.lit("GEN"), o % 50, o % 30)).alias("pointer"),
+        F.round(T.minutes(o, F.lit(2.0)), 6).alias("minutes"),
+    )
+
+
+def big5_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Big5 bytes of a fixed greeting and a key, decoded."""
+    raw = F.concat(F.unhex(F.lit("A741A66EA540ACC9")), F.encode(F.concat(F.lit(" "), "c_name"), "US-ASCII"))
+    return table(spark, sf_dir, "customer").select("c_custkey", extract.decode_big5(raw).alias("decoded"))
+
+
+def rest_books(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Responses with books, chapters and verses, decoded to a work list: verses of each place."""
+    verse = F.struct(F.when(F.col("o_orderkey") % 9 == 0, "intro").otherwise((F.col("o_orderkey") % 5).cast("string")).alias("id"), F.concat_ws(".", "o_custkey", "o_orderkey").alias("passage_id"))
+    chapters = table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", F.struct(F.col("o_orderkey").cast("string").alias("id"), F.array(verse).alias("verses")).alias("c"))
+    books_ = chapters.groupBy("o_custkey").agg(F.array_sort(F.collect_list(F.struct("o_orderkey", "c"))).alias("c")).select("o_custkey", F.struct(F.col("o_custkey").cast("string").alias("id"), F.transform("c", lambda x: x["c"]).alias("chapters")).alias("b"))
+    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    bodies = books_.join(customer, F.col("o_custkey") == F.col("c_custkey")).groupBy("c_nationkey").agg(F.array_sort(F.collect_list(F.struct("o_custkey", "b"))).alias("d"))
+    responses = bodies.select(F.to_json(F.struct(F.transform("d", lambda x: x["b"]).alias("data"))).alias("body"))
+    return rest.verse_work(rest.books(responses))
+
+
+def rest_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages as responses, some of them broken."""
+    turns = table(spark, sf_dir, "conversations")
+    body = F.to_json(F.struct(F.concat_ws(".", "conv_id", "turn").alias("id"), F.col("text").alias("content"), F.col("role").alias("reference")))
+    found = rest.passage(turns.select(F.when(F.length("text") % 10 == 0, F.lit("{broken")).otherwise(body).alias("body")))
+    return found.select("id", F.md5(F.col("content").cast("binary")).alias("digest"), "reference")
+
+
+def rest_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Versions, days and single books, chapters and verses, decoded from their responses."""
+    nation = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("k"), F.col("n_name").alias("name"))
+    listed = nation.groupBy(F.lit(1)).agg(F.array_sort(F.collect_list(F.struct(F.col("k").cast("int").alias("id"), F.col("name").alias("title")))).alias("data"))
+    body = lambda df, column: df.select(F.to_json(column).alias("body"))
+    one = F.struct(F.col("k").cast("int").alias("id"), F.col("name").alias("title"))
+    part = F.struct(F.col("k").cast("string").alias("id"), F.concat(F.lit("p."), "name").alias("passage_id"), F.col("name").alias("title"))
+    days = nation.select(F.to_json(F.struct(F.array(F.struct((F.col("k") + 1).cast("int").alias("day"), F.col("name").alias("passage_id"))).alias("data"))).alias("body"))
+    found = {
+        "versions": rest.versions(body(listed, F.struct("data"))).select(F.col("id").cast("string").alias("id"), "title"),
+        "version": rest.version(body(nation, one)).select(F.col("id").cast("string").alias("id"), "title"),
+        "book": rest.book(body(nation, part)).select("id", "title"),
+        "chapter": rest.chapter(body(nation, part)).select("id", F.col("passage_id").alias("title")),
+        "verse": rest.verse(body(nation, part)).select("id", F.col("passage_id").alias("title")),
+        "days": rest.days(days).select(F.col("day").cast("string").alias("id"), F.col("passage_id").alias("title")),
+    }
+    out = None
+    for kind, df in found.items():
+        own = df.select(F.lit(kind).alias("kind"), "id", "title")
+        out = own if out is None else out.union(own)
+    return out
+
+
 # ---------------------------------------------------------------- SQL
 
 _T = """
@@ -303,6 +474,9 @@ refs AS (SELECT l_orderkey || '-' || l_linenumber AS id, CASE WHEN p % 17 = 0 TH
     l_orderkey AS o, l_linenumber AS n FROM (SELECT l_orderkey, l_linenumber, min(l_partkey) AS p FROM lineitem GROUP BY ALL)),
 names AS (SELECT * FROM (VALUES (0, 'general_bibles'), (1, 'general_template_bibles'), (2, 'devotion_bibles')) AS v(kind, source_table))"""
 
+_ITEMS = """
+i AS (SELECT conv_id AS page_id, turn, length(text) AS size, text, (row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1)::INT AS pos FROM conversations),
+items AS (SELECT page_id, pos, CASE WHEN turn % 3 = 1 OR turn % 5 = 4 THEN pos + 1 ELSE turn + 2 END::INT AS verse_sort, CASE WHEN size % 7 = 0 THEN '' ELSE text END AS content FROM i)"""
 _STATUS = "CASE WHEN {0} IS NULL THEN 'MISSING' ELSE 'OK' END"
 _LINES = """SELECT o_custkey + 1 AS book_sort, o_orderkey % 150 + 1 AS chapter_sort, count(*) AS verses FROM lineitem JOIN orders ON o_orderkey = l_orderkey GROUP BY ALL"""
 _COUNTED = "SELECT (o_custkey + 1)::INT AS book_sort, count(*)::INT AS total_chapters FROM orders GROUP BY ALL"
@@ -388,11 +562,42 @@ def _sql() -> dict[str, str]:
         "usfm_split_validate": """SELECT o_orderkey, (CASE WHEN o_orderkey % 5 = 1 AND o_orderkey % 310 BETWEEN 1 AND 300 THEN 1 ELSE 0 END + CASE WHEN o_orderkey % 3 = 1 AND o_orderkey % 7 > 0 THEN 1 ELSE 0 END)::BIGINT AS valid,
   least(CASE WHEN o_orderkey % 5 = 1 AND o_orderkey % 310 BETWEEN 1 AND 300 THEN o_orderkey % 310 END, CASE WHEN o_orderkey % 3 = 1 AND o_orderkey % 7 > 0 THEN o_orderkey % 7 END)::INT AS primary_verse FROM orders""",
         "whitespace_normalise": """SELECT doc_id, length(regexp_replace(text, '^[\\s\\x0b\\x{85}\\p{Z}]+|[\\s\\x0b\\x{85}\\p{Z}]+$', '', 'g'))::BIGINT AS n_trimmed, md5(trim(regexp_replace(text, '[\\s\\x0b\\x{85}\\p{Z}]+', ' ', 'g'))) AS collapsed FROM documents""",
+        "documents_roundtrip": f"WITH {_ROWS} SELECT language, book_sort, 'Book ' || book_sort AS book_name, chapter_sort, section_sort AS verse_sort, md5(content) AS digest FROM r",
+        "parse_list_items": f"""WITH {_ITEMS} SELECT page_id, pos, verse_sort, md5(content) AS digest FROM items WHERE content <> ''""",
+        "items_within_spec": f"""WITH {_ITEMS} SELECT page_id, pos, verse_sort FROM items WHERE content <> '' AND verse_sort <= page_id % 4 + 2""",
+        "max_item_per_page": f"""WITH {_ITEMS} SELECT page_id, max(verse_sort) AS verses, NULL::VARCHAR AS error FROM items GROUP BY page_id
+  UNION ALL SELECT -1 - page_id, NULL::INT, 'no verses found' FROM pages""",
+        "parse_chapter": f"""WITH v AS (SELECT conv_id AS page_id, turn, (turn + 1)::INT AS verse_sort, turn % 7 AS kind, trim(regexp_replace(text, '[\\s\\x0b\\x{{85}}\\p{{Z}}]+', ' ', 'g')) AS body FROM conversations WHERE turn < {T.MAX_VERSE})
+  SELECT page_id, verse_sort, CASE WHEN turn % 4 = 0 THEN 'Part ' || turn ELSE '' END AS sub_title, md5(CASE kind WHEN 5 THEN '' WHEN 6 THEN 'Some say' ELSE body END) AS digest,
+    CASE kind WHEN 5 THEN 'ref:MRK.9.29' WHEN 6 THEN 'omitted' ELSE '' END AS note, CASE kind WHEN 5 THEN 'MRK.9.29' ELSE '' END AS cross_ref, NULL::VARCHAR AS error FROM v
+  UNION ALL SELECT page_id, verse_sort + 100, '', md5('{T.MERGED}'), 'merged', '', NULL FROM v WHERE kind = 4 AND verse_sort + 100 <= {T.MAX_VERSE}""",
+        "completed_keys": "SELECT DISTINCT conv_id || '.' || turn // 2 AS passage_id, role AS lang FROM conversations WHERE length(text) % 10 <> 0",
+        "spec_file_roundtrip": f"""WITH spec(number, chapters) AS (VALUES {_values([(b[0], b[4]) for b in canon()])}) SELECT number::INT AS number, c::INT AS position, (c % 30 + number)::INT AS verses FROM (SELECT number, unnest(range(1, chapters + 1)) AS c FROM spec)""",
+        "chosen_work": f"""SELECT language, book_sort, chapter_sort::INT AS chapter_sort FROM (SELECT book_sort, unnest(range(1, total_chapters + 1)) AS chapter_sort FROM ({_COUNTED}) WHERE book_sort IN (2, 3, 8)) CROSS JOIN (VALUES ('chinese'), ('english')) AS l(language)""",
+        "zipped_titles": "SELECT c_custkey AS pos, c_name AS en_title, '書 ' || c_name AS zh_title FROM customer",
+        "url_texts": """SELECT o_orderkey, 'a+b%2F' || o_orderkey || '%2B%C3%BC' AS query, 'a%20b%2F' || o_orderkey || '%2B%C3%BC' AS path, 'https://example.org/' || o_orderkey || '.html' AS page,
+  concat_ws(',', CASE WHEN o_orderkey % 80 BETWEEN 1 AND 66 THEN o_orderkey % 80 END, CASE WHEN o_orderkey % 7 > 0 THEN o_orderkey % 7 END, 66) AS books, '[See GEN.' || o_orderkey % 50 || '.' || o_orderkey % 30 || ']' AS pointer, round(o_orderkey / 2.0 / 60, 6) AS minutes FROM orders""",
+        "big5_texts": "SELECT c_custkey, '你好世界 ' || c_name AS decoded FROM customer",
+        "rest_books": """WITH c AS (SELECT o_custkey, o_orderkey, c_nationkey, dense_rank() OVER (PARTITION BY c_nationkey ORDER BY o_custkey) AS book_sort, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS chapter_sort FROM orders JOIN customer ON c_custkey = o_custkey)
+  SELECT book_sort::INT AS book_sort, chapter_sort::INT AS chapter_sort, (o_orderkey % 5)::INT AS verse_sort, o_custkey || '.' || o_orderkey AS passage_id FROM c WHERE o_orderkey % 9 <> 0 AND o_orderkey % 5 > 0""",
+        "rest_passages": "SELECT CASE WHEN ok THEN conv_id || '.' || turn END AS id, CASE WHEN ok THEN md5(text) END AS digest, CASE WHEN ok THEN role END AS reference FROM (SELECT *, length(text) % 10 <> 0 AS ok FROM conversations)",
+        "rest_entities": """SELECT kind, CASE kind WHEN 'days' THEN n_nationkey + 1 ELSE n_nationkey END::VARCHAR AS id, CASE WHEN kind IN ('chapter', 'verse') THEN 'p.' || n_name ELSE n_name END AS title
+  FROM nation CROSS JOIN (VALUES ('versions'), ('version'), ('book'), ('chapter'), ('verse'), ('days')) AS k(kind)""",
+        "migration_steps": f"""WITH {_ROWS}, s AS (SELECT DISTINCT book_sort, chapter_sort, section_sort FROM r), k AS (SELECT *, chapter_sort % 3 AS kind FROM (SELECT DISTINCT book_sort, chapter_sort, section_sort FROM raw)),
+    names AS (SELECT * FROM (VALUES (0, 'general_bibles'), (1, 'general_template_bibles'), (2, 'devotion_bibles')) AS v(kind, name)), fresh AS (SELECT * FROM r WHERE chapter_sort % 7 <> 0)
+  SELECT 'saved' AS step, name, count(s.book_sort) AS n FROM names LEFT JOIN k ON k.kind = names.kind AND k.chapter_sort % 5 <> 0 LEFT JOIN s ON s.book_sort = k.book_sort AND s.chapter_sort = k.chapter_sort AND s.section_sort = k.section_sort GROUP BY name
+  UNION ALL SELECT 'left', 'sections', 0
+  UNION ALL SELECT 'loaded', 'books', count(DISTINCT book_sort) FROM fresh UNION ALL SELECT 'loaded', 'chapters', count(DISTINCT chapter_sort) FROM fresh
+  UNION ALL SELECT 'loaded', 'sections', count(DISTINCT (chapter_sort, section_sort)) FROM fresh UNION ALL SELECT 'loaded', 'book_contents', count(DISTINCT (book_sort, language)) FROM fresh
+  UNION ALL SELECT 'loaded', 'chapter_contents', count(DISTINCT (chapter_sort, language)) FROM fresh UNION ALL SELECT 'loaded', 'section_contents', count(DISTINCT (chapter_sort, section_sort, language)) FROM fresh
+  UNION ALL SELECT 'orphans', name, count(k.book_sort) FROM names LEFT JOIN (SELECT k.* FROM k LEFT JOIN s ON s.chapter_sort = k.chapter_sort AND s.section_sort = k.section_sort WHERE k.chapter_sort % 5 = 0 OR k.chapter_sort % 7 = 0 OR s.book_sort IS NULL) k ON k.kind = names.kind GROUP BY name
+  UNION ALL SELECT 'cleaned', 'all', 0 UNION ALL SELECT 'cleaned', 'none', 1 UNION ALL SELECT 'backups', 'left', 0""",
         "nested_document_totals": f"WITH {_ROWS} SELECT language, count(DISTINCT book_sort) AS books, count(DISTINCT chapter_sort) AS chapters, count(*) AS verses FROM r GROUP BY language",
         "jsonl_import": "SELECT role AS lang, count(*) AS records, sum(length(text))::BIGINT AS n_chars FROM conversations WHERE length(text) % 10 <> 0 GROUP BY role",
         "load_tables": f"""WITH {_ROWS} SELECT 'books' AS table_name, count(DISTINCT book_sort) AS n, count(DISTINCT book_sort) AS ids FROM r
   UNION ALL SELECT 'chapters', count(DISTINCT chapter_sort), count(DISTINCT chapter_sort) FROM r
   UNION ALL SELECT 'sections', count(DISTINCT (chapter_sort, section_sort)), count(DISTINCT (chapter_sort, section_sort)) FROM r
+  UNION ALL SELECT 'book_contents', count(DISTINCT (book_sort, language)), count(DISTINCT (book_sort, language)) FROM r
   UNION ALL SELECT 'chapter_contents', count(DISTINCT (chapter_sort, language)), count(DISTINCT (chapter_sort, language)) FROM r
   UNION ALL SELECT 'section_contents', count(DISTINCT (chapter_sort, section_sort, language)), count(DISTINCT (chapter_sort, section_sort, language)) FROM r""",
         "stream_ingest": f"""WITH {_C} SELECT md5('section:' || book_sort || ':' || chapter_sort || ':' || section_sort) AS section_id, language, title, md5(trim(content)) AS digest FROM C_contents""",
@@ -414,6 +619,7 @@ _QUERIES = (
     orphan_counts,
     backup_coordinates,
     restore_rekey,
+    migration_steps,
     get_or_create_sections,
     upsert_actions,
     write_rejects,
@@ -423,16 +629,27 @@ _QUERIES = (
     spec_map_roundtrip,
     group_summary,
     max_item_per_page,
+    items_within_spec,
     resolve_refs,
     titles_localised,
     whitespace_normalise,
     usfm_split_validate,
     nested_document_totals,
+    documents_roundtrip,
     jsonl_import,
     load_tables,
     parse_chapter,
     parse_list_items,
     stream_ingest,
+    completed_keys,
+    spec_file_roundtrip,
+    chosen_work,
+    zipped_titles,
+    url_texts,
+    big5_texts,
+    rest_books,
+    rest_passages,
+    rest_entities,
 )
 
 

@@ -15,8 +15,9 @@ _BAD = "_bad"
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
-    """Nested documents, one per file; a file over ``MAX_DOCUMENT`` raises when it is read."""
-    found = spark.read.schema(schemas.DOCUMENT).option("multiLine", True).json(path).select("*", "_metadata.file_size")
+    """Nested documents, one per file of the folder and of those below it; a file over ``MAX_DOCUMENT``
+    raises when it is read."""
+    found = spark.read.schema(schemas.DOCUMENT).option("multiLine", True).option("recursiveFileLookup", True).json(path).select("*", "_metadata.file_size")
     size = F.when(F.col("file_size") > MAX_DOCUMENT, F.raise_error(F.lit("document too large")).cast("long")).otherwise(F.col("file_size"))
     return found.withColumn("file_size", size)
 
@@ -31,8 +32,12 @@ def flatten(documents: DataFrame) -> DataFrame:
     return verses.select("language", "book_sort", "book_name", "usfm", "chapter_sort", "v.verse_sort", text("sub_title"), text("content"), text("note"), text("cross_ref"), pos)
 
 
-def nested(verses: DataFrame) -> DataFrame:
-    """One document per language: books of chapters of verses, each in order; two small groupings."""
+def nested(verses: DataFrame, per_book: bool = False) -> DataFrame:
+    """Documents of books of chapters of verses, each in order: one per language, or one per book.
+
+    A document is one row. Those of a language hold all its books, which suits one corpus; where a
+    language has more text than a row may hold, write a document per book.
+    """
     optional = lambda c: F.nullif(F.col(c), F.lit("")).alias(c)
     verse = F.struct("verse_sort", optional("sub_title"), "content", optional("note"), optional("cross_ref"))
     in_order = lambda c: F.transform(F.array_sort(F.collect_list(c)), lambda x: x["item"])
@@ -40,20 +45,27 @@ def nested(verses: DataFrame) -> DataFrame:
     chapters = verses.groupBy("language", "book_sort", "book_name", "usfm", "chapter_sort").agg(in_order(item("verse_sort", verse)).alias("verses"))
     books = chapters.groupBy("language", "book_sort", "book_name", "usfm").agg(in_order(item("chapter_sort", F.struct("chapter_sort", "verses"))).alias("chapters"))
     book = F.struct("book_sort", "book_name", F.col("usfm").alias("book_usfm"), "chapters")
+    if per_book:
+        return books.select("language", F.array(book).alias("books"))
     return books.groupBy("language").agg(in_order(item("book_sort", book)).alias("books"))
 
 
 def document_totals(documents: DataFrame) -> DataFrame:
-    """Books, chapters and verses of each document."""
+    """Books, chapters and verses of each language, summed over its documents."""
     chapters = F.flatten(F.transform("books", lambda b: b["chapters"]))
     verses = F.aggregate(F.transform(chapters, lambda c: F.size(c["verses"])), F.lit(0), lambda a, n: a + n)
-    return documents.select("language", F.size("books").cast("long").alias("books"), F.size(chapters).cast("long").alias("chapters"), verses.cast("long").alias("verses"))
+    each = documents.select("language", F.size("books").cast("long").alias("books"), F.size(chapters).cast("long").alias("chapters"), verses.cast("long").alias("verses"))
+    return each.groupBy("language").agg(*(F.sum(c).alias(c) for c in ("books", "chapters", "verses")))
 
 
 def write_documents(documents: DataFrame, path: str) -> None:
-    """One JSON document per row; the commit protocol makes each write whole or absent."""
+    """One JSON document per row, each in a file of its own, as ``read_documents`` expects them.
+
+    The commit protocol makes the write whole or absent.
+    """
     stamped = documents.withColumn("crawled_at", F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss'Z'"))
-    stamped.select(F.to_json(F.struct("*"), {"pretty": "true"}).alias("value")).repartition("value").write.mode("overwrite").option("lineSep", "\n").text(path)
+    text = stamped.select(F.to_json(F.struct("*"), {"pretty": "true"}).alias("value"), F.concat_ws("-", "language", F.monotonically_increasing_id()).alias("document"))
+    text.write.mode("overwrite").partitionBy("document").option("lineSep", "\n").text(path)
 
 
 def append_records(records: DataFrame, path: str) -> None:
@@ -92,6 +104,17 @@ def read_completed(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schema).json(path).filter("passage_id IS NOT NULL AND lang IS NOT NULL").distinct()
 
 
+def completed_or_fresh(spark: SparkSession, path: str, warn=print) -> DataFrame:
+    """The same, read at once; a file that cannot be read is reported and counts as no work done."""
+    try:
+        found = read_completed(spark, path).persist()
+        found.count()
+    except Exception as e:  # whatever the storage raises: work done twice is merged by key
+        warn(f"could not read {path}: {e}; starting afresh")
+        return spark.createDataFrame([], "passage_id string, lang string")
+    return found
+
+
 def read_spec(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.SPEC).option("multiLine", True).option("mode", "FAILFAST").json(path)
 

@@ -8,11 +8,14 @@ import urllib.error
 import urllib.request
 from collections.abc import Callable, Iterator
 
-import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from lectern.functions import text as T
+from lectern.sources.files import append_records, completed_or_fresh
 
 VERSION = "struct<id:int,abbreviation:string,title:string,localized_title:string,language_tag:string,copyright:string,books:array<string>>"
 CHAPTER = "struct<id:string,passage_id:string,title:string,verses:array<struct<id:string,passage_id:string,title:string>>>"
@@ -85,15 +88,20 @@ def delay(attempt: int, base: float, cap: float = 60.0, draw: Callable[[], float
     return min(cap, base * 2**attempt * (0.75 + 0.5 * draw()))
 
 
+def pause(index: int, share: int, of: int, per_second: float, draw: Callable[[], float] = random.random) -> float:
+    """Seconds before a request: partitions begin one after the other, then each keeps its part of the rate,
+    with a quarter of jitter either way."""
+    return share / per_second if index == 0 else of / per_second * (0.75 + 0.5 * draw())
+
+
 def fetch(urls: DataFrame, per_second: float, retries: int = 5, base: float = 1.0, timeout: float = 30.0, headers: dict[str, str] | None = None, get=http_get, sleep=time.sleep, partitions: int = 8) -> DataFrame:
-    """For each url: status, body, error. Each partition gets its share of the rate.
+    """Each row of ``urls`` with status, body and error. Each partition gets its share of the rate.
 
     404 is an answer without a body; 403 and empty or overlong bodies are final; all else is tried
-    again, ``retries`` times.
+    again, ``retries`` times. Other columns are kept, in front.
     """
-    schema = "url string, status int, body string, error string"
-    pause = partitions / per_second
     sent = headers or {}
+    kept = urls.schema
 
     def one(url: str) -> tuple:
         error, status = "", 0
@@ -107,23 +115,42 @@ def fetch(urls: DataFrame, per_second: float, retries: int = 5, base: float = 1.
                 continue
             if status == 200:
                 if len(raw) > MAX_BODY:
-                    return url, status, None, "body too large"
-                return (url, status, raw.decode("utf-8", "replace"), None) if raw.strip() else (url, status, None, "empty body")
+                    return status, None, "body too large"
+                return (status, raw.decode("utf-8", "replace"), None) if raw.strip() else (status, None, "empty body")
             if status in (403, 404):
-                return url, status, None, None if status == 404 else "forbidden"
+                return status, None, None if status == 404 else "forbidden"
             error = f"status {status}: {raw[:MAX_ERROR].decode('utf-8', 'replace')}"
-        return url, status, None, error
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            rows = []
-            for i, url in enumerate(frame["url"]):
-                if i:
-                    sleep(pause)
-                rows.append(one(url))
-            yield pd.DataFrame(rows, columns=["url", "status", "body", "error"]).astype({"status": "int32"})
-
-    return urls.select("url").repartition(partitions).mapInPandas(run, schema)
+        return status, None, error
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        share, sent_ = TaskContext.get().partitionId(), 0
+        for batch in batches:
+            for i, url in enumerate(batch.column(batch.schema.get_field_index("url")).to_pylist()):
+                sleep(pause(sent_, share, partitions, per_second))
+                sent_ += 1
+                status, body, error = one(url)  # passed on at once: a body may be large
+                answer = [pa.array([status], pa.int32()), pa.array([body], pa.string()), pa.array([error], pa.string())]
+                yield pa.RecordBatch.from_arrays([*(c.slice(i, 1) for c in batch.columns), *answer], names=[*batch.schema.names, "status", "body", "error"])
+
+    schema = StructType([*kept.fields, StructField("status", IntegerType()), StructField("body", StringType()), StructField("error", StringType())])
+    return urls.repartition(partitions).mapInArrow(run, schema)
+
+
+def crawl(work: DataFrame, path: str, base: str, version_id: int, per_second: float, **options) -> dict[str, int]:
+    """Fetch the passages of ``work`` that the JSON lines under ``path`` lack, and append them there.
+
+    ``work``: passage_id, lang, book_sort, chapter_sort, verse_sort. Stopped and run again, it goes on with
+    what is left. Missing passages and failures are counted and left for another run.
+    """
+    spark = work.sparkSession
+    left = work.join(completed_or_fresh(spark, path), ["passage_id", "lang"], "left_anti")
+    seen = Observation("crawl")  # counted while the answers are written: each url is asked once
+    answers = fetch(passage_urls(left, base, version_id), per_second, **options)
+    answers = answers.observe(seen, F.count(F.lit(1)).alias("asked"), F.count_if(F.col("error").isNotNull()).alias("failed"), F.count_if(F.col("status") == 404).alias("missing"))
+    text = F.from_json("body", PASSAGE)["content"]
+    written = answers.select("passage_id", "lang", F.lit(version_id).alias("bible_id"), "book_sort", "chapter_sort", "verse_sort", text.alias("content"), F.current_timestamp().alias("crawled_at"))
+    append_records(written.filter("content IS NOT NULL"), path)
+    return dict(seen.get)
 
 
 def fetched(responses: DataFrame) -> DataFrame:

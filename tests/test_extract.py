@@ -127,9 +127,20 @@ def test_numbered_items(spark):
     pages = spark.createDataFrame([(1, '<ol><li value="notanumber">text</li><li value="1">  </li></ol>'), (2, '<ol><li value="5">far</li><li value="-2">　b　</li></ol>'), (3, None)], "page_id long, html string")
     items = numbered(list_items(pages))
     bounds = spark.createDataFrame([(1, 2), (2, 4)], "page_id long, max_verses int")
+    assert sorted(map(tuple, numbered(items_of := list_items(pages)).select("page_id", "verse_sort", "content").collect())) == [(1, 1, "text"), (2, 2, "b"), (2, 5, "far")]
     kept = sorted((r["page_id"], r["verse_sort"], r["content"]) for r in within_spec(items, bounds).collect())
     assert kept == [(1, 1, "text"), (2, 2, "b")]
-    assert sorted(map(tuple, verse_counts(items).collect())) == [(1, 1), (2, 5)]
+    assert sorted(map(tuple, verse_counts(items_of).collect())) == [(1, 1, None), (2, 5, None), (3, None, "no verses found")]
+
+
+def test_bad_pages_become_error_rows(spark):
+    from lectern.operators.extract import MAX_PAGE, failed_pages, list_items, numbered, verse_counts
+
+    long = "<ol><li>a</li>" + " " * MAX_PAGE
+    items = list_items(spark.createDataFrame([(1, "<ol><li>a</ol>"), (2, "<ul><li>a</ul>"), (3, long), (4, "<ol><li> </ol>")], "page_id long, html string")).cache()
+    assert sorted(map(tuple, failed_pages(items).collect())) == [(2, "no verses found"), (3, "page too large, possibly cut off")]
+    assert [r["page_id"] for r in numbered(items).collect()] == [1]
+    assert {r["page_id"]: r["verses"] for r in verse_counts(items).collect()} == {1: 1, 2: None, 3: None, 4: 1}
 
 
 def test_chapter_operator_reports_bad_pages(spark):

@@ -171,14 +171,61 @@ def test_text_functions(spark):
 
 def test_documents_round_trip(spark, tmp_path):
     schema = "language string, book_sort int, book_name string, usfm string, chapter_sort int, verse_sort int, sub_title string, content string, note string, cross_ref string"
-    rows = [("english", b, f"Book {b}", f"B{b}", c, v, "s" if v == 1 else "", f"text {v}", "", "") for b in (2, 1) for c in (10, 9) for v in (2, 1, 3)]
-    files.write_documents(files.nested(spark.createDataFrame(rows, schema)), f"file://{tmp_path}/docs")
-    document = json.loads("".join(p.read_text() for p in (tmp_path / "docs").glob("part-*")))
-    assert [b["book_sort"] for b in document["books"]] == [1, 2] and [c["chapter_sort"] for c in document["books"][0]["chapters"]] == [9, 10]
-    assert "note" not in document["books"][0]["chapters"][0]["verses"][0]
-    back = files.read_documents(spark, f"file://{tmp_path}/docs")
-    assert tuple(files.document_totals(back).first()) == ("english", 2, 4, 12)
-    assert sorted(map(tuple, files.flatten(back).drop("pos").collect())) == sorted(rows)
+    rows = [(lang, b, f"Book {b}", f"B{b}", c, v, "s" if v == 1 else "", f"text {v}", "", "") for lang in ("english", "chinese", "latin") for b in (2, 1) for c in (10, 9) for v in (2, 1, 3)]
+    verses = spark.createDataFrame(rows, schema)
+    for per_book, n in ((False, 3), (True, 6)):
+        at = tmp_path / f"docs{n}"
+        files.write_documents(files.nested(verses, per_book), f"file://{at}")
+        documents = [json.loads(p.read_text()) for p in at.rglob("part-*")]
+        assert len(documents) == n and "note" not in documents[0]["books"][0]["chapters"][0]["verses"][0]
+        for d in documents:
+            assert [b["book_sort"] for b in d["books"]] == ([1, 2] if not per_book else [d["books"][0]["book_sort"]])
+            assert [c["chapter_sort"] for c in d["books"][0]["chapters"]] == [9, 10]
+        back = files.read_documents(spark, f"file://{at}")
+        assert sorted(map(tuple, files.document_totals(back).collect())) == [(lang, 2, 4, 12) for lang in ("chinese", "english", "latin")]
+        assert sorted(map(tuple, files.flatten(back).drop("pos").collect())) == sorted(rows)
+
+
+def test_documents_into_the_store(spark, store):
+    schema = "language string, book_sort int, book_name string, usfm string, chapter_sort int, verse_sort int, sub_title string, content string, note string, cross_ref string"
+    good = spark.createDataFrame([("english", 1, "Genesis", "GEN", 1, v, "", f"t{v}", "", "") for v in (1, 2)], schema)
+    done = load.load_documents(store, files.nested(good))
+    assert done["section_contents"]["insert"] == 2 and done["book_contents"]["insert"] == 1
+    assert load.load_documents(store, files.nested(good))["section_contents"]["noop"] == 2
+    bad = spark.createDataFrame([("latin", 1, "Genesis", "GEN", 1, 1, "", "t", "", "")], schema)
+    with pytest.raises(ValueError, match="no verse written"):
+        load.load_documents(store, files.nested(bad))
+    empty = spark.createDataFrame([("english", [])], "language string, books array<struct<book_sort:int,book_name:string,book_usfm:string,chapters:array<struct<chapter_sort:int,verses:array<struct<verse_sort:int,sub_title:string,content:string,note:string,cross_ref:string>>>>>>")
+    assert load.load_documents(store, empty)["section_contents"] == {"insert": 0, "noop": 0, "update": 0}
+
+
+def test_get_or_create_keeps_whole_rows(spark):
+    schema = "source_table string, source_id string, a int, b int"
+    twice = spark.createDataFrame([("sA", "1", 9, 1), ("sA", "1", 1, 7), ("sB", "1", 2, 2)], schema)
+    none = spark.createDataFrame([], schema)
+    assert sorted(map(tuple, merge.get_or_create(none, twice, ["source_table", "source_id"]).collect())) == [("sA", "1", 1, 7), ("sB", "1", 2, 2)]
+
+
+def test_store_rewrites_only_what_changes(spark, tmp_path):
+    store = Store(spark, f"file://{tmp_path}/s", parts=8, keep=2)
+    rows = lambda *r: spark.createDataFrame(list(r), "k int, v string")
+    go = lambda df: store.merge("t", "k int, v string", df, ["k"], ["v"])
+    assert go(rows(*((i, "a") for i in range(200)))) == {"insert": 200, "noop": 0, "update": 0}
+    before = store.current("t")[1]
+    assert go(rows((5, "b"), (6, "a"))) == {"insert": 0, "noop": 1, "update": 1}
+    after = store.current("t")[1]
+    assert len(before) == 8 and sum(before[p] != after[p] for p in before) == 1
+    assert go(rows((5, "b"))) == {"insert": 0, "noop": 1, "update": 0} and store.current("t")[1] == after
+    for i in range(4):
+        go(rows((5, f"c{i}")))
+    assert {tuple(r) for r in store.read("t", "k int, v string").collect()} == {(i, "a") for i in range(200) if i != 5} | {(5, "c3")}
+    assert len(list((tmp_path / "s/_log/t").glob("[0-9]*"))) == 2 and not list((tmp_path / "s/_plans").glob("*"))
+    assert len(list((tmp_path / "s/t").iterdir())) <= 3 + 1
+    number, folders = store.current("t")
+    with pytest.raises(Exception, match="exist"):
+        store._commit("t", number - 1, folders)  # another writer was first
+    store.truncate("t", "k int, v string")
+    assert store.read("t", "k int, v string").count() == 0
 
 
 def test_records(spark, tmp_path):
@@ -207,6 +254,10 @@ def test_stream_resumes(spark, tmp_path):
     (folder / "b.jsonl").write_text("\n".join([line(2, "b"), line(3, "c")]))
     go()
     assert reports[1]["section_contents"] == {"insert": 1, "noop": 1, "update": 0}
+    (tmp_path / "c/metadata").write_text("broken")
+    warnings = []
+    ingest(spark, f"file://{folder}", store, f"file://{tmp_path}/c", report=lambda n, d: reports.append(d), warn=warnings.append)
+    assert len(warnings) == 1 and reports[2]["section_contents"] == {"insert": 0, "noop": 3, "update": 0}
     for _ in range(2):
         deduplicated(spark, f"file://{folder}", f"file://{tmp_path}/out", f"file://{tmp_path}/c2")
     assert spark.read.parquet(f"file://{tmp_path}/out").count() == 3
@@ -241,6 +292,38 @@ def test_fetch(spark):
     assert rest.delay(3, 1.0, draw=lambda: 0.5) == 8.0 and rest.delay(30, 1.0) == 60.0
 
 
+def test_fetch_keeps_the_rate(spark):
+    draws = iter([0.0, 0.5, 1.0])
+    assert [rest.pause(i, 2, 4, 2.0, draw=lambda: next(draws)) for i in (0, 1, 2, 3)] == [1.0, 1.5, 2.0, 2.5]
+
+
+def test_crawl_resumes(spark, tmp_path):
+    def get(url, headers, timeout):
+        if url.endswith("GEN.1.2"):
+            return 404, b""
+        return 200, json.dumps({"id": url.rpartition("/")[2], "content": "text", "reference": "r"}).encode()
+
+    work = spark.createDataFrame([(f"GEN.1.{v}", "english", 1, 1, v) for v in (1, 2, 3)], "passage_id string, lang string, book_sort int, chapter_sort int, verse_sort int")
+    go = lambda df: rest.crawl(df, f"file://{tmp_path}/lines", "https://x", 1, per_second=1e6, get=get, sleep=lambda s: None, partitions=2)
+    assert go(work.filter("verse_sort < 3")) == {"asked": 2, "failed": 0, "missing": 1}
+    assert go(work) == {"asked": 2, "failed": 0, "missing": 1}  # the missing one and the new one
+    found = files.good(files.read_records(spark, f"file://{tmp_path}/lines"))
+    assert sorted((r["passage_id"], r["content"]) for r in found.collect()) == [("GEN.1.1", "text"), ("GEN.1.3", "text")]
+
+
+def test_unreadable_checkpoint_starts_afresh(spark, tmp_path):
+    (tmp_path / "c.jsonl").write_bytes(b"x")
+    warnings = []
+    broken = f"file://{tmp_path}/c.jsonl/below"
+    assert files.completed_or_fresh(spark, "nosuchscheme://x/y", warnings.append).count() == 0 and len(warnings) == 1
+    assert files.completed_or_fresh(spark, broken, warnings.append).count() == 0
+
+
+def test_catalogue_check(spark, tmp_path):
+    with pytest.raises(ValueError, match="2 books, the catalogue 66"):
+        spec.assert_catalogue(spec_file(spark, tmp_path, "two.json", [{}, {}]))
+
+
 def test_config(tmp_path):
     (tmp_path / ".env").write_text('# c\nWORKERS=9\nexport BASE_URL="https://a.org/x"\nBOOKS=1,x,67,66\n')
     s = config.Settings.load({"REQUESTS_PER_SECOND": "bad", "VERSION_SUFFIX": "NIV", "WORKERS": "7"}, str(tmp_path / ".env"))
