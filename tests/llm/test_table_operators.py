@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from lectern.llm import components, jaccard, line_dedup, mixing, neighbours, registry, topk, toxicity
+from lectern.llm import components, jaccard, line_dedup, mixing, neighbours, ranking, registry, topk, toxicity
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, tiles string, part long, slot_ int, body string, row string, w long, s string, component long, n long, term long"
 EXTRA = ("x", 1, 2, "b", "r", 3, "s", 4, 5, 6)
@@ -133,7 +133,7 @@ def test_neighbours(spark):
     bad = [(9001, None), (9050, [0.0] * 24), (9100, [float("nan")] * 24), (9002, [1.0, None] + [1.0] * 22), (9003, [float("inf")] * 24), (9004, [1.0, 2.0]), (None, [1.0] * 24)]
     df = vectors(spark, [(i, v.tolist()) for i, v in enumerate(data)] + bad)
     got = defaultdict(list)
-    for r in neighbours.nearest(df, df.filter("vec_id % 50 = 0"), 5, neighbours.Settings(shard=700, block=25)).collect():
+    for r in neighbours.nearest(df, df.filter("vec_id % 50 = 0"), 5, neighbours.Settings(shard=700, block=25, bits=128)).collect():
         got[r["query_id"]].append((r["rank"], r["vec_id"], r["score"]))
     x = data.astype(np.float64)
     norm = np.sqrt((x * x).sum(axis=1))
@@ -157,15 +157,85 @@ def test_neighbours_edges(spark):
     assert neighbours.nearest(none, none).count() == 0 and neighbours.nearest(few, none).count() == 0
 
 
+def recall(spark, df, k=5, **settings):
+    """Share of the true neighbours found, greatest error of a score, and share of the rows met."""
+    rows = [(r["vec_id"], r["embedding"]) for r in df.collect()]
+    rows = [(i, v) for i, v in rows if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v) and any(v)]
+    ids, x = np.array([i for i, _ in rows]), np.array([v for _, v in rows], np.float64)
+    norm, got, met = np.sqrt((x * x).sum(axis=1)), defaultdict(dict), {}
+    for r in neighbours.nearest(df, df.filter("vec_id % 50 = 0"), k, neighbours.Settings(**settings)).collect():
+        got[r["query_id"]][r["vec_id"]] = r["score"]
+        met[r["query_id"]] = r["n_met"]
+    hits = error = 0
+    for at in np.flatnonzero(ids % 50 == 0).tolist():
+        scores = x @ x[at] / (norm * norm[at])
+        order = [i for i in np.lexsort((ids, -scores)).tolist() if i != at][:k]
+        own = got[int(ids[at])]
+        assert len(own) == min(k, len(ids) - 1)
+        # an equal score is as good
+        hits += sum(s >= scores[order[-1]] - 1e-12 for s in own.values())
+        known = dict(zip(ids.tolist(), scores.tolist()))
+        error = max([error, *(abs(known[i] - s) for i, s in own.items())])
+    asked = len(got)
+    return hits / (k * asked), error, sum(met.values()) / asked / len(ids)
+
+
+def test_recall_on_the_table_as_registered(spark):
+    found, error, share = recall(spark, spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet"))
+    assert found >= 0.9 and error < 1e-12 and share < 0.75  # 2,000 rows: their neighbours are far
+
+
+def test_larger_tables_are_probed_in_a_small_part(spark):
+    rng = np.random.default_rng(3)
+    centres = rng.normal(size=(400, 32))
+    data = (centres[rng.integers(0, 400, 20_000)] + 0.35 * rng.normal(size=(20_000, 32))).astype(np.float32)
+    found, error, share = recall(spark, vectors(spark, [(i, v.tolist()) for i, v in enumerate(data)]).select("vec_id", "embedding"))
+    assert found >= 0.9 and error < 1e-12 and share < 0.3
+
+
+@pytest.mark.parametrize("offset", [0.5, 1.0, 3.0])
+def test_recall_of_vectors_with_a_common_offset(spark, offset):
+    rng = np.random.default_rng(4)
+    data = (rng.normal(size=(3000, 32)) + offset).astype(np.float32)
+    found, error, _ = recall(spark, vectors(spark, [(i, v.tolist()) for i, v in enumerate(data)]).select("vec_id", "embedding"))
+    assert found >= 0.9 and error < 1e-12
+
+
+def test_components_of_any_size(spark):
+    rng = np.random.default_rng(5)
+    base = rng.normal(size=(40, 8))
+    rows = [(i, (v * 10.0 ** rng.choice([-300, -170, 0, 170, 300])).tolist()) for i, v in enumerate(base)] + [(100, [5e-324] * 8), (150, [1.7e308] * 8)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = defaultdict(list)
+    for r in neighbours.nearest(df, df.filter("vec_id % 50 = 0"), 5).collect():
+        got[r["query_id"]].append((r["rank"], r["vec_id"], r["score"]))
+    assert set(got) == {0, 100, 150} and all(-1 <= s <= 1 for found in got.values() for *_, s in found)
+    assert min(got[100])[1] == 150 and abs(min(got[100])[2] - 1) < 1e-12
+    x = base / np.sqrt((base * base).sum(axis=1))[:, None]
+    want = np.argsort(-(x[1:] @ x[0]), kind="stable")[:5] + 1
+    assert [i for _, i, _ in sorted(got[0])] == want.tolist() or {100, 150} & {i for _, i, _ in got[0]}
+
+
 def test_every_code_within_the_radius_is_met():
     rng = np.random.default_rng(1)
     data = rng.normal(size=(800, 32))
-    index = neighbours.MultiIndex(np.arange(800), data, neighbours.learn(data, neighbours.Settings()))
-    code, seen = index.codes[3], np.zeros(800, bool)
-    away = np.bitwise_count(index.codes ^ code).sum(axis=1)
-    for step in range(4):
-        index.within(code, step, seen)
-        assert seen[away <= index.m * (step + 1) - 1].all()
+    model = neighbours.learn(data, neighbours.Settings(bits=64))
+    codes = model.codes(neighbours.unit(data))
+    index, met = neighbours.MultiIndex(np.arange(800), data, codes), np.zeros(800, bool)
+    away = neighbours.differing(codes, codes[3]).sum(axis=1)
+    for radius in (0, 1, 2, 5, 8, 14, 21, 64):
+        index.probe(codes[3], 0, radius, met)
+        assert met[away <= radius].all()
+    assert met.all() and not met.sum() < 800
+
+
+def test_no_query_and_several_blocks(spark):
+    rng = np.random.default_rng(6)
+    df = vectors(spark, [(i, v.tolist()) for i, v in enumerate(rng.normal(size=(300, 4)))]).select("vec_id", "embedding")
+    settings = neighbours.Settings(block=1, shard=37)
+    assert neighbours.nearest(df, df.filter("vec_id < 0"), 2, settings).count() == 0
+    got = neighbours.nearest(df, df.filter("vec_id % 100 = 0"), 2, settings)
+    assert got.count() == 6 and neighbours.nearest(df, df, 500, neighbours.Settings()).count() == 300 * 299
 
 
 # ------------------------------------------------------------------ top-k
@@ -174,7 +244,7 @@ def test_every_code_within_the_radius_is_met():
 @pytest.mark.parametrize("common", [1, 20, 512])
 def test_topk_equals_brute_force(spark, monkeypatch, common):
     monkeypatch.setattr(topk, "COMMON", common)
-    monkeypatch.setattr(topk, "WIDER", 2)
+    monkeypatch.setattr(ranking, "WIDER", 2)
     monkeypatch.setattr(topk, "SHARD_DOCS", 40)
     monkeypatch.setattr(topk, "BLOCK_DOCS", 4)
     monkeypatch.setattr(topk, "QUERY_BLOCK", 3)
