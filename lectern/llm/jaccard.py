@@ -51,6 +51,8 @@ COUNTERS = 1 << 21
 #: Sets that a task remembers to have announced (a further copy of another one is announced again), and
 #: keys that it gathers before it passes them on.
 ANNOUNCED, FLUSH_KEYS = 200_000, 500_000
+#: Keys that are compared by one task, about: with few tasks a document is named by few.
+TASK_KEYS = 1_000_000
 _SLICE = 1 << 20
 
 _KEYS = "bucket int, docs binary, which binary, low binary, high binary"
@@ -428,7 +430,10 @@ def jaccard_components(docs: DataFrame, words: int = 5, threshold: tuple[int, in
     of = bands(*threshold)
     sets = stored(set_table(docs, words), "sets")
     buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    packed = key_table(docs, words, threshold, buckets).repartition("bucket")
+    # a document has two keys for each shingle in which it may differ, and two more
+    keys_ = F.sum(F.lit(2) + 2 * F.floor(F.col("n") * (threshold[1] - threshold[0]) / threshold[0]))
+    tasks = max(1, -(-int(sets.filter("n > 0").agg(F.coalesce(keys_, F.lit(0))).first()[0]) // TASK_KEYS))
+    packed = key_table(docs, words, threshold, max(buckets, 4 * tasks)).repartition(tasks, "bucket")
     near = stored(components(block_edges(packed)), "near")
     sized = sets.filter("n > 0").groupBy("doc_id").agg(F.max("n").alias("n"))
     blocks = near.join(sized, near["node"] == sized["doc_id"]).select("doc_id", "component", "n")
