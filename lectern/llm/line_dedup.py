@@ -2,17 +2,18 @@
 
 Documents are grouped by host. A line's share is the number of the host's pages that contain it
 over the host's page total; lines whose share exceeds ``ratio`` are boilerplate and are dropped.
-A page that a host repeats word for word counts once in both numbers, so a copied page does not
-become its own boilerplate.
+Every row with a text is a page, and a page counts once for a line, however often it has it. A line must
+be on ``min_hits`` pages at least: on one page alone it is not repeated, whatever the share (in a host
+of nine pages it has a ninth of them).
 
 A host has at most (mean lines per page) / ratio boilerplate lines, whatever its size, because
 each must lie in more than that share of its pages. They therefore travel as one short array per
 host, keyed by two independent 64-bit hashes, and the texts are filtered row by row.
 
-Defined results: null hosts form one host; a null text stays null with no lines; an empty text has
-one blank line; blank lines are never dropped; repeated rows are treated alike; hosts of fewer than
-``min_pages`` pages and lines on fewer than ``min_hits`` pages are left alone; an empty table gives
-no rows; all columns of the input are kept.
+Defined results: null hosts form one host; a null text stays null with no lines and is no page; an empty
+text has one blank line; blank lines are never dropped; repeated rows are pages of their own and are
+treated alike, so the lines of a page that a host repeats often go with it; an empty table gives no
+rows; all columns of the input are kept.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 
 from lectern.llm.common import stored
 
-RATIO, MIN_PAGES, MIN_HITS = 0.1, 20, 5
+RATIO, MIN_HITS = 0.1, 2
 
 
 def _host(df: DataFrame, host_col: str) -> Column:
@@ -33,21 +34,22 @@ def _key(line: Column) -> Column:
     return F.struct(F.xxhash64(line).alias("a"), F.xxhash64(F.lit("second"), line).alias("b"))
 
 
-def boilerplate(docs: DataFrame, host_col: str = "source", text_col: str = "text", ratio: float = RATIO, min_pages: int = MIN_PAGES, min_hits: int = MIN_HITS) -> DataFrame:
+def boilerplate(docs: DataFrame, host_col: str = "source", text_col: str = "text", ratio: float = RATIO, min_hits: int = MIN_HITS) -> DataFrame:
     """One row per host with boilerplate: host_key, and the hashes of those lines."""
     page = docs.select(_host(docs, host_col).alias("host_key"), docs[text_col].alias("body")).filter("body IS NOT NULL")
-    page = page.withColumn("page", _key(F.col("body")))
-    totals = page.select("host_key", "page").distinct().groupBy("host_key").agg(F.count("*").alias("pages"))
-    lines = page.select("host_key", "page", F.explode(F.split("body", "\n", -1)).alias("line")).filter(F.trim("line") != "")
-    hits = lines.select("host_key", "page", _key(F.col("line")).alias("line")).distinct().groupBy("host_key", "line").agg(F.count("*").alias("hits"))
-    frequent = hits.filter(F.col("hits") >= min_hits).join(totals.filter(F.col("pages") >= min_pages), "host_key").filter(F.col("hits") > ratio * F.col("pages"))
+    totals = page.groupBy("host_key").agg(F.count("*").alias("pages"))
+    written = F.filter(F.split("body", "\n", -1), lambda x: F.trim(x) != "")
+    # once for each page: counted before anything is shuffled
+    lines = page.select("host_key", F.explode(F.array_distinct(F.transform(written, _key))).alias("line"))
+    hits = lines.groupBy("host_key", "line").agg(F.count("*").alias("hits"))
+    frequent = hits.filter(F.col("hits") >= min_hits).join(totals, "host_key").filter(F.col("hits") > ratio * F.col("pages"))
     return frequent.groupBy("host_key").agg(F.collect_list("line").alias("dropped_keys"))
 
 
-def line_dedup(docs: DataFrame, host_col: str = "source", text_col: str = "text", ratio: float = RATIO, min_pages: int = MIN_PAGES, min_hits: int = MIN_HITS) -> DataFrame:
+def line_dedup(docs: DataFrame, host_col: str = "source", text_col: str = "text", ratio: float = RATIO, min_hits: int = MIN_HITS) -> DataFrame:
     """``docs`` with the text cleaned, and the columns n_lines and n_dropped (long)."""
     # written and read back, so that Spark knows its size before it decides to broadcast it
-    found = stored(boilerplate(docs, host_col, text_col, ratio, min_pages, min_hits), "boilerplate")
+    found = stored(boilerplate(docs, host_col, text_col, ratio, min_hits), "boilerplate")
     names = docs.columns
     work = docs.select(F.struct(*(docs[c] for c in names)).alias("row"), _host(docs, host_col).alias("host_key"), docs[text_col].alias("body"))
     work = work.join(found, "host_key", "left")
@@ -61,13 +63,13 @@ def line_dedup(docs: DataFrame, host_col: str = "source", text_col: str = "text"
     return work.select(*own, n_all.alias("n_lines"), (n_all - n_kept).alias("n_dropped"))
 
 
-def oracle(table: str = "documents", ratio: float = RATIO, min_pages: int = MIN_PAGES, min_hits: int = MIN_HITS) -> str:
+def oracle(table: str = "documents", ratio: float = RATIO, min_hits: int = MIN_HITS) -> str:
     return f"""
 WITH d AS (SELECT doc_id, coalesce(source, '') AS host, text FROM {table}),
-     l AS (SELECT doc_id, host, text, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM d),
-     t AS (SELECT host, count(DISTINCT text) AS pages FROM d WHERE text IS NOT NULL GROUP BY host),
+     l AS (SELECT doc_id, host, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM d),
+     t AS (SELECT host, count(text) AS pages FROM d GROUP BY host),
      b AS (SELECT l.host, line, true AS hit FROM l JOIN t ON l.host = t.host WHERE trim(line) <> '' GROUP BY l.host, line, pages
-           HAVING pages >= {min_pages} AND count(DISTINCT text) >= {min_hits} AND count(DISTINCT text) > {ratio}::DOUBLE * pages),
+           HAVING count(DISTINCT doc_id) >= {min_hits} AND count(DISTINCT doc_id) > {ratio}::DOUBLE * pages),
      k AS (SELECT doc_id, count(*) AS n_lines, count(hit) AS n_dropped, coalesce(string_agg(l.line, chr(10) ORDER BY pos) FILTER (WHERE hit IS NULL), '') AS cleaned
            FROM l LEFT JOIN b ON l.host = b.host AND l.line = b.line GROUP BY doc_id)
 SELECT d.doc_id, cleaned AS text, coalesce(n_lines, 0) AS n_lines, coalesce(n_dropped, 0) AS n_dropped FROM d LEFT JOIN k ON d.doc_id = k.doc_id"""

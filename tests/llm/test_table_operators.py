@@ -477,17 +477,35 @@ def test_toxicity_of_very_long_and_repeated_texts(spark):
 # ------------------------------------------------------------------ line dedup and mixing
 
 
+def plain_lines(rows, ratio=0.1, least=2):
+    """rows of (text, host) to (text, lines, dropped), counted one by one."""
+    pages, hits = Counter(h or "" for t, h in rows if t is not None), Counter()
+    for t, h in rows:
+        hits.update({(h or "", line) for line in (t.split("\n") if t is not None else []) if line.strip(" ")})
+    out = []
+    for t, h in rows:
+        lines = t.split("\n") if t is not None else []
+        kept = [x for x in lines if not (hits[h or "", x] >= least and hits[h or "", x] > ratio * pages[h or ""])]
+        out.append(("\n".join(kept) if t is not None else None, len(lines), len(lines) - len(kept)))
+    return out
+
+
 def test_line_dedup(spark):
     rows = [(i, f"menu\nown {i}\n\n{'sometimes' if i % 20 == 0 else 'else ' + str(i)}", "en", "a") for i in range(100)]
-    rows += [(200 + i, f"menu\nline {i}", "en", "small") for i in range(5)]
-    rows += [(300 + i, "copied\npage", "en", "a") for i in range(40)]
+    rows += [(200 + i, f"menu\nline {i}", "en", "small") for i in range(5)] + [(210 + i, f"foot\nsecond\ntext {i}", "en", f"tiny{i // 2}") for i in range(4)]
+    rows += [(220 + i, f"{'shared' if i < 2 else 'not'}\nbody {i}", "en", "nineteen") for i in range(19)]
+    rows += [(300 + i, "copied\npage", "en", "a") for i in range(12)] + [(350, "alone", "en", "single"), (351, "twice\ntwice", "en", "single")]
     rows += [(400 + i, f"shared\n{i}", "en", None) for i in range(30)] + [(500, None, "en", "a"), (501, "", "en", "a"), (502, "menu", "en", "a")]
+    rows += [(600, "menu\nagain", "en", "a")] * 3 + [(700, "menu\n" + "\n".join(f"{i % 7} words" for i in range(200_000)), "en", "a"), (701, "x" * 300_000, "en", "a")]
     df = documents(spark, rows)
     out = line_dedup.line_dedup(df)
     assert out.columns == [*df.columns, "n_lines", "n_dropped"]
-    got = {r["doc_id"]: (r["text"], r["n_lines"], r["n_dropped"]) for r in out.collect()}
-    assert got[0] == ("own 0\n\nsometimes", 4, 1) and got[200] == ("menu\nline 0", 2, 0) and got[300] == ("copied\npage", 2, 0)
-    assert got[400] == ("0", 2, 1) and got[500] == (None, 0, 0) and got[501] == ("", 1, 0) and got[502] == ("", 1, 1)
+    got = sorted(((r["doc_id"], r["text"], r["n_lines"], r["n_dropped"]) for r in out.collect()), key=str)
+    want = plain_lines([(t, h) for _, t, _, h in rows])
+    assert got == sorted(((i, *w) for (i, *_), w in zip(rows, want, strict=True)), key=str)
+    by = {i: (t, n, d) for i, t, n, d in got}
+    assert by[0] == ("own 0\n\nsometimes", 4, 1) and by[200] == ("line 0", 2, 1) and by[210] == ("text 0", 3, 2) and by[220] == ("body 0", 2, 1)
+    assert by[350][0] == "alone" and by[351] == ("twice\ntwice", 2, 0) and by[400] == ("0", 2, 1) and by[500] == (None, 0, 0) and by[501] == ("", 1, 0) and by[502] == ("", 1, 1)
     assert line_dedup.line_dedup(documents(spark, [])).count() == 0
 
 
