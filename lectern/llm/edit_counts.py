@@ -1,43 +1,61 @@
 """Operator 6: edit-aware token counts.
 
-A document is kept as its pre-tokens, in leaves of a few each, under a segment tree of lengths and
-token counts. An edit descends by length to the leaf it touches, re-splits the text from two
-pre-tokens before the edit until the new boundaries meet old ones again, encodes only the pre-tokens
-in between, and updates the sums above the changed leaves. Where a boundary is met again the rest
-is unchanged, because the splitting pattern looks only ahead.
+A document is kept as a row: its text, the lengths of its pre-tokens and the token count of each.
+``trees`` makes such rows once. ``edited`` reads them again, in any later run, and applies edits: the
+pre-tokens, in leaves of a few each, stand under a segment tree of lengths and token counts, whose sums
+come from the kept numbers without splitting or encoding anything. An edit descends by length to the
+leaf it touches, re-splits the text from two pre-tokens before the edit until the new boundaries meet
+old ones again, encodes only the pre-tokens in between, and updates the sums above the changed leaves.
+Where a boundary is met again the rest is unchanged, because the splitting pattern looks only ahead. What
+comes out is a row of the same kind, to be kept for the next edits; rows without edits pass untouched.
 
 Edits replace the code points ``start`` (inclusive) to ``stop`` (exclusive) by a text; positions are
 those of the text as the earlier edits left it, and are clamped to it.
 
-Defined results: a null text counts as empty; the text of a special token counts as ordinary text, so
-that an edit cannot make one; no edits leave the counts alone; rows are treated one
-by one, so repeated rows give repeated results; an empty table gives no rows; other columns are
-ignored.
+Defined results: a null text counts as empty; no edits leave the counts alone; the text of a special token
+counts as ordinary text, so that an edit cannot make one; rows are treated one by one, so repeated rows
+give repeated results; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lectern.llm.common import tidy
+from lectern.llm.common import shared_path, tidy
 from lectern.llm.encoding import _VISIBLE, CachedEncoder
 
-SCHEMA = "doc_id long, n_tokens long, n_edits int, n_tokens_after long, n_reencoded long"
+#: What is kept of a document; ``lengths`` and ``counts`` are packed whole numbers, one per pre-token.
+TREE = "doc_id long, text string, lengths binary, counts binary, n_tokens long"
+EDITED = f"{TREE}, n_before long, n_edits int, n_reencoded long"
 EDITS = "array<struct<start:int,stop:int,text:string>>"
 LEAF = 16
 #: Code points after a boundary that must be known before it is trusted.
 _AHEAD = 8
+#: Rows of an Arrow batch that is yielded hold about so many characters.
+_FLUSH = 4 << 20
+
+
+def pack(numbers: np.ndarray) -> bytes:
+    """Whole numbers in the least width that holds all of them, after a byte that names it."""
+    most = int(numbers.max(initial=0))
+    width = 1 if most < 1 << 8 else 2 if most < 1 << 16 else 4
+    return bytes([width]) + numbers.astype(f"<u{width}").tobytes()
+
+
+def unpack(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, f"<u{data[0]}", offset=1).astype(np.int64)
 
 
 class PieceCounts(dict):
     """Number of ids of each pre-token; remembers a bounded number of them."""
 
-    def __init__(self, encoder: CachedEncoder, limit: int = 500_000):
+    def __init__(self, encoder: CachedEncoder, limit: int = 200_000):
         self.merge, self.limit = encoder.tokenizer.model.tokenize, limit
 
     def __missing__(self, piece: str) -> int:
@@ -48,28 +66,69 @@ class PieceCounts(dict):
 
 
 class EditableCount:
-    """One document's pre-tokens under a segment tree of (code points, tokens)."""
+    """One document's pre-tokens under a segment tree of (code points, tokens).
 
-    def __init__(self, text: str, pattern: regex.Pattern, counts: PieceCounts):
+    A leaf's pieces are cut from the text only when an edit comes near it.
+    """
+
+    def __init__(self, text: str, lengths: np.ndarray, tokens: np.ndarray, pattern: regex.Pattern, counts: PieceCounts):
         self.pattern, self.counts, self.reencoded = pattern, counts, 0
-        pieces = pattern.findall(text)
-        self.leaves = [pieces[i : i + LEAF] for i in range(0, len(pieces), LEAF)] or [[]]
-        self.size = 1 << (len(self.leaves) - 1).bit_length()
-        self.length, self.tokens = [0] * (2 * self.size), [0] * (2 * self.size)
-        find = counts.__getitem__
-        for i, leaf in enumerate(self.leaves, self.size):
-            self.length[i], self.tokens[i] = sum(map(len, leaf)), sum(map(find, leaf))
-        for i in range(self.size - 1, 0, -1):
-            self.length[i] = self.length[2 * i] + self.length[2 * i + 1]
-            self.tokens[i] = self.tokens[2 * i] + self.tokens[2 * i + 1]
+        self.base, self.sizes, self.known = text, lengths, tokens
+        self.at = np.concatenate(([0], np.cumsum(lengths)))
+        n = max(1, -(-len(lengths) // LEAF))
+        self.leaves: list[list[str] | None] = [None] * n
+        self.size = 1 << (n - 1).bit_length()
+        self.length, self.tokens = self._sums(lengths), self._sums(tokens)
+
+    @classmethod
+    def of(cls, text: str, pattern: regex.Pattern, counts: PieceCounts) -> "EditableCount":
+        """From a text that is split and counted for the first time."""
+        return cls(text, *first_counts(text, pattern, counts), pattern, counts)
+
+    def _sums(self, numbers: np.ndarray) -> list[int]:
+        level = np.zeros(self.size, np.int64)
+        if len(numbers):
+            level[: len(self.leaves)] = np.add.reduceat(numbers, np.arange(0, len(numbers), LEAF))
+        levels = [level]
+        while len(levels[-1]) > 1:
+            levels.append(levels[-1].reshape(-1, 2).sum(axis=1))
+        return [0, *np.concatenate(levels[::-1]).tolist()]
 
     @property
     def total(self) -> int:
         return self.tokens[1]
 
+    def _pieces(self, leaf: int) -> list[str]:
+        found = self.leaves[leaf]
+        if found is None:
+            ends = self.at[leaf * LEAF : (leaf + 1) * LEAF + 1].tolist()
+            found = self.leaves[leaf] = [self.base[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
+        return found
+
+    def state(self) -> tuple[str, np.ndarray, np.ndarray]:
+        """(text, lengths, tokens) as they are now; stretches that no edit came near are copied whole."""
+        texts, lengths, tokens, leaf = [], [], [], 0
+        while leaf < len(self.leaves):
+            until = leaf
+            while until < len(self.leaves) and self.leaves[until] is None:
+                until += 1
+            if until > leaf:
+                a, b = leaf * LEAF, min(until * LEAF, len(self.sizes))
+                texts.append(self.base[self.at[a] : self.at[b]])
+                lengths.append(self.sizes[a:b])
+                tokens.append(self.known[a:b])
+                leaf = until
+            else:
+                own = self.leaves[leaf]
+                texts += own
+                lengths.append(np.array([*map(len, own)], np.int64))
+                tokens.append(np.array([*map(self.counts.__getitem__, own)], np.int64))
+                leaf += 1
+        return "".join(texts), np.concatenate([np.zeros(0, np.int64), *lengths]), np.concatenate([np.zeros(0, np.int64), *tokens])
+
     @property
     def text(self) -> str:
-        return "".join(p for leaf in self.leaves for p in leaf)
+        return self.state()[0]
 
     def _leaf_at(self, position: int) -> tuple[int, int]:
         """The leaf that holds a position (the last one for the end), and where it begins."""
@@ -95,18 +154,18 @@ class EditableCount:
         first, begin = self._leaf_at(start)
         context = 0  # pre-tokens before the edit, of which the last two may change
         at = begin
-        for piece in self.leaves[first]:
+        for piece in self._pieces(first):
             if at + len(piece) > start:
                 break
             context, at = context + 1, at + len(piece)
         while context < 3 and first:
             first -= 1
-            context += len(self.leaves[first])
+            context += len(self._pieces(first))
             begin -= self.length[first + self.size]
         last, after = self._leaf_at(stop)
         after += self.length[last + self.size]
         while True:
-            old = [p for leaf in self.leaves[first : last + 1] for p in leaf]
+            old = [p for leaf in range(first, last + 1) for p in self._pieces(leaf)]
             text = "".join(old)
             text = text[: start - begin] + new + text[stop - begin :]
             whole = after >= self.length[1]
@@ -120,12 +179,13 @@ class EditableCount:
         pieces, kept = boundary
         self.reencoded += len(pieces)
         for leaf in range(last, first, -1):  # what is kept stays in the leaf it was in
-            own = self.leaves[leaf]
+            own = self._pieces(leaf)
             keep = min(len(own), kept)
             kept -= keep
             if keep < len(own):
                 self._put(leaf, own[len(own) - keep :])
-        self._put(first, pieces + self.leaves[first][len(self.leaves[first]) - kept :])
+        own = self._pieces(first)
+        self._put(first, pieces + own[len(own) - kept :])
 
     def _split(self, old: list[str], text: str, start: int, stop: int, new: str, whole: bool) -> tuple[list[str], int] | None:
         """New pre-tokens up to a boundary that ``old`` had too, and how many old ones follow it.
@@ -148,6 +208,12 @@ class EditableCount:
         return (pieces, 0) if whole else None
 
 
+def first_counts(text: str, pattern: regex.Pattern, counts: PieceCounts) -> tuple[np.ndarray, np.ndarray]:
+    """Lengths and token counts of the pre-tokens of a text."""
+    pieces = pattern.findall(text)
+    return np.fromiter(map(len, pieces), np.int64, len(pieces)), np.fromiter(map(counts.__getitem__, pieces), np.int64, len(pieces))
+
+
 def revision(key: Column, text: Column) -> Column:
     """Three edits that depend on the id and the length: a cut, an insertion and a replacement."""
     n, h = F.coalesce(F.length(text), F.lit(0)), F.pmod(F.xxhash64(key), F.lit(97))
@@ -156,33 +222,83 @@ def revision(key: Column, text: Column) -> Column:
     return F.array(edit(at(0.2), 5, ""), edit(at(0.45), 0, " (as amended in 2024)"), edit(at(0.7), 7, "Revised:\n"))
 
 
-def count_edits(docs: DataFrame, edits: Column, tokenizer: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: ``SCHEMA``. ``edits`` is a column of the type ``EDITS``.
+def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
+    kinds = {"long": pa.int64(), "int": pa.int32(), "string": pa.string(), "binary": pa.binary()}
+    fields = [x.split() for x in schema.split(", ")]
+    return pa.RecordBatch.from_arrays([pa.array(c, kinds[k]) for c, (_, k) in zip(zip(*rows), fields, strict=True)], names=[n for n, _ in fields])
 
-    ``tokenizer`` is a byte-level ``tokenizers`` file and ``pattern`` its splitting expression.
-    """
+
+def trees(docs: DataFrame, tokenizer: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per document: ``TREE``. ``tokenizer`` is a byte-level ``tokenizers`` file, ``pattern`` its
+    splitting expression."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         split = regex.compile(pattern)
         counts = PieceCounts(CachedEncoder.loaded(tokenizer, True))
+        rows, held = [], 0
         for batch in batches:
-            out: list[tuple] = []
-            for key, text, changes in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist(), strict=True):
-                document = EditableCount(text.as_py() or "", split, counts)
-                before = document.total
-                for change in changes or []:
+            for key, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                body = text.as_py() or ""
+                lengths, tokens = first_counts(body, split, counts)
+                rows.append((key, body, pack(lengths), pack(tokens), int(tokens.sum())))
+                held += len(body)
+                if held >= _FLUSH:
+                    yield _batch(rows, TREE)
+                    rows, held = [], 0
+        if rows:
+            yield _batch(rows, TREE)
+
+    return docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text")).mapInArrow(tidy(run, keeps=True), TREE)
+
+
+def edited(kept: DataFrame, edits: Column, tokenizer: str, pattern: str) -> DataFrame:
+    """Rows of ``trees`` after their edits, a column of the type ``EDITS``: ``EDITED``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        split = regex.compile(pattern)
+        counts = PieceCounts(CachedEncoder.loaded(tokenizer, True))
+        rows, held = [], 0
+        for batch in batches:
+            for key, text, lengths, tokens, before, changes in zip(*batch.columns, strict=True):
+                document = EditableCount(text.as_py(), unpack(lengths.as_py()), unpack(tokens.as_py()), split, counts)
+                for change in (changes := changes.as_py()):
                     document.edit(change["start"], change["stop"], change["text"] or "")
-                out.append((key, before, len(changes or []), document.total, document.reencoded))
-            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64())
-            columns = zip(*out) if out else [[]] * 5
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=[x.split()[0] for x in SCHEMA.split(", ")])
+                body, sizes, known = document.state()
+                rows.append((key.as_py(), body, pack(sizes), pack(known), document.total, before.as_py(), len(changes), document.reencoded))
+                held += len(body)
+                if held >= _FLUSH:
+                    yield _batch(rows, EDITED)
+                    rows, held = [], 0
+        if rows:
+            yield _batch(rows, EDITED)
+
+    rows = kept.select("doc_id", "text", "lengths", "counts", "n_tokens", edits.cast(EDITS).alias("edits"))
+    changed = F.coalesce(F.size("edits") > 0, F.lit(False))
+    same = rows.filter(~changed).select("doc_id", "text", "lengths", "counts", "n_tokens", F.col("n_tokens").alias("n_before"), F.lit(0).alias("n_edits"), F.lit(0).cast("long").alias("n_reencoded"))
+    return rows.filter(changed).mapInArrow(tidy(run, keeps=True), EDITED).unionByName(same)
 
-    rows = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"), edits.cast(EDITS).alias("edits"))
-    return rows.mapInArrow(tidy(run, keeps=True), SCHEMA)
+
+def keep(found: DataFrame, name: str = "trees") -> DataFrame:
+    """Rows of ``trees`` or ``edited`` written to the shared folder and read back."""
+    path = shared_path(found.sparkSession, name)
+    found.write.option("compression", "zstd").parquet(path)
+    return found.sparkSession.read.schema(found.schema).parquet(path)
+
+
+def _counted(found: DataFrame) -> DataFrame:
+    return found.select("doc_id", F.col("n_before").alias("n_tokens"), "n_edits", F.col("n_tokens").alias("n_tokens_after"), "n_reencoded")
+
+
+def count_edits(docs: DataFrame, edits: Callable[[Column, Column], Column], tokenizer: str, pattern: str) -> DataFrame:
+    """Keep the trees of ``docs``, then edit them: doc_id, n_tokens, n_edits, n_tokens_after, n_reencoded.
+
+    ``edits`` makes the edits from the id and the text.
+    """
+    kept = keep(trees(docs, tokenizer, pattern))
+    return _counted(edited(kept, edits(F.col("doc_id"), F.col("text")), tokenizer, pattern))
 
 
-def with_edits(docs: DataFrame, edits: DataFrame, tokenizer: str, pattern: str) -> DataFrame:
-    """The same for edits in a table (doc_id, seq, start, stop, text), applied in order of seq."""
+def with_edits(kept: DataFrame, edits: DataFrame, tokenizer: str, pattern: str) -> DataFrame:
+    """``edited`` for edits in a table (doc_id, seq, start, stop, text), applied in order of seq."""
     per = edits.groupBy("doc_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("seq", "start", "stop", "text"))), lambda e: F.struct(e["start"].cast("int").alias("start"), e["stop"].cast("int").alias("stop"), e["text"].alias("text"))).alias("edits_"))
-    joined = docs.select("doc_id", "text").join(per, "doc_id", "left")
-    return count_edits(joined, F.col("edits_"), tokenizer, pattern)
+    return edited(kept.join(per, "doc_id", "left"), F.col("edits_"), tokenizer, pattern)

@@ -37,8 +37,7 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    edits = edit_counts.revision(docs["doc_id"], docs["text"])
-    return edit_counts.count_edits(docs, edits, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
+    return edit_counts.count_edits(docs, edit_counts.revision, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
 
 
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -228,27 +228,50 @@ def test_edits_equal_counting_again():
     counts, pattern, rng = edit_counts.PieceCounts(encoder), regex.compile(P.PATTERN), random.Random(3)
     for _ in range(400):
         text = "".join(rng.choice(PIECES) for _ in range(rng.choice([0, 1, 5, 60, 400])))
-        document = edit_counts.EditableCount(text, pattern, counts)
+        document = edit_counts.EditableCount.of(text, pattern, counts)
         for _ in range(4):
             a = rng.randint(0, len(text))
             b, new = min(len(text), a + rng.choice([0, 1, 3, 50])), "".join(rng.choice(PIECES) for _ in range(rng.choice([0, 1, 4])))
             document.edit(a, b, new)
             text = text[:a] + new + text[b:]
             assert document.text == text and document.total == len(want(text)) // 4
+        state = document.state()  # kept and taken up again
+        again = edit_counts.EditableCount(state[0], *(edit_counts.unpack(edit_counts.pack(x)) for x in state[1:]), pattern, counts)
+        again.edit(len(text) // 2, len(text) // 2 + 2, "x y")
+        text = text[: len(text) // 2] + "x y" + text[len(text) // 2 + 2 :]
+        assert again.text == text and again.total == len(want(text)) // 4 == int(again.state()[2].sum())
 
 
 def test_few_pieces_are_encoded_again():
-    document = edit_counts.EditableCount("word " * 10_000, regex.compile(P.PATTERN), edit_counts.PieceCounts(CachedEncoder(BYTE, True)))
+    document = edit_counts.EditableCount.of("word " * 10_000, regex.compile(P.PATTERN), edit_counts.PieceCounts(CachedEncoder(BYTE, True)))
     document.edit(25_000, 25_003, "new")
     assert document.reencoded < 3 * edit_counts.LEAF
 
 
 def test_count_edits(spark, docs, none):
-    got = edit_counts.count_edits(docs, edit_counts.revision(docs["doc_id"], docs["text"]), BYTE, P.PATTERN).collect()
+    got = edit_counts.count_edits(docs, edit_counts.revision, BYTE, P.PATTERN).collect()
     want = exact(BYTE, special=False)
     before = {k: len(want(t)) // 4 for k, t in TEXTS}
     assert len(got) == len(TEXTS) and all(r["n_tokens"] == before[r["doc_id"]] for r in got)
-    edits = spark.createDataFrame([(4, 1, 0, 4, "Many"), (4, 0, 5, 5, "new "), (2, 0, 9, 99, "text"), (77, 0, 0, 0, "x")], "doc_id long, seq int, start int, stop int, text string")
-    after = {r["doc_id"]: (r["n_edits"], r["n_tokens_after"]) for r in edit_counts.with_edits(docs, edits, BYTE, P.PATTERN).collect()}
-    assert after[4] == (2, len(want("Many new words, and more.\nNext line")) // 4) and after[2] == (1, len(want("text")) // 4) and after[6] == (0, before[6])
-    assert edit_counts.count_edits(none, edit_counts.revision(none["doc_id"], none["text"]), BYTE, P.PATTERN).count() == 0
+    texts = {k: t or "" for k, t in TEXTS}
+    edits = {r["doc_id"]: r["e"] for r in docs.select("doc_id", edit_counts.revision(docs["doc_id"], docs["text"]).alias("e")).collect()}
+    for r in got:
+        text = texts[r["doc_id"]]
+        for e in edits[r["doc_id"]]:
+            text = text[: e["start"]] + e["text"] + text[e["stop"] :]
+        assert (r["n_edits"], r["n_tokens_after"]) == (3, len(want(text)) // 4)
+    assert edit_counts.count_edits(none, edit_counts.revision, BYTE, P.PATTERN).count() == 0
+
+
+def test_trees_are_kept_over_runs(spark, docs):
+    want, table = exact(BYTE, special=False), "doc_id long, seq int, start int, stop int, text string"
+    kept = edit_counts.keep(edit_counts.trees(docs, BYTE, P.PATTERN))
+    first = spark.createDataFrame([(4, 1, 0, 4, "Many"), (4, 0, 5, 5, "new "), (2, 0, 9, 99, "text"), (77, 0, 0, 0, "x")], table)
+    once = edit_counts.keep(edit_counts.with_edits(kept, first, BYTE, P.PATTERN))
+    got = {r["doc_id"]: (r["text"], r["n_edits"], r["n_tokens"], r["n_reencoded"]) for r in once.collect()}
+    many = "Many new words, and more.\nNext line"
+    assert got[4][:3] == (many, 2, len(want(many)) // 4) and got[2][:3] == ("text", 1, len(want("text")) // 4) and got[6][1] == got[6][3] == 0
+    second = spark.createDataFrame([(4, 0, len(many), len(many), " and its end"), (2, 0, 0, 4, "")], table)
+    again = {r["doc_id"]: r for r in edit_counts.with_edits(once.select(*kept.columns), second, BYTE, P.PATTERN).collect()}
+    assert again[4]["text"] == many + " and its end" and again[4]["n_tokens"] == len(want(many + " and its end")) // 4 and again[4]["n_before"] == got[4][2]
+    assert again[2]["text"] == "" and again[2]["n_tokens"] == 0 and again[7]["n_reencoded"] == 0
