@@ -15,7 +15,12 @@ How they are compared. Blocks that share documents are united; each union is cut
 size bands at a time and, where large, into hashed parts, so that no task holds more than two
 parts. In a tile, documents are sorted by size; the bit count of the exclusive-or of two hashed
 bitmaps bounds their overlap from above; only pairs that pass are intersected as sorted arrays.
-Pairs already connected within the tile are skipped: they cannot change a component.
+Pairs already known to be connected are skipped: they cannot change a component.
+
+A large union is mostly a group of near copies. There, each part first meets ``CLASSES`` representatives
+of its own band and of its neighbours, which takes one tile for a document; what is connected then needs no
+comparison any more. Only documents outside the largest such group of their union are compared with
+everything, so tiles grow with their number and not with the square of the union.
 
 Texts with equal sets are one class. A task announces a class once, however many copies it holds,
 and a class's copies take its component, so the largest group of copies costs no more than any other.
@@ -35,7 +40,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lectern.llm.common import stored, tidy, utf8
@@ -57,7 +62,9 @@ _SLICE = 1 << 20
 
 _KEYS = "bucket int, docs binary, which binary, low binary, high binary"
 _SETS = "doc_id long, n long, s1 long, s2 long"
-_PARTS = "tile long, part long, doc_id long, hashes binary"
+_PARTS = "tile long, part long, label long, doc_id long, hashes binary"
+#: Representatives of a large union in each size band.
+CLASSES = 8
 
 
 class Bands:
@@ -292,23 +299,23 @@ def block_edges(table: DataFrame) -> DataFrame:
     return table.mapInArrow(tidy(run), "u long, v long")
 
 
-def tile_links(rows: list[tuple[int, int, np.ndarray]], t: Fraction) -> list[tuple[int, int]]:
-    """Links that connect the documents of one tile, of (part, id, sorted hashes) rows.
+def tile_links(rows: list[tuple[int, int, int, np.ndarray]], t: Fraction) -> list[tuple[int, int]]:
+    """Links that connect the documents of one tile, of (part, label, id, sorted hashes) rows.
 
-    With two parts, pairs within a part are another tile's.
+    Documents of one label are connected already. With two parts, pairs within a part are another tile's.
     """
-    rows.sort(key=lambda r: (len(r[2]), r[1]))
-    sizes = np.array([len(r[2]) for r in rows], np.int64)
+    rows.sort(key=lambda r: (len(r[3]), r[2]))
+    sizes = np.array([len(r[3]) for r in rows], np.int64)
     parts = np.array([r[0] for r in rows], np.int64)
     apart = len(set(parts.tolist())) > 1
     bits = 1 << min(14, max(8, int(2 * sizes[-1]).bit_length()))
     maps = np.zeros((len(rows), bits // 8), np.uint8)
-    for i, (_, _, own) in enumerate(rows):
+    for i, (*_, own) in enumerate(rows):
         slot = (mix(own) >> U(64 - bits.bit_length() + 1)).astype(np.int64)
         np.bitwise_or.at(maps[i], slot >> 3, (1 << (slot & 7)).astype(np.uint8))
     maps = maps.view(U)
-    forest, links = Forest(len(rows)), []
-    labels = np.arange(len(rows))
+    links: list[tuple[int, int]] = []
+    labels = np.unique([r[1] for r in rows], return_inverse=True)[1]
     num, den = t.numerator, t.denominator
     for i in range(len(rows) - 1):
         top = int(np.searchsorted(sizes, sizes[i] * den // num, "right"))
@@ -323,17 +330,16 @@ def tile_links(rows: list[tuple[int, int, np.ndarray]], t: Fraction) -> list[tup
         unlike = np.bitwise_count(maps[others] ^ maps[i]).sum(axis=1, dtype=np.int64)
         bound = (sizes[others] + sizes[i] - unlike) // 2
         others = others[bound * (num + den) >= num * (sizes[others] + sizes[i])]
-        own = rows[i][2]
+        own = rows[i][3]
         for j in others.tolist():
             if labels[j] == labels[i]:
                 continue
-            other = rows[j][2]
+            other = rows[j][3]
             at = np.searchsorted(other, own)
             at[at == len(other)] = 0
             overlap = int((other[at] == own).sum())
             if overlap * den >= num * (len(own) + len(other) - overlap):
-                forest.join(i, j)
-                links.append((rows[i][1], rows[j][1]))
+                links.append((rows[i][2], rows[j][2]))
                 old, new = max(labels[i], labels[j]), min(labels[i], labels[j])
                 labels[labels == old] = new
     return links
@@ -350,48 +356,89 @@ def verified(parts: DataFrame, of: tuple[int, int]) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array([a for a, _ in links], pa.int64()), pa.array([b for _, b in links], pa.int64())], names=["u", "v"])
 
         for batch in batches:
-            for key, part, doc, hashes in zip(*(batch.column(i) for i in range(4)), strict=True):
+            for key, part, label, doc, hashes in zip(*(batch.column(i) for i in range(5)), strict=True):
                 if key.as_py() != tile:
                     if rows:
                         yield done()
                     tile, rows = key.as_py(), []
-                rows.append((part.as_py(), doc.as_py(), np.frombuffer(hashes.as_py(), U)))
+                rows.append((part.as_py(), label.as_py(), doc.as_py(), np.frombuffer(hashes.as_py(), U)))
         if rows:
             yield done()
 
     return parts.mapInArrow(tidy(run), "u long, v long")
 
 
-def _tiles(blocks: DataFrame, of: Bands) -> DataFrame:
-    """(doc_id, tiles): for each document the tiles it goes to, with its part in each."""
-    edges = F.array(*(F.lit(int(e)) for e in of.edges[:400]))
-    band = F.size(F.filter(edges, lambda e: e <= F.col("n"))) - 1
-    blocks = stored(blocks.withColumn("band", band), "blocks")
+def _sized(blocks: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Blocks (doc_id, component, n, band, label) whose documents fit one tile, and the large ones."""
+    whole = blocks.groupBy("component").agg(F.greatest(F.sum("n") / F.lit(2 * PART_SHINGLES), F.count("*") / F.lit(2 * PART_DOCS)).alias("tiles"))
+    large = stored(whole.filter("tiles > 1").select("component"), "large")
+    return blocks.join(large, "component", "left_anti"), blocks.join(large, "component", "left_semi")
+
+
+def _splits(blocks: DataFrame, kind: str) -> DataFrame:
+    """(component, ``kind``): for each band the number of parts."""
     per = blocks.groupBy("component", "band").agg(F.sum("n").alias("n"), F.count("*").alias("docs"))
     split = F.greatest(F.ceil(F.col("n") / PART_SHINGLES), F.ceil(F.col("docs") / PART_DOCS)).cast("int")
-    whole = F.greatest(F.sum("n") / F.lit(2 * PART_SHINGLES), F.sum("docs") / F.lit(2 * PART_DOCS))
-    plan = per.withColumn("split", split).groupBy("component").agg(F.map_from_entries(F.collect_list(F.struct("band", "split"))).alias("splits"), (whole <= 1).alias("small"))
-    plan = stored(plan, "plan")
-    joined = blocks.join(plan, "component")
-    count = lambda shift: F.coalesce(F.try_element_at("splits", F.col("band") + shift), F.lit(0))
-    part = F.pmod(F.xxhash64("doc_id"), count(0)).cast("int")
-    name = lambda b, i, c, j: F.xxhash64("component", b, i, c, j)
-    run = lambda shift, make: F.when(count(shift) > 0, F.transform(F.sequence(F.lit(0), F.greatest(count(shift) - 1, F.lit(0))), make)).otherwise(F.array().cast("array<bigint>"))
-    own = run(0, lambda j: name(F.col("band"), F.least(part, j), F.col("band"), F.greatest(part, j)))
-    up = run(1, lambda j: name(F.col("band"), part, F.col("band") + 1, j))
-    down = run(-1, lambda j: name(F.col("band") - 1, j, F.col("band"), part))
-    tiles = F.when(F.col("small"), F.array(F.xxhash64("component"))).otherwise(F.concat(own, up, down))
-    own_part = F.when(F.col("small"), F.lit(0).cast("long")).otherwise(F.xxhash64("band", part))
-    return joined.select("doc_id", tiles.alias("tiles"), own_part.alias("part"))
+    return per.withColumn("split", split).groupBy("component").agg(F.map_from_entries(F.collect_list(F.struct("band", "split"))).alias(kind))
+
+
+def _count(splits: str, shift: int) -> Column:
+    return F.coalesce(F.try_element_at(splits, F.col("band") + shift), F.lit(0))
+
+
+def _each(count: Column, make) -> Column:
+    return F.when(count > 0, F.transform(F.sequence(F.lit(0), F.greatest(count - 1, F.lit(0))), make)).otherwise(F.array().cast("array<bigint>"))
+
+
+def _part(splits: str) -> Column:
+    return F.pmod(F.xxhash64("doc_id"), _count(splits, 0)).cast("int")
+
+
+def _first_tiles(large: DataFrame) -> DataFrame:
+    """Each part of a large block with the representatives of its bands; they go to all those parts."""
+    chosen = F.min(F.struct(F.xxhash64("doc_id", F.lit(1)).alias("h"), "doc_id")).alias("least")
+    some = large.groupBy("component", "band", F.pmod(F.xxhash64("doc_id", F.lit(2)), F.lit(CLASSES)).alias("class")).agg(chosen).select("component", F.col("least.doc_id").alias("doc_id"), F.lit(True).alias("stands"))
+    joined = large.join(_splits(large, "parts"), "component").join(some, ["component", "doc_id"], "left")
+    name = lambda band, part: F.xxhash64("component", band, part)
+    in_band = lambda d: _each(_count("parts", d), lambda j: name(F.col("band") + d, j))
+    everywhere = F.concat(*map(in_band, (-1, 0, 1)))
+    tiles = F.when(F.col("stands"), everywhere).otherwise(F.array(name(F.col("band"), _part("parts"))))
+    return joined.select("doc_id", tiles.alias("tiles"), F.lit(0).cast("long").alias("part"), "label")
+
+
+def _rest_tiles(large: DataFrame) -> DataFrame:
+    """All pairs of parts with a document outside the largest group of its block."""
+    sizes = large.groupBy("component", "label").agg(F.count("*").alias("docs"))
+    main = stored(sizes.groupBy("component").agg(F.max_by("label", F.struct("docs", "label")).alias("main"), F.count("*").alias("groups")).filter("groups > 1"), "main")
+    blocks = stored(large.join(main.select("component", "main"), "component"), "rest")
+    few, many = blocks.filter("label <> main"), blocks.filter("label = main")
+    joined = few.join(_splits(few, "few"), "component").join(_splits(many, "many"), "component")
+    part = _part("few")
+    name = lambda b, i, c, j, kind: F.xxhash64("component", b, i, c, j, F.lit(kind))
+    own = _each(_count("few", 0), lambda j: name(F.col("band"), F.least(part, j), F.col("band"), F.greatest(part, j), "few"))
+    up = _each(_count("few", 1), lambda j: name(F.col("band"), part, F.col("band") + 1, j, "few"))
+    down = _each(_count("few", -1), lambda j: name(F.col("band") - 1, j, F.col("band"), part, "few"))
+    against = lambda d: _each(_count("many", d), lambda j: name(F.col("band"), part, F.col("band") + d, j, "many"))
+    outside = joined.select("doc_id", F.concat(own, up, down, *map(against, (-1, 0, 1))).alias("tiles"), F.xxhash64(F.lit("few"), "band", part).alias("part"), "label")
+    joined = many.join(_splits(few, "few"), "component").join(_splits(many, "many"), "component")
+    part_ = _part("many")
+    met = lambda d: _each(_count("few", d), lambda i: name(F.col("band") + d, i, F.col("band"), part_, "many"))
+    inside = joined.select("doc_id", F.concat(*map(met, (-1, 0, 1))).alias("tiles"), F.xxhash64(F.lit("many"), "band", part_).alias("part"), "label")
+    return outside.unionByName(inside.filter(F.size("tiles") > 0))
 
 
 def _laid_out(docs: DataFrame, words: int) -> DataFrame:
-    """From (doc_id, text, tiles, part) the sets, once for each tile."""
+    """From (doc_id, text, tiles, part, label) the sets, once for each tile."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [x.split()[0] for x in _PARTS.split(", ")]
+        kinds = (*[pa.int64()] * 4, pa.binary())
+
+        def laid(rows: list[tuple]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds, strict=True)], names=names)
+
         for batch in batches:
-            tiles, parts, at = batch.column(2).to_pylist(), batch.column(3).to_pylist(), 0
+            tiles, parts, labels, at = *(batch.column(i).to_pylist() for i in (2, 3, 4)), 0
             for ids, data, offsets in _chunks(batch):
                 hashes, starts = shingle_sets(data, offsets, words)
                 out: list[tuple] = []
@@ -399,18 +446,41 @@ def _laid_out(docs: DataFrame, words: int) -> DataFrame:
                 for i, doc in enumerate(ids.to_pylist()):
                     raw = hashes[starts[i] : starts[i + 1]].tobytes()
                     for tile in tiles[at + i] if raw else []:
-                        out.append((tile, parts[at + i], doc, raw))
+                        out.append((tile, parts[at + i], labels[at + i], doc, raw))
                         held += len(raw)
-                    if held >= 8 * _SLICE:
-                        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), (pa.int64(), pa.int64(), pa.int64(), pa.binary()))], names=names)
-                        out, held = [], 0
+                        if held >= 8 * _SLICE:
+                            yield laid(out)
+                            out, held = [], 0
                 at += len(ids)
                 if out:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), (pa.int64(), pa.int64(), pa.int64(), pa.binary()))], names=names)
+                    yield laid(out)
 
     return docs.mapInArrow(tidy(run), _PARTS)
 
 
+def _links(docs: DataFrame, tiles: DataFrame, words: int, threshold: tuple[int, int]) -> DataFrame:
+    """Verified links of the documents that go to ``tiles``."""
+    tiles = stored(tiles, "tiles")
+    texts = may_be_in(docs, tiles).join(tiles, "doc_id").select("doc_id", "text", "tiles", "part", "label")
+    return verified(_laid_out(texts, words).repartition("tile").sortWithinPartitions("tile"), threshold)
+
+
+def _all_links(docs: DataFrame, blocks: DataFrame, words: int, threshold: tuple[int, int]) -> DataFrame:
+    """Links enough to connect what is connected, of blocks (doc_id, component, n)."""
+    of = bands(*threshold)
+    edges = F.array(*(F.lit(int(e)) for e in of.edges[:400]))
+    band = F.size(F.filter(edges, lambda e: e <= F.col("n"))) - 1
+    blocks = stored(blocks.select("doc_id", "component", "n", band.alias("band"), F.col("doc_id").alias("label")), "blocks")
+    small, large = _sized(blocks)
+    whole = small.select("doc_id", F.array(F.xxhash64("component")).alias("tiles"), F.lit(0).cast("long").alias("part"), "label")
+    if large.isEmpty():
+        return _links(docs, whole, words, threshold)
+    first = stored(_links(docs, whole.unionByName(_first_tiles(large)), words, threshold), "links")
+    known = stored(components(first), "known").select(F.col("node").alias("doc_id"), F.col("component").alias("root"))
+    labelled = large.drop("label").join(known, "doc_id", "left").withColumn("label", F.coalesce("root", "doc_id")).drop("root")
+    return first.unionByName(_links(docs, _rest_tiles(labelled), words, threshold))
+
+
 def may_be_in(df: DataFrame, ids: DataFrame, how: str = "left_semi") -> DataFrame:
     """Rows of ``df`` whose doc_id hashes to a slot that ``ids`` (doc_id) use, or with left_anti the rest.
 
@@ -427,7 +497,6 @@ def jaccard_components(docs: DataFrame, words: int = 5, threshold: tuple[int, in
     """One row per row of ``docs``: doc_id, n_shingles and component_id (the least linked doc_id)."""
     spark = docs.sparkSession
     docs = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
-    of = bands(*threshold)
     sets = stored(set_table(docs, words), "sets")
     buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     # a document has two keys for each shingle in which it may differ, and two more
@@ -437,16 +506,14 @@ def jaccard_components(docs: DataFrame, words: int = 5, threshold: tuple[int, in
     near = stored(components(block_edges(packed)), "near")
     sized = sets.filter("n > 0").groupBy("doc_id").agg(F.max("n").alias("n"))
     blocks = near.join(sized, near["node"] == sized["doc_id"]).select("doc_id", "component", "n")
-    tiles = stored(_tiles(blocks, of), "tiles")
-    texts = may_be_in(docs, tiles).join(tiles, "doc_id").select("doc_id", "text", "tiles", "part")
-    laid = _laid_out(texts, words).repartition("tile").sortWithinPartitions("tile")
-    linked = stored(components(verified(laid, threshold)), "linked")
+    linked = stored(components(_all_links(docs, blocks, words, threshold)), "linked")
     known = sets.filter("doc_id IS NOT NULL AND n > 0").join(linked, sets["doc_id"] == linked["node"], "left")
     # the least id of a component may be that of a copy which its task did not announce
     classes = stored(known.groupBy("n", "s1", "s2").agg(F.min("component").alias("label"), F.min("doc_id").alias("least")), "classes")
     least = stored(classes.filter("label IS NOT NULL").groupBy("label").agg(F.min("least").alias("component_id")), "least")
     classes = classes.join(least, "label", "left").select("n", "s1", "s2", F.coalesce("component_id", "least").alias("component_id"))
-    own = sets.join(classes, ["n", "s1", "s2"], "left")
+    filled, empty = sets.filter("n > 0"), sets.filter("n = 0")  # empty texts, however many, join nothing
+    own = filled.join(classes, ["n", "s1", "s2"], "left").select("doc_id", "n", "component_id").unionByName(empty.select("doc_id", "n", F.lit(None).cast("long").alias("component_id")))
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     return own.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
 

@@ -75,6 +75,41 @@ def test_jaccard_equals_brute_force(spark, k, num, den, monkeypatch):
     assert got == want
 
 
+def near_copies(n, seed=0, changes=(0, 2, 4, 8)):
+    """A chain of families: copies of a base that differ from it in a few words, and from each other in more."""
+    rng, rows = random.Random(seed), []
+    base = [f"v{i}" for i in range(300)]
+    for i in range(n):
+        words = list(base)
+        for _ in range(rng.choice(changes)):
+            words[rng.randrange(300)] = f"x{rng.randrange(10**6)}"
+        rows.append((i, " ".join(words), "en", "s"))
+    return rows
+
+
+@pytest.mark.parametrize("docs", [5, 16])
+def test_large_groups_of_near_copies_equal_brute_force(spark, monkeypatch, docs):
+    monkeypatch.setattr(jaccard, "PART_DOCS", docs)
+    monkeypatch.setattr(jaccard, "CLASSES", 2)  # many are left to the second round
+    rows = near_copies(220)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.jaccard_components(documents(spark, rows), 3, (9, 10)).collect()}
+    assert got == brute(rows, 3, 9, 10)
+
+
+def test_thousands_of_near_copies_take_few_tiles(spark, monkeypatch):
+    rows = near_copies(5000, seed=2, changes=(0, 1, 2, 4))
+    laid = []
+    links = jaccard._links
+    monkeypatch.setattr(jaccard, "_links", lambda docs, tiles, *a: laid.append(jaccard.stored(tiles, "seen")) or links(docs, laid[-1], *a))
+    got = jaccard.jaccard_components(documents(spark, rows), 5, (4, 5)).collect()
+    assert len(got) == 5000 and sum(r["component_id"] == 0 for r in got) > 4900
+    sets = {i: shingles(t, 5) for i, t, *_ in rows}
+    for r in got[::100]:  # what is alone is linked with nobody
+        if r["component_id"] == r["doc_id"] != 0:
+            assert all(5 * len(sets[r["doc_id"]] & s) < 4 * len(sets[r["doc_id"]] | s) for i, s in sets.items() if i != r["doc_id"])
+    assert sum(t.selectExpr("sum(size(tiles))").first()[0] or 0 for t in laid) < 4 * 5000
+
+
 def test_jaccard_edges(spark):
     assert jaccard.jaccard_components(documents(spark, [])).count() == 0
     long = " ".join(f"w{i}" for i in range(30_000))
