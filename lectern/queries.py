@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
 
@@ -18,6 +17,7 @@ from lectern.operators.merge import Store
 from lectern.plans import validation as V
 from lectern.plans.models import c_model, c_rows, t_model, table
 from lectern.sources import files, rest
+from lectern.sources.shared import shared_dir
 from lectern.streaming.ingest import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -98,7 +98,7 @@ def restore_rekey(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def migration_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A whole migration over a store of the conversations: rows that each step touched or found."""
-    store = Store(spark, f"{_shared(spark)}/migration-{uuid.uuid4().hex}")
+    store = Store(spark, f"{shared_dir(spark)}/migration-{uuid.uuid4().hex}")
     rows = _records(spark, sf_dir)
     load.load(store, rows, salt="old-")
     keys = rows.select("book_sort", "chapter_sort", "verse_sort").distinct()
@@ -286,7 +286,7 @@ def nested_document_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def documents_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A document per book and language, written and read back."""
-    at = f"{_shared(spark)}/documents-{uuid.uuid4().hex}"
+    at = f"{shared_dir(spark)}/documents-{uuid.uuid4().hex}"
     files.write_documents(files.nested(_document_rows(spark, sf_dir), per_book=True), at)
     back = files.flatten(files.read_documents(spark, at))
     return back.select("language", "book_sort", "book_name", "chapter_sort", "verse_sort", F.md5(F.col("content").cast("binary")).alias("digest"))
@@ -314,20 +314,9 @@ def load_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
-def _shared(spark: SparkSession) -> str:
-    """The folder that driver and executors share; one of its own only for a session of one process."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not found:
-        if not spark.sparkContext.master.startswith(("local[", "local")) or spark.sparkContext.master.startswith("local-cluster"):
-            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-        found = "file://" + tempfile.mkdtemp(prefix="lectern-")
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found.rstrip("/")
-
-
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conversations written as JSON lines, streamed twice into one store; its final contents."""
-    at = f"{_shared(spark)}/ingest-{uuid.uuid4().hex}"
+    at = f"{shared_dir(spark)}/ingest-{uuid.uuid4().hex}"
     rows = c_rows(spark, sf_dir).select(F.concat_ws(".", "chapter_sort", "section_sort").alias("passage_id"), F.col("raw_language").alias("lang"), F.lit(1).alias("bible_id"), "book_sort", "chapter_sort", F.col("section_sort").alias("verse_sort"), "content")
     store = Store(spark, f"{at}/store")
     for part in (0, 1):
@@ -339,7 +328,7 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def completed_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Keys of finished work read back from JSON lines, some of which are broken or repeated."""
-    at = f"{_shared(spark)}/completed-{uuid.uuid4().hex}"
+    at = f"{shared_dir(spark)}/completed-{uuid.uuid4().hex}"
     turns = table(spark, sf_dir, "conversations")
     record = F.to_json(F.struct(F.concat_ws(".", "conv_id", (F.col("turn") / 2).cast("int")).alias("passage_id"), F.col("role").alias("lang"), F.lit(1).alias("bible_id"), F.col("text").alias("content")))
     turns.select(F.when(F.length("text") % 10 == 0, F.lit('{"passage_id": "broken')).otherwise(record).alias("value")).write.text(at)
@@ -348,7 +337,7 @@ def completed_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def spec_file_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A specification written for the 66 books of the catalogue, read back and checked against it."""
-    at = f"{_shared(spark)}/spec-{uuid.uuid4().hex}"
+    at = f"{shared_dir(spark)}/spec-{uuid.uuid4().hex}"
     counts = catalogue(spark).select("book_sort", F.explode(F.sequence(F.lit(1), F.col("total_chapters"))).alias("chapter_sort"))
     made = spec.verses_map(counts.select("book_sort", "chapter_sort", (F.col("chapter_sort") % 30 + F.col("book_sort")).cast("int").alias("verses")))
     files.write_spec(made.withColumns({"name": F.lit("n"), "testament": F.lit("t")}), at, "T", "V", T.ENGLISH)
