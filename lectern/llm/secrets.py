@@ -222,9 +222,12 @@ def scan_segment(texts: pa.Array, rules: tuple[Rule, ...], queries: list[tuple],
 
 
 def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str = "doc_id", text_col: str = "text", segment_bytes: int = 4 << 20) -> DataFrame:
-    """One row per document: its id, the number of spans of each rule, ``base_sha256`` and ``spans``."""
+    """One row per document: its id, the number of spans of each base rule, ``base_sha256``, ``spans``, and
+    the numbers of the other rules' spans."""
     names = [rule.kind for rule in rules]
-    schema = "doc_id long, " + ", ".join(f"n_{name} long" for name in names) + ", base_sha256 string, spans string"
+    first, last = ([i for i, rule in enumerate(rules) if rule.base is base] for base in (True, False))
+    order = ["doc_id", *(f"n_{names[i]}" for i in first), "base_sha256", "spans", *(f"n_{names[i]}" for i in last)]
+    schema = ", ".join(f"{name} {'string' if name in ('base_sha256', 'spans') else 'long'}" for name in order)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         queries = [trigram_query(rule.pattern) for rule in rules]
@@ -242,7 +245,7 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str = "doc_id
                 named = [(rules[k].base, f"{names[k]}:{a}:{b}") for a, k, b in found]
                 every.append(",".join(x for _, x in named))
                 base.append(hashlib.sha256(",".join(x for own, x in named if own).encode()).hexdigest())
-            columns = [batch.column(0), *(pa.array(c) for c in counts), pa.array(base, pa.string()), pa.array(every, pa.string())]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", *(f"n_{name}" for name in names), "base_sha256", "spans"])
+            columns = [batch.column(0), *(pa.array(counts[i]) for i in first), pa.array(base, pa.string()), pa.array(every, pa.string()), *(pa.array(counts[i]) for i in last)]
+            yield pa.RecordBatch.from_arrays(columns, names=order)
 
     return docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text")).mapInArrow(tidy(run), schema)

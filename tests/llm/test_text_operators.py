@@ -104,7 +104,9 @@ def base_spans(text):
 
 
 def test_secret_scan(docs, none):
-    got = secrets.scan(docs, segment_bytes=64).collect()
+    found = secrets.scan(docs, segment_bytes=64)
+    assert found.columns[:6] == ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"]
+    got = found.collect()
     assert len(got) == len(TEXTS)
     want = defaultdict(list)
     for key, text in TEXTS:
