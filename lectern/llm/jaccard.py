@@ -9,7 +9,9 @@ contents alone. Cells with most infrequent shingles come first, so a line or pas
 documents have in common does not make them meet. Frequencies come from a table of ``COUNTERS``
 hashed counters, filled from all documents; its size is fixed, and it decides the order only. The
 hash of (band, cell, content) is a key; documents with equal keys form blocks. (A set that leaves
-too few cells filled also gets the keys of an ordinary prefix filter.)
+too few cells filled also gets the keys of an ordinary prefix filter.) The keys of ``FIRST`` cells go first:
+they connect nearly all copies. For the others, what is connected already stands as one, so a pair of
+copies is not named again for each of the hundreds of keys that they share.
 
 How they are compared. Blocks that share documents are united; each union is cut into tiles of two
 size bands at a time and, where large, into hashed parts, so that no task holds more than two
@@ -60,6 +62,9 @@ ANNOUNCED, FLUSH_KEYS = 200_000, 500_000
 TASK_KEYS = 1_000_000
 _SLICE = 1 << 20
 
+#: Cells of each tile whose keys are compared first.
+FIRST = 3
+_OWN = "doc_id long, first binary, rest binary"
 _KEYS = "bucket int, docs binary, which binary, low binary, high binary"
 _SETS = "doc_id long, n long, s1 long, s2 long"
 _PARTS = "tile long, part long, label long, doc_id long, hashes binary"
@@ -128,19 +133,19 @@ def frequencies(docs: DataFrame, words: int) -> np.ndarray:
     return out
 
 
-def keys(hashes: np.ndarray, starts: np.ndarray, of: Bands, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of all sets, with the number of the set of each."""
+def keys(hashes: np.ndarray, starts: np.ndarray, of: Bands, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Keys of all sets, with the number of the set of each, and whether it is one of its first."""
     sizes = np.diff(starts)
     live = np.flatnonzero(sizes)
     if not len(live):
-        return np.zeros(0, U), np.zeros(0, np.int64)
+        return np.zeros(0, U), np.zeros(0, np.int64), np.zeros(0, bool)
     n = sizes[live]
     band, most = of.of(n), of.differ(n)
     owner = np.repeat(np.arange(len(live)), n)
     spread, content = mix(hashes ^ U(0x5851F42D4C957F2D)), mix(hashes + U(0x14057B7EF767814F))
     low, high = (content & U(0xFFFFFFFF)).astype(np.float64), (content >> U(32)).astype(np.float64)
     rare = (counts[_counter(hashes)] <= 4 * int(np.median(counts)) + 16).astype(np.float64)
-    found, number = [], []
+    found, number, early = [], [], []
     for tile in (band, band + 1):
         cells = of.cells(tile)
         base = np.cumsum(cells) - cells
@@ -155,6 +160,7 @@ def keys(hashes: np.ndarray, starts: np.ndarray, of: Bands, counts: np.ndarray)
         order = np.lexsort((at, -score[at], whose))
         rank = np.arange(len(at)) - (np.cumsum(per) - per)[whose]  # of order[i] within its set
         chosen = order[rank <= most[whose]]
+        early.append(rank[rank <= most[whose]] < FIRST)
         at, whose = at[chosen], whose[chosen]
         place = (at - base[whose]).astype(U) * U(0x9E3779B97F4A7C15) + tile[whose].astype(U)
         found.append(mix(sums[at] ^ mix(place)))
@@ -165,7 +171,8 @@ def keys(hashes: np.ndarray, starts: np.ndarray, of: Bands, counts: np.ndarray)
             prefix = own[: len(own) - need + 1]
             found.append(mix(prefix ^ U(0xD1B54A32D192ED03)))
             number.append(np.full(len(prefix), live[i]))
-    return np.concatenate(found), np.concatenate(number)
+            early.append(np.zeros(len(prefix), bool))
+    return np.concatenate(found), np.concatenate(number), np.concatenate(early)
 
 
 def _chunks(batch: pa.RecordBatch) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
@@ -196,12 +203,53 @@ def set_table(docs: DataFrame, words: int) -> DataFrame:
     return docs.mapInArrow(tidy(run), _SETS)
 
 
-def key_table(docs: DataFrame, words: int, of: tuple[int, int], buckets: int) -> DataFrame:
-    """Packed (key, document) pairs by bucket of the key; of equal sets a task announces the first."""
+def _binaries(values: np.ndarray, number: np.ndarray, rows: int) -> pa.Array:
+    """The 48-bit values of each row end to end. 48 bits of a key are kept: a chance match only adds a comparison."""
+    order = np.argsort(number, kind="stable")
+    data = values[order].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+    ends = 6 * np.cumsum(np.bincount(number, minlength=rows))
+    return pa.Array.from_buffers(pa.binary(), rows, [None, pa.py_buffer(np.concatenate(([0], ends)).astype(np.int32).tobytes()), pa.py_buffer(data)])
+
+
+def _values(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """What ``_binaries`` was given, by row."""
+    raw, offsets = utf8(column)
+    wide = np.zeros((len(raw) // 6, 8), np.uint8)
+    wide[:, :6] = raw.reshape(-1, 6)
+    return wide.view(np.uint64).reshape(-1), np.repeat(np.arange(len(column)), np.diff(offsets) // 6)
+
+
+def own_keys(docs: DataFrame, words: int, of: tuple[int, int]) -> DataFrame:
+    """The keys of each document, the first ones apart; of equal sets a task announces the first."""
     counts = docs.sparkSession.sparkContext.broadcast(frequencies(docs, words))  # of fixed size
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         announced: set[int] = set()
+        for batch in batches:
+            for ids, data, offsets in _chunks(batch):
+                hashes, starts = shingle_sets(data, offsets, words)
+                keep = ids.is_valid().to_numpy(zero_copy_only=False) & (np.diff(starts) > 0)
+                sums = zip(_totals(hashes, starts).tolist(), _totals(mix(hashes + U(1)), starts).tolist(), strict=True)
+                for i, (s1, s2) in enumerate(sums):
+                    if keep[i]:
+                        name = s1 << 64 | s2
+                        keep[i] = name not in announced
+                        if len(announced) < ANNOUNCED:
+                            announced.add(name)
+                sizes = np.where(keep, np.diff(starts), 0)[keep]
+                hashes = hashes[np.repeat(keep, np.diff(starts))]
+                key, number, early = keys(hashes, np.concatenate(([0], np.cumsum(sizes))), bands(*of), counts.value)
+                key >>= U(16)
+                columns = [ids.filter(pa.array(keep)), *(_binaries(key[part], number[part], len(sizes)) for part in (early, ~early))]
+                yield pa.RecordBatch.from_arrays(columns, names=[x.split()[0] for x in _OWN.split(", ")])
+
+    return docs.mapInArrow(tidy(run), _OWN)
+
+
+def packed(owned: DataFrame, buckets: int) -> DataFrame:
+    """(owner, keys) as packed pairs by bucket of the key, each pair once for what a task holds."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray]] = []
         count = 0
 
@@ -211,39 +259,50 @@ def key_table(docs: DataFrame, words: int, of: tuple[int, int], buckets: int) ->
             held.clear()
             count = 0
             bucket = (key % U(buckets)).astype(np.int64)
-            order = np.argsort(bucket, kind="stable")
-            edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
+            order = np.lexsort((owner, key, bucket))
+            key, owner, bucket = key[order], owner[order], bucket[order]
+            new = np.ones(len(key), bool)
+            new[1:] = (key[1:] != key[:-1]) | (owner[1:] != owner[:-1])
+            key, owner, bucket = key[new], owner[new], bucket[new]
+            edges = np.searchsorted(bucket, np.arange(buckets + 1))
             rows = []
             for b in np.flatnonzero(np.diff(edges)).tolist():
-                mine = order[edges[b] : edges[b + 1]]
+                mine = slice(edges[b], edges[b + 1])
                 ids, which = np.unique(owner[mine], return_inverse=True)
-                # 48 bits of a key are kept: a chance match only adds a comparison
-                rows.append((b, ids.tobytes(), which.astype(np.uint32).tobytes(), (key[mine] >> U(16) & U(0xFFFFFFFF)).astype(np.uint32).tobytes(), (key[mine] >> U(48)).astype(np.uint16).tobytes()))
+                rows.append((b, ids.tobytes(), which.astype(np.uint32).tobytes(), (key[mine] & U(0xFFFFFFFF)).astype(np.uint32).tobytes(), (key[mine] >> U(32)).astype(np.uint16).tobytes()))
             kinds = (pa.int32(), *[pa.binary()] * 4)
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=[x.split()[0] for x in _KEYS.split(", ")])
 
         for batch in batches:
-            for ids, data, offsets in _chunks(batch):
-                hashes, starts = shingle_sets(data, offsets, words)
-                keep = ids.is_valid().to_numpy(zero_copy_only=False) & (np.diff(starts) > 0)
-                sums = zip(_totals(hashes, starts).tolist(), _totals(mix(hashes + U(1)), starts).tolist(), strict=True)
-                for i, (s1, s2) in enumerate(sums):
-                    if keep[i]:
-                        name = s1 << 64 | s2
-                        keep[i] = name not in announced
-                        if len(announced) < ANNOUNCED:
-                            announced.add(name)
-                sizes = np.where(keep, np.diff(starts), 0)
-                hashes = hashes[np.repeat(keep, np.diff(starts))]
-                key, number = keys(hashes, np.concatenate(([0], np.cumsum(sizes))), bands(*of), counts.value)
-                held.append((key, ids.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)[number]))
+            for at in range(0, batch.num_rows, 512):
+                part = batch.slice(at, 512)
+                key, row = _values(part.column(1))
+                held.append((key, part.column(0).to_numpy(zero_copy_only=False).astype(np.int64)[row]))
                 count += len(key)
                 if count >= FLUSH_KEYS:
                     yield flush()
         if count:
             yield flush()
 
-    return docs.mapInArrow(tidy(run), _KEYS)
+    return owned.mapInArrow(tidy(run), _KEYS)
+
+
+def near(own: DataFrame, buckets: int) -> DataFrame:
+    """(node, component): documents that are connected by equal keys."""
+
+    held = own.agg(*(F.coalesce(F.sum(F.octet_length(c)), F.lit(0)).alias(c) for c in ("first", "rest"))).first()
+
+    def meet(owned: DataFrame, column: str) -> DataFrame:
+        tasks = max(1, -(-held[column] // (6 * TASK_KEYS)))
+        return block_edges(packed(owned.select("owner", column), max(buckets, 4 * tasks)).repartition(tasks, "bucket"))
+
+    first = stored(components(meet(own.withColumn("owner", F.col("doc_id")), "first")), "first")
+    met = first.select(F.col("node").alias("doc_id"), F.col("component").alias("root"))
+    ids = met.select("doc_id")
+    joined = may_be_in(own, ids).join(met, "doc_id", "left").withColumn("owner", F.coalesce("root", "doc_id")).select("owner", "rest")
+    alone = may_be_in(own, ids, "left_anti").select(F.col("doc_id").alias("owner"), "rest")
+    others = meet(joined.unionByName(alone), "rest")
+    return components(others.unionByName(first.select(F.col("node").alias("u"), F.col("component").alias("v"))))
 
 
 class Forest:
@@ -271,9 +330,9 @@ def block_edges(table: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys_, owners = [], []
         for batch in batches:
-            for bucket, docs, which, low, high in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for _, docs, which, low, high in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 bits = np.frombuffer(low, np.uint32).astype(U) | np.frombuffer(high, np.uint16).astype(U) << U(32)
-                keys_.append(bits << U(16) | U(bucket & 0xFFFF))
+                keys_.append(bits)
                 owners.append(np.frombuffer(docs, np.int64)[np.frombuffer(which, np.uint32)])
         if not keys_:
             return
@@ -499,13 +558,9 @@ def jaccard_components(docs: DataFrame, words: int = 5, threshold: tuple[int, in
     docs = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
     sets = stored(set_table(docs, words), "sets")
     buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # a document has two keys for each shingle in which it may differ, and two more
-    keys_ = F.sum(F.lit(2) + 2 * F.floor(F.col("n") * (threshold[1] - threshold[0]) / threshold[0]))
-    tasks = max(1, -(-int(sets.filter("n > 0").agg(F.coalesce(keys_, F.lit(0))).first()[0]) // TASK_KEYS))
-    packed = key_table(docs, words, threshold, max(buckets, 4 * tasks)).repartition(tasks, "bucket")
-    near = stored(components(block_edges(packed)), "near")
+    blocks_ = stored(near(stored(own_keys(docs, words, threshold), "keys"), buckets), "near")
     sized = sets.filter("n > 0").groupBy("doc_id").agg(F.max("n").alias("n"))
-    blocks = near.join(sized, near["node"] == sized["doc_id"]).select("doc_id", "component", "n")
+    blocks = blocks_.join(sized, blocks_["node"] == sized["doc_id"]).select("doc_id", "component", "n")
     linked = stored(components(_all_links(docs, blocks, words, threshold)), "linked")
     known = sets.filter("doc_id IS NOT NULL AND n > 0").join(linked, sets["doc_id"] == linked["node"], "left")
     # the least id of a component may be that of a copy which its task did not announce

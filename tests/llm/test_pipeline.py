@@ -34,7 +34,7 @@ def corpus():
         if i % 2 and len(words) > 30:
             words[5] = "other"
         rows.append((i, " ".join(words), "en", f"s{i % 3}"))
-    rows += [(300, None, "en", "s0"), (301, "", None, None), (302, " \n\t ", "de", "s1"), (303, "so", "fr", "new"), (304, rows[1][1], "en", "s1"), (304, rows[1][1], "en", "s1"), (None, "a text without an id of its own", "en", "s2")]
+    rows += [(300, None, "en", "s0"), (301, "", None, None), (302, " \n\t ", "de", "s1"), (303, "so", "de", "s2"), (304, rows[1][1], "en", "s1"), (304, rows[1][1], "en", "s1"), (None, "a text without an id of its own", "en", "s2")]
     rows.append((305, " ".join(rng.choices(CLEAN, k=40_000)), "en", "s0"))
     rows.append((306, "-".join(rng.choices(CLEAN, k=500)) + " <|endoftext|> tail", "en", "s0"))
     return rows, labels
