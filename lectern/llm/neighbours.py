@@ -54,7 +54,7 @@ class Settings:
     judges: int = 400
     rounds: int = 30
     bits: int = 256
-    recall: float = 0.96
+    recall: float = 0.94
     z: float = 2.5
     shard: int = 16_384
     block: int = 16_384

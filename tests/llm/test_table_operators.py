@@ -217,7 +217,7 @@ def recall(spark, df, k=5, **settings):
 
 def test_recall_on_the_table_as_registered(spark):
     found, error, share = recall(spark, spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet"))
-    assert found >= 0.9 and error < 1e-12 and share < 0.75  # 2,000 rows: their neighbours are far
+    assert found >= 0.9 and error < 1e-12 and share < 0.4
 
 
 def test_larger_tables_are_probed_in_a_small_part(spark):
