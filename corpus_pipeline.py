@@ -1,4 +1,12 @@
-"""From raw documents to packed training windows: five stages, each a table of the shared folder."""
+"""From raw documents to packed training windows: five stages, each a table of the shared folder.
+
+Every stage takes all that its predecessor kept, and all but the last keep the columns of the documents,
+whatever they are. Defined results: null and empty texts are not toxic, hold no boilerplate, are nobody's
+copies, are drawn by the probability of their category, and are packed as their end id alone; rows
+without an id stay, and their text is nobody's copy; rows that repeat an id and a text share every
+decision, and as copies of a row with a smaller id they go with it; of equal copies all rows of the least id
+stay; an empty table gives no pieces.
+"""
 
 from __future__ import annotations
 
@@ -7,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lectern.llm import jaccard, line_dedup, mixing, packing, toxicity
-from lectern.llm.common import stored, table
+from lectern.llm.common import WRITTEN, remove_stored, stored, table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,8 +60,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; every stage's result is written before the next reads it."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages over ``documents``; every stage's result is written before the next reads it, and what the
+    stages wrote on their way is removed."""
+    docs, mark = table(spark, sf_dir, "documents"), len(WRITTEN)
     for name, stage in STAGES:
         docs = stored(stage(spark, docs, sf_dir), name)
+        remove_stored(spark, mark, but=WRITTEN[-1])
     return docs

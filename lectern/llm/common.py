@@ -18,8 +18,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Tables that this session's operators have written to the shared folder, in order.
+WRITTEN: list[str] = []
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    WRITTEN.append(f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}")
+    return WRITTEN[-1]
+
+
+def remove_stored(spark: SparkSession, since: int = 0, but: str | None = None) -> None:
+    """Remove the tables written from number ``since`` on, except one. What reads them must be done."""
+    for path in [p for p in WRITTEN[since:] if p != but]:
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+        WRITTEN.remove(path)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

@@ -13,7 +13,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline as C
 from lectern.llm import mixing, toxicity
-from lectern.llm.common import table
+from lectern.llm.common import WRITTEN, table
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, tiles string, label long, part string, p double, dropped_keys string"
 CLEAN = [f"{a}{b}" for a in ("ban", "cor", "del", "fim", "gol", "hup") for b in ("ane", "ust", "ipo", "erl", "omy")]
@@ -150,7 +150,9 @@ def test_run_packs_what_the_stages_leave(spark, folder):
     left = defaultdict(list)
     for r in at.select("doc_id", "text").collect():
         left[r["doc_id"]].append(exact(r["text"]))
+    before = len(WRITTEN)
     got, windows = C.run(spark, folder).collect(), defaultdict(list)
+    assert len(WRITTEN) == before + 1  # its result
     seen = Counter()
     for r in got:
         ids = left[r["doc_id"]][0]
