@@ -40,23 +40,23 @@ _LETTERS = r"^[A-Za-z\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{12f}\x{131}-\x{17f}]+$"
 #: others, in order, for the characters from 256 on.
 _SHOWN = {*range(33, 127), *range(161, 173), *range(174, 256)}
 _VISIBLE = {b: 256 + i for i, b in enumerate(x for x in range(256) if x not in _SHOWN)}
-#: Pieces that go to the tokenizer in one call; longest piece that is remembered, and about what one takes.
-_TOGETHER, _LONGEST, _ENTRY = 1000, 64, 260
+#: Pieces that go to the tokenizer in one call, and the longest piece that is remembered.
+_TOGETHER, _LONGEST = 1000, 64
 
 
 class CachedEncoder:
     """Ids of whole texts.
 
     ``spaced``: the vocabulary keeps a leading space with the word (byte-level BPE); otherwise white
-    space is dropped. ``cache_bytes`` bounds what is remembered between calls: two generations of
-    pieces, of which the older one goes when the younger is full.
+    space is dropped. ``limit`` pieces and their ids are remembered between calls, as two Arrow arrays
+    (about 30 bytes each); when there are more, the older half goes.
     """
 
-    def __init__(self, path: str, spaced: bool, cache_bytes: int = 32 << 20):
+    def __init__(self, path: str, spaced: bool, limit: int = 500_000):
         self.tokenizer = Tokenizer.from_file(path)
-        self.spaced, self.room = spaced, cache_bytes // 2
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        self.spaced, self.limit = spaced, limit
+        self.pieces = pa.array([], pa.large_string())
+        self.ids = pa.array([], pa.large_binary())
         special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.divider = special[0] if special else None
         self.divider_id = self.tokenizer.token_to_id(special[0]) if special else -1
@@ -78,7 +78,8 @@ class CachedEncoder:
         whole = pc.match_substring_regex(texts, self.odd)
         pieces = self._cut(pc.if_else(whole, "", texts))
         coded = pieces.values.slice(pieces.offsets[0].as_py(), pieces.offsets[-1].as_py() - pieces.offsets[0].as_py()).dictionary_encode()
-        taken = pa.array(self._ids_of(coded.dictionary), pa.large_binary()).take(coded.indices)
+        found = self._places(coded.dictionary)
+        taken = self.ids.take(pa.array(found[coded.indices.to_numpy(zero_copy_only=False)]))
         ends = np.frombuffer(taken.buffers()[1], np.int64, len(taken) + 1, 8 * taken.offset) // 4
         data = taken.buffers()[2]
         ids = np.frombuffer(data, np.uint32)[: ends[-1]] if data and ends[-1] else np.zeros(0, np.uint32)
@@ -87,10 +88,10 @@ class CachedEncoder:
         odd = np.flatnonzero(whole.to_numpy(zero_copy_only=False))
         if not len(odd):
             return ids, offsets
-        found = self._whole([texts[i].as_py() for i in odd.tolist()])
+        whole_ids = self._whole([texts[i].as_py() for i in odd.tolist()])
         parts, at = [], 0
         added = np.zeros(len(offsets), np.int64)
-        for i, own in zip(odd.tolist(), found, strict=True):  # such a text has no ids yet
+        for i, own in zip(odd.tolist(), whole_ids, strict=True):  # such a text has no ids yet
             parts += [ids[at : offsets[i]], own]
             at = offsets[i]
             added[i + 1] = len(own)
@@ -111,38 +112,37 @@ class CachedEncoder:
             out = pc.if_else(glued, out, marked)
         return pc.split_pattern(out, between).cast(pa.large_list(pa.large_string()))
 
-    def _ids_of(self, dictionary: pa.Array) -> list[bytes]:
-        names = dictionary.to_pylist()
-        found = [*map(self.young.get, names)]
-        missing = [i for i, ids in enumerate(found) if ids is None]
-        if missing and self.old:
-            older = [*map(self.old.get, [names[i] for i in missing])]
-            again = {names[i]: ids for i, ids in zip(missing, older, strict=True) if ids is not None}
-            for i, ids in zip(missing, older, strict=True):
-                found[i] = ids
-            missing = [i for i, ids in zip(missing, older, strict=True) if ids is None]
-            self._keep(again)
-        if missing:
-            at = np.array(missing)
-            new = dictionary.take(pa.array(at))
-            alike = pc.match_substring_regex(new, _WITH_SPACE if self.spaced else _LETTERS).to_numpy(zero_copy_only=False)
-            for chosen, merged in ((at[alike].tolist(), self._side_by_side), (at[~alike].tolist(), self._divided)):
-                for a in range(0, len(chosen), _TOGETHER):
-                    part = chosen[a : a + _TOGETHER]
-                    pieces = [names[i] for i in part]
-                    merge = merged(pieces)
-                    for i, ids in zip(part, merge, strict=True):
-                        found[i] = ids
-                    self._keep(dict(zip(pieces, merge, strict=True)))
+    def _places(self, dictionary: pa.Array) -> np.ndarray:
+        """Where in ``self.ids`` each piece is found, after the unknown ones are learned."""
+        self._trim()
+        at = pc.index_in(dictionary, value_set=self.pieces)
+        unknown = at.is_null().to_numpy(zero_copy_only=False)
+        places = at.fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
+        if unknown.any():
+            places[unknown] = len(self.ids) + np.arange(int(unknown.sum()))
+            new = dictionary.filter(pa.array(unknown))
+            self.ids = pa.concat_arrays([self.ids, pa.array(self._learned(new), pa.large_binary())])
+            self.pieces = pa.concat_arrays([self.pieces, new])
+        return places
+
+    def _trim(self) -> None:
+        if len(self.pieces) > self.limit:
+            self.pieces, self.ids = (pa.concat_arrays([x.slice(len(x) - self.limit // 2)]) for x in (self.pieces, self.ids))
+        longest = pc.max(pc.binary_length(self.pieces)).as_py() or 0
+        if longest > 4 * _LONGEST:
+            short = pc.less_equal(pc.binary_length(self.pieces), _LONGEST)
+            self.pieces, self.ids = self.pieces.filter(short), self.ids.filter(short)
+
+    def _learned(self, new: pa.Array) -> list[bytes]:
+        names, found = new.to_pylist(), [b""] * len(new)
+        alike = pc.match_substring_regex(new, _WITH_SPACE if self.spaced else _LETTERS).to_numpy(zero_copy_only=False)
+        for chosen, merged in ((np.flatnonzero(alike).tolist(), self._side_by_side), (np.flatnonzero(~alike).tolist(), self._divided)):
+            for a in range(0, len(chosen), _TOGETHER):
+                part = chosen[a : a + _TOGETHER]
+                for i, ids in zip(part, merged([names[i] for i in part]), strict=True):
+                    found[i] = ids
         return found
 
-    def _keep(self, pieces: dict[str, bytes]) -> None:
-        if max(map(len, pieces), default=0) > _LONGEST:
-            pieces = {p: ids for p, ids in pieces.items() if len(p) <= _LONGEST}
-        self.young.update(pieces)
-        if len(self.young) * _ENTRY > self.room:
-            self.old, self.young = self.young, {}
-
     def _whole(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(x.ids, np.uint32) for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 

@@ -27,7 +27,7 @@ from lectern.llm.encoding import CachedEncoder, with_end
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 _ARROW = pa.schema([(x.split()[0], pa.int64()) for x in SCHEMA.split(", ")])
 #: Bytes of text that are encoded at once.
-CHUNK = 4 << 20
+CHUNK = 6 << 20
 #: Pieces that are packed together; bounds a task's memory.
 GROUP = 200_000
 

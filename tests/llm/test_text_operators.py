@@ -65,7 +65,7 @@ def split(ids, offsets):
 
 @pytest.mark.parametrize("path,spaced", [(BYTE, True), (WORD, False)])
 def test_cached_ids_are_exact(path, spaced):
-    encoder, want = CachedEncoder(path, spaced, cache_bytes=20_000), exact(path)
+    encoder, want = CachedEncoder(path, spaced, limit=50), exact(path)
 
     @settings(max_examples=1500, deadline=None)
     @given(st.lists(st.lists(st.sampled_from(PIECES), max_size=30).map("".join), max_size=6))
@@ -74,7 +74,8 @@ def test_cached_ids_are_exact(path, spaced):
         assert split(*encoder.encode(pa.array(["cut off", *texts], pa.string()).slice(1))) == [*map(want, texts)]
 
     check()
-    assert len(encoder.young) + len(encoder.old) <= 2 * (20_000 // 260 + 1000)
+    encoder.encode(pa.array(["last"]))
+    assert len(encoder.pieces) == len(encoder.ids) <= 51
 
 
 @pytest.mark.parametrize("path,spaced", [(BYTE, True), (WORD, False)])
