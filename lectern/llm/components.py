@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lectern.llm.common import stored
+from lectern.llm.common import WRITTEN, remove_stored, stored
 
 
 def _is_star(edges: DataFrame) -> bool:
@@ -35,8 +35,10 @@ def _small_star(edges: DataFrame) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """From (u, v) to (node, component), for the nodes that have an edge to another node."""
     now = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).filter("u > v").distinct()
+    mark = len(WRITTEN)
     now = stored(now, "edges")
     while not _is_star(now):
         now = stored(_small_star(stored(_large_star(now), "stars")), "edges")
+        remove_stored(edges.sparkSession, mark, but=WRITTEN[-1])
     roots = now.select(F.col("v").alias("node")).distinct()
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots.select("node", F.col("node").alias("component")))

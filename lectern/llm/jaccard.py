@@ -45,7 +45,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lectern.llm.common import stored, tidy, utf8
+from lectern.llm.common import WRITTEN, remove_stored, stored, tidy, utf8
 from lectern.llm.components import components
 from lectern.llm.shingles import U, mix, shingle_sets
 
@@ -65,7 +65,7 @@ _SLICE = 1 << 20
 #: Cells of each tile whose keys are compared first.
 FIRST = 3
 _OWN = "doc_id long, first binary, rest binary"
-_KEYS = "bucket int, docs binary, which binary, low binary, high binary"
+_KEYS = "bucket int, base long, owners binary, low binary, high binary"
 _SETS = "doc_id long, n long, s1 long, s2 long"
 _PARTS = "tile long, part long, label long, doc_id long, hashes binary"
 #: Representatives of a large union in each size band.
@@ -267,10 +267,12 @@ def packed(owned: DataFrame, buckets: int) -> DataFrame:
             edges = np.searchsorted(bucket, np.arange(buckets + 1))
             rows = []
             for b in np.flatnonzero(np.diff(edges)).tolist():
-                mine = slice(edges[b], edges[b + 1])
-                ids, which = np.unique(owner[mine], return_inverse=True)
-                rows.append((b, ids.tobytes(), which.astype(np.uint32).tobytes(), (key[mine] & U(0xFFFFFFFF)).astype(np.uint32).tobytes(), (key[mine] >> U(32)).astype(np.uint16).tobytes()))
-            kinds = (pa.int32(), *[pa.binary()] * 4)
+                own, mine = key[edges[b] : edges[b + 1]], owner[edges[b] : edges[b + 1]]
+                base = int(mine.min())
+                above = (mine - base).astype(U)
+                wide = above.max() >= 1 << 32  # owners as far as they lie above the least
+                rows.append((b, base, above.astype(np.uint64 if wide else np.uint32).tobytes(), (own & U(0xFFFFFFFF)).astype(np.uint32).tobytes(), (own >> U(32)).astype(np.uint16).tobytes()))
+            kinds = (pa.int32(), pa.int64(), *[pa.binary()] * 3)
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=[x.split()[0] for x in _KEYS.split(", ")])
 
         for batch in batches:
@@ -287,14 +289,14 @@ def packed(owned: DataFrame, buckets: int) -> DataFrame:
     return owned.mapInArrow(tidy(run), _KEYS)
 
 
-def near(own: DataFrame, buckets: int) -> DataFrame:
+def near(own: DataFrame) -> DataFrame:
     """(node, component): documents that are connected by equal keys."""
 
     held = own.agg(*(F.coalesce(F.sum(F.octet_length(c)), F.lit(0)).alias(c) for c in ("first", "rest"))).first()
 
     def meet(owned: DataFrame, column: str) -> DataFrame:
         tasks = max(1, -(-held[column] // (6 * TASK_KEYS)))
-        return block_edges(packed(owned.select("owner", column), max(buckets, 4 * tasks)).repartition(tasks, "bucket"))
+        return block_edges(packed(owned.select("owner", column), 4 * tasks).repartition(tasks, "bucket"))
 
     first = stored(components(meet(own.withColumn("owner", F.col("doc_id")), "first")), "first")
     met = first.select(F.col("node").alias("doc_id"), F.col("component").alias("root"))
@@ -330,10 +332,11 @@ def block_edges(table: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys_, owners = [], []
         for batch in batches:
-            for _, docs, which, low, high in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for _, base, own, low, high in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 bits = np.frombuffer(low, np.uint32).astype(U) | np.frombuffer(high, np.uint16).astype(U) << U(32)
                 keys_.append(bits)
-                owners.append(np.frombuffer(docs, np.int64)[np.frombuffer(which, np.uint32)])
+                wide = len(own) > len(low)
+                owners.append(base + np.frombuffer(own, np.uint64 if wide else np.uint32).astype(np.int64))
         if not keys_:
             return
         key, owner = np.concatenate(keys_), np.concatenate(owners)
@@ -557,11 +560,13 @@ def jaccard_components(docs: DataFrame, words: int = 5, threshold: tuple[int, in
     spark = docs.sparkSession
     docs = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
     sets = stored(set_table(docs, words), "sets")
-    buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    blocks_ = stored(near(stored(own_keys(docs, words, threshold), "keys"), buckets), "near")
+    mark = len(WRITTEN)
+    blocks_ = stored(near(stored(own_keys(docs, words, threshold), "keys")), "near")
+    remove_stored(spark, mark, but=WRITTEN[-1])
     sized = sets.filter("n > 0").groupBy("doc_id").agg(F.max("n").alias("n"))
     blocks = blocks_.join(sized, blocks_["node"] == sized["doc_id"]).select("doc_id", "component", "n")
     linked = stored(components(_all_links(docs, blocks, words, threshold)), "linked")
+    remove_stored(spark, mark, but=WRITTEN[-1])
     known = sets.filter("doc_id IS NOT NULL AND n > 0").join(linked, sets["doc_id"] == linked["node"], "left")
     # the least id of a component may be that of a copy which its task did not announce
     classes = stored(known.groupBy("n", "s1", "s2").agg(F.min("component").alias("label"), F.min("doc_id").alias("least")), "classes")
@@ -575,7 +580,9 @@ def jaccard_components(docs: DataFrame, words: int = 5, threshold: tuple[int, in
 
 def keep_one(docs: DataFrame, words: int = 5, threshold: tuple[int, int] = (4, 5)) -> DataFrame:
     """``docs`` with the document of least id of each component; all columns are kept."""
+    mark = len(WRITTEN)
     found = stored(jaccard_components(docs, words, threshold), "found")
+    remove_stored(docs.sparkSession, mark, but=WRITTEN[-1])
     dropped = found.filter("component_id < doc_id").select("doc_id").distinct()
     sure = may_be_in(docs, dropped, "left_anti")
     return sure.unionByName(may_be_in(docs, dropped).join(dropped, "doc_id", "left_anti"))
