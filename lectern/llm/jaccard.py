@@ -46,7 +46,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lectern.llm.common import WRITTEN, remove_stored, stored, tidy, utf8
-from lectern.llm.components import components
+from lectern.llm.components import components, hinted
 from lectern.llm.shingles import U, mix, shingle_sets
 
 #: A part of a large block holds about so many shingles, and so many documents, at most.
@@ -300,10 +300,13 @@ def near(own: DataFrame) -> DataFrame:
 
     first = stored(components(meet(own.withColumn("owner", F.col("doc_id")), "first")), "first")
     met = first.select(F.col("node").alias("doc_id"), F.col("component").alias("root"))
-    ids = met.select("doc_id")
-    joined = may_be_in(own, ids).join(met, "doc_id", "left").withColumn("owner", F.coalesce("root", "doc_id")).select("owner", "rest")
-    alone = may_be_in(own, ids, "left_anti").select(F.col("doc_id").alias("owner"), "rest")
-    others = meet(joined.unionByName(alone), "rest")
+    owner = F.coalesce("root", "doc_id").alias("owner")
+    if (few := hinted(met)) is not met:
+        others = meet(own.join(few, "doc_id", "left").select(owner, "rest"), "rest")
+    else:
+        joined = may_be_in(own, met).join(met, "doc_id", "left").select(owner, "rest")
+        alone = may_be_in(own, met, "left_anti").select(F.col("doc_id").alias("owner"), "rest")
+        others = meet(joined.unionByName(alone), "rest")
     return components(others.unionByName(first.select(F.col("node").alias("u"), F.col("component").alias("v"))))
 
 
@@ -468,10 +471,12 @@ def _first_tiles(large: DataFrame) -> DataFrame:
     return joined.select("doc_id", tiles.alias("tiles"), F.lit(0).cast("long").alias("part"), "label")
 
 
-def _rest_tiles(large: DataFrame) -> DataFrame:
-    """All pairs of parts with a document outside the largest group of its block."""
+def _rest_tiles(large: DataFrame) -> DataFrame | None:
+    """All pairs of parts with a document outside the largest group of its block; None: there is none."""
     sizes = large.groupBy("component", "label").agg(F.count("*").alias("docs"))
     main = stored(sizes.groupBy("component").agg(F.max_by("label", F.struct("docs", "label")).alias("main"), F.count("*").alias("groups")).filter("groups > 1"), "main")
+    if main.isEmpty():
+        return None
     blocks = stored(large.join(main.select("component", "main"), "component"), "rest")
     few, many = blocks.filter("label <> main"), blocks.filter("label = main")
     joined = few.join(_splits(few, "few"), "component").join(_splits(many, "many"), "component")
@@ -539,8 +544,9 @@ def _all_links(docs: DataFrame, blocks: DataFrame, words: int, threshold: tuple[
         return _links(docs, whole, words, threshold)
     first = stored(_links(docs, whole.unionByName(_first_tiles(large)), words, threshold), "links")
     known = stored(components(first), "known").select(F.col("node").alias("doc_id"), F.col("component").alias("root"))
-    labelled = large.drop("label").join(known, "doc_id", "left").withColumn("label", F.coalesce("root", "doc_id")).drop("root")
-    return first.unionByName(_links(docs, _rest_tiles(labelled), words, threshold))
+    labelled = large.drop("label").join(hinted(known), "doc_id", "left").withColumn("label", F.coalesce("root", "doc_id")).drop("root")
+    rest = _rest_tiles(labelled)
+    return first if rest is None else first.unionByName(_links(docs, rest, words, threshold))
 
 
 def may_be_in(df: DataFrame, ids: DataFrame, how: str = "left_semi") -> DataFrame:
@@ -563,15 +569,15 @@ def jaccard_components(docs: DataFrame, words: int = 5, threshold: tuple[int, in
     mark = len(WRITTEN)
     blocks_ = stored(near(stored(own_keys(docs, words, threshold), "keys")), "near")
     remove_stored(spark, mark, but=WRITTEN[-1])
-    sized = sets.filter("n > 0").groupBy("doc_id").agg(F.max("n").alias("n"))
-    blocks = blocks_.join(sized, blocks_["node"] == sized["doc_id"]).select("doc_id", "component", "n")
+    of_set = sets.filter("n > 0").select("doc_id", "n").join(hinted(blocks_), F.col("doc_id") == F.col("node"))
+    blocks = of_set.groupBy("doc_id", "component").agg(F.max("n").alias("n"))
     linked = stored(components(_all_links(docs, blocks, words, threshold)), "linked")
     remove_stored(spark, mark, but=WRITTEN[-1])
-    known = sets.filter("doc_id IS NOT NULL AND n > 0").join(linked, sets["doc_id"] == linked["node"], "left")
+    known = sets.filter("doc_id IS NOT NULL AND n > 0").join(hinted(linked), F.col("doc_id") == F.col("node"), "left")
     # the least id of a component may be that of a copy which its task did not announce
     classes = stored(known.groupBy("n", "s1", "s2").agg(F.min("component").alias("label"), F.min("doc_id").alias("least")), "classes")
     least = stored(classes.filter("label IS NOT NULL").groupBy("label").agg(F.min("least").alias("component_id")), "least")
-    classes = classes.join(least, "label", "left").select("n", "s1", "s2", F.coalesce("component_id", "least").alias("component_id"))
+    classes = classes.join(hinted(least), "label", "left").select("n", "s1", "s2", F.coalesce("component_id", "least").alias("component_id"))
     filled, empty = sets.filter("n > 0"), sets.filter("n = 0")  # empty texts, however many, join nothing
     own = filled.join(classes, ["n", "s1", "s2"], "left").select("doc_id", "n", "component_id").unionByName(empty.select("doc_id", "n", F.lit(None).cast("long").alias("component_id")))
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
