@@ -32,7 +32,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lectern.llm.common import chunks, tidy
+from lectern.llm.common import chunks, give_back, tidy
 from lectern.llm.shingles import U, mix
 
 SCHEMA = "doc_id long, held_out boolean, score double, predicted int"
@@ -349,7 +349,9 @@ def training_sample(docs: DataFrame, labels: DataFrame, settings: Settings) -> l
 
 def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> Model:
     sample = training_sample(docs, labels, settings)
-    return train([t for _, t, _ in sample], [y for _, _, y in sample], settings)
+    model = train([t for _, t, _ in sample], [y for _, _, y in sample], settings)
+    give_back()  # the driver's, too
+    return model
 
 
 def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
