@@ -50,7 +50,7 @@ from lectern.llm.components import components, hinted
 from lectern.llm.shingles import U, mix, shingle_sets
 
 #: A part of a large block holds about so many shingles, and so many documents, at most.
-PART_SHINGLES, PART_DOCS = 150_000, 128
+PART_SHINGLES, PART_DOCS = 500_000, 512
 #: Slots of the table that tells which texts may be needed again; bounds what is broadcast.
 SLOTS = 1 << 20
 #: Counters of shingle frequencies; a power of two.
