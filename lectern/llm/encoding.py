@@ -68,9 +68,9 @@ class CachedEncoder:
             self.sizes[i] = len(token) if spaced else token.endswith("</w>")
 
     @classmethod
-    def loaded(cls, path: str, spaced: bool) -> "CachedEncoder":
+    def loaded(cls, path: str, spaced: bool, limit: int = 500_000) -> "CachedEncoder":
         """One encoder per worker process, kept over tasks."""
-        return kept((path, spaced), lambda: cls(path, spaced))
+        return kept((path, spaced, limit), lambda: cls(path, spaced, limit))
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids (u32) end to end, and where each text's begin (one more for the end); null: none."""

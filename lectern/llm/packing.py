@@ -26,8 +26,8 @@ from lectern.llm.encoding import CachedEncoder, with_end
 
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 _ARROW = pa.schema([(x.split()[0], pa.int64()) for x in SCHEMA.split(", ")])
-#: Bytes of text that are encoded at once.
-CHUNK = 6 << 20
+#: Bytes of text that are encoded at once, and pieces that are remembered.
+CHUNK, REMEMBERED = 4 << 20, 300_000
 #: Pieces that are packed together; bounds a task's memory.
 GROUP = 200_000
 
@@ -87,7 +87,7 @@ def pieces(docs: DataFrame, tokenizer: str, size: int, end_id: int, spaced: bool
     """All pieces of (doc_id, text): full windows with their place, the others without one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = CachedEncoder.loaded(tokenizer, spaced)
+        encoder = CachedEncoder.loaded(tokenizer, spaced, REMEMBERED)
         window = TaskContext.get().partitionId() << 33  # even numbers; those of packed windows are odd
         for batch in batches:
             for a, b in chunks(batch.column(1), CHUNK):
