@@ -26,8 +26,8 @@ from lectern.llm.encoding import CachedEncoder, with_end
 
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 _ARROW = pa.schema([(x.split()[0], pa.int64()) for x in SCHEMA.split(", ")])
-#: Bytes of text that are encoded at once, and pieces that are remembered.
-CHUNK, REMEMBERED = 4 << 20, 300_000
+#: Bytes of text that are encoded at once, and pieces that are remembered between them.
+CHUNK, REMEMBERED = 8 << 20, 500_000
 #: Pieces that are packed together; bounds a task's memory.
 GROUP = 200_000
 
@@ -83,14 +83,14 @@ def best_fit_decreasing(lengths: list[int], size: int) -> list[tuple[int, int]]:
     return placed
 
 
-def pieces(docs: DataFrame, tokenizer: str, size: int, end_id: int, spaced: bool) -> DataFrame:
+def pieces(docs: DataFrame, tokenizer: str, size: int, end_id: int, spaced: bool, chunk: int = CHUNK, remembered: int = REMEMBERED) -> DataFrame:
     """All pieces of (doc_id, text): full windows with their place, the others without one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = CachedEncoder.loaded(tokenizer, spaced, REMEMBERED)
+        encoder = CachedEncoder.loaded(tokenizer, spaced, remembered)
         window = TaskContext.get().partitionId() << 33  # even numbers; those of packed windows are odd
         for batch in batches:
-            for a, b in chunks(batch.column(1), CHUNK):
+            for a, b in chunks(batch.column(1), chunk):
                 ids, offsets = with_end(*encoder.encode(batch.column(1).slice(a, b - a)), end_id)
                 total = np.diff(offsets)
                 count = -(-total // size)
@@ -139,10 +139,13 @@ def packed(rest: DataFrame, size: int) -> DataFrame:
     return rest.mapInArrow(tidy(run), SCHEMA)
 
 
-def pack(docs: DataFrame, tokenizer: str, size: int = 1024, end_id: int = 0, spaced: bool = True, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per piece: see ``SCHEMA``. ``tokenizer`` is the path of a ``tokenizers`` file."""
+def pack(docs: DataFrame, tokenizer: str, size: int = 1024, end_id: int = 0, spaced: bool = True, id_col: str = "doc_id", text_col: str = "text", chunk: int = CHUNK, remembered: int = REMEMBERED) -> DataFrame:
+    """One row per piece: see ``SCHEMA``. ``tokenizer`` is the path of a ``tokenizers`` file.
+
+    ``chunk`` and ``remembered`` bound a worker's memory; results do not depend on them.
+    """
     rows = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
-    every = stored(pieces(rows, tokenizer, size, end_id, spaced), "pieces")
+    every = stored(pieces(rows, tokenizer, size, end_id, spaced, chunk, remembered), "pieces")
     rest = every.filter("sequence_id IS NULL")
     groups = max(1, -(-rest.count() // GROUP))
     dealt = rest.repartition(groups).sortWithinPartitions("length", "doc_id", "start", "ids_crc32")
