@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lectern.llm import edit_counts, jaccard, line_dedup, mixing, neighbours, packing, secrets, token_files, topk, toxicity, variants
+from lectern.llm import bpe, edit_counts, jaccard, line_dedup, mixing, neighbours, packing, periodic, secrets, token_files, topk, toxicity, variants
 from lectern.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -58,12 +58,21 @@ def op10_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(docs, docs.filter("doc_id % 50 = 0"), k=10)
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.digests(periodic.collapse(table(spark, sf_dir, "documents"), revise=periodic.recurring))
+
+
+def op12_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return bpe.digests(bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), path), path))
+
+
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return variants.variants(table(spark, sf_dir, "documents"), variants.lost_letter)
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_secret_scan, op2_neighbours, op3_jaccard_join, op4_toxicity, op5_line_dedup, op6_token_counts, op7_packing, op8_token_files, op9_mixing, op10_topk_search, op13_spelling_variants)}
+    return {f.__name__: f for f in (op1_secret_scan, op2_neighbours, op3_jaccard_join, op4_toxicity, op5_line_dedup, op6_token_counts, op7_packing, op8_token_files, op9_mixing, op10_topk_search, op11_periodic_runs, op12_bpe, op13_spelling_variants)}
 
 
 def oracle_sql() -> dict[str, str]:
