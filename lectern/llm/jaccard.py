@@ -9,9 +9,11 @@ contents alone. Cells with most infrequent shingles come first, so a line or pas
 documents have in common does not make them meet. Frequencies come from a table of ``COUNTERS``
 hashed counters, filled from all documents; its size is fixed, and it decides the order only. The
 hash of (band, cell, content) is a key; documents with equal keys form blocks. (A set that leaves
-too few cells filled also gets the keys of an ordinary prefix filter.) The keys of ``FIRST`` cells go first:
-they connect nearly all copies. For the others, what is connected already stands as one, so a pair of
-copies is not named again for each of the hundreds of keys that they share.
+too few cells filled also gets the keys of an ordinary prefix filter.) The keys of each set's ``FIRST`` cells
+go first, alone: they connect nearly all copies. Then all keys meet, the first ones again, for a cell may
+be among the first of one set and not of another; there, what is connected already stands as one, so a
+pair of copies is not named again for each of the hundreds of keys that they share. A key that a task meets
+with more than ``SAME`` owners leaves it with the least of them alone; the others are edges at once.
 
 How they are compared. Blocks that share documents are united; each union is cut into tiles of two
 size bands at a time and, where large, into hashed parts, so that no task holds more than two
@@ -60,11 +62,13 @@ COUNTERS = 1 << 21
 ANNOUNCED, FLUSH_KEYS = 200_000, 500_000
 #: Keys that are compared by one task, about: with few tasks a document is named by few.
 TASK_KEYS = 1_000_000
-_SLICE = 1 << 20
+_SLICE, SLICE_EDGES = 1 << 20, 1 << 16
 
 #: Cells of each tile whose keys are compared first.
 FIRST = 3
-_OWN = "doc_id long, first binary, rest binary"
+#: Owners of one key that a task sends on as they are.
+SAME = 16
+_OWN = "doc_id long, first binary, every binary"
 _KEYS = "bucket int, base long, owners binary, low binary, high binary"
 _SETS = "doc_id long, n long, s1 long, s2 long"
 _PARTS = "tile long, part long, label long, doc_id long, hashes binary"
@@ -220,7 +224,7 @@ def _values(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def own_keys(docs: DataFrame, words: int, of: tuple[int, int]) -> DataFrame:
-    """The keys of each document, the first ones apart; of equal sets a task announces the first."""
+    """The first keys of each document, and all its keys; of equal sets a task announces the first."""
     counts = docs.sparkSession.sparkContext.broadcast(frequencies(docs, words))  # of fixed size
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -240,14 +244,17 @@ def own_keys(docs: DataFrame, words: int, of: tuple[int, int]) -> DataFrame:
                 hashes = hashes[np.repeat(keep, np.diff(starts))]
                 key, number, early = keys(hashes, np.concatenate(([0], np.cumsum(sizes))), bands(*of), counts.value)
                 key >>= U(16)
-                columns = [ids.filter(pa.array(keep)), *(_binaries(key[part], number[part], len(sizes)) for part in (early, ~early))]
+                columns = [ids.filter(pa.array(keep)), *(_binaries(key[part], number[part], len(sizes)) for part in (early, np.ones(len(key), bool)))]
                 yield pa.RecordBatch.from_arrays(columns, names=[x.split()[0] for x in _OWN.split(", ")])
 
     return docs.mapInArrow(tidy(run), _OWN)
 
 
 def packed(owned: DataFrame, buckets: int) -> DataFrame:
-    """(owner, keys) as packed pairs by bucket of the key, each pair once for what a task holds."""
+    """(owner, keys) as packed pairs by bucket of the key, each pair once for what a task holds.
+
+    Rows of a bucket below 0 are edges between owners, to be dealt anywhere.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray]] = []
@@ -264,8 +271,16 @@ def packed(owned: DataFrame, buckets: int) -> DataFrame:
             new = np.ones(len(key), bool)
             new[1:] = (key[1:] != key[:-1]) | (owner[1:] != owner[:-1])
             key, owner, bucket = key[new], owner[new], bucket[new]
-            edges = np.searchsorted(bucket, np.arange(buckets + 1))
             rows = []
+            group = np.cumsum(np.concatenate(([False], key[1:] != key[:-1])))
+            first = np.searchsorted(group, group)  # owners ascend, so the least of a key stands first
+            many = np.bincount(group)[group] > SAME
+            u, v = owner[many], owner[first[many]]
+            for a in range(0, len(u), SLICE_EDGES):
+                rows.append((-1 - (a // SLICE_EDGES + len(key)) % buckets, 0, b"", u[a : a + SLICE_EDGES].tobytes(), v[a : a + SLICE_EDGES].tobytes()))
+            stays = ~many | (first == np.arange(len(key)))
+            key, owner, bucket = key[stays], owner[stays], bucket[stays]
+            edges = np.searchsorted(bucket, np.arange(buckets + 1))
             for b in np.flatnonzero(np.diff(edges)).tolist():
                 own, mine = key[edges[b] : edges[b + 1]], owner[edges[b] : edges[b + 1]]
                 base = int(mine.min())
@@ -292,7 +307,7 @@ def packed(owned: DataFrame, buckets: int) -> DataFrame:
 def near(own: DataFrame) -> DataFrame:
     """(node, component): documents that are connected by equal keys."""
 
-    held = own.agg(*(F.coalesce(F.sum(F.octet_length(c)), F.lit(0)).alias(c) for c in ("first", "rest"))).first()
+    held = own.agg(*(F.coalesce(F.sum(F.octet_length(c)), F.lit(0)).alias(c) for c in ("first", "every"))).first()
 
     def meet(owned: DataFrame, column: str) -> DataFrame:
         tasks = max(1, -(-held[column] // (6 * TASK_KEYS)))
@@ -302,11 +317,11 @@ def near(own: DataFrame) -> DataFrame:
     met = first.select(F.col("node").alias("doc_id"), F.col("component").alias("root"))
     owner = F.coalesce("root", "doc_id").alias("owner")
     if (few := hinted(met)) is not met:
-        others = meet(own.join(few, "doc_id", "left").select(owner, "rest"), "rest")
+        others = meet(own.join(few, "doc_id", "left").select(owner, "every"), "every")
     else:
-        joined = may_be_in(own, met).join(met, "doc_id", "left").select(owner, "rest")
-        alone = may_be_in(own, met, "left_anti").select(F.col("doc_id").alias("owner"), "rest")
-        others = meet(joined.unionByName(alone), "rest")
+        joined = may_be_in(own, met).join(met, "doc_id", "left").select(owner, "every")
+        alone = may_be_in(own, met, "left_anti").select(F.col("doc_id").alias("owner"), "every")
+        others = meet(joined.unionByName(alone), "every")
     return components(others.unionByName(first.select(F.col("node").alias("u"), F.col("component").alias("v"))))
 
 
@@ -333,15 +348,16 @@ def block_edges(table: DataFrame) -> DataFrame:
     """(u, v): documents that agree in a key, each with the least of those it is connected to here."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys_, owners = [], []
+        keys_, owners, met = [np.zeros(0, U)], [np.zeros(0, np.int64)], [(np.zeros(0, np.int64),) * 2]
         for batch in batches:
-            for _, base, own, low, high in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for bucket, base, own, low, high in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if bucket < 0:
+                    met.append((np.frombuffer(low, np.int64), np.frombuffer(high, np.int64)))
+                    continue
                 bits = np.frombuffer(low, np.uint32).astype(U) | np.frombuffer(high, np.uint16).astype(U) << U(32)
                 keys_.append(bits)
                 wide = len(own) > len(low)
                 owners.append(base + np.frombuffer(own, np.uint64 if wide else np.uint32).astype(np.int64))
-        if not keys_:
-            return
         key, owner = np.concatenate(keys_), np.concatenate(owners)
         keys_.clear()
         owners.clear()
@@ -349,7 +365,8 @@ def block_edges(table: DataFrame) -> DataFrame:
         key = key[order]
         same = key[1:] == key[:-1]
         pairs = np.flatnonzero(same)
-        a, b = owner[order[pairs]], owner[order[pairs + 1]]
+        u, v = (np.concatenate(x) for x in zip(*met, strict=True))
+        a, b = np.concatenate((owner[order[pairs]], u)), np.concatenate((owner[order[pairs + 1]], v))
         differ = a != b
         nodes, ends = np.unique(np.concatenate((a[differ], b[differ])), return_inverse=True)
         forest = Forest(len(nodes))

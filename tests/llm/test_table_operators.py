@@ -596,3 +596,49 @@ def test_pipeline(spark, sf_dir):
             assert kept[-1] == {i for i, (_, c) in brute(texts, 5, 4, 5).items() if i == c}
     assert [n for n, _ in P.STAGES] == ["toxicity", "line_dedup", "jaccard_join", "mixing", "packing"]
     assert kept[1] == kept[0] and kept[2] <= kept[1] and kept[3] <= kept[2] and kept[4] == kept[3]
+
+
+def _words_apart(rng, number, words, threshold, sizes):
+    """Pairs of texts about as alike as the threshold, and like no other pair; with whether they are linked."""
+    rows, linked = [], []
+    for i in range(number):
+        n = rng.choice(sizes) + words - 1
+        own = [f"{i}x{j}" for j in range(n)]
+        other, edits = list(own), rng.randint(1, 1 + n // 20)
+        for _ in range(edits):
+            at = rng.choice([0, rng.randrange(len(other)), len(other) - 1])
+            kind = rng.random()
+            if kind < 0.4:
+                other[at] = f"{i}y{at}"
+            elif kind < 0.7:
+                other.insert(rng.choice([0, len(other)]), f"{i}z{len(other)}")
+            elif len(other) > words:
+                other.pop(rng.choice([0, -1]))
+        sets = [{tuple(t[k : k + words]) for k in range(len(t) - words + 1)} for t in (own, other)]
+        rows += [(2 * i, " ".join(own)), (2 * i + 1, " ".join(other))]
+        linked.append(len(sets[0] & sets[1]) * threshold[1] >= threshold[0] * len(sets[0] | sets[1]))
+    return rows, linked
+
+
+@pytest.mark.parametrize("words,threshold", [(3, (9, 10)), (5, (4, 5)), (1, (19, 20))])
+def test_no_link_of_isolated_pairs_is_lost(spark, words, threshold):
+    """Each pair stands alone, so no other document can connect it."""
+    rows, linked = _words_apart(random.Random(words), 4000, words, threshold, range(10, 101))
+    assert 500 < sum(linked) < 4000
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = {r["doc_id"]: r["component_id"] for r in jaccard.jaccard_components(docs, words, threshold).collect()}
+    assert [i for i, x in enumerate(linked) if (got[2 * i + 1] == 2 * i) != x] == []
+    assert all(got[2 * i] == 2 * i for i in range(len(linked)))
+
+
+def test_hot_keys_leave_a_task_once(spark, monkeypatch):
+    """Very many short documents that share most cells, over many partitions."""
+    rng = random.Random(3)
+    rows = [(i, " ".join(["same words all over the place again and again until the end of it"] + [f"w{rng.randrange(40)}"])) for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    results = []
+    for same in (2, 10**9):
+        monkeypatch.setattr(jaccard, "SAME", same)
+        results.append(sorted(map(tuple, jaccard.jaccard_components(docs.repartition(6), 2, (4, 5)).collect())))
+    assert results[0] == results[1]
+    assert {r[2] for r in results[0]} == {0}
