@@ -14,7 +14,8 @@ them equal); a dict names shares, and values it does not name get none.
 
 Defined results: null labels form a category of their own; null or empty texts weigh nothing and
 take their category's probability; repeated rows share one decision, which depends on the id alone;
-an empty table gives no rows; all columns are kept. Targets that zero cells rule out are met as
+an empty table gives no rows; all columns are kept, but for those named like the four that are added
+(``drawn`` keeps them as well). Targets that zero cells rule out are met as
 nearly as the last round left them.
 """
 
@@ -24,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lectern.llm.common import stored
+from lectern.llm.line_dedup import own_columns
 
 ROUNDS, TOLERANCE, MAX_PAIRS = 60, 1e-12, 100_000
 #: Exponents of the production mix.
@@ -114,12 +116,11 @@ def calibrate(docs: DataFrame, source: Target = SOURCE, lang: Target = LANG, top
     return final.select("s", "a"), b, c, float(top or 1.0)
 
 
-def mix(docs: DataFrame, source: Target = SOURCE, lang: Target = LANG, topics: Target = TOPIC, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", lang_col: str = "lang", topic_of=topic, seed: str = SEED) -> DataFrame:
-    """``docs`` with the columns topic, n_tokens, probability and sampled."""
-    names = docs.columns
+def drawn(docs: DataFrame, source: Target = SOURCE, lang: Target = LANG, topics: Target = TOPIC, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", lang_col: str = "lang", topic_of=topic, seed: str = SEED) -> DataFrame:
+    """(row, topic, n_tokens, probability, sampled): each row of ``docs`` as it is, and the decision."""
     label = lambda c: F.coalesce(docs[c].cast("string"), F.lit(""))
     work = docs.select(
-        F.struct(*(docs[c] for c in names)).alias("row"),
+        F.struct(*(docs[c] for c in docs.columns)).alias("row"),
         label(source_col).alias("s"),
         label(lang_col).alias("l"),
         F.coalesce(topic_of(docs[text_col]), F.lit("")).alias("t"),
@@ -130,7 +131,13 @@ def mix(docs: DataFrame, source: Target = SOURCE, lang: Target = LANG, topics: T
     look = lambda values, name: F.coalesce(F.create_map(*(F.lit(x) for kv in values.items() for x in kv))[F.col(name)], F.lit(0.0)) if values else F.lit(0.0)
     odds = F.coalesce(F.col("a"), F.lit(0.0)) * look(b, "l") * look(c, "t") / F.lit(top)
     work = work.join(a, "s", "left").withColumn("p", F.least(odds, F.lit(1.0)))
-    return work.select(*(F.col("row").getField(x).alias(x) for x in names), F.col("t").alias("topic"), F.col("w").alias("n_tokens"), F.round("p", 6).alias("probability"), (F.col("u") < F.col("p")).alias("sampled"))
+    return work.select("row", F.col("t").alias("topic"), F.col("w").alias("n_tokens"), F.round("p", 6).alias("probability"), (F.col("u") < F.col("p")).alias("sampled"))
+
+
+def mix(docs: DataFrame, **options) -> DataFrame:
+    """``docs`` with the columns topic, n_tokens, probability and sampled; the options are those of ``drawn``."""
+    added = ("topic", "n_tokens", "probability", "sampled")
+    return drawn(docs, **options).select(*own_columns(docs.columns, added), *added)
 
 
 def oracle(table: str = "documents", rounds: int = 25) -> str:

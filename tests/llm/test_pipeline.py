@@ -16,6 +16,9 @@ from lectern.llm import mixing, toxicity
 from lectern.llm.common import WRITTEN, table
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, tiles string, label long, part string, p double, dropped_keys string"
+#: Names that the stages use themselves.
+CLASHING = ("n_lines", "n_dropped", "topic", "n_tokens", "probability", "sampled", "slot", "row", "host_key", "body", "score", "predicted", "component_id", "page", "u")
+SCHEMA += "".join(f", {c} string" for c in CLASHING)
 CLEAN = [f"{a}{b}" for a in ("ban", "cor", "del", "fim", "gol", "hup") for b in ("ane", "ust", "ipo", "erl", "omy")]
 TOXIC = ["idiot", "moron", "worthless", "pathetic"]
 
@@ -44,13 +47,14 @@ def corpus():
 def folder(spark, tmp_path_factory):
     rows, labels = corpus()
     at = tmp_path_factory.mktemp("tables")
-    full = [(i, t, lang, src, len(t) if t is not None else None, "x", 1, "y", 0.5, "z") for i, t, lang, src in rows]
+    full = [(i, t, lang, src, len(t) if t is not None else None, "x", 1, "y", 0.5, "z", *(f"own {c}" for c in CLASHING)) for i, t, lang, src in rows]
     spark.createDataFrame(full, SCHEMA).repartition(5).write.parquet(f"{at}/documents.parquet")
     spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{at}/labels.parquet")
     return str(at)
 
 
 def listed(df):
+    assert not df.columns[10:] or df.filter(" OR ".join(f"{c} IS NULL OR {c} <> 'own {c}'" for c in CLASHING)).isEmpty()
     return sorted(((r["doc_id"], r["text"], r["lang"], r["source"], r["n_chars"]) for r in df.collect()), key=str)
 
 

@@ -2,12 +2,14 @@
 
 import math
 import random
+import time
 from collections import Counter, defaultdict
 from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from lectern.llm import components, jaccard, line_dedup, mixing, neighbours, ranking, registry, topk, toxicity
 
@@ -527,7 +529,9 @@ def plain_lines(rows, ratio=0.1, least=2):
     return out
 
 
-def test_line_dedup(spark):
+@pytest.mark.parametrize("many", [256, 1])
+def test_line_dedup(spark, monkeypatch, many):
+    monkeypatch.setattr(line_dedup, "MANY", many)
     rows = [(i, f"menu\nown {i}\n\n{'sometimes' if i % 20 == 0 else 'else ' + str(i)}", "en", "a") for i in range(100)]
     rows += [(200 + i, f"menu\nline {i}", "en", "small") for i in range(5)] + [(210 + i, f"foot\nsecond\ntext {i}", "en", f"tiny{i // 2}") for i in range(4)]
     rows += [(220 + i, f"{'shared' if i < 2 else 'not'}\nbody {i}", "en", "nineteen") for i in range(19)]
@@ -546,6 +550,27 @@ def test_line_dedup(spark):
     assert line_dedup.line_dedup(documents(spark, [])).count() == 0
 
 
+def test_line_dedup_of_long_pages(spark):
+    """Work grows with the lines of a page, not with their square; names of the operator's columns are free."""
+    page = "\n".join(f"line {i} of a mirrored page" for i in range(200_000))
+    rows = [(1, page, "en", "a"), (2, page + "\nown", "en", "a"), (3, "line 7 of a mirrored page\n\nonly here", "en", "a"), (4, None, "en", "a"), (5, page, "en", "b")]
+    df = documents(spark, rows).withColumn("n_lines", F.lit("own")).withColumn("page", F.lit("p")).withColumn("body", F.lit("b"))
+    began = time.monotonic()
+    got = {r["doc_id"]: (r["text"], r["n_lines"], r["n_dropped"]) for r in line_dedup.line_dedup(df).collect()}
+    assert time.monotonic() - began < 120
+    assert got == {1: ("", 200_000, 200_000), 2: ("own", 200_001, 200_000), 3: ("\nonly here", 3, 1), 4: (None, 0, 0), 5: (page, 200_000, 0)}
+    kept = line_dedup.cleaned(df).select("row.*")
+    assert kept.columns == df.columns and {r["n_lines"] for r in kept.collect()} == {"own"}
+
+
+def test_mixing_keeps_columns_of_its_own_names(spark):
+    df = documents(spark, [(i, "w " * (i % 9), "en", "a") for i in range(40)]).withColumns({c: F.lit(f"own {c}") for c in ("topic", "sampled", "n_tokens", "row", "w", "a", "s")})
+    assert mixing.drawn(df).select("row.*").columns == df.columns
+    out = mixing.mix(df)
+    assert out.columns == [*(c for c in df.columns if c not in ("topic", "sampled", "n_tokens")), "topic", "n_tokens", "probability", "sampled"]
+    assert out.filter("row = 'own row' AND w = 'own w' AND a = 'own a' AND s = 'own s'").count() == 40
+
+
 def test_mixing(spark):
     rng = random.Random(6)
     rows = [(i, " ".join(["w"] * rng.randint(1, 40)) + rng.choice(["", " | x", "!!"]), rng.choice(["en", "en", "de"]), rng.choice(["a", "a", "a", "b", None])) for i in range(3000)] + [(4000, None, "en", "a"), (4001, "", None, "b"), (None, "w w", "de", "b")]
