@@ -25,11 +25,11 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the lines that a large share of their source's pages repeat."""
-    cleaned = line_dedup.line_dedup(docs)
+    changed = {"text": F.col("text")}
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
-        cleaned = cleaned.withColumn("n_chars", F.when(F.col("n_dropped") > 0, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
-    return cleaned.select(*docs.columns)
+        changed["n_chars"] = F.when(F.col("n_dropped") > 0, F.length("text").cast(kind)).otherwise(F.col("row.n_chars"))
+    return line_dedup.cleaned(docs).select(*line_dedup.own_columns(docs.columns, **changed))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,7 +39,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents drawn with their calibrated probabilities."""
-    return mixing.mix(docs).filter("sampled").select(*docs.columns)
+    return mixing.drawn(docs).filter("sampled").select("row.*")
 
 
 def pack_windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
