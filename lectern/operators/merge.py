@@ -1,12 +1,10 @@
 """Idempotent writes without a MERGE statement: insert-if-absent and equality-aware upsert.
 
-Targets are Parquet tables. A merge is planned as a table of actions; only if an action changes
-something is a new version of the target written beside the old one and swapped in.
+A merge is planned as a table of actions; ``lectern.operators.store`` keeps the tables that they change.
 """
 
 from __future__ import annotations
 
-import uuid
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -58,112 +56,6 @@ def counts(actions: DataFrame) -> dict[str, int]:
     return {a: found.get(a, 0) for a in (INSERT, NOOP, UPDATE)}
 
 
-class Store:
-    """Versioned Parquet tables under one path; readers see a version whole or not at all.
-
-    Rows lie in ``parts`` by a hash of their key, each part in a folder of its own. A version is a list
-    of folders, written as one small file that no other writer may have written before. A merge rewrites
-    only the parts that its actions change; what no version of the last ``keep`` names is removed.
-    """
-
-    def __init__(self, spark, path: str, parts: int = 16, keep: int = 2):
-        self.spark, self.path, self.parts, self.keep = spark, path.rstrip("/"), parts, keep
-
-    def _hadoop(self, path: str):
-        at = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        return at.getFileSystem(self.spark._jsc.hadoopConfiguration()), at
-
-    def _names(self, path: str) -> list[str]:
-        files, at = self._hadoop(path)
-        return [x.getPath().getName() for x in files.listStatus(at)] if files.exists(at) else []
-
-    def _versions(self, name: str) -> list[int]:
-        return sorted(int(x) for x in self._names(f"{self.path}/_log/{name}") if x.isdigit())
-
-    def _folders(self, name: str, version: int) -> dict[int, str]:
-        rows = self.spark.read.text(f"{self.path}/_log/{name}/{version}").collect()  # a line for each part
-        return {int(part): folder for part, folder in (r["value"].split("\t") for r in rows)}
-
-    def current(self, name: str) -> tuple[int, dict[int, str]] | None:
-        """The newest version and its folders by part."""
-        versions = self._versions(name)
-        return (versions[-1], self._folders(name, versions[-1])) if versions else None
-
-    def read(self, name: str, schema: str, parts: list[int] | None = None) -> DataFrame:
-        found = self.current(name)
-        folders = [f"{self.path}/{name}/{f}" for p, f in (found[1].items() if found else ()) if parts is None or p in parts]
-        return self.spark.read.schema(schema).parquet(*folders) if folders else self.spark.createDataFrame([], schema)
-
-    def _part(self, keys: list[str]) -> Column:
-        return F.pmod(F.xxhash64(*keys), F.lit(self.parts)).cast("int")
-
-    def _commit(self, name: str, before: int, folders: dict[int, str]) -> None:
-        files, at = self._hadoop(f"{self.path}/_log/{name}/{before + 1}")
-        text = "".join(f"{part}\t{folder}\n" for part, folder in sorted(folders.items()))
-        out = files.create(at, False)  # fails if another writer was first
-        out.write(bytearray(text.encode()))
-        out.close()
-
-    def _write(self, name: str, df: DataFrame, keys: list[str]) -> dict[int, str]:
-        """Folders of the parts that ``df`` has rows for."""
-        run = uuid.uuid4().hex
-        df.withColumn("_part", self._part(keys)).repartition("_part").write.partitionBy("_part").parquet(f"{self.path}/{name}/{run}")
-        return {int(x.removeprefix("_part=")): f"{run}/{x}" for x in self._names(f"{self.path}/{name}/{run}") if x.startswith("_part=")}
-
-    def replace(self, name: str, df: DataFrame, keys: list[str] | None = None) -> None:
-        """A new version with these rows only."""
-        found = self.current(name)
-        self._commit(name, found[0] if found else 0, self._write(name, df, keys or df.columns[:1]))
-        self.vacuum(name)
-
-    def merge(self, name: str, schema: str, incoming: DataFrame, keys: list[str], compare: list[str]) -> dict[str, int]:
-        """Upsert, or get-or-create where ``compare`` is empty; returns how many rows did what."""
-        found = self.current(name)
-        target = self.read(name, schema)
-        if compare:
-            actions = upsert_actions(target, incoming, keys, compare)
-        else:
-            fresh = get_or_create(target, incoming, keys)
-            actions = fresh.withColumn("action", F.lit(INSERT))
-        # counted from a written plan, so that the same rows are counted and applied
-        at = f"{self.path}/_plans/{uuid.uuid4().hex}"
-        actions.withColumn("_part", self._part(keys)).write.parquet(at)
-        plan = self.spark.read.parquet(at)
-        done = counts(plan)
-        if done[INSERT] or done[UPDATE]:
-            touched = [r["_part"] for r in plan.filter(F.col("action") != NOOP).select("_part").distinct().collect()]  # ``parts`` at most
-            after = upserted(self.read(name, schema, touched), plan.drop("_part"), keys)
-            folders = {p: f for p, f in (found[1].items() if found else ()) if p not in touched}
-            self._commit(name, found[0] if found else 0, folders | self._write(name, after, keys))
-            self.vacuum(name)
-        self._remove(at)
-        return done
-
-    def vacuum(self, name: str) -> None:
-        """Remove folders and log entries that none of the last ``keep`` versions needs."""
-        versions = self._versions(name)
-        old, kept = versions[: -self.keep], versions[-self.keep :]
-        needed = {f.split("/")[0] for v in kept for f in self._folders(name, v).values()}
-        for v in old:
-            for run in {f.split("/")[0] for f in self._folders(name, v).values()} - needed:
-                self._remove(f"{self.path}/{name}/{run}")
-            self._remove(f"{self.path}/_log/{name}/{v}")
-
-    def _remove(self, path: str) -> None:
-        files, at = self._hadoop(path)
-        files.delete(at, True)
-
-    def truncate(self, name: str, schema: str) -> None:
-        found = self.current(name)
-        self._commit(name, found[0] if found else 0, {})
-        self.vacuum(name)
-
-    def drop(self, name: str) -> None:
-        """DROP TABLE IF EXISTS: forget every version."""
-        self._remove(f"{self.path}/_log/{name}")
-        self._remove(f"{self.path}/{name}")
-
-
 def checked(rows: DataFrame) -> DataFrame:
     """Content rows with language and texts normalised, and ``reject_reason`` (null: valid).
 

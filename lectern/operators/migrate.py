@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lectern import schemas
-from lectern.operators.merge import Store, get_or_create
+from lectern.operators.merge import get_or_create
+from lectern.operators.store import Store
 from lectern.schemas import Library
 
 #: Source tables, and the column of each that refers to a section.

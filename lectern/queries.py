@@ -13,7 +13,7 @@ from lectern.functions.catalogue import books as canon
 from lectern.functions.catalogue import catalogue
 from lectern.functions.ids import make_id
 from lectern.operators import extract, load, merge, migrate, refs, spec
-from lectern.operators.merge import Store
+from lectern.operators.store import Store
 from lectern.plans import validation as V
 from lectern.plans.models import c_model, c_rows, t_model, table
 from lectern.sources import files, rest

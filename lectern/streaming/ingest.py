@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lectern.operators.load import load
-from lectern.operators.merge import Store
+from lectern.operators.store import Store
 from lectern.sources.files import bad, good, parse_records
 
 

@@ -11,7 +11,7 @@ from lectern.functions import text as T
 from lectern.functions.catalogue import books, catalogue
 from lectern.functions.ids import make_id
 from lectern.operators import load, merge, migrate, refs, spec
-from lectern.operators.merge import Store
+from lectern.operators.store import Conflict, Store
 from lectern.plans import validation as V
 from lectern.schemas import Library
 from lectern.sources import config, files, rest
@@ -206,26 +206,84 @@ def test_get_or_create_keeps_whole_rows(spark):
     assert sorted(map(tuple, merge.get_or_create(none, twice, ["source_table", "source_id"]).collect())) == [("sA", "1", 1, 7), ("sB", "1", 2, 2)]
 
 
-def test_store_rewrites_only_what_changes(spark, tmp_path):
-    store = Store(spark, f"file://{tmp_path}/s", parts=8, keep=2)
-    rows = lambda *r: spark.createDataFrame(list(r), "k int, v string")
-    go = lambda df: store.merge("t", "k int, v string", df, ["k"], ["v"])
-    assert go(rows(*((i, "a") for i in range(200)))) == {"insert": 200, "noop": 0, "update": 0}
-    before = store.current("t")[1]
-    assert go(rows((5, "b"), (6, "a"))) == {"insert": 0, "noop": 1, "update": 1}
-    after = store.current("t")[1]
-    assert len(before) == 8 and sum(before[p] != after[p] for p in before) == 1
-    assert go(rows((5, "b"))) == {"insert": 0, "noop": 1, "update": 0} and store.current("t")[1] == after
-    for i in range(4):
-        go(rows((5, f"c{i}")))
-    assert {tuple(r) for r in store.read("t", "k int, v string").collect()} == {(i, "a") for i in range(200) if i != 5} | {(5, "c3")}
-    assert len(list((tmp_path / "s/_log/t").glob("[0-9]*"))) == 2 and not list((tmp_path / "s/_plans").glob("*"))
-    assert len(list((tmp_path / "s/t").iterdir())) <= 3 + 1
-    number, folders = store.current("t")
-    with pytest.raises(Exception, match="exist"):
-        store._commit("t", number - 1, folders)  # another writer was first
-    store.truncate("t", "k int, v string")
-    assert store.read("t", "k int, v string").count() == 0
+KV = "k int, v string"
+
+
+def pairs(spark, *r):
+    return spark.createDataFrame(list(r), KV)
+
+
+def held(store, version=None):
+    return {tuple(r) for r in store.read("t", KV, version).collect()}
+
+
+def test_store_writes_what_changes(spark, tmp_path):
+    store = Store(spark, f"file://{tmp_path}/s", age=0)
+    go = lambda *r: store.merge("t", KV, pairs(spark, *r), ["k"], ["v"])
+    written = lambda: sum(f.stat().st_size for f in tmp_path.glob("s/t/**/*.parquet"))
+    assert go(*((i, f"a{i}") for i in range(50_000))) == {"insert": 50_000, "noop": 0, "update": 0}
+    base = written()
+    assert go((5, "b"), (6, "a6"), (50_000, "new")) == {"insert": 1, "noop": 1, "update": 1}
+    assert base < written() < base + 5000  # a batch adds what it changes
+    assert [(f.kind, f.rows) for f in store.current("t").folders] == [("insert", 50_000), ("insert", 1), ("update", 1)]
+    assert go((5, "b")) == {"insert": 0, "noop": 1, "update": 0}
+    assert store.current("t").number == 2 and len(list((tmp_path / "s/t").iterdir())) == 2  # nothing changed
+    for i in range(3):
+        go((5, f"c{i}"), (7, f"d{i}"))
+    want = {(i, f"a{i}") for i in range(50_000) if i not in (5, 7)} | {(5, "c2"), (7, "d2"), (50_000, "new")}
+    assert held(store) == want
+    assert store.merge("t", KV, pairs(spark, (1, "x"), (-1, "b"), (-1, "a")), ["k"], []) == {"insert": 1, "noop": 0, "update": 0}
+    assert held(store) == want | {(-1, "a")}
+    store.truncate("t", KV)
+    assert held(store) == set() and go((1, "a")) == {"insert": 1, "noop": 0, "update": 0} and held(store) == {(1, "a")}
+
+
+def test_store_compacts_by_ratio_and_keeps_snapshots(spark, tmp_path):
+    store = Store(spark, f"file://{tmp_path}/s", ratio=0.25)
+    go = lambda *r: store.merge("t", KV, pairs(spark, *r), ["k"], ["v"])
+    go(*((i, "a") for i in range(8)))
+    go((0, "b"))
+    snapshot = store.current("t")
+    reader = store.read("t", KV)
+    go((1, "b"))
+    assert [f.kind for f in store.current("t").folders] == ["insert", "update", "update"]
+    go((1, "c"))  # three updates of eight rows are more than a quarter
+    assert [(f.kind, f.rows) for f in store.current("t").folders] == [("base", 8)]
+    assert held(store) == {(i, "a") for i in range(2, 8)} | {(0, "b"), (1, "c")}
+    assert {tuple(r) for r in reader.collect()} == held(store, snapshot) == {(i, "a") for i in range(1, 8)} | {(0, "b")}
+    store.age, folders = 0, len(list((tmp_path / "s/t").iterdir()))
+    store.vacuum("t")
+    assert len(store._log("t")) == store.keep and len(list((tmp_path / "s/t").iterdir())) <= folders
+    assert held(store) == {(i, "a") for i in range(2, 8)} | {(0, "b"), (1, "c")}
+    for n in range(30):  # many small batches: folders stay few
+        go((100 + n, "x"))
+    assert len(store.current("t").folders) <= store.most and len(held(store)) == 38
+    assert len(list((tmp_path / "s/t").iterdir())) <= store.most + 2
+
+
+def test_store_writers_that_meet(spark, tmp_path, monkeypatch):
+    store = Store(spark, f"file://{tmp_path}/s")
+    store.merge("t", KV, pairs(spark, (1, "a")), ["k"], ["v"])
+    first = store.current("t")
+    store.merge("t", KV, pairs(spark, (2, "a")), ["k"], ["v"])
+    with pytest.raises(Conflict):
+        store._commit("t", first, ["k"], [])
+    real, stale = store.current, [first]
+    monkeypatch.setattr(store, "current", lambda name: stale.pop() if stale else real(name))
+    assert store.merge("t", KV, pairs(spark, (1, "b"), (2, "b"), (3, "b")), ["k"], ["v"]) == {"insert": 1, "noop": 0, "update": 2}
+    assert held(store) == {(1, "b"), (2, "b"), (3, "b")}
+    assert not store.compact("t", KV, first) and held(store) == {(1, "b"), (2, "b"), (3, "b")}
+    assert store.compact("t", KV) and [f.rows for f in store.current("t").folders] == [3]
+
+
+def test_merge_does_not_shuffle_the_table_for_a_few_rows(spark, tmp_path, monkeypatch):
+    store = Store(spark, f"file://{tmp_path}/s")
+    big = spark.range(200_000).selectExpr("cast(id AS int) k", "repeat('x', 200) || id v")
+    store.merge("t", KV, big, ["k"], ["v"])
+    with store.once(pairs(spark, (1, "b"), (-1, "c"))) as few:
+        there = store.read("t", KV).join(few.select("k"), "k", "left_semi")
+        plan = there._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
 
 
 def test_records(spark, tmp_path):
