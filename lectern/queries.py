@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lectern import queries_runs
 from lectern.functions import text as T
 from lectern.functions.catalogue import books as canon
 from lectern.functions.catalogue import catalogue
@@ -643,8 +644,8 @@ _QUERIES = (
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in _QUERIES}
+    return {f.__name__: f for f in _QUERIES} | queries_runs.QUERIES
 
 
 def oracle_sql() -> dict[str, str]:
-    return _sql()
+    return _sql() | queries_runs.SQL

@@ -1,4 +1,7 @@
-"""Decoding of REST responses, and a fetch operator with retries that runs on the executors."""
+"""Decoding of REST responses, and a fetch operator with retries that runs on the executors.
+
+``lectern.sources.crawl`` keeps one rate over all tasks, partial results and failures over runs.
+"""
 
 from __future__ import annotations
 
@@ -10,12 +13,11 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from lectern.functions import text as T
-from lectern.sources.files import append_records, completed_or_fresh
 
 VERSION = "struct<id:int,abbreviation:string,title:string,localized_title:string,language_tag:string,copyright:string,books:array<string>>"
 CHAPTER = "struct<id:string,passage_id:string,title:string,verses:array<struct<id:string,passage_id:string,title:string>>>"
@@ -83,6 +85,21 @@ def http_get(url: str, headers: dict[str, str], timeout: float) -> tuple[int, by
         return e.code, e.read(MAX_ERROR)
 
 
+def ask(url: str, headers: dict[str, str], timeout: float, get=http_get) -> tuple[int, str | None, str | None]:
+    """One attempt: status (0: no answer), body and error. 404 is an answer without a body."""
+    try:
+        status, raw = get(url, headers, timeout)
+    except OSError as e:
+        return 0, None, str(e)
+    if status == 200:
+        if len(raw) > MAX_BODY:
+            return status, None, "body too large"
+        return (status, raw.decode("utf-8", "replace"), None) if raw.strip() else (status, None, "empty body")
+    if status in (403, 404):
+        return status, None, None if status == 404 else "forbidden"
+    return status, None, f"status {status}: {raw[:MAX_ERROR].decode('utf-8', 'replace')}"
+
+
 def delay(attempt: int, base: float, cap: float = 60.0, draw: Callable[[], float] = random.random) -> float:
     """Doubling with a quarter of jitter either way, no more than ``cap``."""
     return min(cap, base * 2**attempt * (0.75 + 0.5 * draw()))
@@ -104,23 +121,13 @@ def fetch(urls: DataFrame, per_second: float, retries: int = 5, base: float = 1.
     kept = urls.schema
 
     def one(url: str) -> tuple:
-        error, status = "", 0
         for attempt in range(retries + 1):
             if attempt:
                 sleep(delay(attempt - 1, base))
-            try:
-                status, raw = get(url, sent, timeout)
-            except OSError as e:
-                error = str(e)
-                continue
-            if status == 200:
-                if len(raw) > MAX_BODY:
-                    return status, None, "body too large"
-                return (status, raw.decode("utf-8", "replace"), None) if raw.strip() else (status, None, "empty body")
-            if status in (403, 404):
-                return status, None, None if status == 404 else "forbidden"
-            error = f"status {status}: {raw[:MAX_ERROR].decode('utf-8', 'replace')}"
-        return status, None, error
+            status, body, error = ask(url, sent, timeout, get)
+            if status in (200, 403, 404):
+                break
+        return status, body, error
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         share, sent_ = TaskContext.get().partitionId(), 0
@@ -136,23 +143,6 @@ def fetch(urls: DataFrame, per_second: float, retries: int = 5, base: float = 1.
     return urls.repartition(partitions).mapInArrow(run, schema)
 
 
-def crawl(work: DataFrame, path: str, base: str, version_id: int, per_second: float, **options) -> dict[str, int]:
-    """Fetch the passages of ``work`` that the JSON lines under ``path`` lack, and append them there.
-
-    ``work``: passage_id, lang, book_sort, chapter_sort, verse_sort. Stopped and run again, it goes on with
-    what is left. Missing passages and failures are counted and left for another run.
-    """
-    spark = work.sparkSession
-    left = work.join(completed_or_fresh(spark, path), ["passage_id", "lang"], "left_anti")
-    seen = Observation("crawl")  # counted while the answers are written: each url is asked once
-    answers = fetch(passage_urls(left, base, version_id), per_second, **options)
-    answers = answers.observe(seen, F.count(F.lit(1)).alias("asked"), F.count_if(F.col("error").isNotNull()).alias("failed"), F.count_if(F.col("status") == 404).alias("missing"))
-    text = F.from_json("body", PASSAGE)["content"]
-    written = answers.select("passage_id", "lang", F.lit(version_id).alias("bible_id"), "book_sort", "chapter_sort", "verse_sort", text.alias("content"), F.current_timestamp().alias("crawled_at"))
-    append_records(written.filter("content IS NOT NULL"), path)
-    return dict(seen.get)
-
-
 def fetched(responses: DataFrame) -> DataFrame:
     return responses.filter(F.col("body").isNotNull())
 

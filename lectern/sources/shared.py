@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import re
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _KEY = "spark.checkpoint.dir"
 
@@ -23,3 +24,11 @@ def shared_dir(spark: SparkSession) -> str:
         found = "file://" + tempfile.mkdtemp(prefix="lectern-")
         spark.conf.set(_KEY, found)
     return found.rstrip("/")
+
+
+def written(df: DataFrame, name: str, *partitions: str) -> DataFrame:
+    """``df`` written to the shared folder and read back: what follows repeats nothing of what came before."""
+    spark = df.sparkSession
+    at = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    df.write.partitionBy(*partitions).parquet(at)
+    return spark.read.schema(df.schema).parquet(at)

@@ -355,20 +355,6 @@ def test_fetch_keeps_the_rate(spark):
     assert [rest.pause(i, 2, 4, 2.0, draw=lambda: next(draws)) for i in (0, 1, 2, 3)] == [1.0, 1.5, 2.0, 2.5]
 
 
-def test_crawl_resumes(spark, tmp_path):
-    def get(url, headers, timeout):
-        if url.endswith("GEN.1.2"):
-            return 404, b""
-        return 200, json.dumps({"id": url.rpartition("/")[2], "content": "text", "reference": "r"}).encode()
-
-    work = spark.createDataFrame([(f"GEN.1.{v}", "english", 1, 1, v) for v in (1, 2, 3)], "passage_id string, lang string, book_sort int, chapter_sort int, verse_sort int")
-    go = lambda df: rest.crawl(df, f"file://{tmp_path}/lines", "https://x", 1, per_second=1e6, get=get, sleep=lambda s: None, partitions=2)
-    assert go(work.filter("verse_sort < 3")) == {"asked": 2, "failed": 0, "missing": 1}
-    assert go(work) == {"asked": 2, "failed": 0, "missing": 1}  # the missing one and the new one
-    found = files.good(files.read_records(spark, f"file://{tmp_path}/lines"))
-    assert sorted((r["passage_id"], r["content"]) for r in found.collect()) == [("GEN.1.1", "text"), ("GEN.1.3", "text")]
-
-
 def test_unreadable_checkpoint_starts_afresh(spark, tmp_path):
     (tmp_path / "c.jsonl").write_bytes(b"x")
     warnings = []
