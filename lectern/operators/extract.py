@@ -7,7 +7,7 @@ columns they need, so pages are never collected and the other columns never leav
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import pandas as pd
@@ -175,40 +175,47 @@ def decode_big5(raw: Column) -> Column:
 _PAGE_BYTES, _PAGE_ROWS = 4 << 20, 5_000
 
 
-def _parsed(pages: DataFrame, columns: list[str], parser, schema: str) -> DataFrame:
+VERSE_ROWS = "pos int, verse_sort int, sub_title string, content string, note string, cross_ref string"
+ITEM_ROWS = "pos int, value_raw string, text string"
+
+
+def page_rows(batches: Iterable[pa.RecordBatch], parser, schema: str) -> Iterator[pa.RecordBatch]:
     """Rows of each page and ``error``: one row with it for a page that cannot be parsed, was cut off or
-    holds nothing. Pages are parsed one by one and their rows passed on in runs of bounded size."""
-    schema = f"page_id long, {schema}, error string"
-    width = schema.count(",") - 1
+    holds nothing. Pages are parsed one by one, each as a tree of its elements (a page of ``MAX_PAGE`` bytes takes
+    about a gigabyte), and their rows passed on in runs of bounded size."""
+    kinds = _arrow(f"page_id long, {schema}, error string")
+    width = len(kinds) - 2
+
+    def frame(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), kinds, strict=True)], schema=kinds)
+
+    rows: list[tuple] = []
+    held = 0
+    for batch in batches:
+        for page, html, *rest in zip(*batch.columns, strict=True):
+            raw = html.as_buffer().size if html.is_valid else 0
+            try:
+                if raw >= MAX_PAGE:
+                    raise ValueError("page too large, possibly cut off")
+                found = [(page.as_py(), *row, None) for row in parser(html.as_py(), *(x.as_py() for x in rest))]
+                if not found:
+                    raise ValueError("no verses found")
+            except ValueError as e:
+                found = [(page.as_py(), *[None] * width, str(e))]
+            rows += found
+            held += raw
+            if held >= _PAGE_BYTES or len(rows) >= _PAGE_ROWS:
+                yield frame(rows)
+                rows, held = [], 0
+    if rows:
+        yield frame(rows)
 
+
+def _parsed(pages: DataFrame, columns: list[str], parser, schema: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = _arrow(schema)
-
-        def frame(rows: list[tuple]) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), kinds, strict=True)], schema=kinds)
-
-        rows: list[tuple] = []
-        held = 0
-        for batch in batches:
-            for page, html, *rest in zip(*batch.columns, strict=True):
-                raw = html.as_buffer().size if html.is_valid else 0
-                try:
-                    if raw >= MAX_PAGE:
-                        raise ValueError("page too large, possibly cut off")
-                    found = [(page.as_py(), *row, None) for row in parser(html.as_py(), *(x.as_py() for x in rest))]
-                    if not found:
-                        raise ValueError("no verses found")
-                except ValueError as e:
-                    found = [(page.as_py(), *[None] * width, str(e))]
-                rows += found
-                held += raw
-                if held >= _PAGE_BYTES or len(rows) >= _PAGE_ROWS:
-                    yield frame(rows)
-                    rows, held = [], 0
-        if rows:
-            yield frame(rows)
-
-    return pages.select("page_id", *columns).mapInArrow(run, schema)
+        yield from page_rows(batches, parser, schema)
+
+    return pages.select("page_id", *columns).mapInArrow(run, f"page_id long, {schema}, error string")
 
 
 def _arrow(schema: str) -> pa.Schema:
@@ -218,12 +225,12 @@ def _arrow(schema: str) -> pa.Schema:
 
 def chapters(pages: DataFrame) -> DataFrame:
     """Of (page_id, html, usfm, chapter_sort): a row per verse, and one with ``error`` per bad page."""
-    return _parsed(pages, ["html", "usfm", "chapter_sort"], parse_chapter, "pos int, verse_sort int, sub_title string, content string, note string, cross_ref string")
+    return _parsed(pages, ["html", "usfm", "chapter_sort"], parse_chapter, VERSE_ROWS)
 
 
 def list_items(pages: DataFrame) -> DataFrame:
     """Of (page_id, html): a row per item of an ordered list, and one with ``error`` per page without."""
-    return _parsed(pages, ["html"], parse_list_items, "pos int, value_raw string, text string")
+    return _parsed(pages, ["html"], parse_list_items, ITEM_ROWS)
 
 
 def failed_pages(rows: DataFrame) -> DataFrame:

@@ -42,6 +42,15 @@ def verse_bound(rows: DataFrame, number: Column, chapter: Column) -> DataFrame:
     return found.agg(F.max("verses").alias("verses")).select(F.when(F.col("verses").isNull(), F.raise_error(F.lit("chapter out of range")).cast("int")).otherwise(F.col("verses")).alias("verses"))
 
 
+def verse_bounds(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``wanted`` (number, position) with the expected count of each chapter, or an error where there is none."""
+    known = rows.select("number", "position", "verses")
+    books_ = known.groupBy("number").agg(F.max("position").alias("chapters"))
+    found = wanted.join(known, ["number", "position"], "left").join(books_, "number", "left")
+    error = F.when(F.col("chapters").isNull(), "book out of range").when(F.col("verses").isNull(), "chapter out of range")
+    return found.select(*wanted.columns, "verses", error.alias("error"))
+
+
 def global_starts(counted: DataFrame) -> DataFrame:
     """(book_sort, total_chapters, start): the running number of each book's first chapter.
 

@@ -8,7 +8,6 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lectern import queries_runs
 from lectern.functions import text as T
 from lectern.functions.catalogue import books as canon
 from lectern.functions.catalogue import catalogue
@@ -185,40 +184,40 @@ def group_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spec.testament_summary(books)
 
 
-def _list_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+def list_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conversations as pages with an ordered list: items with a number, a bad one or none, and blanks."""
     turns = table(spark, sf_dir, "conversations")
     value = F.when(F.col("turn") % 3 == 1, "").when(F.col("turn") % 5 == 4, ' value="x"').otherwise(F.format_string(' value=" %d "', F.col("turn") + 2))
-    text = F.when(F.length("text") % 7 == 0, "&nbsp; ").otherwise(_escaped(F.col("text")))
+    text = F.when(F.length("text") % 7 == 0, "&nbsp; ").otherwise(escaped(F.col("text")))
     item = F.concat(F.lit("<li"), value, F.lit(">"), text, F.lit('<a href="#">back</a></li>'))
     one = turns.select("conv_id", F.struct("turn", item.alias("item")).alias("x")).groupBy("conv_id").agg(F.array_sort(F.collect_list("x")).alias("items"))
     html = F.concat(F.lit("<html><body><script>var li = '<li>';</script><ul><li>menu</li></ul><ol>"), F.array_join(F.transform("items", lambda x: x["item"]), ""), F.lit("</ol></body></html>"))
     return one.select(F.col("conv_id").alias("page_id"), html.alias("html"))
 
 
-def _escaped(text: Column) -> Column:
+def escaped(text: Column) -> Column:
     return F.replace(F.replace(text, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
 
 
 def max_item_per_page(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Of the conversations' pages, and of the web pages as they are, whose lists are not ordered."""
     web = table(spark, sf_dir, "pages").select((-1 - F.col("page_id")).alias("page_id"), "html")
-    return extract.verse_counts(extract.list_items(_list_pages(spark, sf_dir).unionByName(web)))
+    return extract.verse_counts(extract.list_items(list_pages(spark, sf_dir).unionByName(web)))
 
 
 def parse_list_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    items = extract.numbered(extract.list_items(_list_pages(spark, sf_dir)))
+    items = extract.numbered(extract.list_items(list_pages(spark, sf_dir)))
     return items.select("page_id", "pos", "verse_sort", F.md5(F.col("content").cast("binary")).alias("digest"))
 
 
 def items_within_spec(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = _list_pages(spark, sf_dir)
+    pages = list_pages(spark, sf_dir)
     bounds = pages.select("page_id", (F.col("page_id") % 4 + 2).cast("int").alias("max_verses"))
     return extract.within_spec(extract.numbered(extract.list_items(pages)), bounds).select("page_id", "pos", "verse_sort")
 
 
-def parse_chapter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Conversations written as chapter pages, and parsed again.
+def chapter_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations written as chapter pages.
 
     Every fourth verse has a heading before it and every fifth a note in it; of seven, one also names a
     later verse, one is omitted in favour of another place, and one has a note instead of a text.
@@ -231,15 +230,18 @@ def parse_chapter(spark: SparkSession, sf_dir: str) -> DataFrame:
     note = lambda inner: F.concat(F.lit('<span class="x__note"><span class="x__label">#</span><span class="x__body">'), inner, F.lit("</span></span>"))
     other = note(F.lit('<span class="fr__fr">1</span><span data-usfm="MRK.9.29" class="ref">Mark</span>'))
     inside = F.when(kind == 5, other).when(kind == 6, note(F.lit('<span class="ft">Some  say</span>'))).otherwise(
-        F.concat(F.lit('<span class="x__content">'), _escaped(F.col("text")), F.lit("</span>"), F.when(F.col("turn") % 5 == 0, note(F.lit("<span>aside</span>"))).otherwise(""))
+        F.concat(F.lit('<span class="x__content">'), escaped(F.col("text")), F.lit("</span>"), F.when(F.col("turn") % 5 == 0, note(F.lit("<span>aside</span>"))).otherwise(""))
     )
     label = F.when(kind >= 5, F.format_string('<span class="x__label">[%d]</span>', n)).otherwise(F.format_string('<span class="x__label">%d</span>', n))
     heading = F.when(F.col("turn") % 4 == 0, F.format_string('<div><span class="x__heading"> Part %d</span></div>', "turn")).otherwise("")
     span = F.concat(heading, F.lit('<div><span data-usfm="'), refs_, F.lit('" class="x__verse">'), label, inside, F.lit("</span></div>"))
     blocks = turns.select("conv_id", chapter.alias("chapter_sort"), F.struct("turn", span.alias("span")).alias("x")).groupBy("conv_id", "chapter_sort").agg(F.array_sort(F.collect_list("x")).alias("b"))
     html = F.concat(F.lit('<div data-usfm="GEN.'), F.col("chapter_sort"), F.lit('">'), F.array_join(F.transform("b", lambda x: x["span"]), ""), F.lit("</div>"))
-    pages = blocks.select(F.col("conv_id").alias("page_id"), html.alias("html"), F.lit("GEN").alias("usfm"), "chapter_sort")
-    return extract.chapters(pages).select("page_id", "verse_sort", "sub_title", F.md5(F.col("content").cast("binary")).alias("digest"), "note", "cross_ref", "error")
+    return blocks.select(F.col("conv_id").alias("page_id"), html.alias("html"), F.lit("GEN").alias("usfm"), "chapter_sort")
+
+
+def parse_chapter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract.chapters(chapter_pages(spark, sf_dir)).select("page_id", "verse_sort", "sub_title", F.md5(F.col("content").cast("binary")).alias("digest"), "note", "cross_ref", "error")
 
 
 def resolve_refs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -644,8 +646,8 @@ _QUERIES = (
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in _QUERIES} | queries_runs.QUERIES
+    return {f.__name__: f for f in _QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
-    return _sql() | queries_runs.SQL
+    return _sql()

@@ -22,10 +22,11 @@ import time
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
+from lectern.operators.numbering import numbered
 from lectern.operators.store import Store
 from lectern.sources import rest
 from lectern.sources.files import append_records, completed_or_fresh
@@ -42,18 +43,6 @@ FINAL = (200, 403, 404)
 Transport = Callable[[DataFrame], DataFrame]
 
 
-def numbered(rows: DataFrame, order: list[str]) -> DataFrame:
-    """``rows`` with ``number``, their place in the order of all, from 0; ``order`` names no two rows alike."""
-    at = F.monotonically_increasing_id()  # the partition above, the place in it in the lower 33 bits
-    spread = written(rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", at), "numbered")
-    part = F.shiftright("_at", 33).alias("_part")
-    sizes = spread.groupBy(part).agg(F.count("*").alias("n"))  # a row for each partition
-    before = F.sum("n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
-    starts = sizes.select("_part", F.coalesce(before, F.lit(0)).alias("_before"))
-    joined = spread.withColumn("_part", part).join(F.broadcast(starts), "_part")
-    return joined.select(*rows.columns, (F.col("_before") + F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))).alias("number"))
-
-
 def schedule(work: DataFrame, order: list[str], per_second: float, lanes: int, slice_size: int) -> DataFrame:
     """``work`` with number, lane, slice, and slot_ms, the milliseconds from the start to its first slot."""
     n = F.col("number")

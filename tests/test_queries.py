@@ -3,24 +3,25 @@
 import pytest
 
 from lectern import queries as Q
+from lectern import registry
 
-SQL = Q.oracle_sql()
+SQL = registry.oracle_sql()
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_equals_sql(spark, sf_dir, same_as_sql, name):
-    same_as_sql(Q.queries()[name](spark, sf_dir), SQL[name])
+    same_as_sql(registry.queries()[name](spark, sf_dir), SQL[name])
 
 
 def test_every_query_has_sql():
-    assert set(Q.queries()) == set(SQL)
+    assert set(registry.queries()) == set(SQL)
 
 
 def test_entry_point(spark):
     import __spark_entry__ as e
 
     assert e.entry(spark).count() == 2
-    assert set(Q.queries()) <= set(e.queries())
+    assert set(registry.queries()) <= set(e.queries())
     assert set(e.oracle_sql()) <= set(e.queries())
 
 
