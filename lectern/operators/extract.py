@@ -181,8 +181,8 @@ ITEM_ROWS = "pos int, value_raw string, text string"
 
 def page_rows(batches: Iterable[pa.RecordBatch], parser, schema: str) -> Iterator[pa.RecordBatch]:
     """Rows of each page and ``error``: one row with it for a page that cannot be parsed, was cut off or
-    holds nothing. Pages are parsed one by one, each as a tree of its elements (a page of ``MAX_PAGE`` bytes takes
-    about a gigabyte), and their rows passed on in runs of bounded size."""
+    holds nothing. Pages are parsed one by one, each as a tree of its elements (for a page of ``MAX_PAGE`` bytes
+    about 250 MB), and their rows passed on in runs of bounded size."""
     kinds = _arrow(f"page_id long, {schema}, error string")
     width = len(kinds) - 2
 
