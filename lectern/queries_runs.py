@@ -7,10 +7,13 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lectern.functions.ids import make_id
+from lectern.operators import layout
 from lectern.operators.store import Store
 from lectern.plans.models import table
 from lectern.sources import crawl, files, rest
 from lectern.sources.shared import shared_dir
+from lectern.streaming import state
 
 #: Requests a second, lanes and requests in a slice of the scheduled queries.
 RATE, LANES, SLICE, ATTEMPTS = 15.0, 8, 1000, 3
@@ -81,6 +84,52 @@ def merged_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return apart.withColumn("compacted", F.lit(False)).unionByName(store.read("turns", schema).withColumn("compacted", F.lit(True)))
 
 
+def _streamed(spark: SparkSession, sf_dir: str, run) -> None:
+    """Conversations as JSON lines, the even chapters first and then all, with a run of a stream after each."""
+    at = f"{shared_dir(spark)}/state-{uuid.uuid4().hex}"
+    chapter = (F.col("conv_id") + 1).cast("int")
+    when = F.timestamp_seconds(F.lit(1_700_000_000) + chapter % 100 * 3600)
+    passage = F.concat_ws(".", chapter, F.floor(F.col("turn") / 2) + 1)  # two turns have one passage
+    rows = table(spark, sf_dir, "conversations").select(passage.alias("passage_id"), F.col("role").alias("lang"), F.lit(1).alias("bible_id"), F.lit(1).alias("book_sort"), chapter.alias("chapter_sort"), (F.col("turn") + 1).cast("int").alias("verse_sort"), F.col("text").alias("content"), when.alias("crawled_at"))
+    for part in (rows.filter("chapter_sort % 2 = 0"), rows):
+        files.append_records(part, f"{at}/lines")
+        run(at)
+
+
+def stream_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys that a stream with expiring state has passed on, over a restart: each once."""
+    places = []
+    _streamed(spark, sf_dir, lambda at: (state.once_within(spark, f"{at}/lines", f"{at}/out", f"{at}/checkpoint", "30 days"), places.append(at)))
+    return spark.read.parquet(f"{places[-1]}/out").groupBy("lang", "passage_id").agg(F.count("*").alias("times"))
+
+
+def stream_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Running totals per day and language after a restart."""
+    stores = []
+
+    def run(at: str) -> None:
+        stores.append(Store(spark, f"{at}/store"))
+        state.count_imports(spark, f"{at}/lines", stores[-1], f"{at}/checkpoint", "30 days")
+
+    _streamed(spark, sf_dir, run)
+    return stores[-1].read("counters", state.COUNTERS)
+
+
+def resume_laid_out(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Turns that are left when those of every third length are done; what is done lies in buckets by key."""
+    turns = table(spark, sf_dir, "conversations").select(F.col("role").alias("lang"), F.concat_ws(".", "conv_id", "turn").alias("passage_id"), F.length("text").alias("n"))
+    done = layout.lay_out(turns.filter("n % 3 = 0").select("lang", "passage_id"), ["lang", "passage_id"])
+    return layout.remaining(turns.select("lang", "passage_id"), done)
+
+
+def rekey_laid_out(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """References to lines' sections moved from old ids to new ones, which lie in buckets by old id."""
+    lines = table(spark, sf_dir, "lineitem").select((F.col("l_orderkey") + 1).alias("o"), F.col("l_linenumber").alias("n"))
+    ids = lines.distinct().filter("(o + n) % 7 <> 0").select(make_id("section", F.col("o"), F.col("n")).alias("old"), make_id("section", F.col("o"), F.col("n"), salt="second-").alias("new"))
+    references = lines.select("o", "n", make_id("section", F.col("o"), F.col("n")).alias("ref"))
+    return layout.rekeyed(references, "ref", layout.lay_out(ids, ["old"]))
+
+
 _TURNS = "t AS (SELECT conv_id * 1000 + turn AS k, md5(text) AS v FROM conversations)"
 
 SQL = {
@@ -98,6 +147,11 @@ SELECT 0 AS batch, count(*) AS inserted, 0 AS unchanged, 0 AS updated, count(*)
 UNION ALL SELECT k % {BATCHES} + 1, count(*) FILTER (WHERE k % 11 = 0), count(*) FILTER (WHERE k % 11 <> 0 AND k % 3 <> 0), count(*) FILTER (WHERE k % 11 <> 0 AND k % 3 = 0),
   count(*) FILTER (WHERE k % 11 = 0 OR k % 3 = 0) FROM t GROUP BY ALL""",
     "merged_rows": f"""WITH {_TURNS} SELECT k, v || CASE WHEN k % 3 = 0 THEN ':' || (k % {BATCHES} + 1) ELSE '' END AS v, compacted FROM t CROSS JOIN (VALUES (false), (true)) AS c(compacted)""",
+    "stream_once": "SELECT DISTINCT role AS lang, (conv_id + 1) || '.' || (turn // 2 + 1) AS passage_id, 1 AS times FROM conversations",
+    "stream_counters": """SELECT (to_timestamp(1700000000 + (conv_id + 1) % 100 * 3600) AT TIME ZONE 'UTC')::DATE AS day, role AS lang, sum(1 + (conv_id % 2))::BIGINT AS records, sum(length(text) * (1 + conv_id % 2))::BIGINT AS n_chars
+FROM conversations GROUP BY ALL""",
+    "resume_laid_out": "SELECT role AS lang, conv_id || '.' || turn AS passage_id FROM conversations WHERE length(text) % 3 <> 0",
+    "rekey_laid_out": """SELECT o, n, CASE WHEN (o + n) % 7 <> 0 THEN md5('second-section:' || o || ':' || n) ELSE md5('section:' || o || ':' || n) END AS ref FROM (SELECT l_orderkey + 1 AS o, l_linenumber AS n FROM lineitem)""",
 }
 
-QUERIES = {f.__name__: f for f in (request_schedule, retry_delays, crawl_conversations, merge_batches, merged_rows)}
+QUERIES = {f.__name__: f for f in (request_schedule, retry_delays, crawl_conversations, merge_batches, merged_rows, stream_once, stream_counters, resume_laid_out, rekey_laid_out)}
