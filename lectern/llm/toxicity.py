@@ -334,7 +334,8 @@ def training_sample(docs: DataFrame, labels: DataFrame, settings: Settings) -> l
     """A bounded number of labelled, not held out documents of each class, as (id, text, toxic).
 
     The sample is chosen by hash among the ids of ``labels`` alone, so it is small before it
-    meets the texts; the ids that are broadcast number ``max_toxic`` + ``max_clean`` at most.
+    meets the texts; the ids that are broadcast number ``max_toxic`` + ``max_clean`` at most. Of rows
+    that repeat an id the least text is taken, so no more texts than ids reach the driver.
     """
     known = labels.select(labels["doc_id"].alias("key"), labels["toxic"].alias("toxic")).filter("key IS NOT NULL AND toxic IS NOT NULL")
     known = known.filter(fold(F.col("key")) != 1).groupBy("key").agg(F.max("toxic").alias("toxic"))
@@ -344,7 +345,8 @@ def training_sample(docs: DataFrame, labels: DataFrame, settings: Settings) -> l
         chosen = part if chosen is None else chosen.unionByName(part)
     ids = docs.sparkSession.createDataFrame([(r["key"], int(r["toxic"])) for r in chosen.collect()], "key long, toxic int")
     texts = docs.select(docs["doc_id"].alias("key"), docs["text"].alias("text")).filter(F.length("text") <= settings.max_chars)
-    return sorted((r["key"], r["text"], r["toxic"]) for r in texts.join(F.broadcast(ids), "key").collect())
+    one = texts.join(F.broadcast(ids), "key").groupBy("key", "toxic").agg(F.min("text").alias("text"))
+    return sorted((r["key"], r["text"], r["toxic"]) for r in one.collect())
 
 
 def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> Model:
