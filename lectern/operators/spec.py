@@ -42,6 +42,32 @@ def verse_bound(rows: DataFrame, number: Column, chapter: Column) -> DataFrame:
     return found.agg(F.max("verses").alias("verses")).select(F.when(F.col("verses").isNull(), F.raise_error(F.lit("chapter out of range")).cast("int")).otherwise(F.col("verses")).alias("verses"))
 
 
+_UUID = "^(?:urn:uuid:|\\{)?[0-9A-Fa-f]{8}(-?)[0-9A-Fa-f]{4}\\1[0-9A-Fa-f]{4}\\1[0-9A-Fa-f]{4}\\1[0-9A-Fa-f]{12}\\}?$"
+
+
+def request_contexts(raw: DataFrame) -> DataFrame:
+    """What a request for a chapter page carries as text, read and checked before anything is written.
+
+    ``raw``: book_id, book_index, chapter_sort, max_verses, lang, all strings; other columns are kept. ``error`` tells
+    the first fault; the numbers of rows with one are null.
+    """
+    text = lambda c: T.trim_u(F.coalesce(F.col(c), F.lit("")))
+    number = lambda c: F.when(text(c).rlike(r"^[+-]?[0-9]+$"), text(c).try_cast("long"))
+    bad = lambda c, least: F.coalesce(number(c) < least, F.lit(True))
+    error = (
+        F.when(text("book_id") == "", "missing book_id")
+        .when(~text("book_id").rlike(_UUID), "invalid book_id")
+        .when(bad("book_index", 0), "invalid book_index")
+        .when(bad("chapter_sort", 1), "invalid chapter_sort")
+        .when(bad("max_verses", 1), "invalid max_verses")
+        .when(~text("lang").isin(*T.LANGUAGES), "unsupported language")
+    )
+    fields = ("book_id", "book_index", "chapter_sort", "max_verses", "lang")
+    own = raw.select("*", error.alias("error"))
+    read = [F.when(F.col("error").isNull(), number(c)).alias(c) if c in fields[1:4] else text(c).alias(c) for c in fields]
+    return own.select(*(c for c in raw.columns if c not in fields), *read, "error")
+
+
 def verse_bounds(rows: DataFrame, wanted: DataFrame) -> DataFrame:
     """``wanted`` (number, position) with the expected count of each chapter, or an error where there is none."""
     known = rows.select("number", "position", "verses")

@@ -4,16 +4,17 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lectern.functions.ids import make_id
-from lectern.operators import layout
+from lectern.operators import layout, load
 from lectern.operators.store import Store
 from lectern.plans.models import table
 from lectern.sources import crawl, files, rest
 from lectern.sources.shared import shared_dir
 from lectern.streaming import state
+from lectern.streaming.ingest import ingest
 
 #: Requests a second, lanes and requests in a slice of the scheduled queries.
 RATE, LANES, SLICE, ATTEMPTS = 15.0, 8, 1000, 3
@@ -84,13 +85,13 @@ def merged_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return apart.withColumn("compacted", F.lit(False)).unionByName(store.read("turns", schema).withColumn("compacted", F.lit(True)))
 
 
-def _streamed(spark: SparkSession, sf_dir: str, run) -> None:
+def _streamed(spark: SparkSession, sf_dir: str, run, lang: Column | None = None) -> None:
     """Conversations as JSON lines, the even chapters first and then all, with a run of a stream after each."""
     at = f"{shared_dir(spark)}/state-{uuid.uuid4().hex}"
     chapter = (F.col("conv_id") + 1).cast("int")
     when = F.timestamp_seconds(F.lit(1_700_000_000) + chapter % 100 * 3600)
     passage = F.concat_ws(".", chapter, F.floor(F.col("turn") / 2) + 1)  # two turns have one passage
-    rows = table(spark, sf_dir, "conversations").select(passage.alias("passage_id"), F.col("role").alias("lang"), F.lit(1).alias("bible_id"), F.lit(1).alias("book_sort"), chapter.alias("chapter_sort"), (F.col("turn") + 1).cast("int").alias("verse_sort"), F.col("text").alias("content"), when.alias("crawled_at"))
+    rows = table(spark, sf_dir, "conversations").select(passage.alias("passage_id"), (F.col("role") if lang is None else lang).alias("lang"), F.lit(1).alias("bible_id"), F.lit(1).alias("book_sort"), chapter.alias("chapter_sort"), (F.col("turn") + 1).cast("int").alias("verse_sort"), F.col("text").alias("content"), when.alias("crawled_at"))
     for part in (rows.filter("chapter_sort % 2 = 0"), rows):
         files.append_records(part, f"{at}/lines")
         run(at)
@@ -130,6 +131,38 @@ def rekey_laid_out(spark: SparkSession, sf_dir: str) -> DataFrame:
     return layout.rekeyed(references, "ref", layout.lay_out(ids, ["old"]))
 
 
+def stream_fresh_start(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Contents after an import whose checkpoint was spoiled between two runs: everything is merged afresh, once."""
+    places, warnings = [], []
+
+    def run(at: str) -> None:
+        if places:  # the second run finds a checkpoint that cannot be read
+            files_, metadata = places[0]._hadoop(f"{at}/checkpoint/metadata")
+            files_.delete(metadata, False)
+            out = files_.create(metadata, True)
+            out.write(bytearray(b"spoiled"))
+            out.close()
+        places.append(Store(spark, f"{at}/store"))
+        ingest(spark, f"{at}/lines", places[-1], f"{at}/checkpoint", warn=warnings.append)
+
+    _streamed(spark, sf_dir, run, lang=F.when(F.col("role") == "user", "chinese").otherwise("english"))
+    written = places[-1].read("section_contents", load.RULES["section_contents"][0])
+    return written.groupBy("language").agg(F.count("*").alias("contents")).withColumn("warnings", F.lit(len(warnings)))
+
+
+def failed_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Loads of turns by role, in a language of that name: one of which nothing can be written fails, and says so."""
+    turns, out = table(spark, sf_dir, "conversations"), []
+    for lang, sort in (("english", 1), ("klingon", 1), ("chinese", 0)):
+        rows = turns.select(F.lit(lang).alias("lang"), F.lit(1).alias("book_sort"), (F.col("conv_id") + 1).cast("int").alias("chapter_sort"), (F.lit(sort) * (F.col("turn") + 1)).cast("int").alias("verse_sort"), F.col("text").alias("content"))
+        try:
+            done = load.load(Store(spark, f"{shared_dir(spark)}/failing-{uuid.uuid4().hex}"), rows, strict=True)
+            out.append((lang, done["section_contents"]["insert"], None))
+        except ValueError as error:
+            out.append((lang, 0, str(error)))
+    return spark.createDataFrame(out, "lang string, written long, error string")
+
+
 _TURNS = "t AS (SELECT conv_id * 1000 + turn AS k, md5(text) AS v FROM conversations)"
 
 SQL = {
@@ -150,8 +183,11 @@ UNION ALL SELECT k % {BATCHES} + 1, count(*) FILTER (WHERE k % 11 = 0), count(*)
     "stream_once": "SELECT DISTINCT role AS lang, (conv_id + 1) || '.' || (turn // 2 + 1) AS passage_id, 1 AS times FROM conversations",
     "stream_counters": """SELECT (to_timestamp(1700000000 + (conv_id + 1) % 100 * 3600) AT TIME ZONE 'UTC')::DATE AS day, role AS lang, sum(1 + (conv_id % 2))::BIGINT AS records, sum(length(text) * (1 + conv_id % 2))::BIGINT AS n_chars
 FROM conversations GROUP BY ALL""",
+    "stream_fresh_start": """SELECT CASE role WHEN 'user' THEN 'chinese' ELSE 'english' END AS language, count(DISTINCT (conv_id, turn)) AS contents, 1 AS warnings FROM conversations WHERE trim(text) <> '' GROUP BY ALL""",
+    "failed_loads": """SELECT 'english' AS lang, count(DISTINCT (conv_id, turn)) AS written, NULL AS error FROM conversations WHERE trim(text) <> ''
+UNION ALL SELECT l, 0, 'no verse written, ' || count(*) || ' rejected' FROM conversations CROSS JOIN (VALUES ('klingon'), ('chinese')) AS v(l) GROUP BY l""",
     "resume_laid_out": "SELECT role AS lang, conv_id || '.' || turn AS passage_id FROM conversations WHERE length(text) % 3 <> 0",
     "rekey_laid_out": """SELECT o, n, CASE WHEN (o + n) % 7 <> 0 THEN md5('second-section:' || o || ':' || n) ELSE md5('section:' || o || ':' || n) END AS ref FROM (SELECT l_orderkey + 1 AS o, l_linenumber AS n FROM lineitem)""",
 }
 
-QUERIES = {f.__name__: f for f in (request_schedule, retry_delays, crawl_conversations, merge_batches, merged_rows, stream_once, stream_counters, resume_laid_out, rekey_laid_out)}
+QUERIES = {f.__name__: f for f in (request_schedule, retry_delays, crawl_conversations, merge_batches, merged_rows, stream_once, stream_counters, resume_laid_out, rekey_laid_out, stream_fresh_start, failed_loads)}

@@ -101,7 +101,28 @@ def verse_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spec.verse_bounds(_spec_of_orders(spark, sf_dir), wanted)
 
 
-_FUNCTIONS = (sql_parse_chapter, sql_list_items, sections_in_order, viewer_in_order, parse_odd_chapters, spec_of_orders, verse_bounds)
+def request_contexts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requests for the chapters of orders, as text, each fault in some of them."""
+    o = F.col("o_orderkey")
+    digest = F.md5(o.cast("string").cast("binary"))
+    dashed = F.concat_ws("-", *(F.substring(digest, a, n) for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))))
+    raw = table(spark, sf_dir, "orders").select(
+        "o_orderkey",
+        F.when(o % 11 == 0, " ").when(o % 13 == 0, F.concat(F.lit("x"), digest)).when(o % 2 == 0, dashed).otherwise(digest).alias("book_id"),
+        F.when(o % 17 == 0, "-1").otherwise(F.concat(F.lit(" "), (o % 66).cast("string"))).alias("book_index"),
+        F.when(o % 19 == 0, "0").when(o % 23 == 0, "one").otherwise((o % 150 + 1).cast("string")).alias("chapter_sort"),
+        F.when(o % 29 != 0, F.concat(F.lit("+"), (o % 176 + 1).cast("string"))).alias("max_verses"),
+        F.when(o % 31 == 0, "latin").when(o % 2 == 0, "chinese").otherwise(" english ").alias("lang"),
+    )
+    return spec.request_contexts(raw).drop("book_id")
+
+
+def books_in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All books in the order of their number, however they were written."""
+    return numbered(t_model(spark, sf_dir).books.select(F.col("sort").alias("book_sort")), ["book_sort"], "row_number")
+
+
+_FUNCTIONS = (request_contexts, books_in_order, sql_parse_chapter, sql_list_items, sections_in_order, viewer_in_order, parse_odd_chapters, spec_of_orders, verse_bounds)
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f"sql_{name}": partial(as_text, name) for name in sql.QUERIES} | {f.__name__: f for f in _FUNCTIONS}
 
 _TABLES = Q.oracle_sql()
@@ -120,6 +141,11 @@ SQL = {f"sql_{name}": _TABLES[name] for name in sql.QUERIES} | {
     UNION ALL SELECT conv_id, turn, 2, n + 200, '{T.MERGED}', 'merged' FROM v WHERE fault NOT IN (3, 4) AND kind = 2 AND n + 200 <= {T.MAX_VERSE})
   SELECT conv_id AS page_id, (row_number() OVER (PARTITION BY conv_id ORDER BY turn, place) - 1)::INT AS pos, n::INT AS verse_sort, md5(content) AS digest, note, NULL::VARCHAR AS error FROM w
   UNION ALL SELECT DISTINCT conv_id, NULL, NULL, NULL, NULL, 'bad chapter key' FROM v WHERE fault IN (3, 4)""",
+    "request_contexts": """SELECT o_orderkey, CASE WHEN error IS NULL THEN o % 66 END AS book_index, CASE WHEN error IS NULL THEN o % 150 + 1 END AS chapter_sort, CASE WHEN error IS NULL THEN o % 176 + 1 END AS max_verses,
+  CASE WHEN o % 31 = 0 THEN 'latin' WHEN o % 2 = 0 THEN 'chinese' ELSE 'english' END AS lang, error
+FROM (SELECT o_orderkey, o_orderkey AS o, CASE WHEN o % 11 = 0 THEN 'missing book_id' WHEN o % 13 = 0 THEN 'invalid book_id' WHEN o % 17 = 0 THEN 'invalid book_index' WHEN o % 19 = 0 OR o % 23 = 0 THEN 'invalid chapter_sort'
+  WHEN o % 29 = 0 THEN 'invalid max_verses' WHEN o % 31 = 0 THEN 'unsupported language' END AS error FROM orders)""",
+    "books_in_order": "SELECT (c_custkey + 1)::INT AS book_sort, row_number() OVER (ORDER BY c_custkey) - 1 AS row_number FROM customer",
     "spec_of_orders": f"WITH {_SPEC} SELECT * FROM s",
     "verse_bounds": f"""WITH {_SPEC}, w AS (SELECT c_custkey, (c_custkey % 70 + 1)::INT AS number, (c_custkey % 45 + 1)::INT AS position FROM customer)
   SELECT w.*, s.verses, CASE WHEN NOT EXISTS (SELECT 1 FROM s x WHERE x.number = w.number) THEN 'book out of range' WHEN s.verses IS NULL THEN 'chapter out of range' END AS error
