@@ -109,7 +109,7 @@ def crawl(work: DataFrame, store: Store, path: str, transport: Transport, urls:
     """Ask for the passages that are left, and keep the answers slice by slice; returns how many requests ended how.
 
     ``work``: lang, passage_id, book_sort, chapter_sort, verse_sort; ``urls`` adds url. ``stop`` is asked before each slice, with the number
-    of slices done. ``passes``: how often what has failed is asked again in this run, when it is due.
+    of slices done. ``passes``: how often this run goes over what is left; it waits for what failed in the pass before to be due.
     """
     found, slices = {DONE: 0, MISSING: 0, WAITING: 0, DEAD: 0}, 0
     order = ["book_sort", "chapter_sort", "verse_sort", *KEYS]
@@ -121,6 +121,7 @@ def crawl(work: DataFrame, store: Store, path: str, transport: Transport, urls:
         count = planned.agg(F.max("slice")).first()[0]
         if count is None:
             break
+        failed = found[WAITING]
         for n in range(count + 1):
             if stop(slices):
                 return found
@@ -129,11 +130,13 @@ def crawl(work: DataFrame, store: Store, path: str, transport: Transport, urls:
             error = F.coalesce("error", F.when((F.col("status") == 200) & content.isNull(), "no content"))
             answers = written(answers.select(*work.columns, "attempts", "status", error.alias("error"), content.alias("content")), "answers")  # each url is asked once
             keep(answers, path, version_id)
-            states = written(outcome(answers, limit, base, now()), "states")
+            states = outcome(answers, limit, base, now())
             store.merge("requests", REQUESTS, states, KEYS, ["state", "attempts"])
             for r in states.groupBy("state").agg(F.count("*").alias("n")).collect():
                 found[r["state"]] += r["n"]
             slices += 1
+        if found[WAITING] == failed:
+            break
     return found
 
 
