@@ -32,7 +32,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lectern.llm.common import chunks, give_back, tidy
+from lectern.llm.common import chunks, stored, tidy
 from lectern.llm.shingles import U, mix
 
 SCHEMA = "doc_id long, held_out boolean, score double, predicted int"
@@ -227,18 +227,35 @@ def train(texts: list[str], toxic: list[int], settings: Settings = Settings()) -
 
     Deterministic for a given order of texts. Where a half lacks a class, the texts judge themselves.
     """
-    model = embed(texts, toxic, settings)
+    found = [trained(part, texts, toxic, settings) for part in PARTS]
+    return fitted(found[0][0], [logits for _, logits in found], toxic)
+
+
+#: What is trained by itself: the model of all texts, and those of the texts at even and at odd places.
+PARTS = (None, 0, 1)
+
+
+def trained(part: int | None, texts: list[str], toxic: list[int], settings: Settings) -> tuple[Model, np.ndarray]:
+    """The model of a part, and the logits of the texts that it judges (the others': NaN)."""
     halves = [[*range(i, len(texts), 2)] for i in (0, 1)]
-    if any({toxic[i] for i in half} != {0, 1} for half in halves):
-        halves = [[*range(len(texts))], []]
-    logits = np.full(len(texts), -np.inf)
-    for judged, learnt in (halves, halves[::-1]):
-        judge = embed([texts[i] for i in learnt], [toxic[i] for i in learnt], settings) if learnt else model
-        for i in judged:
-            logits[i : i + 1] = judge.logits(pa.array([texts[i]], pa.large_string()))
-    known = np.isfinite(logits)
+    apart = all({toxic[i] for i in half} == {0, 1} for half in halves)
+    learnt = halves[part] if part is not None and apart else [*range(len(texts))] if part is None else []
+    judged = halves[1 - part] if part is not None and apart else [*range(len(texts))] if part is None and not apart else []
+    model = embed([texts[i] for i in learnt], [toxic[i] for i in learnt], settings)
+    logits = np.full(len(texts), np.nan)
+    for i in judged:
+        logits[i : i + 1] = model.logits(pa.array([texts[i]], pa.large_string()))
+    return model, logits
+
+
+def fitted(model: Model, logits: list[np.ndarray], toxic: list[int]) -> Model:
+    """``model`` with probabilities fitted on the logits of all parts."""
+    judged = np.full(len(toxic), -np.inf)
+    for own in logits:
+        judged = np.where(np.isnan(own), judged, own)
+    known = np.isfinite(judged)
     if known.any():
-        model.slope, model.shift = calibrate(logits[known], np.array(toxic, np.float64)[known])
+        model.slope, model.shift = calibrate(judged[known], np.array(toxic, np.float64)[known])
     return model
 
 
@@ -330,12 +347,12 @@ def fold(key: Column) -> Column:
     return F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")) % 3
 
 
-def training_sample(docs: DataFrame, labels: DataFrame, settings: Settings) -> list:
-    """A bounded number of labelled, not held out documents of each class, as (id, text, toxic).
+def training_sample(docs: DataFrame, labels: DataFrame, settings: Settings) -> DataFrame:
+    """A bounded number of labelled, not held out documents of each class: (key, toxic, text).
 
     The sample is chosen by hash among the ids of ``labels`` alone, so it is small before it
     meets the texts; the ids that are broadcast number ``max_toxic`` + ``max_clean`` at most. Of rows
-    that repeat an id the least text is taken, so no more texts than ids reach the driver.
+    that repeat an id the least text is taken.
     """
     known = labels.select(labels["doc_id"].alias("key"), labels["toxic"].alias("toxic")).filter("key IS NOT NULL AND toxic IS NOT NULL")
     known = known.filter(fold(F.col("key")) != 1).groupBy("key").agg(F.max("toxic").alias("toxic"))
@@ -345,15 +362,33 @@ def training_sample(docs: DataFrame, labels: DataFrame, settings: Settings) -> l
         chosen = part if chosen is None else chosen.unionByName(part)
     ids = docs.sparkSession.createDataFrame([(r["key"], int(r["toxic"])) for r in chosen.collect()], "key long, toxic int")
     texts = docs.select(docs["doc_id"].alias("key"), docs["text"].alias("text")).filter(F.length("text") <= settings.max_chars)
-    one = texts.join(F.broadcast(ids), "key").groupBy("key", "toxic").agg(F.min("text").alias("text"))
-    return sorted((r["key"], r["text"], r["toxic"]) for r in one.collect())
+    return texts.join(F.broadcast(ids), "key").groupBy("key", "toxic").agg(F.min("text").alias("text"))
+
+
+_TRAINED = "part int, weights binary, bias double, logits binary, toxic binary"
 
 
 def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> Model:
-    sample = training_sample(docs, labels, settings)
-    model = train([t for _, t, _ in sample], [y for _, _, y in sample], settings)
-    give_back()  # the driver's, too
-    return model
+    """``train`` on the sample, each part in a task of its own: all of them hold the sample, which is bounded."""
+    sample = stored(training_sample(docs, labels, settings), "sample")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [b for b in batches if b.num_rows]
+        if not held:
+            return
+        rows = pa.Table.from_batches(held).sort_by("key")
+        part, texts, toxic = rows.column("part")[0].as_py(), rows.column("text").to_pylist(), rows.column("toxic").to_pylist()
+        model, logits = trained(PARTS[part], texts, toxic, settings)
+        whole = [model.weights.tobytes() if PARTS[part] is None else b"", logits.tobytes(), np.array(toxic, np.int64).tobytes()]
+        yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array(whole[:1], pa.binary()), pa.array([model.bias]), pa.array(whole[1:2], pa.binary()), pa.array(whole[2:], pa.binary())], names=[x.split()[0] for x in _TRAINED.split(", ")])
+
+    copies = sample.withColumn("part", F.explode(F.array(*map(F.lit, range(len(PARTS))))))
+    found = {r["part"]: r for r in copies.repartitionById(len(PARTS), F.col("part")).mapInArrow(tidy(run), _TRAINED).collect()}
+    if not found:
+        return train([], [], settings)
+    read = lambda i, name, kind: np.frombuffer(found[i][name], kind)
+    model = Model(read(0, "weights", np.int64).copy(), found[0]["bias"], 0.0, -30.0, settings.window)
+    return fitted(model, [read(i, "logits", np.float64) for i in range(len(PARTS))], read(0, "toxic", np.int64).tolist())
 
 
 def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:

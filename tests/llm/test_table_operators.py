@@ -667,3 +667,20 @@ def test_hot_keys_leave_a_task_once(spark, monkeypatch):
         results.append(sorted(map(tuple, jaccard.jaccard_components(docs.repartition(6), 2, (4, 5)).collect())))
     assert results[0] == results[1]
     assert {r[2] for r in results[0]} == {0}
+
+
+def test_training_on_executors_is_training(spark):
+    rng = random.Random(12)
+    clean, bad = [f"{a}{b}" for a in ("ban", "cor", "del", "fim") for b in ("ane", "ust", "ipo")], ["idiot", "moron", "worthless"]
+    rows = [(i, " ".join(rng.choices(clean, k=30) + (rng.sample(bad, 2) if i % 4 == 0 else []))) for i in range(160)]
+    docs = spark.createDataFrame([*rows, *rows[:20], (rows[8][0], "zz a later text of the same id"), (900, None), (None, "x")], "doc_id long, text string").withColumn("part", F.lit("own")).repartition(4)
+    labels = spark.createDataFrame([(i, 1, int(i % 4 == 0)) for i in range(160)] + [(None, 1, 1), (901, 1, 1)], "doc_id long, quality int, toxic int")
+    settings = toxicity.Settings(buckets=1 << 12)
+    sample = sorted((r["key"], r["text"], r["toxic"]) for r in toxicity.training_sample(docs, labels, settings).collect())
+    assert len(sample) == len({k for k, *_ in sample}) and dict((k, t) for k, t, _ in sample).get(8, rows[8][1]) == rows[8][1]
+    want, got = toxicity.train([t for _, t, _ in sample], [y for *_, y in sample], settings), toxicity.fit(docs, labels, settings)
+    assert np.array_equal(want.weights, got.weights) and (want.bias, want.slope, want.shift) == (got.bias, got.slope, got.shift)
+    for few in (labels.limit(0), labels.filter("toxic = 1"), labels.filter("doc_id IN (0, 1, 3)")):
+        rest = sorted((r["key"], r["text"], r["toxic"]) for r in toxicity.training_sample(docs, few, settings).collect())
+        want, got = toxicity.train([t for _, t, _ in rest], [y for *_, y in rest], settings), toxicity.fit(docs, few, settings)
+        assert np.array_equal(want.weights, got.weights) and (want.bias, want.slope, want.shift) == (got.bias, got.slope, got.shift)
