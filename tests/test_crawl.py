@@ -123,18 +123,18 @@ def test_failures_over_three_runs(spark, tmp_path):
         return {4: (403, b""), 5: (200, b" "), 6: (200, b"{broken"), 7: (200, body(passage))}.get(number, (200, body(passage)))
 
     transport = crawl.http(1e5, 2, get=stub(tmp_path, answer))
-    go = lambda: crawl.crawl(work(spark, 7), store, path, transport, URL, 1, 1e5, lanes=2, limit=3, base=100.0, now=lambda: clock[0])
+    go = lambda: crawl.crawl(work(spark, 7), store, path, transport, URL, 1, 1e5, lanes=2, limit=3, base=10.0, now=lambda: clock[0])
     state = lambda: {int(r["passage_id"][6:]): (r["state"], r["attempts"], r["status"], r["error"]) for r in store.read("requests", crawl.REQUESTS).collect()}
     assert go() == {"done": 1, "missing": 0, "waiting": 4, "dead": 2}
     first = state()
     assert first[1] == first[2] == ("waiting", 1, 503, "status 503: busy") and first[3] == ("waiting", 1, 0, "no route")
     assert first[4] == ("dead", 1, 403, "forbidden") and first[5] == ("dead", 1, 200, "empty body") and first[6] == ("waiting", 1, 200, "no content") and first[7][0] == "done"
     assert sum(go().values()) == 0  # nothing is due yet
-    clock[0] += 126  # a quarter more than the first delay at most
+    clock[0] += 13  # the first delay is 7.5 to 12.5 seconds
     assert go() == {"done": 1, "missing": 0, "waiting": 3, "dead": 0}
-    clock[0] += 130
-    assert sum(go().values()) == 0  # the second delay is 150 to 250 seconds
-    clock[0] += 130
+    clock[0] += 13
+    assert sum(go().values()) == 0  # the second delay is 15 to 25 seconds
+    clock[0] += 13
     go()
     last = state()
     assert last[1][:2] == ("done", 2) and last[2][:2] == last[3][:2] == last[6][:2] == ("dead", 3)
