@@ -17,8 +17,8 @@ in numpy, and nothing is remembered from one run to the next. Sums are of whole
 the same score wherever it stands.
 
 Defined results: null and empty texts have no window and score 0; repeated rows get equal scores; of
-several labels of one id the highest counts; without any labelled document every score is 0; an empty
-table gives no rows; other columns are ignored.
+several labels of one id the highest counts; a word that repeats the one before it counts once; without
+any labelled document every score is 0; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
