@@ -9,6 +9,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _KEY = "spark.checkpoint.dir"
+#: Temporary folders of applications of one process that name none.
+_TEMPORARY: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -21,8 +23,10 @@ def shared_dir(spark: SparkSession) -> str:
     if not found:
         if not re.match(r"local($|\[)", spark.sparkContext.master):
             raise ValueError(f"{_KEY} must name a folder that driver and executors share")
-        found = "file://" + tempfile.mkdtemp(prefix="lectern-")
-        spark.conf.set(_KEY, found)
+        app = spark.sparkContext.applicationId
+        if app not in _TEMPORARY:
+            _TEMPORARY[app] = "file://" + tempfile.mkdtemp(prefix="lectern-")
+        found = _TEMPORARY[app]
     return found.rstrip("/")
 
 
