@@ -598,8 +598,8 @@ def test_equals_sql(spark, sf_dir, same_as_sql, name):
 # ------------------------------------------------------------------ registry and pipeline
 
 
-def test_all_ten_are_registered():
-    assert sorted(int(n[2:].split("_")[0]) for n in registry.queries()) == [*range(1, 11)]
+def test_all_thirteen_are_registered():
+    assert sorted(int(n[2:].split("_")[0]) for n in registry.queries()) == [*range(1, 14)]
 
 
 def test_pipeline(spark, sf_dir):
