@@ -5,7 +5,9 @@ References are tables (id, ref): what a row of another application points at.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lectern import schemas
@@ -39,6 +41,10 @@ def backup(lib: Library, references: dict[str, DataFrame], before: DataFrame | N
     return rows if before is None else before.unionByName(get_or_create(before, rows, ["source_table", "source_id"]))
 
 
+def _same(section: Column) -> Column:
+    return section
+
+
 def _new_ids(lib: Library, saved: DataFrame) -> DataFrame:
     """(source_table, source_id, new_id) of the saved references whose place is known."""
     own = saved.select("source_table", "source_id", "book_sort", "chapter_sort", "section_sort")
@@ -52,6 +58,20 @@ def restored(lib: Library, references: dict[str, DataFrame], saved: DataFrame) -
     return joined.select("source_table", F.col("source_id").alias("id"), F.coalesce("new_id", "old_section_id").alias("ref"))
 
 
+def rekeyed(old: Library, new: Library, references: dict[str, DataFrame], old_id: Callable[[Column], Column] = _same, new_id: Callable[[Column], Column] = _same) -> DataFrame:
+    """What ``restored`` gives for a ``backup`` that is not kept, where both libraries are there at once.
+
+    Old ids meet new ones by natural key first, so that a reference is shuffled once. ``old_id`` and ``new_id`` make
+    the ids that references hold of those in the libraries, after what is joined by other keys.
+    """
+    place = ["book_sort", "chapter_sort", "section_sort"]
+    there = coordinates(new).withColumnRenamed("section_id", "new_section")
+    moved = coordinates(old).join(there, place).select(old_id(F.col("section_id")).alias("section_id"), "new_section")
+    joined = every_reference(references).join(moved, F.col("old_section_id") == F.col("section_id"), "left")
+    ref = F.when(F.col("new_section").isNull(), F.col("old_section_id")).otherwise(new_id(F.col("new_section")))
+    return joined.select("source_table", F.col("source_id").alias("id"), ref.alias("ref"))
+
+
 def restore(lib: Library, refs: DataFrame, name: str, saved: DataFrame) -> DataFrame:
     """One table's rows with all columns, moved in the same way."""
     new = _new_ids(lib, saved.filter(F.col("source_table") == name)).select("source_id", "new_id")

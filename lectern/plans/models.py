@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lectern.functions import text as T
-from lectern.functions.ids import make_id
+from lectern.functions.ids import make_id, natural_key
 from lectern.schemas import Library
 
 
@@ -20,14 +22,17 @@ def _per_language(df: DataFrame, keep: dict[str, Column]) -> DataFrame:
     return df.select("*", F.explode(F.array_compact(named)).alias("language"))
 
 
-def t_model(spark: SparkSession, sf_dir: str, salt: str = "") -> Library:
-    """Customers, their orders and the distinct lines of these, with gaps at every level."""
+def t_model(spark: SparkSession, sf_dir: str, salt: str = "", surrogate: bool = True) -> Library:
+    """Customers, their orders and the distinct lines of these, with gaps at every level.
+
+    Without ``surrogate`` the ids are the natural keys, which MD5 only renames: plans that return no ids give the
+    same rows, and their shuffles carry a few digits instead of 32 characters that do not compress.
+    """
     customer = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("c"), "c_name")
     orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("o"), F.col("o_custkey").alias("c"))
     lines = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o"), F.col("l_linenumber").alias("n"), "l_linestatus")
-    book = make_id("book", F.col("c") + 1, salt=salt)
-    chapter = make_id("chapter", F.col("o") + 1, salt=salt)
-    section = make_id("section", F.col("o") + 1, F.col("n"), salt=salt)
+    name = partial(make_id, salt=salt) if surrogate else natural_key
+    book, chapter, section = name("book", F.col("c") + 1), name("chapter", F.col("o") + 1), name("section", F.col("o") + 1, F.col("n"))
     named = _per_language(customer, {T.CHINESE: F.col("c") % 7 != 0, T.ENGLISH: F.col("c") % 5 != 0})
     titled = _per_language(orders, {T.CHINESE: F.col("o") % 11 != 0, T.ENGLISH: F.col("o") % 13 != 0})
     language = F.when(F.col("l_linestatus") == "F", T.CHINESE).otherwise(T.ENGLISH)
@@ -36,16 +41,16 @@ def t_model(spark: SparkSession, sf_dir: str, salt: str = "") -> Library:
     return Library(
         customer.select(book.alias("id"), (F.col("c") + 1).cast("int").alias("sort")),
         named.select(
-            make_id("book_content", F.col("c") + 1, F.col("language"), salt=salt).alias("id"),
+            name("book_content", F.col("c") + 1, F.col("language")).alias("id"),
             book.alias("book_id"),
             "language",
             F.when(F.col("language") == T.CHINESE, F.concat(F.lit("書 "), "c_name")).otherwise(F.col("c_name")).alias("title"),
         ),
         orders.select(chapter.alias("id"), book.alias("book_id"), (F.col("o") + 1).cast("int").alias("sort")),
-        titled.select(make_id("chapter_content", F.col("o") + 1, F.col("language"), salt=salt).alias("id"), chapter.alias("chapter_id"), "language", T.chapter_title(F.col("language"), F.col("o") + 1).alias("title")),
+        titled.select(name("chapter_content", F.col("o") + 1, F.col("language")).alias("id"), chapter.alias("chapter_id"), "language", T.chapter_title(F.col("language"), F.col("o") + 1).alias("title")),
         lines.select("o", "n").distinct().join(orders, "o").select(section.alias("id"), book.alias("book_id"), chapter.alias("chapter_id"), F.col("n").cast("int").alias("sort")),
         written.select(
-            make_id("section_content", F.col("o") + 1, F.col("n"), F.col("language"), salt=salt).alias("id"),
+            name("section_content", F.col("o") + 1, F.col("n"), F.col("language")).alias("id"),
             section.alias("section_id"),
             "language",
             T.section_title(F.col("language"), F.col("n")).alias("title"),
