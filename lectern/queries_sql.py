@@ -53,7 +53,7 @@ UNION ALL SELECT p.page_id, i.pos, md5(i.text), 'beside' FROM list_pages p, LATE
 
 def sections_in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Missing sections with their place in the order of books, chapters and sections."""
-    return numbered(V.sections_missing_content(t_model(spark, sf_dir)), ["book_sort", "chapter_sort", "section_sort"], "row_number")
+    return numbered(V.sections_missing_content(t_model(spark, sf_dir, surrogate=False)), ["book_sort", "chapter_sort", "section_sort"], "row_number")
 
 
 def viewer_in_order(spark: SparkSession, sf_dir: str) -> DataFrame:

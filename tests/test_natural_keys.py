@@ -1,11 +1,31 @@
-"""Natural keys in place of digests."""
+"""Plans that return no ids run over natural keys: the rows of the digests, without a digest in any shuffle."""
 
+import pytest
 from conftest import rows
 
 from lectern import queries as Q
+from lectern import registry
 from lectern.operators import migrate
+from lectern.plans import validation as V
+from lectern.plans.models import t_model
 from lectern.schemas import Library
 
+WITHOUT_IDS = [
+    "sections_in_order",
+]
+
+
+@pytest.mark.parametrize("name", WITHOUT_IDS)
+def test_no_digest_is_shuffled(spark, sf_dir, name):
+    plan = registry.queries()[name](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    assert "md5" not in plan
+
+
+@pytest.mark.parametrize("plan", [V.sections_missing_content, V.blank_content_guard, V.language_count_diff, V.language_totals, V.completeness_summary])
+def test_natural_keys_give_the_rows_of_digests(spark, sf_dir, plan):
+    assert rows(plan(t_model(spark, sf_dir, surrogate=False))) == rows(plan(t_model(spark, sf_dir)))
+
+
 def _library(spark, salt, sections):
     one = lambda data, schema: spark.createDataFrame(data, schema)
     none = lambda schema: spark.createDataFrame([], schema)
