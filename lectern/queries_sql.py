@@ -30,7 +30,8 @@ _WITH_PARAMETERS = {"bilingual_viewer", "missing_pairs"}
 def as_text(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     """One of the validation queries, run as SQL text."""
     wanted = spark.createDataFrame(Q.KEYS, sql.WANTED)
-    sql.open_library(spark, (c_model if name in _SMALL else t_model)(spark, sf_dir), catalogue(spark), wanted)
+    library = c_model(spark, sf_dir) if name in _SMALL else t_model(spark, sf_dir, surrogate=False)
+    sql.open_library(spark, library, catalogue(spark), wanted)
     parameters = {"book": Q.BOOK, "chapter": Q.CHAPTER} if name in _WITH_PARAMETERS else {}
     return sql.run(spark, name, **parameters)
 

@@ -13,6 +13,7 @@ from lectern.schemas import Library
 WITHOUT_IDS = [
     "sections_in_order",
     "sections_missing_content",
+    "sql_sections_missing_content",
 ]
 
 
