@@ -15,6 +15,7 @@ WITHOUT_IDS = [
     "sections_missing_content",
     "sql_sections_missing_content",
     "blank_content_guard",
+    "sql_blank_content_guard",
 ]
 
 
