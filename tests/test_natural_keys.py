@@ -18,6 +18,7 @@ WITHOUT_IDS = [
     "sql_blank_content_guard",
     "language_count_diff",
     "language_totals",
+    "sql_language_totals",
 ]
 
 
