@@ -19,6 +19,7 @@ WITHOUT_IDS = [
     "language_count_diff",
     "language_totals",
     "sql_language_totals",
+    "sql_language_count_diff",
 ]
 
 
