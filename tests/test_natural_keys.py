@@ -21,6 +21,7 @@ WITHOUT_IDS = [
     "sql_language_totals",
     "sql_language_count_diff",
     "completeness_summary",
+    "sql_completeness_summary",
 ]
 
 
