@@ -48,7 +48,8 @@ def t_model(spark: SparkSession, sf_dir: str, salt: str = "", surrogate: bool =
         ),
         orders.select(chapter.alias("id"), book.alias("book_id"), (F.col("o") + 1).cast("int").alias("sort")),
         titled.select(name("chapter_content", F.col("o") + 1, F.col("language")).alias("id"), chapter.alias("chapter_id"), "language", T.chapter_title(F.col("language"), F.col("o") + 1).alias("title")),
-        lines.select("o", "n").distinct().join(orders, "o").select(section.alias("id"), book.alias("book_id"), chapter.alias("chapter_id"), F.col("n").cast("int").alias("sort")),
+        # dealt by order before they are made distinct, so that their orders meet them where they lie
+        lines.select("o", "n").repartition("o").distinct().join(orders, "o").select(section.alias("id"), book.alias("book_id"), chapter.alias("chapter_id"), F.col("n").cast("int").alias("sort")),
         written.select(
             name("section_content", F.col("o") + 1, F.col("n"), F.col("language")).alias("id"),
             section.alias("section_id"),

@@ -1,5 +1,7 @@
 """Plans that return no ids run over natural keys: the rows of the digests, without a digest in any shuffle."""
 
+import re
+
 import pytest
 from conftest import rows
 
@@ -63,3 +65,20 @@ def test_rekeyed_equals_backup_and_restored(spark):
 def test_restore_rekey_moves_each_reference_once(spark, sf_dir):
     plan = Q.restore_rekey(spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
     assert not [line for line in plan.splitlines() if "Join" in line and "source_id" in line]
+
+
+@pytest.mark.parametrize("name", ["sql_blank_content_guard", "sql_language_totals", "sql_language_count_diff"])
+def test_lines_meet_their_orders_without_another_shuffle(spark, sf_dir, name):
+    conf = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {key: spark.conf.get(key) for key in conf}
+    try:
+        for key, value in conf.items():
+            spark.conf.set(key, value)
+        plan = registry.queries()[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    lines = plan.splitlines()
+    by_order = [line for line in lines if re.search(r"Exchange hashpartitioning\(o#\d+L, \d+\)", line)]
+    assert len(by_order) == 2  # the lines once, and their orders
+    assert not [line for line in lines if re.search(r"Exchange hashpartitioning\(o#\d+L, n#\d+, \d+\)", line)]
