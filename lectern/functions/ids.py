@@ -12,5 +12,5 @@ def make_id(level: str, *keys: Column, salt: str = "") -> Column:
 
 
 def natural_key(level: str, *keys: Column) -> Column:
-    """What ``make_id`` digests, but for the level: ids of one table are as distinct, and shorter."""
-    return F.concat_ws(":", *(k.cast("string") for k in keys))
+    """What ``make_id`` digests, but for the level: ids of one table are as distinct, and shorter. One key alone stays a number."""
+    return keys[0] if len(keys) == 1 else F.concat_ws(":", *(k.cast("string") for k in keys))

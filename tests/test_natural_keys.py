@@ -82,3 +82,8 @@ def test_lines_meet_their_orders_without_another_shuffle(spark, sf_dir, name):
     by_order = [line for line in lines if re.search(r"Exchange hashpartitioning\(o#\d+L, \d+\)", line)]
     assert len(by_order) == 2  # the lines once, and their orders
     assert not [line for line in lines if re.search(r"Exchange hashpartitioning\(o#\d+L, n#\d+, \d+\)", line)]
+
+
+@pytest.mark.parametrize("table", ["books", "chapters"])
+def test_a_natural_key_of_one_number_stays_a_number(spark, sf_dir, table):
+    assert dict(getattr(t_model(spark, sf_dir, surrogate=False), table).dtypes)["id"] == "bigint"
